@@ -13,12 +13,10 @@ from tidewatch.config import ANCHOR_KEYS, KEYS, SOFT_RANGES
 from tidewatch.functions import null_if_nan
 from tidewatch.operators.joins import HOT_ROWS, spread_join
 from tidewatch.sources import existing_columns
-from tidewatch.sources.schemas import missing_columns
+from tidewatch.sources.schemas import missing_columns, struct_of
 
 ERROR, WARN, INFO = "ERROR", "WARN", "INFO"
-REPORT = T.StructType.fromDDL(
-    "check string, layer string, severity string, metric string, value double, passed boolean"
-)
+REPORT = struct_of("check string, layer string, severity string, metric string, value double, passed boolean")
 
 
 class QualityError(Exception):

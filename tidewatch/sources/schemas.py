@@ -7,28 +7,38 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 
 
-def _struct(spec: str) -> T.StructType:
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(),
+    "date": T.DateType(),
+}
+
+
+def struct_of(spec: str) -> T.StructType:
     """``"name type"`` or ``"name type!"`` (not nullable), comma separated."""
     fields = []
     for item in spec.split(","):
         name, ddl = item.split()
-        fields.append(T.StructField(name, T.DataType.fromDDL(ddl.rstrip("!")), not ddl.endswith("!")))
+        fields.append(T.StructField(name, _TYPES[ddl.rstrip("!")], not ddl.endswith("!")))
     return T.StructType(fields)
 
 
-ADMISSIONS = _struct(
+ADMISSIONS = struct_of(
     "admission_id string!, patient_id string!, admit_time timestamp!, discharge_time timestamp, los_days int,"
     "admit_acuity double, age int, sex string, diabetes int, ckd int, copd int, chf int, comorbidity_count int"
 )
-VITALS = _struct(
+VITALS = struct_of(
     "admission_id string!, patient_id string!, event_time timestamp!,"
     "hr double, sbp double, dbp double, spo2 double, event_date date"
 )
-LABS = _struct(
+LABS = struct_of(
     "admission_id string!, patient_id string!, event_time timestamp!,"
     "wbc double, creatinine double, lactate double, event_date date"
 )
-OUTCOMES = _struct(
+OUTCOMES = struct_of(
     "admission_id string!, patient_id string!, deterioration int!, deterioration_time timestamp, outcome_type string"
 )
 RAW_TABLES = {"admissions": ADMISSIONS, "vitals": VITALS, "labs": LABS, "outcomes": OUTCOMES}
