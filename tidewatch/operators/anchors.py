@@ -45,10 +45,11 @@ def anchor_grid(
     ``warmup_hours`` and ``is_valid_anchor`` instead of leaving out the warm-up.
     """
     laid = TimeGrid(grid.cadence_h, 0, grid.windows_h, grid.start, grid.end) if metadata else grid
+    # explode() of null yields no row, for stays that are too short.
+    steps = F.when(F.col("__last") >= 0, F.sequence(F.lit(0).cast("bigint"), F.col("__last")))
     out = (
         stays.withColumn("__last", last_anchor_index(laid, stop_before))
-        .where(F.col("__last") >= 0)
-        .withColumn("__k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__last"))))
+        .withColumn("__k", F.explode(steps))
         .withColumn("anchor_time", anchor_time_of(laid, F.col("__k")))
         .withColumn("anchor_date", F.to_date("anchor_time"))
     )

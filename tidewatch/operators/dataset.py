@@ -89,9 +89,22 @@ def training_set(
     ``encode`` maps a category column to the value coded as 1 and the name of the new column.
     Keys are never filled.
     """
-    ds = features.join(labels.select(*ANCHOR_KEYS, label), list(ANCHOR_KEYS)).join(
-        attributes, list(attribute_keys), "left"
-    )
+    labelled = features.join(labels.select(*ANCHOR_KEYS, label), list(ANCHOR_KEYS))
+    return model_table(labelled, attributes, fractions, attribute_keys, encode, fill, label, method)
+
+
+def model_table(
+    labelled: DataFrame,
+    attributes: DataFrame,
+    fractions: SplitFractions = SplitFractions(),
+    attribute_keys: Sequence[str] = KEYS,
+    encode: Mapping[str, tuple[str, str]] | None = None,
+    fill: float = 0.0,
+    label: str = "label",
+    method: str = "md5",
+) -> DataFrame:
+    """``training_set`` for features that carry their label already (see ``with_labels``)."""
+    ds = labelled.join(attributes, list(attribute_keys), "left")
     ds = fill_nulls(ds, fill, exclude=(label, *ANCHOR_KEYS))
     for column, (value, out) in (encode or {}).items():
         ds = encode_binary(ds, column, value, out)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from tidewatch.config import ANCHOR_KEYS, KEYS, BandCutoffs, DashboardSpec
 from tidewatch.functions import risk_band_of
-from tidewatch.operators.ranking import alert_flags, risk_decile, stratified_sample
+from tidewatch.operators.ranking import deciles_and_alerts, stratified_sample
 from tidewatch.sources import existing_columns
 
 
@@ -48,8 +48,7 @@ def dashboard_extract(
     sampled rows only: at most ``spec.rows`` keys are broadcast to the wide table, which is then
     filtered where it lies.
     """
-    ranked = risk_decile(scored, "risk_score", spec.tiles, keys)
-    flagged = alert_flags(ranked, spec.alert_rate, "risk_score", keys)
+    flagged = deciles_and_alerts(scored, spec.alert_rate, spec.tiles, "risk_score", keys)
     sample = stratified_sample(flagged, spec.rows, spec.alerted_fraction, spec.seed, "alert_flag", keys)
     match = [*keys, "anchor_date"]
     wanted = [c for c in existing_columns(features, spec.tooltips) if c not in sample.columns]

@@ -2,8 +2,9 @@
 
 Most uses of a global rank only ask on which side of a few positions a row lies (deciles, the top
 10 %, a sample of n rows). ``exact_cutoffs`` finds the exact values at those positions by
-narrowing: a quantile sketch brackets each position, counts confirm the brackets, and only rows
-inside them are ordered. The full table is then marked by comparing with literals: no shuffle.
+narrowing: a quantile sketch brackets each position, and only rows inside the brackets are ordered
+on top of the count of rows below; a position missing from its bracket would be noticed and
+searched in full. The full table is then marked by comparing with literals: no shuffle.
 
 Rows of equal score are ordered by the md5 of their keys. Being uniform, it also divides a score
 that a large part of the rows share, so such a score is never ordered by one task.
@@ -73,7 +74,7 @@ def sketch_scores(df: DataFrame, score: str) -> tuple[int, list[float]]:
 
 
 def _brackets(n: int, quantiles: Sequence[float], positions: Sequence[int]) -> list[tuple[float, float]]:
-    """Disjoint score intervals that should hold the positions, with a margin of the sketch's error."""
+    """Disjoint score intervals that should hold the positions, with a margin of one quantile."""
     spans = []
     for p in positions:
         at = p * _QUANTILES / n
@@ -88,47 +89,45 @@ def _brackets(n: int, quantiles: Sequence[float], positions: Sequence[int]) -> l
     return merged
 
 
-def exact_cutoffs(df: DataFrame, score: str, positions: Positions | Sequence[float], tie: Column | Sequence[str]) -> list[Cutoff]:
+def exact_cutoffs(
+    df: DataFrame,
+    score: str,
+    positions: Positions | Sequence[float],
+    tie: Column | Sequence[str],
+) -> list[Cutoff]:
     """Exact cut-offs at ascending positions (1-based), given as fractions or as a function of n."""
     tie = tie if isinstance(tie, Column) else tie_hash(tie)
     scored = df.select(null_if_nan(F.col(score).cast("double")).alias("s"), tie.alias("t")).where(F.col("s").isNotNull())
     n, quantiles = sketch_scores(scored, "s")
     wanted = list(positions(n)) if callable(positions) else [int(f * n) for f in positions]
     inner = sorted({p for p in wanted if 0 < p < n})
-    found = _at_positions(scored, n, quantiles, inner) if inner else {}
+    found: dict[int, Cutoff] = {}
+    if inner:
+        found = _at_positions(scored, n, _brackets(n, quantiles, inner), inner)
+        if len(found) < len(inner):
+            # A bracket missed its position: look at all scores instead.
+            found = _at_positions(scored, n, [(float("-inf"), float("inf"))], inner)
     return [found.get(p, Cutoff(p, n)) for p in wanted]
 
 
-def _at_positions(scored: DataFrame, n: int, quantiles: list[float], positions: list[int]) -> dict[int, Cutoff]:
-    brackets = _brackets(n, quantiles, positions)
+def _at_positions(
+    scored: DataFrame, n: int, brackets: list[tuple[float, float]], positions: list[int]
+) -> dict[int, Cutoff]:
+    """Cut-offs of the positions that lie inside their bracket."""
     s = F.col("s")
-
-    def counts(intervals: list[tuple[float, float]]) -> list[tuple[int, int]]:
-        row = scored.agg(
-            *[F.count_if(s < lo).alias(f"below{i}") for i, (lo, _) in enumerate(intervals)],
-            *[F.count_if(s <= hi).alias(f"upto{i}") for i, (_, hi) in enumerate(intervals)],
-        ).first()
-        return [(row[f"below{i}"], row[f"upto{i}"]) for i in range(len(intervals))]
-
-    bounds = counts(brackets)
-    if not all(any(b < p <= u for b, u in bounds) for p in positions):
-        # The sketch missed; look at all scores instead.
-        brackets, bounds = [(quantiles[0], quantiles[-1])], [(0, n)]
-        if counts(brackets) != bounds:
-            brackets = [(float("-inf"), float("inf"))]
-
-    # Rows inside the brackets, one per distinct score, with running counts per bracket.
     part = F.lit(None).cast("int")
     for i, (lo, hi) in enumerate(brackets):
         part = F.when((s >= lo) & (s <= hi), F.lit(i)).otherwise(part)
-    starts = F.expr("array(" + ",".join(f"{b}L" for b, _ in bounds) + ")")
+    # One row per distinct score inside the brackets, with running counts per bracket on top of
+    # the number of rows below the bracket.
+    below = scored.agg(F.array(*[F.count_if(s < lo) for lo, _ in brackets]).alias("below"))
     running = F.sum("n").over(Window.partitionBy("part").orderBy("s").rowsBetween(Window.unboundedPreceding, 0))
     distinct = (
         scored.withColumn("part", part)
         .where(F.col("part").isNotNull())
         .groupBy("part", "s")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", running + F.element_at(starts, F.col("part") + 1))
+        .withColumn("upto", running + F.element_at(below.scalar(), F.col("part") + 1))
     )
     targets = F.expr("array(" + ",".join(f"{p}L" for p in positions) + ")")
     hits = (
@@ -146,37 +145,43 @@ def _tie_values(scored: DataFrame, wanted: dict[int, tuple[float, int, int]]) ->
     if not wanted:
         return {}
     prefix = hash_prefix(F.col("t"), _PREFIX_DIGITS)
-    narrowed: dict[int, tuple[Column, int]] = {}
-    large = {p: w for p, w in wanted.items() if w[2] > _ORDER_AT_ONCE}
+    large = sorted({value for value, _, n in wanted.values() if n > _ORDER_AT_ONCE})
     buckets: dict[float, list[tuple[int, int]]] = {}
     if large:
-        values = sorted({w[0] for w in large.values()})
         rows = (
-            scored.where(F.col("s").isin(values))
-            .groupBy("s", prefix.alias("b"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .orderBy("s", "b")
-            .collect()
-        )
-        for r in rows:
+            scored.where(F.col("s").isin(large)).groupBy("s", prefix.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+        ).collect()
+        for r in sorted(rows):
             buckets.setdefault(r["s"], []).append((r["b"], r["n"]))
+
+    # Rows to order: those of a score, or of one hash prefix of a very common score.
+    groups: dict[tuple[float, int | None], int] = {}
+    places: dict[int, tuple[int, int]] = {}
     for p, (value, k, _) in wanted.items():
+        bucket = None
+        for bucket, n in buckets.get(value, ()):
+            if k <= n:
+                break
+            k -= n
+        places[p] = (groups.setdefault((value, bucket), len(groups)), k)
+    part = F.lit(None).cast("int")
+    for (value, bucket), g in groups.items():
         same = F.col("s") == F.lit(value)
-        if p in large:
-            for b, n in buckets[value]:
-                if k <= n:
-                    same = same & (prefix == b)
-                    break
-                k -= n
-        narrowed[p] = (same, k)
-
-    candidates = None
-    for p, (same, k) in narrowed.items():
-        rows = scored.where(same).select(F.lit(p).cast("bigint").alias("p"), F.lit(k).cast("bigint").alias("k"), "t")
-        candidates = rows if candidates is None else candidates.unionByName(rows)
-    rank = F.row_number().over(Window.partitionBy("p").orderBy("t"))
-    picked = candidates.withColumn("r", rank).where(F.col("r") == F.col("k")).select("p", "t").collect()
-    return {r["p"]: r["t"] for r in picked}
+        part = F.when(same if bucket is None else same & (prefix == bucket), F.lit(g)).otherwise(part)
+    rank = F.row_number().over(Window.partitionBy("part").orderBy("t"))
+    chosen = F.lit(False)
+    for g, k in set(places.values()):
+        chosen = chosen | ((F.col("part") == g) & (F.col("rank") == k))
+    rows = (
+        scored.where(F.col("s").isin(sorted({value for value, _ in groups})))
+        .withColumn("part", part)
+        .where(F.col("part").isNotNull())
+        .select("part", "t", rank.alias("rank"))
+        .where(chosen)
+        .collect()
+    )
+    at = {(r["part"], r["rank"]): r["t"] for r in rows}
+    return {p: at[place] for p, place in places.items()}
 
 
 def tile_positions(tiles: int) -> Positions:
@@ -199,11 +204,38 @@ def risk_decile(
 ) -> DataFrame:
     """``ntile`` over the ascending score: the highest tile holds the highest scores, null stays null."""
     cuts = exact_cutoffs(df, score, tile_positions(tiles), tie_keys)
+    return df.withColumn(out, _tile(score, tie_keys, cuts))
+
+
+def _tile(score: str, tie_keys: Sequence[str], cuts: Sequence[Cutoff]) -> Column:
     s, tie = null_if_nan(F.col(score).cast("double")), tie_hash(tie_keys)
     tile = F.lit(1)
     for cut in cuts:
         tile = tile + order_after(s, tie, cut).cast("int")
-    return df.withColumn(out, F.when(s.isNotNull(), tile))
+    return F.when(s.isNotNull(), tile)
+
+
+def deciles_and_alerts(
+    df: DataFrame,
+    rate: float = 0.10,
+    tiles: int = 10,
+    score: str = "risk_score",
+    tie_keys: Sequence[str] = ANCHOR_KEYS,
+) -> DataFrame:
+    """``risk_decile`` and exact ``alert_flags`` with one search for all cut-offs."""
+
+    def positions(n: int) -> list[int]:
+        return [*top_positions([rate])(n), *tile_positions(tiles)(n)]
+
+    alert, *cuts = exact_cutoffs(df, score, positions, tie_keys)
+    alerted = order_after(null_if_nan(F.col(score).cast("double")), tie_hash(tie_keys), alert)
+    return df.withColumns(
+        {
+            "risk_decile": _tile(score, tie_keys, cuts),
+            "alert_flag": F.when(alerted, 1).otherwise(0),
+            "alert_rate_config": F.lit(float(rate)),
+        }
+    )
 
 
 def alert_flags(
@@ -375,10 +407,46 @@ def hash_sample(df: DataFrame, n: int, seed: int, keys: Sequence[str] = ANCHOR_K
     The hash of the n-th row is found first, so the sample is a filter and not a global sort.
     """
     drawn = tie_hash(keys, seed)
-    lead = hash_prefix(drawn, 13).cast("double")
-    hashed = df.withColumn("__lead", lead)
-    (cut,) = exact_cutoffs(hashed, "__lead", lambda rows: [min(n, rows)], drawn)
-    return hashed.where(~order_after(F.col("__lead"), drawn, cut)).drop("__lead")
+    cut = _nth_hash(df.select(drawn.alias("h")), n)
+    return df.where(F.lit(False)) if cut == "" else df if cut is None else df.where(drawn <= F.lit(cut))
+
+
+def _nth_hash(hashes: DataFrame, n: int) -> str | None:
+    """The n-th smallest digest in column ``h``; None if there are no more than n, "" if n is 0.
+
+    Digests are uniform, so the n-th lies close to the fraction n / rows. Only rows within six
+    standard deviations of it are ordered (about ten square roots of the table); should it lie
+    outside all the same, the interval is widened.
+    """
+    rows = hashes.count()
+    if n <= 0:
+        return ""
+    if n >= rows:
+        return None
+    share = n / rows
+    margin = 6 * math.sqrt(rows * share * (1 - share)) / rows + 10 / rows
+    h = F.col("h")
+    while True:
+        lo, hi = _digest_at(share - margin), _digest_at(share + margin)
+        below = hashes.agg(F.count_if(h < lo).alias("below"))
+        rank = F.row_number().over(Window.partitionBy("part").orderBy("h"))
+        hit = (
+            hashes.where((h >= lo) & (h <= hi))
+            .select(F.lit(0).alias("part"), "h")
+            .select("h", (rank + below.scalar()).alias("rank"))
+            .where(F.col("rank") == n)
+            .collect()
+        )
+        if hit:
+            return hit[0]["h"]
+        margin *= 4
+
+
+def _digest_at(fraction: float) -> str:
+    """Hex digits of a fraction of the range of digests; beyond its end a value above all of them."""
+    if fraction >= 1:
+        return "g"
+    return f"{int(max(fraction, 0.0) * 16**12):012x}"
 
 
 def stratified_sample(

@@ -25,7 +25,7 @@ from tidewatch.config import (
 )
 from tidewatch.functions import ceil_div, derived_from_last, floor_div, micros_between
 from tidewatch.functions.columns import MICROS_PER_HOUR
-from tidewatch.operators.anchors import anchor_grid, anchor_time_of, last_anchor_index
+from tidewatch.operators.anchors import anchor_time_of, last_anchor_index
 from tidewatch.operators.joins import HOT_ROWS, range_join_bucketed, spread_join
 
 # Pane columns each statistic is computed from.
@@ -133,7 +133,7 @@ def build_panes(
     pane 0 and below.
     """
     width = _pane_hours(grid) * MICROS_PER_HOUR
-    bounded = stays.select(*keys, grid.start, last_anchor_index(grid).alias("__last")).where(F.col("__last") >= 0)
+    bounded = stays.select(*keys, grid.start, last_anchor_index(grid).alias("__last"))
     since = micros_between(grid.start, "event_time")
     events = (
         spread_join(_event_stream(families, keys), bounded, keys, ["event_time"], "inner", hot_rows)
@@ -150,7 +150,11 @@ def _panes_at_anchors(panes: DataFrame, grid: TimeGrid, keys: Sequence[str]) ->
     """Repeat each pane for the anchors whose longest window covers it.
 
     ``__back`` counts the panes between a pane and its anchor; a window of m panes covers
-    ``__back < m``.
+    ``__back < m``. A row without a pane is repeated for all anchors of its stay, with null
+    ``__back``.
+
+    Panes are brought together by stay first. A stay has no more panes than its duration allows,
+    however many events it holds, and the aggregation per anchor then needs no further shuffle.
     """
     pane_h = _pane_hours(grid)
     reach = max(grid.windows_h) // pane_h
@@ -164,7 +168,8 @@ def _panes_at_anchors(panes: DataFrame, grid: TimeGrid, keys: Sequence[str]) ->
     anchor_pane = F.col("__k") * (grid.cadence_h // pane_h) + F.lit(grid.warmup_h // pane_h)
     # explode() of null yields no row, for panes that no anchor looks back on.
     return (
-        panes.withColumns({"__first": first, "__until": last})
+        panes.repartition(*keys)
+        .withColumns({"__first": first, "__until": last})
         .withColumn("__k", F.explode(F.when(F.col("__first") <= F.col("__until"), F.sequence("__first", "__until"))))
         .withColumns({"anchor_time": anchor_time_of(grid, F.col("__k")), "__back": anchor_pane - F.col("__pane")})
         .drop(grid.start, "__last", "__pane", "__first", "__until", "__k")
@@ -254,11 +259,13 @@ def _features(
     whole_grid: bool,
     audit: bool,
 ) -> DataFrame:
-    at_anchors = _panes_at_anchors(build_panes(stays, families, grid, keys, hot_rows), grid, keys)
+    panes = build_panes(stays, families, grid, keys, hot_rows)
     if whole_grid:
-        # Adding the bare grid to the aggregation's input keeps anchors without events, so no join is needed.
-        bare = anchor_grid(stays, grid, keys).select(*keys, "anchor_time")
-        at_anchors = at_anchors.unionByName(bare, allowMissingColumns=True)
+        # One row per stay without a pane stands for its bare grid and keeps anchors without
+        # events, so the features need no join with the anchors.
+        bare = stays.select(*keys, grid.start, last_anchor_index(grid).alias("__last"))
+        panes = panes.unionByName(bare, allowMissingColumns=True)
+    at_anchors = _panes_at_anchors(panes, grid, keys)
     aggs: list[Column] = []
     features: list[Column] = []
     for w in grid.windows_h:

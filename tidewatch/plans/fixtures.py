@@ -7,14 +7,21 @@ and signup are vital signs, purchases are lab results, large errors are outcomes
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 ORIGIN = "2024-01-01 00:00:00"
 STAY_DAYS = 5
 OUTCOME_ABOVE = 100.0
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _keyed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
