@@ -1,0 +1,36 @@
+"""Every registered query against its SQL twin, on the smallest shared tables."""
+
+from __future__ import annotations
+
+import pytest
+
+import __spark_entry__ as entry
+from tests.twin_check import connect, differences
+
+TWINS = entry.oracle_sql()
+# Fitting sixty trees is left to the check of the whole catalog; test_model fits fewer.
+SLOW = {"ml_gbt_scores"}
+
+
+@pytest.fixture(scope="module")
+def con(small):
+    return connect(small)
+
+
+def test_every_twin_has_a_query():
+    assert set(TWINS) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("name", sorted(TWINS))
+def test_twin(spark, small, con, name):
+    assert differences(entry.queries()[name](spark, small), con, TWINS[name]) == []
+
+
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(TWINS) - SLOW))
+def test_without_twin(spark, small, name):
+    assert entry.queries()[name](spark, small).count() > 0
+
+
+def test_entry(spark):
+    df = entry.entry(spark)
+    assert df.count() > 0 and "hr_mean_24h" in df.columns
