@@ -62,6 +62,16 @@ def gbt_pipeline(
     return _assembled(features, gbt if weight is None else gbt.setWeightCol(weight))
 
 
+def fit_and_save(pipeline: Pipeline, train: DataFrame, path: str) -> PipelineModel:
+    """Fit, save to ``path`` and return the model as loaded from there.
+
+    A freshly fitted linear model drags its training summary, and with it the session, into the
+    tasks that apply it; the loaded one carries its coefficients only.
+    """
+    save_model(pipeline.fit(train), path)
+    return load_model(path)
+
+
 def score(df: DataFrame, model: PipelineModel, keep: Sequence[str], out: str = "risk_score") -> DataFrame:
     """Probability of the positive class next to the kept columns."""
     return model.transform(df).select(*keep, vector_to_array("probability")[1].alias(out))

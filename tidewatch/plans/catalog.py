@@ -523,7 +523,7 @@ def _weighted(spark, d) -> tuple[DataFrame, DataFrame]:
 
 def _fitted_scores(spark, d, make) -> DataFrame:
     train, whole = _weighted(spark, d)
-    fitted = make(model.feature_columns(whole)).fit(train)
+    fitted = model.fit_and_save(make(model.feature_columns(whole)), train, fresh_path(spark, "model"))
     return model.score(whole, fitted, [*ANCHOR_KEYS, "anchor_date", "label", "split"])
 
 
@@ -538,7 +538,8 @@ def q_ml_gbt_scores(spark, d):
 def q_ml_drivers(spark, d):
     train, whole = _weighted(spark, d)
     features = model.feature_columns(whole)
-    return model.top_drivers(whole, model.logreg_pipeline(features).fit(train), features)
+    fitted = model.fit_and_save(model.logreg_pipeline(features), train, fresh_path(spark, "model"))
+    return model.top_drivers(whole, fitted, features)
 
 
 def queries() -> dict[str, Query]:

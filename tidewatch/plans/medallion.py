@@ -127,8 +127,7 @@ def train(store: Store, run_id: str, settings: Settings = Settings()) -> None:
     held_out = weighted.where(F.col("split") != "train")
     scored = None
     for name, pipeline in pipelines.items():
-        fitted = pipeline.fit(fitting)
-        model.save_model(fitted, store.path(f"models/{run_id}/{name}"))
+        fitted = model.fit_and_save(pipeline, fitting, store.path(f"models/{run_id}/{name}"))
         part = model.score(held_out, fitted, [*ANCHOR_KEYS, "split", "label"], "prob").withColumn("model", F.lit(name))
         scored = part if scored is None else scored.unionByName(part)
     # Every metric below reads the scores again, so they are written once.
