@@ -72,6 +72,9 @@ def test_jobs_end_to_end(spark, store):
     extract = spark.read.option("header", True).csv(store.path("reports/dashboard"))
     assert extract.count() <= 400 and {"risk_decile", "alert_flag", "risk_band", "anchor_datetime", "hr_mean_24h"} <= set(extract.columns)
     assert spark.read.option("header", True).csv(store.path("reports/risk_scores_sample")).count() == min(200, rows["marts/risk_scores"])
+    history = {r["metric"]: r["value"] for r in store.read("marts/run_metrics").collect()}
+    assert history["rows:gold/anchors"] == rows["gold/anchors"] and "gold:labels:prevalence" in history
+    assert any(m.endswith(":val:auprc") for m in history) and medallion.drift(store).count() == 0
     assert store.read("marts/data_quality").where("severity = 'ERROR' and not passed").count() == 0
 
 

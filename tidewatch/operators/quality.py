@@ -23,28 +23,29 @@ class QualityError(Exception):
     """Raised by ``run_checks`` when a check of severity ERROR fails."""
 
 
-def _report(aggregated: DataFrame, check: str, layer: str, lines: Sequence[tuple[str, str, Column, Column]]) -> DataFrame:
-    """``lines`` are (severity, metric, value, passed) over the columns of ``aggregated``."""
-    rows = [
-        F.struct(
-            F.lit(check).alias("check"),
-            F.lit(layer).alias("layer"),
-            F.lit(severity).alias("severity"),
-            F.lit(metric).alias("metric"),
-            value.cast("double").alias("value"),
-            F.coalesce(passed, F.lit(True)).alias("passed"),
-        )
+Line = tuple[str, str, str, str]
+
+
+def _report(aggregated: DataFrame, check: str, layer: str, lines: Sequence[Line]) -> DataFrame:
+    """``lines`` are (severity, metric, value, passed), the last two as SQL over ``aggregated``.
+
+    A ``passed`` that is null, for want of data, counts as passed.
+    """
+    rows = ", ".join(
+        f"named_struct('check', '{check}', 'layer', '{layer}', 'severity', '{severity}', 'metric', '{metric}', "
+        f"'value', CAST({value} AS double), 'passed', coalesce({passed}, true))"
         for severity, metric, value, passed in lines
-    ]
-    return aggregated.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    )
+    return aggregated.selectExpr(f"inline(array({rows}))")
 
 
-def _always() -> Column:
-    return F.lit(True)
+def _none_of(severity: str, metric: str, column: str) -> Line:
+    """A count that has to be zero."""
+    return severity, metric, f"`{column}`", f"`{column}` = 0"
 
 
-def _none_of(name: str) -> tuple[Column, Column]:
-    return F.col(name), F.col(name) == 0
+def _info(metric: str, value: str) -> Line:
+    return INFO, metric, value, "true"
 
 
 def check_schema(df: DataFrame, required: Sequence[str], layer: str = "bronze") -> DataFrame:
@@ -58,14 +59,13 @@ def check_timestamp_parse(df: DataFrame, column: str, layer: str = "bronze") ->
     c = F.col(column)
     parsed = F.try_to_timestamp(c) if df.schema[column].dataType == T.StringType() else c
     out = df.agg(F.count(c).alias("given"), F.count(parsed).alias("parsed"))
-    rate = F.try_divide(F.col("parsed"), F.col("given"))
     return _report(
         out,
         "timestamp_parse",
         layer,
         [
-            (INFO, "parse_success_rate", F.coalesce(rate, F.lit(1.0)), _always()),
-            (ERROR, "unparseable", F.col("given") - F.col("parsed"), F.col("given") == F.col("parsed")),
+            _info("parse_success_rate", "coalesce(try_divide(parsed, given), 1.0D)"),
+            (ERROR, "unparseable", "given - parsed", "given = parsed"),
         ],
     )
 
@@ -78,15 +78,14 @@ def check_duplicates(df: DataFrame, keys: Sequence[str], layer: str, remaining_i
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("extra"),
         F.count_if(F.col("n") > 1).alias("repeated"),
     )
-    extra, none = _none_of("extra")
     return _report(
         out,
         "duplicates",
         layer,
         [
-            (ERROR if remaining_is_error else WARN, "duplicate_rows", extra, none),
-            (INFO, "repeated_keys", F.col("repeated"), _always()),
-            (INFO, "duplicate_rate", F.coalesce(F.try_divide(extra, F.col("rows")), F.lit(0.0)), _always()),
+            _none_of(ERROR if remaining_is_error else WARN, "duplicate_rows", "extra"),
+            _info("repeated_keys", "repeated"),
+            _info("duplicate_rate", "coalesce(try_divide(extra, rows), 0.0D)"),
         ],
     )
 
@@ -95,9 +94,7 @@ def check_dedupe_removed(before: DataFrame, after: DataFrame, layer: str = "silv
     counts = before.agg(F.count(F.lit(1)).alias("before")).withColumn(
         "after", after.agg(F.count(F.lit(1)).alias("n")).scalar()
     )
-    return _report(
-        counts, "dedupe", layer, [(INFO, "rows_removed", F.col("before") - F.col("after"), _always())]
-    )
+    return _report(counts, "dedupe", layer, [_info("rows_removed", "before - after")])
 
 
 def check_temporal(
@@ -131,9 +128,9 @@ def check_temporal(
         "temporal",
         layer,
         [
-            (ERROR, "events_outside_stay", *_none_of("outside")),
-            (ERROR, "events_without_stay", *_none_of("orphans")),
-            (WARN, "events_in_future", *_none_of("future")),
+            _none_of(ERROR, "events_outside_stay", "outside"),
+            _none_of(ERROR, "events_without_stay", "orphans"),
+            _none_of(WARN, "events_in_future", "future"),
         ],
     )
 
@@ -148,7 +145,7 @@ def check_ranges(
         return F.count_if((null_if_nan(c) < lo) | (null_if_nan(c) > hi))
 
     out = df.agg(*[outside(c).alias(c) for c in signals])
-    return _report(out, "ranges", layer, [(WARN, f"{c}_out_of_range", *_none_of(c)) for c in signals])
+    return _report(out, "ranges", layer, [_none_of(WARN, f"{c}_out_of_range", c) for c in signals])
 
 
 def check_intervals(events: DataFrame, stays: DataFrame, layer: str = "silver") -> DataFrame:
@@ -159,8 +156,8 @@ def check_intervals(events: DataFrame, stays: DataFrame, layer: str = "silver")
         "intervals",
         layer,
         [
-            (ERROR, "null_event_time", *_none_of("nulls")),
-            (ERROR, "admit_not_before_discharge", *_none_of("wrong")),
+            _none_of(ERROR, "null_event_time", "nulls"),
+            _none_of(ERROR, "admit_not_before_discharge", "wrong"),
         ],
     )
 
@@ -186,9 +183,9 @@ def check_nulls(df: DataFrame, columns: Sequence[str], layer: str, empty_is: str
     out = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count(c).alias(c) for c in columns])
     lines = []
     for c in columns:
-        share = F.coalesce(1.0 - F.try_divide(F.col(c).cast("double"), F.col("__n")), F.lit(0.0))
-        lines.append((INFO, f"{c}_null_share", share, _always()))
-        lines.append((empty_is, f"{c}_all_null", ((F.col(c) == 0) & (F.col("__n") > 0)).cast("int"), ~((F.col(c) == 0) & (F.col("__n") > 0))))
+        empty = f"(`{c}` = 0 AND __n > 0)"
+        lines.append(_info(f"{c}_null_share", f"coalesce(1.0D - try_divide(`{c}`, __n), 0.0D)"))
+        lines.append((empty_is, f"{c}_all_null", f"CAST({empty} AS int)", f"NOT {empty}"))
     return _report(out, "null_profile", layer, lines)
 
 
@@ -211,8 +208,8 @@ def check_anchors(
 ) -> DataFrame:
     """Repeated anchors, anchors outside their stay, anchors at or after the outcome.
 
-    First and last anchor of each stay decide most of it, so only counts per stay are joined; the
-    anchors after an outcome are counted on the anchors of stays that have one.
+    Repeated anchors are counted ahead of the join, so a stay brings no more rows to it than its
+    duration has anchor times.
     """
     per_anchor = anchors.groupBy(*keys, "anchor_time").agg(F.count(F.lit(1)).alias("n"))
     bounds = stays.select(*keys, "admit_time", "discharge_time")
@@ -234,9 +231,9 @@ def check_anchors(
         "anchors",
         layer,
         [
-            (ERROR, "duplicate_anchors", *_none_of("repeated")),
-            (ERROR, "anchors_outside_stay", *_none_of("outside")),
-            (ERROR, "anchors_after_outcome", *_none_of("late")),
+            _none_of(ERROR, "duplicate_anchors", "repeated"),
+            _none_of(ERROR, "anchors_outside_stay", "outside"),
+            _none_of(ERROR, "anchors_after_outcome", "late"),
         ],
     )
 
@@ -256,8 +253,8 @@ def check_leakage(features: DataFrame, windows_h: Sequence[int], layer: str = "g
         "leakage",
         layer,
         [
-            (ERROR, "features_after_anchor", *_none_of("leaks")),
-            (ERROR, "non_positive_windows", F.lit(bad), F.lit(bad == 0)),
+            _none_of(ERROR, "features_after_anchor", "leaks"),
+            (ERROR, "non_positive_windows", f"{bad}", f"{bad} = 0"),
         ],
     )
 
@@ -268,8 +265,8 @@ def check_features(features: DataFrame, tslm: Mapping[str, int], layer: str = "g
         *[F.count_if(F.col(c) < 0).alias(f"neg_{c}") for c in tslm],
         *[F.count_if(F.col(c) > h).alias(f"far_{c}") for c, h in tslm.items()],
     )
-    lines = [(ERROR, f"{c}_negative", *_none_of(f"neg_{c}")) for c in tslm]
-    lines += [(WARN, f"{c}_beyond_window", *_none_of(f"far_{c}")) for c in tslm]
+    lines = [_none_of(ERROR, f"{c}_negative", f"neg_{c}") for c in tslm]
+    lines += [_none_of(WARN, f"{c}_beyond_window", f"far_{c}") for c in tslm]
     return _report(out, "features", layer, lines)
 
 
@@ -283,16 +280,17 @@ def check_labels(
         F.count_if(positive & F.col("deterioration_time").isNull()).alias("without"),
         F.avg(F.col("label").cast("double")).alias("prevalence"),
     )
-    close = _always() if expected is None else F.abs(F.col("prevalence") - expected) <= tolerance
+    deviation = f"abs(prevalence - {float(expected or 0.0)}D)"
+    close = "true" if expected is None else f"{deviation} <= {float(tolerance)}D"
     return _report(
         out,
         "labels",
         layer,
         [
-            (ERROR, "outcome_not_after_anchor", *_none_of("past")),
-            (ERROR, "positive_without_outcome", *_none_of("without")),
-            (INFO, "prevalence", F.col("prevalence"), _always()),
-            (WARN, "prevalence_deviation", F.abs(F.col("prevalence") - (expected or 0.0)), close),
+            _none_of(ERROR, "outcome_not_after_anchor", "past"),
+            _none_of(ERROR, "positive_without_outcome", "without"),
+            _info("prevalence", "prevalence"),
+            (WARN, "prevalence_deviation", deviation, close),
         ],
     )
 
@@ -301,7 +299,7 @@ def check_split_overlap(df: DataFrame, entity: str = "patient_id", layer: str =
     """Entities that occur in more than one split."""
     spread = df.groupBy(entity).agg(F.min("split").alias("lo"), F.max("split").alias("hi"))
     out = spread.agg(F.count_if(F.col("lo") != F.col("hi")).alias("overlap"))
-    return _report(out, "split_overlap", layer, [(ERROR, "entities_in_several_splits", *_none_of("overlap"))])
+    return _report(out, "split_overlap", layer, [_none_of(ERROR, "entities_in_several_splits", "overlap")])
 
 
 def shared_entities(df: DataFrame, first: str = "train", second: str = "test", entity: str = "patient_id") -> DataFrame:
@@ -317,21 +315,21 @@ def check_scores(df: DataFrame, score: str = "risk_score", layer: str = "scores"
     out = df.agg(
         F.count_if((s < 0) | (s > 1) | F.isnan(s)).alias("outside"),
         F.count(s).alias("n"),
-        F.min(s).alias("min"),
-        F.max(s).alias("max"),
+        F.min(s).alias("lowest"),
+        F.max(s).alias("highest"),
         F.avg(s).alias("mean"),
     )
-    collapsed = (F.col("n") > 1) & (F.col("min") == F.col("max"))
+    collapsed = "(n > 1 AND lowest = highest)"
     return _report(
         out,
         "scores",
         layer,
         [
-            (ERROR, "score_outside_0_1", *_none_of("outside")),
-            (WARN, "collapsed_model", collapsed.cast("int"), ~collapsed),
-            (INFO, "score_min", F.col("min"), _always()),
-            (INFO, "score_max", F.col("max"), _always()),
-            (INFO, "score_mean", F.col("mean"), _always()),
+            _none_of(ERROR, "score_outside_0_1", "outside"),
+            (WARN, "collapsed_model", f"CAST({collapsed} AS int)", f"NOT {collapsed}"),
+            _info("score_min", "lowest"),
+            _info("score_max", "highest"),
+            _info("score_mean", "mean"),
         ],
     )
 

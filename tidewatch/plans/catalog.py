@@ -45,9 +45,13 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataF
 
 
 def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round doubles, as sums are added up in no fixed order."""
+    """Round doubles, as sums are added up in no fixed order.
+
+    Hours since a measurement are whole microseconds, of which many lie exactly between two values
+    of six digits, so they get fewer.
+    """
     doubles = [f.name for f in df.schema if isinstance(f.dataType, T.DoubleType)]
-    return df.withColumns({c: F.round(c, digits) for c in doubles})
+    return df.withColumns({c: F.round(c, 2 if "_tslm_" in c else digits) for c in doubles})
 
 
 def _stats(signals, stats) -> list[SignalStats]:
@@ -66,12 +70,17 @@ def _families(spark: SparkSession, d: str, stats=None) -> list[windows.EventFami
 # --- tables built by several steps ------------------------------------------
 
 
+def stays_table(spark: SparkSession, d: str) -> DataFrame:
+    """The stays as a table of their own, which a source system would hand over as such."""
+    return _once(spark, d, "stays", lambda: fx.stays(spark, d))
+
+
 def gold(spark: SparkSession, d: str) -> DataFrame:
-    return windows.gold_features(fx.stays(spark, d), _families(spark, d))
+    return windows.gold_features(stays_table(spark, d), _families(spark, d))
 
 
 def labels(spark: SparkSession, d: str) -> DataFrame:
-    return label_ops.label_horizon(anchor_ops.anchor_grid(fx.stays(spark, d)), fx.outcomes(spark, d))
+    return label_ops.label_horizon(anchor_ops.anchor_grid(stays_table(spark, d)), fx.outcomes(spark, d))
 
 
 def _training_set(spark: SparkSession, d: str) -> DataFrame:
@@ -97,7 +106,7 @@ def training_table(spark: SparkSession, d: str) -> DataFrame:
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
     hr = [windows.vitals_family(fx.vitals(spark, d), [SignalStats("hr", ("mean",))])]
-    features = windows.gold_features(fx.stays(spark, d), hr, TimeGrid(windows_h=(24,)))
+    features = windows.gold_features(stays_table(spark, d), hr, TimeGrid(windows_h=(24,)))
     m = F.coalesce(F.col("hr_mean_24h"), F.lit(0.0))
     with_score = features.withColumn("risk_score", F.round(m / (m + 50.0), 6))
     joined = with_score.join(labels(spark, d).select(*ANCHOR_KEYS, "label"), list(ANCHOR_KEYS))
@@ -219,7 +228,7 @@ def q_valid_intervals(spark, d):
 
 def q_valid_outcomes(spark, d):
     late = fx.outcomes(spark, d).withColumn("deterioration_time", F.timestamp_add("HOUR", F.lit(24), F.col("deterioration_time")))
-    return clean.valid_outcomes(late, fx.stays(spark, d))
+    return clean.valid_outcomes(late, stays_table(spark, d))
 
 
 def q_orphan_events(spark, d):
@@ -230,34 +239,34 @@ def q_orphan_events(spark, d):
 
 
 def q_anchor_grid(spark, d):
-    return anchor_ops.anchor_grid(fx.stays(spark, d), WARM_GRID, metadata=True)
+    return anchor_ops.anchor_grid(stays_table(spark, d), WARM_GRID, metadata=True)
 
 
 def q_anchor_grid_censored(spark, d):
-    return anchor_ops.anchor_grid_censored(fx.stays(spark, d), fx.outcomes(spark, d))
+    return anchor_ops.anchor_grid_censored(stays_table(spark, d), fx.outcomes(spark, d))
 
 
 def q_window_features(spark, d):
-    return _rounded(windows.window_features(fx.stays(spark, d), _families(spark, d)))
+    return _rounded(windows.window_features(stays_table(spark, d), _families(spark, d)))
 
 
 def q_window_stats_full(spark, d):
-    out = windows.window_features(fx.stays(spark, d), _families(spark, d, ("min", "max", "std", "last", "count")))
+    out = windows.window_features(stays_table(spark, d), _families(spark, d, ("min", "max", "std", "last", "count")))
     return _rounded(out, 4)
 
 
 def q_window_trend(spark, d):
-    out = windows.window_features(fx.stays(spark, d), _families(spark, d, ("delta", "slope", "slope_fit", "range")))
+    out = windows.window_features(stays_table(spark, d), _families(spark, d, ("delta", "slope", "slope_fit", "range")))
     return _rounded(out, 2)
 
 
 def q_window_missing(spark, d):
-    return _rounded(windows.window_features(fx.stays(spark, d), _families(spark, d, ("missing_rate", "tslm"))))
+    return _rounded(windows.window_features(stays_table(spark, d), _families(spark, d, ("missing_rate", "tslm"))))
 
 
 def q_asof_last(spark, d):
     family = windows.vitals_family(fx.vitals(spark, d), _stats(FULL_SIGNALS["vitals"], ("last",)))
-    return _rounded(windows.asof_last(fx.stays(spark, d), family, 12))
+    return _rounded(windows.asof_last(stays_table(spark, d), family, 12))
 
 
 def q_range_join_bucketed(spark, d):
@@ -267,7 +276,7 @@ def q_range_join_bucketed(spark, d):
 
 def q_merge_features_outer(spark, d):
     grid = TimeGrid(windows_h=(24,))
-    parts = [windows.window_features(fx.stays(spark, d), [f], grid) for f in _families(spark, d)]
+    parts = [windows.window_features(stays_table(spark, d), [f], grid) for f in _families(spark, d)]
     return _rounded(windows.merge_on_anchors(parts))
 
 
@@ -277,7 +286,7 @@ def q_gold_features(spark, d):
 
 def q_derived_features(spark, d):
     family = windows.vitals_family(fx.vitals(spark, d), _stats(FULL_SIGNALS["vitals"], ("last",)))
-    features = windows.window_features(fx.stays(spark, d), [family])
+    features = windows.window_features(stays_table(spark, d), [family])
     return _rounded(windows.with_derived_features(features, (6, 12, 24), ("hr", "sbp", "spo2")))
 
 
@@ -435,7 +444,7 @@ def q_dq_dedupe_removed(spark, d):
 def q_dq_temporal(spark, d):
     shifted = fx.vitals(spark, d).withColumn("event_time", F.timestamp_add("HOUR", F.lit(12), F.col("event_time")))
     run_time = F.lit("2024-01-25 00:00:00").cast("timestamp_ntz")
-    return quality.check_temporal(shifted, fx.stays(spark, d), run_time)
+    return quality.check_temporal(shifted, stays_table(spark, d), run_time)
 
 
 def q_dq_ranges(spark, d):
@@ -472,20 +481,20 @@ def q_dq_drift(spark, d):
 
 
 def q_dq_anchors(spark, d):
-    return quality.check_anchors(anchor_ops.anchor_grid(fx.stays(spark, d)), fx.stays(spark, d), fx.outcomes(spark, d))
+    return quality.check_anchors(anchor_ops.anchor_grid(stays_table(spark, d)), stays_table(spark, d), fx.outcomes(spark, d))
 
 
 def q_dq_anchor_distribution(spark, d):
-    return quality.anchor_distribution(anchor_ops.anchor_grid_censored(fx.stays(spark, d), fx.outcomes(spark, d)))
+    return quality.anchor_distribution(anchor_ops.anchor_grid_censored(stays_table(spark, d), fx.outcomes(spark, d)))
 
 
 def q_dq_leakage(spark, d):
-    features = windows.window_features(fx.stays(spark, d), _families(spark, d), audit=True)
+    features = windows.window_features(stays_table(spark, d), _families(spark, d), audit=True)
     return quality.check_leakage(features, (6, 12, 24))
 
 
 def q_dq_features(spark, d):
-    features = windows.window_features(fx.stays(spark, d), _families(spark, d, ("tslm",)))
+    features = windows.window_features(stays_table(spark, d), _families(spark, d, ("tslm",)))
     columns = {f"{s}_tslm_{w}h": w for w in (6, 12, 24) for s in ("hr", "sbp", "spo2", "lactate", "creatinine")}
     return quality.check_features(features, columns)
 

@@ -6,7 +6,7 @@ are observed during the write. Tables live below one root, which on a cluster is
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -192,8 +192,8 @@ def check_quality(store: Store, run_id: str, run_time: Column, settings: Setting
     for name in EVENTS:
         bronze, silver = store.read(f"bronze/{name}"), store.read(f"silver/{name}")
         checks += [
-            quality.check_schema(bronze, event_keys),
-            quality.check_timestamp_parse(bronze, "event_time"),
+            quality.check_schema(bronze, event_keys, f"bronze/{name}"),
+            quality.check_timestamp_parse(bronze, "event_time", f"bronze/{name}"),
             quality.check_duplicates(bronze, event_keys, f"bronze/{name}"),
             quality.check_ranges(bronze, layer=f"bronze/{name}"),
             quality.check_temporal(silver, stays, run_time, f"silver/{name}"),
@@ -210,13 +210,36 @@ def check_quality(store: Store, run_id: str, run_time: Column, settings: Setting
     return quality.run_checks(checks, store.path("marts/data_quality"), run_id)
 
 
+def record_run(store: Store, run_id: str) -> None:
+    """Append the monitoring metrics of a run ``(run_id, metric, value)``.
+
+    Row counts were observed while the tables were written; the metrics of the checks and of the
+    models are already tables of a few rows.
+    """
+    counted = store.spark.createDataFrame(
+        [(run_id, f"rows:{table}", float(n)) for table, n in store.rows().items()],
+        "run_id string, metric string, value double",
+    )
+    here = F.col("run_id") == run_id
+    checks = store.read("marts/data_quality").where(here)
+    checked = checks.select("run_id", F.concat_ws(":", "layer", "check", "metric").alias("metric"), "value")
+    models = store.read("marts/model_metrics").where(here)
+    trained = models.select("run_id", F.concat_ws(":", "model", "split", "metric").alias("metric"), "value")
+    history = counted.unionByName(checked).unionByName(trained)
+    write_table(history.coalesce(1), store.path("marts/run_metrics"), mode="append")
+
+
+def drift(store: Store, limit: float = 0.10) -> DataFrame:
+    """Metrics that moved by more than ``limit`` against the run before."""
+    return quality.check_drift(store.read("marts/run_metrics"), limit).where(~F.col("passed"))
+
+
 def run_all(
     store: Store,
     run_id: str,
     source: str,
     run_time: Column,
     settings: Settings = Settings(),
-    skip: Sequence[str] = (),
 ) -> dict[str, int]:
     """All jobs in order. Returns the rows written per table."""
     to_bronze(store, source, run_time)
@@ -227,6 +250,6 @@ def run_all(
     chosen, name = evaluate_best(store, settings)
     score(store, chosen, name, run_time, settings)
     export_dashboard(store, settings)
-    if "quality" not in skip:
-        check_quality(store, run_id, run_time, settings)
+    check_quality(store, run_id, run_time, settings)
+    record_run(store, run_id)
     return store.rows()

@@ -105,6 +105,7 @@ def _stat_sql(signal: str, stat: str, w: int, digits: int) -> str:
         "missing_rate": f"CASE WHEN count(*) {rows} > 0 THEN 1.0::DOUBLE - count({v}) {rows} / CAST(count(*) {rows} AS DOUBLE) END",
         "tslm": f"date_diff('microsecond', {end}, a.anchor_time) / 3600000000.0::DOUBLE",
     }[stat]
+    digits = 2 if stat == "tslm" else digits
     return f"{sql if stat == 'count' else f'round({sql}, {digits})'} AS {signal}_{stat}_{w}h"
 
 

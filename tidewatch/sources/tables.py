@@ -35,6 +35,7 @@ def write_table(
     files_per_partition: int = 1,
     cluster_on: Sequence[Column] = (),
     max_records_per_file: int | None = None,
+    files: int | None = None,
     dynamic: bool = False,
 ) -> None:
     """Write a table.
@@ -43,8 +44,14 @@ def write_table(
     clustered first, so that a task does not keep one open file per partition value.
     ``cluster_on`` spreads one partition value over ``files_per_partition`` tasks by the hash of
     those columns: a day that holds a third of all rows is then not written by one task.
-    ``dynamic`` overwrites only the partitions present in ``df``.
+    ``files`` asks for a fixed number of files at the price of a shuffle of the whole table;
+    ``max_records_per_file`` bounds their size without one. ``dynamic`` overwrites only the
+    partitions present in ``df``.
     """
+    if files is not None:
+        if partition_by:
+            raise ValueError("files applies to tables without partitions")
+        df = df.repartition(files)
     if partition_by:
         if files_per_partition > 1:
             if not cluster_on:
