@@ -375,7 +375,7 @@ SELECT o_orderkey, admit_time, CASE WHEN admit_time <= t THEN 'train' WHEN admit
     out["metrics_long"] = _ON_SCORED + ", " + _METRICS + " SELECT run_id, model, split, metric, round(value, 6) AS value FROM metrics"
     out["select_model"] = _ON_SCORED + ", " + _METRICS + (
         " SELECT run_id, arg_max(model, value) AS model, round(max(value), 6) AS value FROM metrics "
-        "WHERE metric = 'auprc' AND split = 'val' GROUP BY run_id"
+        "WHERE metric = 'auprc' AND split = 'val' AND value IS NOT NULL GROUP BY run_id"
     )
     out["risk_band"] = _ON_SCORED + f"SELECT *, {_BAND} AS risk_band FROM scored"
     out["score_output"] = _ON_SCORED + (
