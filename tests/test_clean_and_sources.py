@@ -8,6 +8,7 @@ from pyspark.sql import functions as F, types as T
 from tidewatch.functions import hash_bucket, murmur3_bucket
 from tidewatch.operators import clean, dataset, ingest, joins
 from tidewatch.sources import assert_schema, enforce_schema, export_csv, latest_run, numeric_columns, read_table, row_audit, stage, write_table
+from tidewatch.sources.tables import shared_folder
 
 D = dt.datetime(2024, 1, 1)
 
@@ -143,3 +144,34 @@ def test_temporal_split_keeps_equal_times_together(spark):
     per_day = split.groupBy("admit_time").agg(F.count_distinct("split").alias("n"), F.first("split").alias("s")).orderBy("admit_time").collect()
     assert all(r["n"] == 1 for r in per_day)
     assert [r["s"] for r in per_day] == ["train"] * 7 + ["val"] * 2 + ["test"]
+
+
+class _Unset:
+    """A session without a shared folder."""
+
+    def __init__(self, master, app):
+        self.conf, self.sparkContext = self, self
+        self.master, self.applicationId = master, app
+
+    def get(self, key, default):
+        return default
+
+
+def test_shared_folder_without_the_setting():
+    first = shared_folder(_Unset("local[2]", "a"))
+    assert shared_folder(_Unset("local[2]", "a")) == first != shared_folder(_Unset("local[2]", "b"))
+    with pytest.raises(ValueError, match="shared folder"):
+        shared_folder(_Unset("spark://host:7077", "c"))
+
+
+def test_split_stats(spark):
+    rows = [("p", "train", 1), ("p", "train", 0), ("q", "test", 0), ("r", None, 0)]
+    df = spark.createDataFrame(rows, "patient_id string, split string, label int")
+    got = {r["split"]: (r["n_rows"], r["n_pos"], r["n_entities"]) for r in dataset.split_stats(df).collect()}
+    assert got == {"train": (2, 1, 1), "test": (1, 0, 1), None: (1, 0, 1), "all": (4, 1, 3)}
+
+
+def test_fixed_number_of_files(spark, tmp_path):
+    write_table(spark.range(100), str(tmp_path / "t"), files=3)
+    assert len(read_table(spark, str(tmp_path / "t")).inputFiles()) == 3
+    assert spark.range(100).exceptAll(read_table(spark, str(tmp_path / "t"))).count() == 0

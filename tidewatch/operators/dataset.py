@@ -117,13 +117,16 @@ def score_dataset(training: DataFrame, label: str = "label") -> DataFrame:
 
 
 def split_stats(df: DataFrame, label: str = "label", entity: str = "patient_id") -> DataFrame:
-    """Rows, positives, prevalence and entities per split, and of the whole table as split ``all``."""
-    per_split = df.select("split", entity, label).groupBy("split")
-    aggs = [
+    """Rows, positives, prevalence and entities per split, and of the whole table as split ``all``.
+
+    A rollup: the table is read once for both levels.
+    """
+    out = df.rollup("split").agg(
+        F.grouping("split").alias("__whole"),
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col(label) == 1).alias("n_pos"),
         F.avg(F.col(label).cast("double")).alias("prevalence"),
         F.count_distinct(entity).alias("n_entities"),
-    ]
-    whole = df.agg(*aggs).select(F.lit("all").alias("split"), "n_rows", "n_pos", "prevalence", "n_entities")
-    return per_split.agg(*aggs).unionByName(whole)
+    )
+    named = F.when(F.col("__whole") == 1, F.lit("all")).otherwise(F.col("split"))
+    return out.withColumn("split", named).drop("__whole")

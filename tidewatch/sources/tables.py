@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from pyspark.sql.types import StructType
 
 _SHARED_DIR = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}
 
 
 def read_table(
@@ -101,11 +102,13 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(_SHARED_DIR, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError(f"{_SHARED_DIR} must name a shared folder on a cluster")
-    folder = tempfile.mkdtemp(prefix="tidewatch-")
-    spark.conf.set(_SHARED_DIR, folder)
-    return folder
+    # The setting cannot be changed on a running session, so the choice is kept here.
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tidewatch-")
+    return _local_folders[context.applicationId]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
