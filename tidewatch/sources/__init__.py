@@ -5,6 +5,7 @@ from tidewatch.sources.tables import (
     read_table,
     row_audit,
     stage,
+    unstage,
     write_table,
 )
 
@@ -18,5 +19,6 @@ __all__ = [
     "read_table",
     "row_audit",
     "stage",
+    "unstage",
     "write_table",
 ]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -10,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from pyspark.sql.types import StructType
 
 _SHARED_DIR = "spark.checkpoint.dir"
-_local_folders: dict[str, str] = {}
+LOCAL_FOLDER = "/tmp/checkpoints"
 
 
 def read_table(
@@ -97,18 +96,15 @@ def row_audit(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, O
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the session.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    A local session without the setting, where driver and executors are one process, uses
+    a folder of its own below ``LOCAL_FOLDER``. A cluster must name its folder.
     """
     folder = spark.conf.get(_SHARED_DIR, None)
     if folder:
         return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise ValueError(f"{_SHARED_DIR} must name a shared folder on a cluster")
-    # The setting cannot be changed on a running session, so the choice is kept here.
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tidewatch-")
-    return _local_folders[context.applicationId]
+    return f"{LOCAL_FOLDER}/{spark.sparkContext.applicationId}"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -124,3 +120,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def unstage(*frames: DataFrame) -> None:
+    """Delete the files of staged tables that nothing reads any more."""
+    for df in frames:
+        spark = df.sparkSession
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            if "/tidewatch/" not in folder:
+                raise ValueError(f"not a staged table: {folder}")
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
