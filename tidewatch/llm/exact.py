@@ -65,7 +65,8 @@ def exact_dedup(
         counts = stage(counts, "radix-groups")
         ended = F.col("size") <= start + width
         unsplit = F.col("n").isNotNull() & ~ended
-        found = dealt.join(counts, ["grp", "size", "digit"], "left").select(
+        # Merged at every size: what a broadcast saves on a small table says nothing of a large one.
+        found = dealt.join(counts.hint("merge"), ["grp", "size", "digit"], "left").select(
             "row", "id", "size", "sub", "n", "top", *[F.when(unsplit, F.col(c)).alias(c) for c in keep]
         )
         found = stage(found, "radix-rows")
