@@ -12,8 +12,9 @@ Steps, all on shared tables:
    is the hub; every other member is compared with it: a number of pairs linear in the bucket.
 3. A pair whose most likely similarity, given both sketches and set sizes, is too low is set
    aside; the rest are compared by their full sets.
-4. Buckets whose members are still in different components are compared member by member, in
-   blocks, leaving out pairs that are connected already. So no link between components is lost.
+4. Members that met the same hub but still lie in different components are compared with each
+   other, in blocks: sketches first, then full sets of those that have a chance. Pairs that are
+   connected already are left out, and a task gives only links that connect. None is lost.
 5. Components of all links.
 """
 
@@ -23,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, functions as F
 
 from tidewatch.llm.components import components
@@ -166,73 +168,52 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _sets_of(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """Full sets of all classes in ``pairs``, from one document of each."""
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+def _split_groups(members: DataFrame) -> DataFrame:
+    """Members (grp, node, comp) of groups that lie in more than one component, with their number."""
+    split = members.groupBy("grp").agg(F.count(F.lit(1)).alias("members"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    return members.join(split.where("lo != hi").select("grp", "members"), "grp")
+
+
+def _sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """Full sets of classes, from one document of each."""
+    nodes = nodes.distinct()
     wanted = nodes.join(classes.select("node", F.col("some_id").alias("doc_id")), "node")
     texts = docs.select("doc_id", "text").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
     # Rows may repeat an id with other texts; the set itself tells which class a row is of.
     return shingles(texts, k).join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
-def _across(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs within a bucket that lie in different components, by blocks of its members.
+def _by_blocks(members: DataFrame, compare, schema: str) -> DataFrame:
+    """Compare the members of each group two blocks at a time.
 
-    members: key, node, n, regs, comp. A task holds two blocks at a time. A pair is given for the
-    first band only in which it agrees.
+    members: grp, members (their number), node, n, comp and what ``compare`` reads. Every member goes
+    to as many tasks as its group has blocks; a task streams over its block pairs. ``compare`` gets
+    two lists of row positions, in one block or in two, and the rows; it returns arrays of a schema.
     """
-    threshold = percent / 100
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    spread = (
-        members.withColumn("mine", mine)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select(
-            "key", "band", "node", "n", "regs", "comp",
-            F.least("mine", "other").alias("b0"), F.greatest("mine", "other").alias("b1"), (F.col("mine") > F.col("other")).alias("far"),
-        )
-    )
-    order = ["key", "b0", "b1"]
+    spread = members.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    spread = spread.withColumns(
+        {"b0": F.least("mine", "other"), "b1": F.greatest("mine", "other"), "far": F.col("mine") > F.col("other")}
+    ).drop("mine", "other", "members")
+    order = ["grp", "b0", "b1"]
     dealt = spread.repartition(*order).sortWithinPartitions(*order, "far", "node")
 
-    def pairs_of(node, n, regs, comp, far, twice, band) -> np.ndarray:
-        rows, cols = (np.flatnonzero(~far), np.flatnonzero(far)) if twice else (np.arange(len(node)),) * 2
-        if not len(rows) or not len(cols):
-            return np.zeros((0, 2), np.int64)
-        apart = comp[rows][:, None] != comp[cols][None, :]
-        ratio = np.minimum(n[rows][:, None], n[cols][None, :]) >= threshold * np.maximum(n[rows][:, None], n[cols][None, :])
-        i, j = np.nonzero(apart & ratio)
-        i, j = rows[i], cols[j]
-        if not twice:
-            i, j = i[i < j], j[i < j]
-        out = []
-        for at in range(0, len(i), 4096):
-            a, b = i[at : at + 4096], j[at : at + 4096]
-            equal = (regs[a].reshape(-1, BANDS, BAND) == regs[b].reshape(-1, BANDS, BAND)).all(-1)
-            ok = equal.argmax(1) == band
-            a, b = a[ok], b[ok]
-            ok = likely_similarity(regs[a], regs[b], n[a].astype(float), n[b].astype(float)) >= threshold - MARGIN
-            out.append(np.stack([node[a[ok]], node[b[ok]]], 1))
-        return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
-        def take(rows: pa.RecordBatch) -> np.ndarray:
-            col = {c: rows.column(c).to_numpy(zero_copy_only=False) for c in ("key", "band", "b0", "b1", "node", "n", "comp", "far")}
-            regs = _unpack(rows.column("regs"))
-            cut = np.flatnonzero((np.diff(col["key"]) != 0) | (np.diff(col["b0"]) != 0) | (np.diff(col["b1"]) != 0)) + 1
-            found = []
-            for a, b in zip([0, *cut], [*cut, len(regs)]):
+        def take(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            key = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in order])
+            far = rows.column("far").to_numpy(zero_copy_only=False)
+            cut = np.flatnonzero((np.diff(key) != 0).any(0)) + 1
+            for a, b in zip([0, *cut], [*cut, rows.num_rows]):
                 if b - a > 1:
-                    s = slice(a, b)
-                    found.append(pairs_of(col["node"][s], col["n"][s], regs[s], col["comp"][s], col["far"][s], col["b0"][a] != col["b1"][a], col["band"][a]))
-            return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-
-        def emit(pairs: np.ndarray) -> pa.RecordBatch:
-            return pa.record_batch([pa.array(pairs.min(1)), pa.array(pairs.max(1))], names=["u", "v"])
+                    here = far[a:b]
+                    both = (np.arange(b - a),) * 2 if key[1, a] == key[2, a] else (np.flatnonzero(~here), np.flatnonzero(here))
+                    if len(both[0]) and len(both[1]) and (found := compare(rows.slice(a, b - a), *both)) is not None:
+                        yield found
 
-        def join(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        def joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
             return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 
         for batch in batches:
@@ -242,19 +223,85 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
             last = tuple(batch.column(c)[batch.num_rows - 1].as_py() for c in order)
             if all(held[0].column(c)[0].as_py() == x for c, x in zip(order, last)):
                 continue
-            rows = join(held)
+            rows = joined(held)
             same = np.logical_and.reduce([rows.column(c).to_numpy() == x for c, x in zip(order, last)])
-            whole = int(np.argmax(same))  # the last group may go on in the next batch
-            pairs = take(rows.slice(0, whole))
+            whole = int(np.argmax(same))  # the last pair of blocks may go on in the next batch
             held = [rows.slice(whole)]
-            if len(pairs):
-                yield emit(pairs)
+            yield from take(rows.slice(0, whole))
         if held:
-            pairs = take(join(held))
-            if len(pairs):
-                yield emit(pairs)
+            yield from take(joined(held))
 
-    return dealt.mapInArrow(run, "u long, v long").distinct()
+    return dealt.mapInArrow(run, schema)
+
+
+def _apart(rows: pa.RecordBatch, left: np.ndarray, right: np.ndarray, least: float) -> np.ndarray:
+    """Which pairs (left x right) lie in different components and could be similar by their sizes."""
+    comp, n = rows.column("comp").to_numpy(), rows.column("n").to_numpy()
+    small, large = np.minimum.outer(n[left], n[right]), np.maximum.outer(n[left], n[right])
+    return (comp[left][:, None] != comp[right][None, :]) & (small >= least * large)
+
+
+def _with_chances(members: DataFrame, percent: int) -> DataFrame:
+    """(grp, node) of members whose sketches leave a chance with a member of another component."""
+    least = percent / 100
+
+    def compare(rows: pa.RecordBatch, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch | None:
+        i, j = np.nonzero(_apart(rows, left, right, least))
+        regs, n = _unpack(rows.column("regs")), rows.column("n").to_numpy().astype(float)
+        chance = np.zeros(rows.num_rows, bool)
+        for at in range(0, len(i), 4096):
+            a, b = left[i[at : at + 4096]], right[j[at : at + 4096]]
+            ok = likely_similarity(regs[a], regs[b], n[a], n[b]) >= least - MARGIN
+            chance[a[ok]] = chance[b[ok]] = True
+        return rows.select(["grp", "node"]).filter(pa.array(chance)) if chance.any() else None
+
+    return _by_blocks(members, compare, "grp long, node long").distinct()
+
+
+def _links_across(members: DataFrame, percent: int) -> DataFrame:
+    """Links between components, by full sets; within a task only those that still connect two."""
+
+    def compare(rows: pa.RecordBatch, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch | None:
+        apart = _apart(rows, left, right, percent / 100)
+        if not apart.any():
+            return None
+        lists = rows.column("elements")
+        ends = np.r_[0, np.cumsum(pa.compute.list_value_length(lists).to_numpy())]
+        _, element, times = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        # Elements of one member have no part in any intersection.
+        shared = times > 1
+        column = np.cumsum(shared) - 1
+        member = np.repeat(np.arange(rows.num_rows), np.diff(ends))
+        use = shared[element]
+        common = np.zeros((len(left), len(right)), np.float32)
+        member, element = member[use], column[element[use]]
+        order = np.argsort(element, kind="stable")
+        member, element = member[order], element[order]
+        for lo in range(0, int(shared.sum()), 8192):
+            a, b = np.searchsorted(element, [lo, lo + 8192])
+            has = np.zeros((rows.num_rows, 8192), np.float32)
+            has[member[a:b], element[a:b] - lo] = 1
+            common += has[left] @ has[right].T
+        n, comp, node = (rows.column(c).to_numpy() for c in ("n", "comp", "node"))
+        linked = apart & (100 * common >= percent * (np.add.outer(n[left], n[right]) - common))
+        root: dict[int, int] = {}
+
+        def find(c: int) -> int:
+            while root.get(c, c) != c:
+                c = root[c]
+            return c
+
+        us, vs = [], []
+        for i, j in zip(*np.nonzero(linked)):
+            a, b = left[i], right[j]
+            x, y = find(comp[a]), find(comp[b])
+            if x != y:
+                root[x] = y
+                us.append(min(node[a], node[b]))
+                vs.append(max(node[a], node[b]))
+        return pa.record_batch([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"]) if us else None
+
+    return _by_blocks(members, compare, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -275,31 +322,33 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80, id_col: str
     )
     # A band's key names its place too; equal keys of different bands would be compared in vain.
     keys = F.expr(f"transform(sequence(0, {BANDS - 1}), i -> xxhash64(i, substring(regs, {2 * BAND} * i + 1, {2 * BAND})))")
-    banded = classes.select("node", F.posexplode(keys).alias("band", "key"))
+    banded = classes.select("node", F.explode(keys).alias("key"))
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     buckets = stage(banded.join(shared, "key"), "near-buckets")
     weight = buckets.groupBy("node").agg(F.sum("members").alias("weight"))
     hubs = buckets.join(weight, "node").groupBy("key").agg(F.max(F.struct("weight", "node"))["node"].alias("hub"))
     star = buckets.join(hubs, "key")
-    pairs = star.where("node != hub").select(F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v")).distinct()
+    met_rows = stage(star.where("node != hub").select(F.col("hub").alias("grp"), "node").distinct(), "near-met")
+    pairs = met_rows.select(F.least("node", "grp").alias("u"), F.greatest("node", "grp").alias("v")).distinct()
     tried = stage(_promising(pairs, classes, percent / 100), "near-pairs")
-    sets = stage(_sets_of(tried, classes, docs, k), "near-sets")
+    sets = stage(_sets_of(tried.select(F.explode(F.array("u", "v")).alias("node")), classes, docs, k), "near-sets")
     links = stage(_verified(tried, sets, percent), "near-links")
     first = components(links, "near-components")
 
-    # A hub has met all others of its bucket; the rest have met if they are connected.
-    placed = star.where("node != hub").join(first, "node", "left").select("key", "band", "node", F.coalesce("root", "node").alias("comp"))
-    split = placed.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
-    apart = placed.join(split.select("key", "members"), "key").join(classes.select("node", "n", "regs"), "node")
-    more = stage(_across(apart, percent), "near-pairs")
-    more_sets = stage(_sets_of(more, classes, docs, k), "near-sets")
-    more_links = stage(_verified(more, more_sets, percent), "near-links")
+    # A hub has met all that share a bucket with it; the rest have met if they are connected.
+    # All members that one hub has met make one group: each pair of a bucket is in its hub's group.
+    met = met_rows.join(first, "node", "left").select("grp", "node", F.coalesce("root", "node").alias("comp"))
+    members = _split_groups(met).join(classes.select("node", "n", "regs"), "node")
+    chances = stage(_with_chances(members, percent), "near-chances")
+    more_sets = stage(_sets_of(chances.select("node"), classes, docs, k), "near-sets")
+    left = _split_groups(met.join(chances, ["grp", "node"], "left_semi"))
+    more_links = stage(_links_across(left.join(more_sets.withColumn("n", F.size("elements").cast("long")), "node"), percent), "near-links")
     if more_links.isEmpty():
         roots = first
     else:
         star_links = first.where("node != root").select(F.col("node").alias("u"), F.col("root").alias("v"))
         roots = components(star_links.unionByName(more_links), "near-components")
-    unstage(buckets, tried, sets, links, more, more_sets, more_links)
+    unstage(buckets, met_rows, tried, sets, links, chances, more_sets, more_links)
 
     least = (
         classes.select("node", "some_id").join(roots, "node", "left")
