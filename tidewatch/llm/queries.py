@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import chat, exact, mixing, neardup
+from tidewatch.llm import chat, exact, mixing, neardup, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def q_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
+def q_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def q_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     # Only the length of a text is needed, so the text itself is not shuffled.
@@ -109,6 +113,7 @@ FROM marked GROUP BY conv_id
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_near_duplicates": q_near_duplicates,
+        "op7_substring_dedup": q_substring_dedup,
         "op8_exact_dedup": q_exact_dedup,
         "op9_mix_sources": q_mix_sources,
         "op10_chat_format": q_chat_format,
