@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import chat, exact, mixing, neardup, substring
+from tidewatch.llm import chat, exact, langid, mixing, neardup, quality, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,26 @@ def q_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "keep_id", "group_size", "kept", "row.text_sha256")
 
 
+def fold(modulus: int, column: str = "doc_id") -> Column:
+    return F.crc32(F.col(column).cast("string")) % modulus
+
+
+def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), fold(3) != 1)
+    held_out = F.coalesce(fold(3) == 1, F.lit(False))
+    return quality.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def q_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    net = langid.fit(docs, fold(5) != 0)
+    held_out = F.coalesce(fold(5) == 0, F.lit(False))
+    return langid.predict(docs, net).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def q_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
@@ -112,7 +132,9 @@ FROM marked GROUP BY conv_id
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_quality": q_quality,
         "op4_near_duplicates": q_near_duplicates,
+        "op6_language": q_language,
         "op7_substring_dedup": q_substring_dedup,
         "op8_exact_dedup": q_exact_dedup,
         "op9_mix_sources": q_mix_sources,

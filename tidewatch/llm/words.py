@@ -56,6 +56,7 @@ class Words:
 
     first: int
     data: np.ndarray  # bytes
+    offsets: np.ndarray  # first byte of each row, and the number of bytes
     starts: np.ndarray  # first byte of each word
     ends: np.ndarray
     rows: np.ndarray  # index of the first word of each row, and the number of words
@@ -92,7 +93,7 @@ def _words(first: int, data: np.ndarray, offsets: np.ndarray, lower: bool) -> Wo
     # The polynomial of a word is a difference of running sums, moved back to the word's start.
     np.cumsum((seen.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
     hashes = mix((sums[ends] - sums[starts]) * down[starts])
-    return Words(first, data, starts, ends, np.searchsorted(starts, offsets), hashes)
+    return Words(first, data, offsets, starts, ends, np.searchsorted(starts, offsets), hashes)
 
 
 def runs(hashes: np.ndarray, k: int) -> np.ndarray:
