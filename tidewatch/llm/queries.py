@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import chat, exact, langid, mixing, neardup, quality, substring
+from tidewatch.llm import chat, decontam, exact, html, langid, mixing, neardup, pii, quality, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,19 @@ def q_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "keep_id", "group_size", "kept", "row.text_sha256")
 
 
+def q_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find_pii(docs, pii.fit(docs))
+
+
+def q_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+def q_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
 def fold(modulus: int, column: str = "doc_id") -> Column:
     return F.crc32(F.col(column).cast("string")) % modulus
 
@@ -132,8 +145,11 @@ FROM marked GROUP BY conv_id
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_pii": q_pii,
         "op2_quality": q_quality,
+        "op3_main_text": q_main_text,
         "op4_near_duplicates": q_near_duplicates,
+        "op5_benchmark_leaks": q_benchmark_leaks,
         "op6_language": q_language,
         "op7_substring_dedup": q_substring_dedup,
         "op8_exact_dedup": q_exact_dedup,
