@@ -190,3 +190,18 @@ def score(docs: DataFrame, model: Neighbours | None, id_col: str = "doc_id", tex
             yield pa.record_batch([batch.column("doc_id"), pa.array(np.concatenate(parts))], names=["doc_id", "score"])
 
     return texts.mapInArrow(run, f"doc_id {kind}, score double")
+
+
+def select_rows(docs: DataFrame, model: Neighbours | None, at_least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text scores ``at_least``; all without a model."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            parts = [np.zeros(0)]
+            for w in words(batch.column(text_col).cast(pa.string()), lower=True):
+                parts.append(np.ones(len(w)) if model is None else model.scores(term_counts(w)))
+            yield batch.filter(pa.array(np.concatenate(parts) >= at_least))
+
+    return docs.mapInArrow(run, docs.schema)
