@@ -1,20 +1,68 @@
 """From raw documents to a training mix: filter, deduplicate, decontaminate, mix.
 
-Every stage takes ``(spark, docs, sf_dir)`` and works on all rows that the stage before it kept.
+Every stage takes ``(spark, docs, sf_dir)`` and works on all rows that the stage before it kept. All
+but the last return the columns of ``docs``; the last adds each document's place in the mix.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+from tidewatch.llm import decontam, exact, mixing, neardup, quality
+from tidewatch.sources.tables import stage
+
+# The part of the labels, by hash of the id, that the classifier never sees.
+_FOLDS, _HELD_OUT = 3, 1
+# Words of a shingle and percent of similarity of near-duplicates.
+SHINGLE, SIMILAR = 5, 80
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.5 or more; a null or empty text scores the labels' mean."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    learn = F.crc32(F.col("doc_id").cast("string")) % _FOLDS != _HELD_OUT
+    return quality.select_rows(docs, quality.fit(docs, labels, learn), at_least=0.5)
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the row with the largest id."""
+    return exact.exact_dedup(docs).where("kept").select("row.*")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the row with the least id."""
+    found = neardup.near_duplicates(docs, k=SHINGLE, percent=SIMILAR)
+    dropped = found.where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontam.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the slot of the mix that each is read in."""
+    return mixing.mix_sources(docs).select("row.*", "block", "slot", "on_target")
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", quality_filter),
+    ("exact dedup", exact_dedup),
+    ("near dedup", near_dedup),
+    ("decontamination", decontaminate),
+    ("mixing", mix),
+]
+# A trained classifier is no SQL; tests compare run() with a plain version of each stage.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, step in STAGES:
+    for k, (name, step) in enumerate(STAGES, 1):
         docs = step(spark, docs, sf_dir)
+        if k < len(STAGES):
+            docs = stage(docs, name.replace(" ", "-"))
     return docs
