@@ -25,7 +25,6 @@ def rows_of(kind, n=800):
 
 @pytest.mark.parametrize("kind", ["continuous", "rounded", "hot"])
 def test_areas_equal_the_exact_evaluator(spark, kind, monkeypatch):
-    monkeypatch.setattr(ranking, "_ROWS_PER_RANGE", 10)
     df = spark.createDataFrame(rows_of(kind), "id int, prob double, label int")
     got = evaluate.curve_areas(df).first()
     for metric, value in (("areaUnderROC", got["auroc"]), ("areaUnderPR", got["auprc"])):

@@ -39,10 +39,9 @@ def ordered(scores):
 
 @pytest.fixture(params=[False, True], ids=["plain", "narrowed"])
 def narrowing(request, monkeypatch):
-    """Also run with a limit that sends small groups of equal scores through the prefix step."""
+    """Also run with a limit that sends small tables and groups of equal scores through narrowing."""
     if request.param:
         monkeypatch.setattr(R, "_ORDER_AT_ONCE", 5)
-        monkeypatch.setattr(R, "_PREFIX_DIGITS", 1)
 
 
 @pytest.mark.parametrize("kind", ["continuous", "hot", "equal", "two", "nulls"])
@@ -78,8 +77,7 @@ def test_empty_and_all_null_tables(spark):
 
 @pytest.mark.parametrize("kind", ["continuous", "hot", "equal", "nulls"])
 @pytest.mark.parametrize("descending", [False, True])
-def test_distributed_rank(spark, kind, descending, monkeypatch):
-    monkeypatch.setattr(R, "_ROWS_PER_RANGE", 10)
+def test_distributed_rank(spark, kind, descending):
     scores = scores_of(kind, 1003)
     got = {r["id"]: r["rank"] for r in R.distributed_rank(frame(spark, scores), tie_keys=KEYS, descending=descending).collect()}
     order = ordered(scores)
@@ -87,12 +85,44 @@ def test_distributed_rank(spark, kind, descending, monkeypatch):
     assert got == {i: expected.get(i) for i in range(len(scores))}
 
 
-def test_a_common_score_is_cut_into_even_ranges(spark, monkeypatch):
-    monkeypatch.setattr(R, "_ROWS_PER_RANGE", 10)
+def test_a_common_score_is_cut_into_even_ranges(spark):
+    # Ranges of a few kilobytes would be joined again.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     df = frame(spark, scores_of("equal", 2000)).withColumn("t", tie_hash(KEYS))
-    n, quantiles = R.sketch_scores(df, "risk_score")
-    sizes = [r["count"] for r in R.with_range_id(df, "risk_score", "t", n, quantiles).groupBy("__range").count().collect()]
-    assert sum(sizes) == 2000 and max(sizes) < 60
+    sizes = [r["count"] for r in R.staged_ranges(df, ["risk_score", "t"], "ranges").groupBy("__range").count().collect()]
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 2000 and len(sizes) == 4 and max(sizes) < 1000
+
+
+@pytest.mark.parametrize("n", [2_000, 40_000])
+@pytest.mark.parametrize("kind", ["continuous", "hot", "equal"])
+def test_no_part_holds_more_rows_than_the_limit(spark, monkeypatch, n, kind):
+    monkeypatch.setattr(R, "_ORDER_AT_ONCE", 500)
+    seen = []
+    real = R._ordered
+    monkeypatch.setattr(R, "_ordered", lambda scored, rows, parts: seen.extend(scored.where(p.where).count() for p in parts) or real(scored, rows, parts))
+    df = frame(spark, scores_of(kind, n))
+    marked = R.deciles_and_alerts(df, 0.1, 10, tie_keys=KEYS)
+    assert marked.where("alert_flag = 1").count() == n // 10 and seen and max(seen) <= 500
+    assert {r["count"] for r in marked.groupBy("risk_decile").count().collect()} == {n // 10}
+
+
+def test_repeated_keys_are_divided(spark, narrowing):
+    same = spark.createDataFrame([(7, 0.5, i) for i in range(100)], "id bigint, risk_score double, other int")
+    some = spark.createDataFrame([(i % 3, 0.5, i) for i in range(100)], "id bigint, risk_score double, other int")
+    for df in (same, some):
+        assert R.hash_sample(df, 10, 1, KEYS).count() == 10
+        assert R.alert_flags(df, 0.1, tie_keys=KEYS).where("alert_flag = 1").count() == 10
+        tiles = R.risk_decile(df, tie_keys=KEYS).groupBy("risk_decile").count().collect()
+        assert {r["risk_decile"]: r["count"] for r in tiles} == {i: 10 for i in range(1, 11)}
+        top = R.topk_metrics(df.withColumn("label", F.lit(1)), (0.25,), score="risk_score", tie_keys=KEYS).first()
+        assert (top["k"], top["precision_at_k"]) == (25, 1.0)
+
+
+def test_a_table_that_changes_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(R, "_ordered", lambda *a: {})
+    with pytest.raises(RuntimeError, match="positions"):
+        R.alert_flags(frame(spark, scores_of("continuous", 50)), 0.1, tie_keys=KEYS)
 
 
 @pytest.mark.parametrize("kind", ["continuous", "hot", "equal"])
@@ -119,8 +149,10 @@ def test_exact_quantile(spark):
     assert [R.exact_quantile(df, "risk_score", q) for q in (0.0, 0.005, 0.5, 0.901, 1.0)] == [0.0, 0.0, 0.49, 0.9, 0.99]
 
 
-def test_a_missed_bracket_is_searched_in_full(spark, monkeypatch):
-    monkeypatch.setattr(R, "_brackets", lambda *a: [(5.0, 6.0)])
+def test_a_missed_bracket_is_searched_beside_it(spark, monkeypatch):
+    real, calls = R._brackets, []
+    monkeypatch.setattr(R, "_ORDER_AT_ONCE", 5)
+    monkeypatch.setattr(R, "_brackets", lambda *a: calls.append(a) or ([(5.0, 6.0)] if len(calls) == 1 else real(*a)))
     scores = scores_of("hot", 300)
     flagged = {r["id"] for r in R.alert_flags(frame(spark, scores), 0.1, tie_keys=KEYS).where("alert_flag = 1").collect()}
     assert flagged == set(ordered(scores)[-30:])
@@ -156,6 +188,7 @@ def test_hash_sample_is_stable(spark, n):
 
 
 def test_hash_sample_widens_a_missed_interval(spark, monkeypatch):
+    monkeypatch.setattr(R, "_ORDER_AT_ONCE", 5)
     real, calls = R._digest_at, []
 
     def off(fraction):

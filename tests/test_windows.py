@@ -202,3 +202,29 @@ def test_feature_plan_has_no_pairs_and_two_shuffles_of_events(spark):
     assert "Cartesian" not in text and "NestedLoop" not in text and "Python" not in text
     # Sides of the join, panes, panes by stay. The aggregation per anchor adds none.
     assert text.count("Exchange hashpartitioning") <= 4
+
+
+@pytest.mark.parametrize("base", [0.0, 1e6, 1e9])
+def test_deviations_of_values_far_from_zero(spark, base):
+    values = [0.0, 1.0, 2.0, 1.0, 0.0, 2.0, 2.0, 1.0]
+    events = [("P0", "A0", T0 + (i + 0.5) * H, base + v, None) for i, v in enumerate(values)]
+    got = features_of(spark, stays_of(spark, [24]), events, ("std", "slope_fit"))
+    row = got[("P0", T0 + 8 * H)]
+    mean, hours = sum(values) / 8, [i + 0.5 for i in range(8)]
+    std = (sum((v - mean) ** 2 for v in values) / 7) ** 0.5
+    slope = sum((h - 4) * (v - mean) for h, v in zip(hours, values)) / sum((h - 4) ** 2 for h in hours)
+    assert row["hr_std_24h"] == pytest.approx(std, abs=1e-6) and row["hr_slope_fit_24h"] == pytest.approx(slope, abs=1e-6)
+
+
+def test_more_hot_keys_than_any_list_would_hold(spark):
+    big = spark.range(36_000).select((F.col("id") % 12_000).alias("k"), "id")
+    small = spark.range(12_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    assert joins.hot_keys(big, ["k"], 2).count() == 12_000
+    assert joins.spread_join(big, small, ["k"], ["id"], hot_rows=2).where("w = 2 * k").count() == 36_000
+
+
+def test_events_that_no_anchor_sees_are_not_aggregated(spark):
+    events = [("P0", "A0", T0 + d * 24 * H, 70.0, None) for d in range(-30, 30)]
+    df = spark.createDataFrame(events, EVENT)
+    panes = windows.build_panes(stays_of(spark, [24]), [windows.vitals_family(df, [SignalStats("hr", ("mean",))])], GRID)
+    assert panes.count() == 1

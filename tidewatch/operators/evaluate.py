@@ -8,26 +8,23 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from tidewatch.config import ANCHOR_KEYS, KEYS
 from tidewatch.functions import hours_between, null_if_nan
-from tidewatch.operators.ranking import sketch_scores, topk_metrics, with_range_id
+from tidewatch.operators.ranking import staged_ranges, topk_metrics
 
 
 def curve_areas(df: DataFrame, label: str = "label", score: str = "prob", by: Sequence[str] = ()) -> DataFrame:
     """Exact AUROC and AUPRC (trapezoids over all distinct scores), one row per group of ``by``.
 
     Rows collapse to one per distinct score before anything is ordered, so a common score costs
-    nothing. The distinct scores are cut into ranges; running counts within a range plus the
-    counts of the ranges below give the running counts overall.
+    nothing. The distinct scores are staged once, cut into ranges; running counts within a range
+    plus the counts of the ranges below give the running counts overall.
     """
     rows = df.select(*by, null_if_nan(F.col(score).cast("double")).alias("s"), F.col(label).alias("y")).where(
         F.col("s").isNotNull() & F.col("y").isNotNull()
     )
-    n, quantiles = sketch_scores(rows, "s")
-    if n == 0:
-        return rows.groupBy(*by).agg(_no_area("auroc"), _no_area("auprc"), *_counts(F.lit(0), F.lit(0)))
     points = rows.groupBy(*by, "s").agg(
         F.count_if(F.col("y") == 1).cast("double").alias("pos"), F.count_if(F.col("y") != 1).cast("double").alias("neg")
     )
-    ranged = with_range_id(points, "s", None, n, quantiles)
+    ranged = staged_ranges(points, ["s"], "score-points")
 
     group = [F.col(c) for c in by] or [F.lit(0)]
     up_to_here = Window.partitionBy(*by, "__range").orderBy("s").rowsBetween(Window.unboundedPreceding, 0)
@@ -71,10 +68,6 @@ def curve_areas(df: DataFrame, label: str = "label", score: str = "prob", by: Se
     )
 
 
-def _no_area(name: str) -> Column:
-    return F.max(F.lit(None).cast("double")).alias(name)
-
-
 def _counts(pos: Column, neg: Column) -> list[Column]:
     return [pos.cast("bigint").alias("n_pos"), neg.cast("bigint").alias("n_neg")]
 

@@ -11,33 +11,18 @@ from tidewatch.functions.columns import MICROS_PER_HOUR, micros_of
 
 # A key below this many rows is comfortable for one task.
 HOT_ROWS = 5_000_000
-# Size bound of the hot-key table. A key beyond the first 10,000 holds less than 0.01 % of the rows.
-MAX_HOT_KEYS = 10_000
 
 _SALT = "__salt"
 _SALTS = "__salts"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows and the number of parts to cut each into.
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """All keys with more than ``hot_rows`` rows and the number of parts (``__salts``) to cut each into.
 
-    One pass over the key columns, combined before its shuffle. At most ``MAX_HOT_KEYS`` short
-    rows reach the driver; ``None`` says that no key is hot.
+    A lazy aggregation over the key columns, combined before its shuffle.
     """
-    counted = (
-        df.where(_all_set(keys))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > hot_rows)
-        .orderBy(F.col("n").desc(), *keys)
-        .limit(MAX_HOT_KEYS)
-        .withColumn(_SALTS, F.ceil(F.col("n") / F.lit(hot_rows)).cast("int"))
-        .select(*keys, _SALTS)
-    )
-    rows = counted.collect()
-    if not rows:
-        return None
-    return df.sparkSession.createDataFrame([tuple(r) for r in rows], counted.schema)
+    counted = df.where(_all_set(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return counted.where(F.col("n") > hot_rows).select(*keys, F.ceil(F.col("n") / F.lit(hot_rows)).cast("int").alias(_SALTS))
 
 
 def _all_set(keys: Sequence[str]) -> Column:
@@ -53,23 +38,23 @@ def spread_join(
     keys: Sequence[str],
     spread_on: Sequence[str],
     how: str = "inner",
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Equi-join of many rows with few rows per key (``inner`` or ``left``), safe for hot keys.
 
-    Rows of a hot key are spread over parts by the hash of ``spread_on`` and the matching rows
-    of ``small`` are repeated once per part, so every pair still meets exactly once. Without a
-    hot key this is a plain join and Spark chooses the strategy; ``hot_rows=None`` skips the look.
+    Without ``hot_rows`` this is a plain join: Spark chooses the strategy, and its adaptive
+    execution splits a skewed partition (see ``session``). With it, rows of any key above that many
+    are spread over parts by the hash of ``spread_on`` and the matching rows of ``small`` are
+    repeated once per part, so every pair still meets exactly once, at the price of one more pass
+    over the keys. Nothing is collected; the table of hot keys is joined as Spark sees fit.
     """
     if how not in ("inner", "left"):
         raise ValueError("spread_join supports inner and left joins")
     keys = list(keys)
-    hot = hot_keys(big, keys, hot_rows) if hot_rows is not None else None
-    if hot is None:
+    if hot_rows is None:
         return big.join(small, keys, how)
 
-    # The hot-key table has at most MAX_HOT_KEYS rows, hence the broadcast.
-    hot = F.broadcast(hot)
+    hot = hot_keys(big, keys, hot_rows)
     parts = F.coalesce(F.col(_SALTS), F.lit(1))
     left = (
         big.join(hot, keys, "left")
@@ -91,7 +76,7 @@ def range_join_bucketed(
     left_ts: str,
     right_ts: str,
     width_h: float,
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Pairs with ``left_ts - width < right_ts <= left_ts`` under equal keys, for irregular times.
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T, Window
 
 from tidewatch.config import ANCHOR_KEYS, KEYS, SOFT_RANGES
 from tidewatch.functions import null_if_nan
-from tidewatch.operators.joins import HOT_ROWS, spread_join
+from tidewatch.operators.joins import spread_join
 from tidewatch.sources import existing_columns
 from tidewatch.sources.schemas import missing_columns, struct_of
 
@@ -103,7 +103,7 @@ def check_temporal(
     run_time: Column,
     layer: str = "bronze",
     keys: Sequence[str] = KEYS,
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Events outside their stay, without a stay, or in the future of the run.
 

@@ -1,18 +1,22 @@
 """Exact ranks, quantile tiles and alert sets without a global sort.
 
 Most uses of a global rank only ask on which side of a few positions a row lies (deciles, the top
-10 %, a sample of n rows). ``exact_cutoffs`` finds the exact values at those positions by
-narrowing: a quantile sketch brackets each position, and only rows inside the brackets are ordered
-on top of the count of rows below; a position missing from its bracket would be noticed and
-searched in full. The full table is then marked by comparing with literals: no shuffle.
+10 %, a sample of n rows). ``exact_cutoffs`` finds the exact rows at those positions by narrowing:
+a quantile sketch brackets each position, exact counts tell which side of a bracket it lies on, and
+a sketch of what is inside brackets it again, until no bracket holds more than a fixed number of
+rows. Only these are ordered. All positions share each step, and each step cuts the rows by several
+hundred times, so a table a thousand times as large takes one more. The full table is then marked by
+comparing with literals: no shuffle.
 
-Rows of equal score are ordered by the md5 of their keys. Being uniform, it also divides a score
-that a large part of the rows share, so such a score is never ordered by one task.
+Rows of equal score are ordered by the md5 of their keys, which is uniform: a score that a large
+part of the rows share is narrowed by it in the same way. Rows that agree in it too, because their
+keys repeat, are numbered among themselves where a cut-off divides them.
 
 The steps run as small jobs whose results on the driver have a fixed size (a sketch of about a
 thousand numbers, counts, one value per position). The cut-offs enter later plans as literals, so
 every branch and every retry sees the same ones. Each step scans ``df``: hand in a table (or
-``stage`` it first) rather than a long computation.
+``stage`` it first) rather than a long computation. A position that cannot be found, as happens when
+``df`` changes between scans, is an error.
 """
 
 from __future__ import annotations
@@ -21,38 +25,42 @@ import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from tidewatch.config import ANCHOR_KEYS
-from tidewatch.functions import hash_prefix, null_if_nan, tie_hash
+from tidewatch.functions import null_if_nan, tie_hash
+from tidewatch.sources.tables import stage
 
 # Number of quantiles kept by the sketch, and its accuracy (rank error below rows / accuracy).
 _QUANTILES = 1000
 _ACCURACY = 10_000
-# Equal scores beyond this number are narrowed by hash prefix before they are ordered.
+# Rows that one task orders; brackets are narrowed until they hold no more.
 _ORDER_AT_ONCE = 1_000_000
-_PREFIX_DIGITS = 3
-# Rows per range that full ranks aim for.
-_ROWS_PER_RANGE = 100_000
 
 Positions = Callable[[int], Sequence[int]]
+_NTH = "__nth"
 
 
 @dataclass(frozen=True)
 class Cutoff:
-    """The row at an ascending position: its score, and its tie hash if equal scores go on after it."""
+    """The row at an ascending position: its score, and its tie hash if equal scores go on after it.
+
+    ``within`` is the number of rows up to the position among those of equal score and tie hash, if
+    more of these go on after it.
+    """
 
     position: int
     rows: int
     score: float | None = None
     tie: str | None = None
+    within: int | None = None
 
 
-def order_after(score: Column, tie: Column | None, cut: Cutoff) -> Column:
+def order_after(score: Column, tie: Column | None, cut: Cutoff, nth: Column | None = None) -> Column:
     """Does a row come after the cut-off in ascending (score, tie) order? False for a null score.
 
-    Without ``tie`` rows equal to the cut-off's score count as not after it.
+    Without ``tie`` rows equal to the cut-off's score count as not after it. ``nth`` numbers the rows
+    that agree with a cut-off in both (see ``numbered``).
     """
     if cut.position <= 0:
         return score.isNotNull()
@@ -61,9 +69,30 @@ def order_after(score: Column, tie: Column | None, cut: Cutoff) -> Column:
     above = score > F.lit(cut.score)
     if cut.tie is not None and tie is not None:
         above = above | ((score == F.lit(cut.score)) & (tie > F.lit(cut.tie)))
+        if cut.within is not None and nth is not None:
+            above = above | ((score == F.lit(cut.score)) & (tie == F.lit(cut.tie)) & (nth > cut.within))
     return F.coalesce(above, F.lit(False))
 
 
+def numbered(df: DataFrame, score: Column, tie: Column, cuts: Sequence[Cutoff]) -> tuple[DataFrame, Column | None]:
+    """Number the rows that a cut-off divides although they agree in score and keys.
+
+    Without such cut-offs, as with unique keys, ``df`` comes back as it is. Other rows do not move.
+    The number follows the hash of the whole row; rows alike in all columns may change places.
+    """
+    split = {(c.score, c.tie) for c in cuts if c.within is not None}
+    if not split:
+        return df, None
+    hit = F.lit(False)
+    for value, digest in sorted(split):
+        hit = hit | ((score == F.lit(value)) & (tie == F.lit(digest)))
+    hit = F.coalesce(hit, F.lit(False))
+    order = Window.partitionBy(score, tie).orderBy(F.xxhash64(*df.columns))
+    inside = df.where(hit).withColumn(_NTH, F.row_number().over(order).cast("bigint"))
+    outside = df.where(~hit).withColumn(_NTH, F.lit(None).cast("bigint"))
+    return inside.unionByName(outside), F.col(_NTH)
+
+
 def sketch_scores(df: DataFrame, score: str) -> tuple[int, list[float]]:
     """Number of scored rows and approximate quantiles, ascending."""
     fractions = [i / _QUANTILES for i in range(_QUANTILES + 1)]
@@ -80,6 +109,10 @@ def _brackets(n: int, quantiles: Sequence[float], positions: Sequence[int]) -> l
         at = p * _QUANTILES / n
         lo, hi = max(int(at) - 1, 0), min(int(at) + 2, _QUANTILES)
         spans.append((quantiles[lo], quantiles[hi]))
+    return _merged(spans)
+
+
+def _merged(spans: Sequence[tuple[float, float]]) -> list[tuple[float, float]]:
     merged: list[tuple[float, float]] = []
     for lo, hi in sorted(spans):
         if merged and lo <= merged[-1][1]:
@@ -89,99 +122,169 @@ def _brackets(n: int, quantiles: Sequence[float], positions: Sequence[int]) -> l
     return merged
 
 
+@dataclass(frozen=True)
+class _Part:
+    """Rows few enough to be ordered by one task, the rows ahead of them, and the positions among them."""
+
+    where: Column
+    before: int
+    positions: tuple[int, ...]
+
+
 def exact_cutoffs(
     df: DataFrame,
-    score: str,
+    score: str | Column,
     positions: Positions | Sequence[float],
-    tie: Column | Sequence[str],
+    tie: Column | Sequence[str] | None,
 ) -> list[Cutoff]:
-    """Exact cut-offs at ascending positions (1-based), given as fractions or as a function of n."""
-    tie = tie if isinstance(tie, Column) else tie_hash(tie)
-    scored = df.select(null_if_nan(F.col(score).cast("double")).alias("s"), tie.alias("t")).where(F.col("s").isNotNull())
+    """Exact cut-offs at ascending positions (1-based), given as fractions or as a function of n.
+
+    Without ``tie`` the cut-offs only have scores.
+    """
+    value = F.col(score) if isinstance(score, str) else score
+    digest = tie if isinstance(tie, Column) else F.lit(None).cast("string") if tie is None else tie_hash(tie)
+    scored = df.select(null_if_nan(value.cast("double")).alias("s"), digest.alias("t")).where(F.col("s").isNotNull())
     n, quantiles = sketch_scores(scored, "s")
     wanted = list(positions(n)) if callable(positions) else [int(f * n) for f in positions]
     inner = sorted({p for p in wanted if 0 < p < n})
-    found: dict[int, Cutoff] = {}
-    if inner:
-        found = _at_positions(scored, n, _brackets(n, quantiles, inner), inner)
-        if len(found) < len(inner):
-            # A bracket missed its position: look at all scores instead.
-            found = _at_positions(scored, n, [(float("-inf"), float("inf"))], inner)
+    found = _narrowed(scored, n, quantiles, inner, tie is not None) if inner else {}
+    missing = [p for p in inner if p not in found]
+    if missing:
+        raise RuntimeError(f"no row at positions {missing} of {n}: does the table change between scans?")
     return [found.get(p, Cutoff(p, n)) for p in wanted]
 
 
-def _at_positions(
-    scored: DataFrame, n: int, brackets: list[tuple[float, float]], positions: list[int]
-) -> dict[int, Cutoff]:
-    """Cut-offs of the positions that lie inside their bracket."""
+def _narrowed(scored: DataFrame, n: int, quantiles: Sequence[float], positions: list[int], ties: bool) -> dict[int, Cutoff]:
+    """Brackets around the positions, made smaller until their rows can be ordered."""
+    if n <= _ORDER_AT_ONCE:
+        return _ordered(scored, n, [_Part(F.lit(True), 0, tuple(positions))])
     s = F.col("s")
-    part = F.lit(None).cast("int")
-    for i, (lo, hi) in enumerate(brackets):
-        part = F.when((s >= lo) & (s <= hi), F.lit(i)).otherwise(part)
-    # One row per distinct score inside the brackets, with running counts per bracket on top of
-    # the number of rows below the bracket.
-    below = scored.agg(F.array(*[F.count_if(s < lo) for lo, _ in brackets]).alias("below"))
-    running = F.sum("n").over(Window.partitionBy("part").orderBy("s").rowsBetween(Window.unboundedPreceding, 0))
-    distinct = (
-        scored.withColumn("part", part)
-        .where(F.col("part").isNotNull())
-        .groupBy("part", "s")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", running + F.element_at(below.scalar(), F.col("part") + 1))
-    )
-    targets = F.expr("array(" + ",".join(f"{p}L" for p in positions) + ")")
-    hits = (
-        distinct.withColumn("position", F.explode(targets))
-        .where((F.col("position") <= F.col("upto")) & (F.col("position") > F.col("upto") - F.col("n")))
-        .collect()
+    found: dict[int, Cutoff] = {}
+    parts: list[_Part] = []
+    spans, pending = _brackets(n, quantiles, positions), positions
+    while pending:
+        regions = _count_regions(scored, spans)
+        before, inside, again = 0, {}, []
+        for code, region in sorted(regions.items()):
+            mine = [p for p in pending if before < p <= before + region["n"]]
+            if mine:
+                inside[code] = (before, mine)
+            before += region["n"]
+        for code, (before, mine) in inside.items():
+            region = regions[code]
+            lo, hi = region["lo"], region["hi"]
+            if lo == hi:
+                if ties:
+                    more, cuts = _narrowed_ties(scored.where(s == F.lit(lo)), s == F.lit(lo), lo, n, before, region["n"], mine)
+                    parts += more
+                    found |= cuts
+                else:
+                    found |= {p: Cutoff(p, n, lo) for p in mine}
+            elif region["n"] <= _ORDER_AT_ONCE:
+                parts.append(_Part((s >= F.lit(lo)) & (s <= F.lit(hi)), before, tuple(mine)))
+            elif region["q"]:
+                again += _brackets(region["n"], region["q"], [p - before for p in mine])
+            else:
+                again.append((lo, hi))
+        pending = [p for p in pending if p not in found and not any(p in part.positions for part in parts)]
+        if pending and not again:
+            break
+        spans = _merged(again)
+    return found | _ordered(scored, n, parts)
+
+
+def _count_regions(scored: DataFrame, spans: Sequence[tuple[float, float]]) -> dict[int, dict]:
+    """Rows, extremes and quantiles of the stretches that the ends of the spans cut the scores into.
+
+    Each end is a stretch of its own, so a common score never keeps a bracket large. Quantiles are
+    taken within spans only; a position found outside gets the whole stretch as its next span.
+    """
+    s = F.col("s")
+    code = F.when(F.lit(False), F.lit(0))
+    for i, (lo, hi) in enumerate(spans):
+        for k, cond in enumerate((s < F.lit(lo), s == F.lit(lo), s < F.lit(hi), s == F.lit(hi))):
+            code = code.when(cond, F.lit(4 * i + k))
+    coded = scored.select("s", code.otherwise(F.lit(4 * len(spans))).alias("code"))
+    fractions = [i / _QUANTILES for i in range(_QUANTILES + 1)]
+    inner = F.when(F.col("code") % 4 == 2, s)
+    rows = coded.groupBy("code").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("s").alias("lo"),
+        F.max("s").alias("hi"),
+        F.percentile_approx(inner, fractions, _ACCURACY).alias("q"),
     )
-    within = {h["position"]: (h["s"], h["position"] - (h["upto"] - h["n"]), h["n"]) for h in hits}
-    ties = _tie_values(scored, {p: w for p, w in within.items() if w[1] < w[2]})
-    return {p: Cutoff(p, n, w[0], ties.get(p)) for p, w in within.items()}
+    return {r["code"]: r.asDict() for r in rows.collect()}
+
+
+def _narrowed_ties(
+    rows: DataFrame, where: Column, value: float, n: int, before: int, count: int, positions: list[int]
+) -> tuple[list[_Part], dict[int, Cutoff]]:
+    """Parts to order, or cut-offs, among rows of one score, by their digests.
 
+    Digests are uniform, so the k-th of them lies close to the fraction k / count of their range:
+    within six standard deviations of it. Where keys repeat that may not hold; the counts then say
+    on which side to go on.
+    """
+    t = F.col("t")
+    parts, found = [], {}
+    for p in positions:
+        lo, hi, ahead, inside = "", "g", before, count
+        low, high = 0.0, 1.0
+        while inside > _ORDER_AT_ONCE:
+            share = (p - ahead) / inside
+            spread = min(0.25, 6 * math.sqrt(inside * share * (1 - share)) / inside + 10 / inside)
+            at, width = low + share * (high - low), spread * (high - low)
+            cuts = [max(at - width, low), min(at + width, high)]
+            a, b = max(_digest_at(cuts[0]), lo), max(_digest_at(cuts[1]), lo) if cuts[1] < high else hi
+            here = (t >= lo) & (t < hi)
+            got = rows.where(here).agg(
+                F.count_if(t < a).alias("n0"), F.count_if((t >= a) & (t < b)).alias("n1"),
+                F.min(F.when((t >= a) & (t < b), t)).alias("lo"), F.max(F.when((t >= a) & (t < b), t)).alias("hi"),
+            ).first()
+            if p <= ahead + got["n0"]:
+                hi, high, inside = a, cuts[0], got["n0"]
+            elif p <= ahead + got["n0"] + got["n1"]:
+                lo, hi, low, high, ahead, inside = a, b, cuts[0], cuts[1], ahead + got["n0"], got["n1"]
+                if got["lo"] == got["hi"]:
+                    last = p == ahead + inside
+                    found[p] = Cutoff(p, n, value, got["lo"], None if last else p - ahead)
+                    break
+            else:
+                lo, low, ahead, inside = b, cuts[1], ahead + got["n0"] + got["n1"], inside - got["n0"] - got["n1"]
+        else:
+            parts.append(_Part(where & (t >= lo) & (t < hi), ahead, (p,)))
+    return parts, found
 
-def _tie_values(scored: DataFrame, wanted: dict[int, tuple[float, int, int]]) -> dict[int, str]:
-    """Tie hash of the k-th row among those of one score, for each position that divides a score."""
-    if not wanted:
+
+def _ordered(scored: DataFrame, n: int, parts: Sequence[_Part]) -> dict[int, Cutoff]:
+    """Order the rows of each part by (score, tie) in a task of its own and read off the positions."""
+    if not parts:
         return {}
-    prefix = hash_prefix(F.col("t"), _PREFIX_DIGITS)
-    large = sorted({value for value, _, n in wanted.values() if n > _ORDER_AT_ONCE})
-    buckets: dict[float, list[tuple[int, int]]] = {}
-    if large:
-        rows = (
-            scored.where(F.col("s").isin(large)).groupBy("s", prefix.alias("b")).agg(F.count(F.lit(1)).alias("n"))
-        ).collect()
-        for r in sorted(rows):
-            buckets.setdefault(r["s"], []).append((r["b"], r["n"]))
-
-    # Rows to order: those of a score, or of one hash prefix of a very common score.
-    groups: dict[tuple[float, int | None], int] = {}
-    places: dict[int, tuple[int, int]] = {}
-    for p, (value, k, _) in wanted.items():
-        bucket = None
-        for bucket, n in buckets.get(value, ()):
-            if k <= n:
-                break
-            k -= n
-        places[p] = (groups.setdefault((value, bucket), len(groups)), k)
-    part = F.lit(None).cast("int")
-    for (value, bucket), g in groups.items():
-        same = F.col("s") == F.lit(value)
-        part = F.when(same if bucket is None else same & (prefix == bucket), F.lit(g)).otherwise(part)
-    rank = F.row_number().over(Window.partitionBy("part").orderBy("t"))
-    chosen = F.lit(False)
-    for g, k in set(places.values()):
-        chosen = chosen | ((F.col("part") == g) & (F.col("rank") == k))
+    found: dict[int, Cutoff] = {}
+    # Parts may overlap where positions share a bracket, so a row can belong to several.
+    flags = F.array_compact(F.array(*[F.when(p.where, F.lit(i)) for i, p in enumerate(parts)]))
+    order = Window.partitionBy("part").orderBy("s", "t")
+    starts = F.element_at(F.expr("array(" + ",".join(f"{p.before}L" for p in parts) + ")"), F.col("part") + 1)
+    wanted = [(i, q) for i, p in enumerate(parts) for q in p.positions]
+    chosen = F.struct("part", "position").isin([F.struct(F.lit(i), F.lit(q).cast("bigint")) for i, q in wanted])
     rows = (
-        scored.where(F.col("s").isin(sorted({value for value, _ in groups})))
-        .withColumn("part", part)
-        .where(F.col("part").isNotNull())
-        .select("part", "t", rank.alias("rank"))
+        scored.select("s", "t", F.explode(flags).alias("part"))
+        .select(
+            "s", "t", "part",
+            (F.row_number().over(order) + starts).alias("position"),
+            (F.rank().over(order) + starts).alias("first"),
+            F.lead(F.struct("s", "t")).over(order).alias("next"),
+        )
         .where(chosen)
-        .collect()
-    )
-    at = {(r["part"], r["rank"]): r["t"] for r in rows}
-    return {p: at[place] for p, place in places.items()}
+    )
+    for r in rows.collect():
+        more = r["next"] is not None and r["next"]["s"] == r["s"]
+        alike = more and r["next"]["t"] == r["t"] and r["t"] is not None
+        # A tie hash is kept where the score goes on; at the end of a part it is harmless.
+        tie = r["t"] if more or r["next"] is None else None
+        p = r["position"]
+        found[p] = Cutoff(p, n, r["s"], tie, p - r["first"] + 1 if alike else None)
+    return found
 
 
 def tile_positions(tiles: int) -> Positions:
@@ -204,14 +307,15 @@ def risk_decile(
 ) -> DataFrame:
     """``ntile`` over the ascending score: the highest tile holds the highest scores, null stays null."""
     cuts = exact_cutoffs(df, score, tile_positions(tiles), tie_keys)
-    return df.withColumn(out, _tile(score, tie_keys, cuts))
+    s, tie = null_if_nan(F.col(score).cast("double")), tie_hash(tie_keys)
+    df, nth = numbered(df, s, tie, cuts)
+    return df.withColumn(out, _tile(s, tie, cuts, nth)).drop(_NTH)
 
 
-def _tile(score: str, tie_keys: Sequence[str], cuts: Sequence[Cutoff]) -> Column:
-    s, tie = null_if_nan(F.col(score).cast("double")), tie_hash(tie_keys)
+def _tile(s: Column, tie: Column, cuts: Sequence[Cutoff], nth: Column | None) -> Column:
     tile = F.lit(1)
     for cut in cuts:
-        tile = tile + order_after(s, tie, cut).cast("int")
+        tile = tile + order_after(s, tie, cut, nth).cast("int")
     return F.when(s.isNotNull(), tile)
 
 
@@ -228,14 +332,16 @@ def deciles_and_alerts(
         return [*top_positions([rate])(n), *tile_positions(tiles)(n)]
 
     alert, *cuts = exact_cutoffs(df, score, positions, tie_keys)
-    alerted = order_after(null_if_nan(F.col(score).cast("double")), tie_hash(tie_keys), alert)
+    s, tie = null_if_nan(F.col(score).cast("double")), tie_hash(tie_keys)
+    df, nth = numbered(df, s, tie, [alert, *cuts])
+    alerted = order_after(s, tie, alert, nth)
     return df.withColumns(
         {
-            "risk_decile": _tile(score, tie_keys, cuts),
+            "risk_decile": _tile(s, tie, cuts, nth),
             "alert_flag": F.when(alerted, 1).otherwise(0),
             "alert_rate_config": F.lit(float(rate)),
         }
-    )
+    ).drop(_NTH)
 
 
 def alert_flags(
@@ -255,7 +361,8 @@ def alert_flags(
     s = null_if_nan(F.col(score).cast("double"))
     if mode == "exact":
         (cut,) = exact_cutoffs(df, score, top_positions([rate]), tie_keys)
-        alerted = order_after(s, tie_hash(tie_keys), cut)
+        df, nth = numbered(df, s, tie_hash(tie_keys), [cut])
+        alerted = order_after(s, tie_hash(tie_keys), cut, nth)
     elif mode == "threshold":
         threshold = exact_quantile(df, score, 1.0 - rate)
         alerted = s >= F.lit(threshold)
@@ -264,7 +371,7 @@ def alert_flags(
         alerted = s >= quantile.scalar()
     else:
         raise ValueError(f"unknown mode {mode}")
-    return df.withColumns({out: F.when(alerted, 1).otherwise(0), "alert_rate_config": F.lit(float(rate))})
+    return df.withColumns({out: F.when(alerted, 1).otherwise(0), "alert_rate_config": F.lit(float(rate))}).drop(_NTH)
 
 
 def exact_quantile(df: DataFrame, score: str, fraction: float) -> float | None:
@@ -273,8 +380,7 @@ def exact_quantile(df: DataFrame, score: str, fraction: float) -> float | None:
     def position(n: int) -> list[int]:
         return [max(math.ceil(n * fraction), 1)]
 
-    # The tie order does not matter for the value.
-    (cut,) = exact_cutoffs(df, score, position, F.lit(""))
+    (cut,) = exact_cutoffs(df, score, position, None)
     if cut.score is None:
         row = df.agg(F.max(null_if_nan(F.col(score).cast("double")))).first()
         return row[0]
@@ -290,68 +396,30 @@ def distributed_rank(
 ) -> DataFrame:
     """Exact ``row_number`` over the whole table, for callers that need every row's rank.
 
-    The score range is cut at sketch quantiles and a score that takes up several of them is cut
-    further by hash, so the ordered ranges stay even. Counts per range (at most twice the number
-    of quantiles) turn the rank within a range into the rank overall.
+    The rows are range-partitioned by (score, tie) over the session's shuffle partitions and staged,
+    so that counting and ranking see the same ranges; a common score is divided by its tie hashes.
+    Counts per range turn the rank within a range into the rank overall.
     """
     s, tie = null_if_nan(F.col(score).cast("double")), tie_hash(tie_keys)
     keyed = df.withColumns({"__s": s, "__t": tie})
-    scored = keyed.where(F.col("__s").isNotNull())
-    n, quantiles = sketch_scores(scored.select("__s"), "__s")
-    if n == 0:
-        return df.withColumn(out, F.lit(None).cast("bigint"))
-    ranged = with_range_id(scored, "__s", "__t", n, quantiles)
-    sizes = dict(ranged.groupBy("__range").count().collect())
-    ids = sorted(sizes, reverse=descending)
-    before, total = [0] * (max(ids) + 1), 0
-    for r in ids:
-        before[r] = total
-        total += sizes[r]
+    ranged = staged_ranges(keyed.where(F.col("__s").isNotNull()), ["__s", "__t"], "rank-ranges")
     order = [F.col(c).desc() if descending else F.col(c).asc() for c in ("__s", "__t")]
     within = F.row_number().over(Window.partitionBy("__range").orderBy(*order)).cast("bigint")
-    starts = F.expr("array(" + ",".join(f"{b}L" for b in before) + ")")
-    ranked = ranged.withColumn(out, within + F.element_at(starts, F.col("__range") + 1))
+    # One row per range.
+    first = F.col("__range").desc() if descending else F.col("__range").asc()
+    ahead = Window.orderBy(first).rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("__range").count().select("__range", F.coalesce(F.sum("count").over(ahead), F.lit(0)).alias("__start"))
+    ranked = ranged.withColumn(out, within).join(starts, "__range").withColumn(out, F.col(out) + F.col("__start"))
     unscored = keyed.where(F.col("__s").isNull()).withColumn(out, F.lit(None).cast("bigint"))
-    return ranked.drop("__range").unionByName(unscored).drop("__s", "__t")
-
-
-def range_cuts(n: int, quantiles: Sequence[float]) -> list[tuple[float, int]]:
-    """Distinct cut scores with the number of cuts that fell on each."""
-    ranges = max(1, min(_QUANTILES, n // _ROWS_PER_RANGE))
-    step = _QUANTILES // ranges
-    cuts: dict[float, int] = {}
-    for i in range(0, _QUANTILES + 1, step):
-        cuts[quantiles[i]] = cuts.get(quantiles[i], 0) + 1
-    return sorted(cuts.items())
-
-
-def with_range_id(df: DataFrame, score: str, tie: str | None, n: int, quantiles: Sequence[float]) -> DataFrame:
-    """Add ``__range``, ascending with (score, tie). Without ``tie`` equal scores stay together."""
-    cuts = range_cuts(n, quantiles)
-    finite = [(c, m) for c, m in cuts if abs(c) != float("inf")]
-    values = [c for c, _ in finite] or [0.0]
-    parts = [m for _, m in finite] or [1]
-    splits = [float("-inf"), *values, float("inf")]
-    buckets = Bucketizer(splits=splits, inputCol=score, outputCol="__bucket", handleInvalid="keep").transform(df)
-    b = F.col("__bucket").cast("int")
-    if tie is None:
-        return buckets.withColumn("__range", b).drop("__bucket")
-    # Bucket 0 lies below all cuts; bucket i starts at cut i-1, whose equal scores take parts[i-1] ranges.
-    firsts, sizes, edges, at = [0], [0], [float("-inf")], 1
-    for v, m in zip(values, parts):
-        firsts.append(at)
-        sizes.append(m)
-        edges.append(v)
-        at += m + 1
-
-    def lookup(items, suffix) -> Column:
-        text = ",".join("double('-infinity')" if x == float("-inf") else f"{x!r}{suffix}" for x in items)
-        return F.element_at(F.expr(f"array({text})"), b + 1)
-
-    m = lookup(sizes, "L")
-    piece = F.floor(hash_prefix(F.col(tie), 8) * m / F.lit(float(2**32))).cast("bigint")
-    offset = F.when(F.col(score) == lookup(edges, "D"), piece).otherwise(m)
-    return buckets.withColumn("__range", (lookup(firsts, "L") + offset).cast("int")).drop("__bucket")
+    return ranked.drop("__range", "__start").unionByName(unscored).drop("__s", "__t")
+
+
+def staged_ranges(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+    """``df`` on the shared folder, cut into ranges of ``columns`` numbered ascending in ``__range``.
+
+    Rows equal in all of ``columns`` share a range.
+    """
+    return stage(df.repartitionByRange(*columns).withColumn("__range", F.spark_partition_id()), name)
 
 
 def topk_metrics(
@@ -368,8 +436,9 @@ def topk_metrics(
     """
     cuts = exact_cutoffs(df, score, top_positions(rates), tie_keys)
     s, tie = null_if_nan(F.col(score).cast("double")), tie_hash(tie_keys)
+    df, nth = numbered(df, s, tie, cuts)
     positive = F.col(label) == 1
-    hits = [F.count_if(order_after(s, tie, cut) & positive).alias(f"hits{i}") for i, cut in enumerate(cuts)]
+    hits = [F.count_if(order_after(s, tie, cut, nth) & positive).alias(f"hits{i}") for i, cut in enumerate(cuts)]
     totals = df.where(s.isNotNull()).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(positive).cast("double").alias("pos"), *hits
     )
@@ -406,40 +475,14 @@ def hash_sample(df: DataFrame, n: int, seed: int, keys: Sequence[str] = ANCHOR_K
 
     The hash of the n-th row is found first, so the sample is a filter and not a global sort.
     """
-    drawn = tie_hash(keys, seed)
-    cut = _nth_hash(df.select(drawn.alias("h")), n)
-    return df.where(F.lit(False)) if cut == "" else df if cut is None else df.where(drawn <= F.lit(cut))
-
-
-def _nth_hash(hashes: DataFrame, n: int) -> str | None:
-    """The n-th smallest digest in column ``h``; None if there are no more than n, "" if n is 0.
-
-    Digests are uniform, so the n-th lies close to the fraction n / rows. Only rows within six
-    standard deviations of it are ordered (about ten square roots of the table); should it lie
-    outside all the same, the interval is widened.
-    """
-    rows = hashes.count()
     if n <= 0:
-        return ""
-    if n >= rows:
-        return None
-    share = n / rows
-    margin = 6 * math.sqrt(rows * share * (1 - share)) / rows + 10 / rows
-    h = F.col("h")
-    while True:
-        lo, hi = _digest_at(share - margin), _digest_at(share + margin)
-        below = hashes.agg(F.count_if(h < lo).alias("below"))
-        rank = F.row_number().over(Window.partitionBy("part").orderBy("h"))
-        hit = (
-            hashes.where((h >= lo) & (h <= hi))
-            .select(F.lit(0).alias("part"), "h")
-            .select("h", (rank + below.scalar()).alias("rank"))
-            .where(F.col("rank") == n)
-            .collect()
-        )
-        if hit:
-            return hit[0]["h"]
-        margin *= 4
+        return df.where(F.lit(False))
+    drawn, level = tie_hash(keys, seed), F.lit(0.0)
+    (cut,) = exact_cutoffs(df, level, lambda _: [n], drawn)
+    if cut.position >= cut.rows:
+        return df
+    df, nth = numbered(df, level, drawn, [cut])
+    return df.where(~order_after(level, drawn, cut, nth)).drop(_NTH)
 
 
 def _digest_at(fraction: float) -> str:

@@ -13,7 +13,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from tidewatch.config import (
     ANCHOR_KEYS,
@@ -26,7 +26,7 @@ from tidewatch.config import (
 from tidewatch.functions import ceil_div, derived_from_last, floor_div, micros_between
 from tidewatch.functions.columns import MICROS_PER_HOUR
 from tidewatch.operators.anchors import anchor_time_of, last_anchor_index
-from tidewatch.operators.joins import HOT_ROWS, range_join_bucketed, spread_join
+from tidewatch.operators.joins import range_join_bucketed, spread_join
 
 # Pane columns each statistic is computed from.
 _NEEDS = {
@@ -34,11 +34,11 @@ _NEEDS = {
     "min": {"min"},
     "max": {"max"},
     "range": {"min", "max"},
-    "std": {"n", "sum", "m2"},
+    "std": {"n", "sum", "m2", "first"},
     "last": {"last"},
     "delta": {"first", "last", "first_ts", "last_ts"},
     "slope": {"first", "last", "first_ts", "last_ts"},
-    "slope_fit": {"n", "sum", "sx", "sxx", "sxy", "first", "last", "first_ts", "last_ts"},
+    "slope_fit": {"n", "sum", "sx", "sxx", "cxy", "first", "last", "first_ts", "last_ts"},
     "count": {"n"},
     "missing_rate": {"n"},
     "tslm": {"last_ts"},
@@ -78,6 +78,17 @@ def _pane_hours(grid: TimeGrid) -> int:
     return math.gcd(grid.cadence_h, grid.warmup_h, *grid.windows_h)
 
 
+def _reach(grid: TimeGrid) -> int:
+    """Panes of the longest window."""
+    return max(grid.windows_h) // _pane_hours(grid)
+
+
+def _anchor_pane(k: Column, grid: TimeGrid) -> Column:
+    """The pane that ends at the k-th anchor."""
+    pane_h = _pane_hours(grid)
+    return k * (grid.cadence_h // pane_h) + F.lit(grid.warmup_h // pane_h)
+
+
 def _event_stream(families: Sequence[EventFamily], keys: Sequence[str]) -> DataFrame:
     """All families as one stream of rows; columns of the other families are null."""
     stream = None
@@ -94,6 +105,10 @@ def _wanted(spec: SignalStats) -> set[str]:
     return set().union(*(_NEEDS[s] for s in spec.stats))
 
 
+def _pivoted(spec: SignalStats) -> bool:
+    return not {"std", "slope_fit"}.isdisjoint(spec.stats)
+
+
 def _pane_aggregates(family: EventFamily) -> list[Column]:
     """Partial statistics of one pane. ``__hours`` is the time from the pane's end (<= 0)."""
     aggs = [f"count_if(__family = '{family.name}') AS rows__{family.name}"]
@@ -113,7 +128,7 @@ def _pane_aggregates(family: EventFamily) -> list[Column]:
             "last_ts": f"max({seen_at})",
             "sx": f"sum({hours})",
             "sxx": f"sum({hours} * __hours)",
-            "sxy": f"sum(__hours * {v})",
+            "cxy": f"covar_pop({hours}, {v}) * count({v})",
         }
         wanted = _wanted(spec)
         aggs += [f"{sql} AS {name}__{spec.signal}" for name, sql in available.items() if name in wanted]
@@ -125,12 +140,12 @@ def build_panes(
     families: Sequence[EventFamily],
     grid: TimeGrid,
     keys: Sequence[str] = KEYS,
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """One row per stay and non-empty pane, holding combinable partial statistics.
 
     Pane j covers ``(start + (j-1)*width, start + j*width]``; events ahead of the stay fall into
-    pane 0 and below.
+    pane 0 and below. Events too old for the first anchor or after the last one are left out.
     """
     width = _pane_hours(grid) * MICROS_PER_HOUR
     bounded = stays.select(*keys, grid.start, last_anchor_index(grid).alias("__last"))
@@ -138,6 +153,7 @@ def build_panes(
     events = (
         spread_join(_event_stream(families, keys), bounded, keys, ["event_time"], "inner", hot_rows)
         .withColumn("__pane", ceil_div(since, width))
+        .where(F.col("__pane").between(1 - _reach(grid), _anchor_pane(F.col("__last"), grid)))
         .withColumn("__hours", (since - F.col("__pane") * F.lit(width)).cast("double") / float(MICROS_PER_HOUR))
     )
     aggs = [a for f in families for a in _pane_aggregates(f)]
@@ -146,7 +162,7 @@ def build_panes(
     )
 
 
-def _panes_at_anchors(panes: DataFrame, grid: TimeGrid, keys: Sequence[str]) -> DataFrame:
+def _panes_at_anchors(panes: DataFrame, grid: TimeGrid, keys: Sequence[str], pivots: Sequence[str] = ()) -> DataFrame:
     """Repeat each pane for the anchors whose longest window covers it.
 
     ``__back`` counts the panes between a pane and its anchor; a window of m panes covers
@@ -156,8 +172,7 @@ def _panes_at_anchors(panes: DataFrame, grid: TimeGrid, keys: Sequence[str]) ->
     Panes are brought together by stay first. A stay has no more panes than its duration allows,
     however many events it holds, and the aggregation per anchor then needs no further shuffle.
     """
-    pane_h = _pane_hours(grid)
-    reach = max(grid.windows_h) // pane_h
+    pane_h, reach = _pane_hours(grid), _reach(grid)
     first = F.greatest(
         F.lit(0).cast("bigint"), ceil_div(F.col("__pane") * pane_h - F.lit(grid.warmup_h), grid.cadence_h)
     )
@@ -165,11 +180,14 @@ def _panes_at_anchors(panes: DataFrame, grid: TimeGrid, keys: Sequence[str]) ->
         F.col("__last"),
         floor_div((F.col("__pane") + F.lit(reach - 1)) * pane_h - F.lit(grid.warmup_h), grid.cadence_h),
     )
-    anchor_pane = F.col("__k") * (grid.cadence_h // pane_h) + F.lit(grid.warmup_h // pane_h)
+    anchor_pane = _anchor_pane(F.col("__k"), grid)
     # explode() of null yields no row, for panes that no anchor looks back on.
+    clustered = panes.repartition(*keys)
+    if pivots:
+        stay = Window.partitionBy(*keys)
+        clustered = clustered.withColumns({f"pivot__{s}": F.min(f"first__{s}").over(stay) for s in pivots})
     return (
-        panes.repartition(*keys)
-        .withColumns({"__first": first, "__until": last})
+        clustered.withColumns({"__first": first, "__until": last})
         .withColumn("__k", F.explode(F.when(F.col("__first") <= F.col("__until"), F.sequence("__first", "__until"))))
         .withColumns({"anchor_time": anchor_time_of(grid, F.col("__k")), "__back": anchor_pane - F.col("__pane")})
         .drop(grid.start, "__last", "__pane", "__first", "__until", "__k")
@@ -187,6 +205,7 @@ def _window_aggregates(family: EventFamily, window_h: int, grid: TimeGrid) -> tu
     for spec in family.stats:
         s = spec.signal
         n, total, sx = f"n__{s}", f"sum__{s}", f"sx__{s}"
+        off = f"({total} / {n} - pivot__{s})"
 
         def seen(column: str) -> str:
             return f"CASE WHEN {inside} AND {column} IS NOT NULL THEN -__back END"
@@ -196,7 +215,10 @@ def _window_aggregates(family: EventFamily, window_h: int, grid: TimeGrid) -> tu
             "sum": f"sum(CASE WHEN {inside} THEN {total} END)",
             "min": f"min(CASE WHEN {inside} THEN min__{s} END)",
             "max": f"max(CASE WHEN {inside} THEN max__{s} END)",
-            "m2": f"sum(CASE WHEN {inside} THEN m2__{s} + {total} * {total} / {n} END)",
+            # Squares and products are taken about a value of the stay, not about zero: values far
+            # from zero would leave no digits for their differences.
+            "dev": f"sum(CASE WHEN {inside} THEN {n} * {off} END)",
+            "m2": f"sum(CASE WHEN {inside} THEN m2__{s} + {n} * {off} * {off} END)",
             "first": f"min_by(first__{s}, {seen(f'first__{s}')})",
             "last": f"max_by(last__{s}, {seen(f'last__{s}')})",
             "first_ts": f"min(CASE WHEN {inside} THEN first_ts__{s} END)",
@@ -204,9 +226,11 @@ def _window_aggregates(family: EventFamily, window_h: int, grid: TimeGrid) -> tu
             # Times of the fit are shifted from the pane's end to the anchor.
             "sx": f"sum(CASE WHEN {inside} THEN {sx} - {n} * {lag_h} END)",
             "sxx": f"sum(CASE WHEN {inside} THEN sxx__{s} - 2.0D * {lag_h} * {sx} + {n} * {lag_h} * {lag_h} END)",
-            "sxy": f"sum(CASE WHEN {inside} THEN sxy__{s} - {total} * {lag_h} END)",
+            "cxy": f"sum(CASE WHEN {inside} THEN cxy__{s} + ({sx} - {n} * {lag_h}) * {off} END)",
         }
         wanted = _wanted(spec)
+        if _pivoted(spec):
+            wanted = wanted | {"dev"}
         got = {name: f"{name}__{s}__{window_h}" for name in available if name in wanted}
         aggs += [f"{available[name]} AS {alias}" for name, alias in got.items()]
         features += [f"{_finish(stat, got, rows)} AS {feature_name(s, stat, window_h)}" for stat in spec.stats]
@@ -226,7 +250,7 @@ def _finish(stat: str, g: dict[str, str], rows: str) -> str:
     if stat == "range":
         return f"{g['max']} - {g['min']}"
     if stat == "std":
-        centred = f"greatest({g['m2']} - {g['sum']} * {g['sum']} / {g['n']}, 0.0D)"
+        centred = f"greatest({g['m2']} - {g['dev']} * {g['dev']} / {g['n']}, 0.0D)"
         return f"CASE WHEN {g['n']} > 1 THEN sqrt({centred} / ({g['n']} - 1)) END"
     if stat in ("delta", "slope", "slope_fit"):
         two_times = f"{g['first_ts']} < {g['last_ts']}"
@@ -237,7 +261,7 @@ def _finish(stat: str, g: dict[str, str], rows: str) -> str:
         if stat == "slope":
             return f"CASE WHEN {two_times} THEN {slope} END"
         # Two points define the line exactly; sums of squares would lose digits when they are close.
-        co = f"{g['n']} * {g['sxy']} - {g['sx']} * {g['sum']}"
+        co = f"{g['n']} * {g['cxy']} - {g['sx']} * {g['dev']}"
         spread = f"{g['n']} * {g['sxx']} - {g['sx']} * {g['sx']}"
         return f"CASE WHEN {two_times} AND {g['n']} = 2 THEN {slope} WHEN {two_times} THEN try_divide({co}, {spread}) END"
     if stat == "count":
@@ -265,7 +289,8 @@ def _features(
         # events, so the features need no join with the anchors.
         bare = stays.select(*keys, grid.start, last_anchor_index(grid).alias("__last"))
         panes = panes.unionByName(bare, allowMissingColumns=True)
-    at_anchors = _panes_at_anchors(panes, grid, keys)
+    pivots = [s.signal for f in families for s in f.stats if _pivoted(s)]
+    at_anchors = _panes_at_anchors(panes, grid, keys, pivots)
     aggs: list[Column] = []
     features: list[Column] = []
     for w in grid.windows_h:
@@ -285,7 +310,7 @@ def window_features(
     families: Sequence[EventFamily],
     grid: TimeGrid = TimeGrid(),
     keys: Sequence[str] = KEYS,
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | None = None,
     audit: bool = False,
 ) -> DataFrame:
     """Features named ``<signal>_<stat>_<w>h`` for anchors with an event in their longest window.
@@ -300,7 +325,7 @@ def gold_features(
     families: Sequence[EventFamily],
     grid: TimeGrid = TimeGrid(),
     keys: Sequence[str] = KEYS,
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | None = None,
     count_fill_zero: bool = False,
     audit: bool = False,
 ) -> DataFrame:
@@ -335,7 +360,7 @@ def asof_last(
     within_h: int,
     grid: TimeGrid = TimeGrid(),
     keys: Sequence[str] = KEYS,
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Latest non-null value of each signal at or before the anchor, at most ``within_h`` back."""
     only = EventFamily(family.name, family.events, tuple(SignalStats(s, ("last", "tslm")) for s in family.signals))
@@ -349,7 +374,7 @@ def irregular_window_features(
     signal: str,
     window_h: int,
     keys: Sequence[str] = KEYS,
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Mean, last and count of a signal at arbitrary anchor times (no grid to rely on).
 

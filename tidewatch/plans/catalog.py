@@ -252,12 +252,12 @@ def q_window_features(spark, d):
 
 def q_window_stats_full(spark, d):
     out = windows.window_features(stays_table(spark, d), _families(spark, d, ("min", "max", "std", "last", "count")))
-    return _rounded(out, 4)
+    return _rounded(out)
 
 
 def q_window_trend(spark, d):
     out = windows.window_features(stays_table(spark, d), _families(spark, d, ("delta", "slope", "slope_fit", "range")))
-    return _rounded(out, 2)
+    return _rounded(out)
 
 
 def q_window_missing(spark, d):

@@ -284,8 +284,8 @@ def oracle_sql() -> dict[str, str]:
     )
     out["anchor_grid_censored"] = _ON_BASE + censored
     out["window_features"] = _with(*_BASE, *_features()) + "SELECT * FROM features"
-    out["window_stats_full"] = _with(*_BASE, *_features(_all_signals(("min", "max", "std", "last", "count")), digits=4)) + "SELECT * FROM features"
-    out["window_trend"] = _with(*_BASE, *_features(_all_signals(("delta", "slope", "slope_fit", "range")), digits=2)) + "SELECT * FROM features"
+    out["window_stats_full"] = _with(*_BASE, *_features(_all_signals(("min", "max", "std", "last", "count")))) + "SELECT * FROM features"
+    out["window_trend"] = _with(*_BASE, *_features(_all_signals(("delta", "slope", "slope_fit", "range")))) + "SELECT * FROM features"
     out["window_missing"] = _with(*_BASE, *_features(_all_signals(("missing_rate", "tslm")))) + "SELECT * FROM features"
     asof = {"vitals": [(s, ("last", "tslm")) for s in FULL_SIGNALS["vitals"]]}
     out["asof_last"] = _with(*_BASE, *_features(asof, (12,))) + "SELECT * FROM features"
