@@ -67,6 +67,10 @@ def term_counts(w: Words) -> np.ndarray:
     return out
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+
+
 @dataclass
 class Neighbours:
     idf: np.ndarray
@@ -76,12 +80,10 @@ class Neighbours:
     prior: float
 
     def weigh(self, counts: np.ndarray) -> np.ndarray:
-        x = np.log1p(counts) * self.idf
-        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+        return _unit(np.log1p(counts) * self.idf)
 
     def latent(self, counts: np.ndarray) -> np.ndarray:
-        z = self.weigh(counts) @ self.project
-        return z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
+        return _unit(self.weigh(counts) @ self.project)
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
         """Weighted share of label 1 among the nearest references; the prior where nothing is near."""
@@ -153,21 +155,23 @@ def fit(
     # The order in which rows arrive must not matter.
     held.sort(key=lambda r: (bytes(r["term"]), bytes(r["count"]), r["y"]))
     df, n = document_frequencies(texts)
-    counts = np.zeros((len(held), TERMS), np.float32)
-    for i, r in enumerate(held):
-        counts[i, np.frombuffer(r["term"], "<u2")] = np.frombuffer(r["count"], "<f4")
     y = np.array([r["y"] for r in held], float)
-    model = Neighbours((np.log((1 + n) / (1 + df)) + 0.1).astype(np.float32), np.zeros((0, 0)), np.zeros((0, 0)), y, float(y.mean()))
-    x = model.weigh(counts)
+    idf = (np.log((1 + n) / (1 + df)) + 0.1).astype(np.float32)
+    # Built in place: one copy of the weighted references is all that the driver holds.
+    x = np.zeros((len(held), TERMS), np.float32)
+    for i, r in enumerate(held):
+        term = np.frombuffer(r["term"], "<u2")
+        weight = np.log1p(np.frombuffer(r["count"], "<f4")) * idf[term]
+        x[i, term] = weight / max(np.linalg.norm(weight), 1e-12)
+    del held
     d = min(DIMENSIONS, *x.shape)
     # Randomised range finder; four passes sharpen it.
     q = np.linalg.qr(x.T @ np.random.default_rng(3).normal(size=(len(x), min(d + 16, len(x)))).astype(np.float32))[0]
     for _ in range(4):
         q = np.linalg.qr(x.T @ (x @ q))[0]
     right = np.linalg.svd(x @ q, full_matrices=False)[2]
-    model.project = (q @ right[:d].T).astype(np.float32)
-    model.vectors = model.latent(counts).astype(np.float32)
-    return model
+    project = (q @ right[:d].T).astype(np.float32)
+    return Neighbours(idf, project, _unit(x @ project).astype(np.float32), y, float(y.mean()))
 
 
 def score(docs: DataFrame, model: Neighbours | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
