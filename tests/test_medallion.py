@@ -73,6 +73,9 @@ def test_jobs_end_to_end(spark, store):
     assert extract.count() <= 400 and {"risk_decile", "alert_flag", "risk_band", "anchor_datetime", "hr_mean_24h"} <= set(extract.columns)
     assert spark.read.option("header", True).csv(store.path("reports/risk_scores_sample")).count() == min(200, rows["marts/risk_scores"])
     history = {r["metric"]: r["value"] for r in store.read("marts/run_metrics").collect()}
+    assert history["rows:in/vitals"] == rows["bronze/vitals"] and history["anchors_per_stay"] == 30
+    checked = {r["check"] for r in store.read("marts/data_quality").collect()}
+    assert {"anchors", "leakage", "null_profile", "dedupe", "temporal", "scores"} <= checked
     assert history["rows:gold/anchors"] == rows["gold/anchors"] and "gold:labels:prevalence" in history
     assert any(m.endswith(":val:auprc") for m in history) and medallion.drift(store).count() == 0
     assert store.read("marts/data_quality").where("severity = 'ERROR' and not passed").count() == 0
@@ -93,6 +96,15 @@ def test_a_second_run_is_added_and_becomes_the_latest(spark, store):
     assert same.where("abs(risk_score - again) > 1e-9").count() == 0
 
 
+def test_a_repeated_run_replaces_its_rows(spark, store):
+    tables = ("marts/model_metrics", "marts/data_quality", "marts/run_metrics")
+    before = [store.read(t).where("metric not like '%rows%'").count() for t in tables]
+    medallion.train(store, "run_2", SETTINGS)
+    medallion.check_quality(store, "run_1", F.lit("2024-02-01 00:00:00").cast("timestamp"), SETTINGS)
+    medallion.record_run(store, "run_1")
+    assert before == [store.read(t).where("metric not like '%rows%'").count() for t in tables]
+
+
 def test_drivers_follow_the_coefficients(spark, store):
     table = store.read("gold/training_set").withColumn("weight", F.lit(1.0))
     features = ["age", "admit_acuity", "hr_mean_24h"]

@@ -67,6 +67,12 @@ def test_drift(spark):
     assert got["m@r2"][1] and not got["m@r3"][1] and "m@r1" not in got
 
 
+def test_counts_drift_by_their_relative_change(spark):
+    rows = [("r1", "rows:gold", 1e6), ("r2", "rows:gold", 1e6 + 1), ("r3", "rows:gold", 1.2e6), ("r1", "share", 0.5), ("r2", "share", 0.7), ("r1", "rows:x", 0.0), ("r2", "rows:x", 0.0), ("r3", "rows:x", 1.0)]
+    got = report(Q.check_drift(spark.createDataFrame(rows, "run_id string, metric string, value double"), 0.1, limits={"share": 0.3}))
+    assert got["rows:gold@r2"][1] and not got["rows:gold@r3"][1] and got["share@r2"][1] and got["rows:x@r2"][1] and not got["rows:x@r3"][1]
+
+
 def test_anchors_leakage_features_labels(spark, stays):
     anchors = spark.createDataFrame([("p", "a", T0)] * 2 + [("p", "a", T0 + 10 * H), ("p", "a", T0 + 30 * H), ("z", "z", T0)], "patient_id string, admission_id string, anchor_time timestamp_ntz")
     outcomes = spark.createDataFrame([("p", "a", T0 + 10 * H)], "patient_id string, admission_id string, deterioration_time timestamp_ntz")
@@ -98,6 +104,8 @@ def test_run_checks_writes_and_raises(spark, tmp_path):
     sink = str(tmp_path / "dq")
     assert Q.run_checks([good], sink, "r1").count() == 3
     bad = Q.check_duplicates(spark.range(5).union(spark.range(2)), ["id"], "silver", True)
-    with pytest.raises(Q.QualityError, match="duplicate_rows=2.0"):
-        Q.run_checks([good, bad], sink, "r2")
+    for _ in range(2):  # a repeated run replaces its rows
+        with pytest.raises(Q.QualityError, match="duplicate_rows=2.0"):
+            Q.run_checks([good, bad], sink, "r2")
+    assert spark.read.parquet(sink).where("run_id = 'r2'").count() == 6
     assert spark.read.parquet(sink).groupBy("run_id").count().count() == 2

@@ -77,7 +77,9 @@ class SplitFractions:
     @property
     def cuts(self) -> tuple[int, int]:
         """Upper bucket bounds (of 100) of the train and the validation part."""
-        return int(self.train * 100), int((self.train + self.val) * 100)
+        if self.train < 0 or self.val < 0 or self.train + self.val > 1 + 1e-9:
+            raise ValueError("fractions must not be negative or add up to more than one")
+        return round(self.train * 100), round((self.train + self.val) * 100)
 
 
 @dataclass(frozen=True)

@@ -107,21 +107,15 @@ def check_temporal(
 ) -> DataFrame:
     """Events outside their stay, without a stay, or in the future of the run.
 
-    Copies of an event are counted before the join, and hot stays are spread over tasks.
+    Events go straight into the join and are counted where they are; ``hot_rows`` spreads hot stays.
     """
-    counted = events.groupBy(*keys, "event_time").agg(F.count(F.lit(1)).alias("n"))
     bounds = stays.select(*keys, "admit_time", "discharge_time", F.lit(1).alias("__stay"))
-    placed = spread_join(counted, bounds, keys, ["event_time"], "left", hot_rows)
+    placed = spread_join(events.select(*keys, "event_time"), bounds, keys, ["event_time"], "left", hot_rows)
     t = F.col("event_time")
-    outside = (t < F.col("admit_time")) | (t > F.col("discharge_time"))
-
-    def rows_where(cond: Column) -> Column:
-        return F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
-
     out = placed.agg(
-        rows_where(outside).alias("outside"),
-        rows_where(F.col("__stay").isNull()).alias("orphans"),
-        rows_where(t > run_time).alias("future"),
+        F.count_if((t < F.col("admit_time")) | (t > F.col("discharge_time"))).alias("outside"),
+        F.count_if(F.col("__stay").isNull()).alias("orphans"),
+        F.count_if(t > run_time).alias("future"),
     )
     return _report(
         out,
@@ -189,25 +183,53 @@ def check_nulls(df: DataFrame, columns: Sequence[str], layer: str, empty_is: str
     return _report(out, "null_profile", layer, lines)
 
 
-def check_drift(history: DataFrame, limit: float = 0.10, layer: str = "silver", run_col: str = "run_id") -> DataFrame:
-    """Change of every metric against the run before, from a table ``(run_id, metric, value)``."""
+def check_drift(
+    history: DataFrame,
+    limit: float = 0.10,
+    layer: str = "silver",
+    run_col: str = "run_id",
+    relative: str = r"(^|:)(rows|duplicate_rows|repeated_keys|rows_removed|n_)|_per_stay$",
+    limits: Mapping[str, float] | None = None,
+) -> DataFrame:
+    """Change of every metric against the run before, from a table ``(run_id, metric, value)``.
+
+    Shares change by their difference. Counts, whose names match ``relative``, change by the
+    difference over the value before; one that was zero changes by infinity, or not at all.
+    ``limits`` sets other limits for single metrics.
+    """
     runs = Window.partitionBy("metric").orderBy(run_col)
-    change = F.col("value") - F.lag("value").over(runs)
-    return history.withColumn("change", change).where(F.col("change").isNotNull()).select(
+    before = F.lag("value").over(runs)
+    difference = F.col("value") - before
+    share = F.when(before != 0, difference / F.abs(before)).otherwise(
+        F.when(difference == 0, F.lit(0.0)).otherwise(F.signum(difference) * F.lit(float("inf")))
+    )
+    # A change against no run before stays null.
+    change = F.when(before.isNotNull(), F.when(F.col("metric").rlike(relative), share).otherwise(difference))
+    allowed = F.lit(float(limit))
+    for name, own in (limits or {}).items():
+        allowed = F.when(F.col("metric") == name, F.lit(float(own))).otherwise(allowed)
+    return history.withColumns({"change": change, "allowed": allowed}).where(F.col("change").isNotNull()).select(
         F.lit("drift").alias("check"),
         F.lit(layer).alias("layer"),
         F.lit(WARN).alias("severity"),
         F.concat_ws("@", "metric", F.col(run_col).cast("string")).alias("metric"),
         F.col("change").cast("double").alias("value"),
-        (F.abs("change") <= limit).alias("passed"),
+        (F.abs("change") <= F.col("allowed")).alias("passed"),
     )
 
 
 def check_anchors(
-    anchors: DataFrame, stays: DataFrame, outcomes: DataFrame, layer: str = "gold", keys: Sequence[str] = KEYS
+    anchors: DataFrame,
+    stays: DataFrame,
+    outcomes: DataFrame,
+    layer: str = "gold",
+    keys: Sequence[str] = KEYS,
+    after_outcome: str = ERROR,
 ) -> DataFrame:
     """Repeated anchors, anchors outside their stay, anchors at or after the outcome.
 
+    ``after_outcome`` is the severity of the last: a grid that is not censored runs on after it.
+
     Repeated anchors are counted ahead of the join, so a stay brings no more rows to it than its
     duration has anchor times.
     """
@@ -233,7 +255,7 @@ def check_anchors(
         [
             _none_of(ERROR, "duplicate_anchors", "repeated"),
             _none_of(ERROR, "anchors_outside_stay", "outside"),
-            _none_of(ERROR, "anchors_after_outcome", "late"),
+            _none_of(after_outcome, "anchors_after_outcome", "late"),
         ],
     )
 
@@ -347,7 +369,12 @@ def run_checks(checks: Sequence[DataFrame], sink: str | None = None, run_id: str
     rows = report.coalesce(1).collect()
     done = report.sparkSession.createDataFrame(rows, report.schema)
     if sink is not None:
-        done.coalesce(1).write.mode("append").parquet(sink)
+        # A run that is repeated replaces its own rows.
+        writer = done.coalesce(1).write
+        if run_id is None:
+            writer.mode("append").parquet(sink)
+        else:
+            writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(sink)
     failed = [f"{r['check']}.{r['metric']}={r['value']}" for r in rows if r["severity"] == ERROR and not r["passed"]]
     if failed:
         raise QualityError("; ".join(failed))

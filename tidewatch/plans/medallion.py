@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from tidewatch.config import (
     ANCHOR_KEYS,
     CLIP_RANGES,
+    OUTCOME_TYPES,
     DEFAULT_LAB_STATS,
     DEFAULT_VITAL_STATS,
     KEYS,
@@ -27,9 +28,16 @@ from tidewatch.config import (
 from tidewatch.operators import clean, dataset, evaluate, ingest, labels, model, publish, quality, windows
 from tidewatch.operators.anchors import anchor_grid
 from tidewatch.sources import assert_schema, export_csv, latest_run, read_table, row_audit, stage, write_table
-from tidewatch.sources.schemas import RAW_TABLES
+from tidewatch.sources.schemas import RAW_TABLES, struct_of
 
 EVENTS = ("vitals", "labs")
+# Tables of a few rows per run, one partition each: a run that is repeated replaces its own rows.
+# The schemas keep run ids of digits as text.
+MARTS = {
+    "marts/model_metrics": struct_of("model string,split string,metric string,value double,run_id string"),
+    "marts/run_metrics": struct_of("metric string,value double,run_id string"),
+    "marts/data_quality": struct_of("check string,layer string,severity string,metric string,value double,passed boolean,run_id string"),
+}
 ATTRIBUTES = ("age", "sex", "diabetes", "ckd", "copd", "chf", "comorbidity_count", "admit_acuity")
 
 
@@ -62,7 +70,12 @@ class Store:
         return f"{self.root.rstrip('/')}/{table}"
 
     def read(self, table: str) -> DataFrame:
-        return read_table(self.spark, self.path(table))
+        return read_table(self.spark, self.path(table), MARTS.get(table))
+
+    def write_run(self, df: DataFrame, table: str) -> None:
+        """A few rows of one run, in place of any it had."""
+        small = df.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        small.partitionBy("run_id").parquet(self.path(table))
 
     def write(self, df: DataFrame, table: str, **options) -> None:
         audited, self.counts[table] = row_audit(df, table.replace("/", "_"))
@@ -87,6 +100,7 @@ def to_silver(store: Store, settings: Settings = Settings()) -> None:
         events = clean.silver_events(store.read(f"bronze/{name}"), settings.clip_ranges)
         store.write(events, f"silver/{name}", partition_by=["event_date"])
     outcomes = clean.dedupe_latest(store.read("bronze/outcomes"), KEYS, ["_ingest_ts"])
+    outcomes = clean.standardize_enum(outcomes, "outcome_type", OUTCOME_TYPES, None)
     store.write(clean.valid_outcomes(outcomes, store.read("silver/admissions")), "silver/outcomes")
 
 
@@ -97,7 +111,7 @@ def to_gold(store: Store, settings: Settings = Settings()) -> None:
         windows.vitals_family(store.read("silver/vitals"), settings.vital_stats),
         windows.labs_family(store.read("silver/labs"), settings.lab_stats),
     ]
-    store.write(windows.gold_features(stays, families, settings.grid), "gold/features")
+    store.write(windows.gold_features(stays, families, settings.grid, audit=True), "gold/features")
     outcomes = store.read("silver/outcomes")
     store.write(labels.label_horizon(store.read("gold/anchors"), outcomes, settings.horizon), "gold/labels")
 
@@ -105,7 +119,7 @@ def to_gold(store: Store, settings: Settings = Settings()) -> None:
 def to_training_set(store: Store, settings: Settings = Settings()) -> None:
     labelled = labels.with_labels(store.read("gold/features"), store.read("silver/outcomes"), settings.horizon)
     table = dataset.model_table(
-        labelled.drop("deterioration_time"),
+        labelled.drop("deterioration_time", "max_event_time"),
         store.read("silver/admissions").select(*KEYS, *ATTRIBUTES),
         settings.splits,
         encode={"sex": ("M", "sex_m")},
@@ -115,7 +129,7 @@ def to_training_set(store: Store, settings: Settings = Settings()) -> None:
 
 
 def train(store: Store, run_id: str, settings: Settings = Settings()) -> None:
-    """Fit both models on the train split, save them, append their metrics on val and test."""
+    """Fit both models on the train split, save them, write their metrics on val and test."""
     table = store.read("gold/training_set")
     weighted = dataset.class_weights(table, table.where(F.col("split") == "train"))
     features = model.feature_columns(weighted)
@@ -138,7 +152,7 @@ def train(store: Store, run_id: str, settings: Settings = Settings()) -> None:
             part = scored.where((F.col("model") == name) & (F.col("split") == split))
             ids = {"run_id": run_id, "model": name, "split": split}
             metrics = metrics.unionByName(evaluate.topk_long(part, settings.alerts.rates, ids))
-    write_table(metrics.coalesce(1), store.path("marts/model_metrics"), mode="append")
+    store.write_run(metrics, "marts/model_metrics")
 
 
 def evaluate_best(store: Store, settings: Settings = Settings()) -> tuple[str, str]:
@@ -181,10 +195,9 @@ def export_dashboard(store: Store, settings: Settings = Settings()) -> None:
 
 
 def check_quality(store: Store, run_id: str, run_time: Column, settings: Settings = Settings()) -> DataFrame:
-    """The checks of all layers, appended to the quality table; failed errors raise.
+    """The checks of all layers, written to the quality table; failed errors raise.
 
-    The grid runs on after an outcome by default, so anchors after an outcome are reported by
-    ``quality.check_anchors`` on request and not required here.
+    The grid runs on after an outcome by default, so anchors after an outcome are a warning here.
     """
     event_keys = [*KEYS, "event_time"]
     stays = store.read("silver/admissions")
@@ -199,9 +212,16 @@ def check_quality(store: Store, run_id: str, run_time: Column, settings: Setting
             quality.check_temporal(silver, stays, run_time, f"silver/{name}"),
             quality.check_duplicates(silver, event_keys, f"silver/{name}", remaining_is_error=True),
             quality.check_intervals(silver, stays, f"silver/{name}"),
+            quality.check_dedupe_removed(bronze, silver, f"silver/{name}"),
+            quality.check_nulls(silver, [c for c in settings.clip_ranges if c in silver.columns], f"silver/{name}"),
         ]
-    table = store.read("gold/training_set")
+    table, features, anchors = (store.read(f"gold/{t}") for t in ("training_set", "features", "anchors"))
+    hours = {f"{s.signal}_tslm_{w}h": w for s in (*settings.vital_stats, *settings.lab_stats) for w in settings.grid.windows_h}
+    present = {c: w for c, w in hours.items() if c in features.columns}
     checks += [
+        quality.check_anchors(anchors, stays, store.read("silver/outcomes"), "gold/anchors", after_outcome=quality.WARN),
+        quality.check_leakage(features, settings.grid.windows_h, "gold/features"),
+        *([quality.check_features(features, present, "gold/features")] if present else []),
         quality.check_duplicates(store.read("gold/anchors"), ANCHOR_KEYS, "gold/anchors", remaining_is_error=True),
         quality.check_labels(store.read("gold/labels")),
         quality.check_split_overlap(table),
@@ -220,13 +240,19 @@ def record_run(store: Store, run_id: str) -> None:
         [(run_id, f"rows:{table}", float(n)) for table, n in store.rows().items()],
         "run_id string, metric string, value double",
     )
+    rows = store.rows()
+    # Bronze holds every row that came in.
+    came = [(run_id, f"rows:in/{t}", float(rows[f"bronze/{t}"])) for t in RAW_TABLES if f"bronze/{t}" in rows]
+    if rows.get("silver/admissions"):
+        came.append((run_id, "anchors_per_stay", rows.get("gold/anchors", 0) / rows["silver/admissions"]))
+    counted = counted.unionByName(store.spark.createDataFrame(came, counted.schema))
     here = F.col("run_id") == run_id
     checks = store.read("marts/data_quality").where(here)
     checked = checks.select("run_id", F.concat_ws(":", "layer", "check", "metric").alias("metric"), "value")
     models = store.read("marts/model_metrics").where(here)
     trained = models.select("run_id", F.concat_ws(":", "model", "split", "metric").alias("metric"), "value")
     history = counted.unionByName(checked).unionByName(trained)
-    write_table(history.coalesce(1), store.path("marts/run_metrics"), mode="append")
+    store.write_run(history, "marts/run_metrics")
 
 
 def drift(store: Store, limit: float = 0.10) -> DataFrame:

@@ -219,7 +219,7 @@ _SAMPLE_COLUMNS = "patient_id, admission_id, anchor_time, anchor_date, risk_scor
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out["bronze_ingest"] = (
-        "SELECT event_id, ts, user_id, event_type, value, TIMESTAMP '2024-02-01 00:00:00' AS _ingest_ts, 'shared_events' AS _source FROM events"
+        "SELECT event_id, ts, user_id, event_type, value, props, TIMESTAMP '2024-02-01 00:00:00' AS _ingest_ts, 'shared_events' AS _source FROM events"
     )
     out["enforce_schema"] = (
         "SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS INTEGER) AS user_id, "
@@ -559,9 +559,13 @@ SELECT o_orderkey, admit_time, CASE WHEN admit_time <= t THEN 'train' WHEN admit
         + _report("counted", "split_overlap", "gold", [_zero("ERROR", "entities_in_several_splits", "overlap")])
     )
     out["shared_entities"] = (
-        "SELECT user_id AS patient_id FROM events WHERE extract(day FROM ts) <= 3 "
-        "INTERSECT SELECT user_id FROM events WHERE extract(day FROM ts) >= 29"
+        "SELECT user_id AS patient_id FROM events WHERE extract(day FROM ts) <= 16 "
+        "INTERSECT SELECT user_id FROM events WHERE extract(day FROM ts) >= 15"
     )
+    counted = "count(*) FILTER (WHERE split = 'train')"
+    out["ml_logreg_gradient"] = _ON_TRAINING + f"SELECT {counted} AS n_train, 0.0::DOUBLE AS steepest FROM training"
+    for name in ("ml_logreg_formula", "ml_gbt_repeat"):
+        out[name] = _ON_TRAINING + "SELECT count(*) AS n_scored, 0::BIGINT AS n_off FROM training"
     out["dq_scores"] = (
         _ON_SCORED
         + ", counted AS (SELECT count(*) FILTER (WHERE risk_score < 0 OR risk_score > 1) AS outside, count(*) AS n, min(risk_score) AS lo, "
