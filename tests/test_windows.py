@@ -195,13 +195,17 @@ def test_unknown_statistic_is_refused(spark):
         features_of(spark, stays_of(spark, [24]), [("P0", "A0", T0, 1.0, None)], ("median",))
 
 
-def test_feature_plan_has_no_pairs_and_two_shuffles_of_events(spark):
+@pytest.mark.parametrize("make", [windows.window_features, windows.gold_features])
+@pytest.mark.parametrize("stat", ["mean", "std"])
+def test_feature_plan_has_no_pairs_and_one_shuffle_of_events(spark, make, stat):
     df = spark.createDataFrame([("P0", "A0", T0, 1.0, 2.0)], EVENT)
-    plan = windows.window_features(stays_of(spark, [24]), [windows.vitals_family(df, [SignalStats("hr", ("mean",))])], hot_rows=None)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = make(stays_of(spark, [24]), [windows.vitals_family(df, [SignalStats("hr", (stat,))])])
     text = plan._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Cartesian" not in text and "NestedLoop" not in text and "Python" not in text
-    # Sides of the join, panes, panes by stay. The aggregation per anchor adds none.
-    assert text.count("Exchange hashpartitioning") <= 4
+    # Events and stays come together by stay; panes and anchors are aggregated where they are.
+    assert text.count("Exchange hashpartitioning") == 2
 
 
 @pytest.mark.parametrize("base", [0.0, 1e6, 1e9])

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 from tidewatch.config import ANCHOR_KEYS, KEYS, BandCutoffs, DashboardSpec
 from tidewatch.functions import risk_band_of
 from tidewatch.operators.ranking import deciles_and_alerts, stratified_sample
-from tidewatch.sources import existing_columns
+from tidewatch.sources import existing_columns, stage
 
 
 def risk_band(df: DataFrame, cutoffs: BandCutoffs = BandCutoffs(), score: str = "risk_score") -> DataFrame:
@@ -44,15 +44,15 @@ def dashboard_extract(
 ) -> DataFrame:
     """Sample of the scored table, half alerted, with deciles, bands and tooltip columns.
 
-    Deciles and alerts are found on the narrow scored table. Tooltips are looked up for the
-    sampled rows only: at most ``spec.rows`` keys are broadcast to the wide table, which is then
-    filtered where it lies.
+    Deciles and alerts are found on the narrow scored table. The sample, at most ``spec.rows`` rows,
+    is staged once; tooltips are looked up for its rows only, and Spark picks the join by its size.
     """
     flagged = deciles_and_alerts(scored, spec.alert_rate, spec.tiles, "risk_score", keys)
     sample = stratified_sample(flagged, spec.rows, spec.alerted_fraction, spec.seed, "alert_flag", keys)
+    sample = stage(sample, "dashboard-sample")
     match = [*keys, "anchor_date"]
     wanted = [c for c in existing_columns(features, spec.tooltips) if c not in sample.columns]
-    tips = features.select(*match, *wanted).join(F.broadcast(sample.select(*match)), match, "left_semi")
+    tips = features.select(*match, *wanted).join(sample.select(*match), match, "left_semi")
     return (
         risk_band(sample.join(tips, match, "left"), spec.bands)
         .withColumn("anchor_datetime", F.col("anchor_time").cast("timestamp"))

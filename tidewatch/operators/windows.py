@@ -141,19 +141,26 @@ def build_panes(
     grid: TimeGrid,
     keys: Sequence[str] = KEYS,
     hot_rows: int | None = None,
+    whole_grid: bool = False,
 ) -> DataFrame:
     """One row per stay and non-empty pane, holding combinable partial statistics.
 
     Pane j covers ``(start + (j-1)*width, start + j*width]``; events ahead of the stay fall into
     pane 0 and below. Events too old for the first anchor or after the last one are left out.
+    ``whole_grid`` adds a row without a pane for every stay. It travels with the events, so that
+    panes stay clustered by the one shuffle that brings events and stays together.
     """
     width = _pane_hours(grid) * MICROS_PER_HOUR
     bounded = stays.select(*keys, grid.start, last_anchor_index(grid).alias("__last"))
     since = micros_between(grid.start, "event_time")
+    stream = _event_stream(families, keys)
+    if whole_grid:
+        stream = stream.unionByName(stays.select(*keys), allowMissingColumns=True)
+    seen = F.col("__pane").between(1 - _reach(grid), _anchor_pane(F.col("__last"), grid))
     events = (
-        spread_join(_event_stream(families, keys), bounded, keys, ["event_time"], "inner", hot_rows)
+        spread_join(stream, bounded, keys, ["event_time"], "inner", hot_rows)
         .withColumn("__pane", ceil_div(since, width))
-        .where(F.col("__pane").between(1 - _reach(grid), _anchor_pane(F.col("__last"), grid)))
+        .where(seen | F.col("event_time").isNull() if whole_grid else seen)
         .withColumn("__hours", (since - F.col("__pane") * F.lit(width)).cast("double") / float(MICROS_PER_HOUR))
     )
     aggs = [a for f in families for a in _pane_aggregates(f)]
@@ -283,12 +290,9 @@ def _features(
     whole_grid: bool,
     audit: bool,
 ) -> DataFrame:
-    panes = build_panes(stays, families, grid, keys, hot_rows)
-    if whole_grid:
-        # One row per stay without a pane stands for its bare grid and keeps anchors without
-        # events, so the features need no join with the anchors.
-        bare = stays.select(*keys, grid.start, last_anchor_index(grid).alias("__last"))
-        panes = panes.unionByName(bare, allowMissingColumns=True)
+    # The row without a pane stands for a stay's bare grid and keeps anchors without events, so the
+    # features need no join with the anchors.
+    panes = build_panes(stays, families, grid, keys, hot_rows, whole_grid)
     pivots = [s.signal for f in families for s in f.stats if _pivoted(s)]
     at_anchors = _panes_at_anchors(panes, grid, keys, pivots)
     aggs: list[Column] = []
