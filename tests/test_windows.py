@@ -184,6 +184,22 @@ def test_irregular_anchors_agree_with_the_grid(spark):
         assert rounded(irregular).exceptAll(rounded(on_grid)).count() == 0
 
 
+@pytest.mark.parametrize("hot", [None, 4])
+def test_irregular_windows_of_repeated_and_event_less_anchors(spark, hot):
+    rng = random.Random(11)
+    events = [("P0", "A0", T0 + rng.randrange(0, 50) * H, rng.choice([None, float(rng.randrange(60, 90))]), None) for _ in range(40)]
+    anchors_at = [T0 + h * H for h in (0, 5, 5, 12, 24, 24, 49, 400)]
+    df = spark.createDataFrame(events, EVENT)
+    points = spark.createDataFrame([("P0", "A0", t) for t in anchors_at], "patient_id string, admission_id string, anchor_time timestamp_ntz")
+    got = {r["anchor_time"]: (r["hr_mean_12h"], r["hr_count_12h"]) for r in windows.irregular_window_features(points, df, "hr", 12, hot_rows=hot).collect()}
+    for t in set(anchors_at):
+        inside = [v for _, _, e, v, _ in events if t - 12 * H < e <= t]
+        values = [v for v in inside if v is not None]
+        assert (t in got) == bool(inside)
+        if inside:
+            assert got[t] == (pytest.approx(sum(values) / len(values)) if values else None, len(values))
+
+
 def test_no_event_after_the_anchor_is_used(spark):
     events = [("P0", "A0", T0 + i * H / 7, 60.0, None) for i in range(200)]
     got = features_of(spark, stays_of(spark, [28]), events, ("mean",), audit=True)

@@ -24,7 +24,7 @@ from tidewatch.config import (
     TimeGrid,
 )
 from tidewatch.functions import ceil_div, derived_from_last, floor_div, micros_between
-from tidewatch.functions.columns import MICROS_PER_HOUR
+from tidewatch.functions.columns import MICROS_PER_HOUR, micros_of
 from tidewatch.operators.anchors import anchor_time_of, last_anchor_index
 from tidewatch.operators.joins import range_join_bucketed, spread_join
 
@@ -382,23 +382,63 @@ def irregular_window_features(
 ) -> DataFrame:
     """Mean, last and count of a signal at arbitrary anchor times (no grid to rely on).
 
-    The pairs of the range join are combined within their task before they are shuffled.
+    One row per distinct anchor that has an event in its window. Time is cut into buckets of the
+    window's length; every event goes to its own bucket and the next, and running sums over a bucket
+    are read at both ends of each window: rows in proportion to events and anchors, no pairs. With
+    ``hot_rows``, for keys of which even one bucket is too large for a task, the pairs of a spread
+    range join are combined instead.
     """
+    named = [feature_name(signal, stat, window_h) for stat in ("mean", "last", "count")]
     v = F.col(signal)
-    pairs = range_join_bucketed(
-        anchors.select(*keys, "anchor_time"),
-        events.select(*keys, "event_time", signal),
-        keys,
-        "anchor_time",
-        "event_time",
-        window_h,
-        hot_rows,
+    points = anchors.select(*keys, "anchor_time").where(F.col("anchor_time").isNotNull()).distinct()
+    if hot_rows is not None:
+        pairs = range_join_bucketed(
+            points, events.select(*keys, "event_time", signal), keys, "anchor_time", "event_time", window_h, hot_rows
+        )
+        last = F.max_by(v, F.when(v.isNotNull(), F.col("event_time")))
+        values = (F.avg(v), last, F.count(v))
+        return pairs.groupBy(*keys, "anchor_time").agg(*[c.alias(n) for c, n in zip(values, named)])
+
+    width = int(window_h * MICROS_PER_HOUR)
+    at = F.col("__at")
+    seen = (
+        events.where(F.col("event_time").isNotNull())
+        .select(*keys, micros_of("event_time").alias("__at"), v.alias("__v"), F.lit(0).alias("__end"))
+        .withColumn("__bucket", F.explode(F.array(floor_div(at, width), floor_div(at, width) + 1)))
     )
-    return pairs.groupBy(*keys, "anchor_time").agg(
-        F.avg(v).alias(feature_name(signal, "mean", window_h)),
-        F.max_by(v, F.when(v.isNotNull(), F.col("event_time"))).alias(feature_name(signal, "last", window_h)),
-        F.count(v).alias(feature_name(signal, "count", window_h)),
+    # Ends come behind events of the same time: a window holds its anchor's time, not its start.
+    ends = (
+        points.withColumns({"__at": micros_of("anchor_time"), "__bucket": floor_div(micros_of("anchor_time"), width)})
+        .withColumn("__end", F.explode(F.array(F.lit(1), F.lit(2))))
+        .withColumn("__at", F.when(F.col("__end") == 1, at - width).otherwise(at))
     )
+    upto = Window.partitionBy(*keys, "__bucket").orderBy("__at", "__end").rowsBetween(Window.unboundedPreceding, 0)
+    running = seen.unionByName(ends, allowMissingColumns=True).withColumns(
+        {
+            "__rows": F.count_if(F.col("__end") == 0).over(upto),
+            "__n": F.count("__v").over(upto),
+            "__sum": F.sum("__v").over(upto),
+            "__last": F.last(F.when(F.col("__v").isNotNull(), F.struct(at.alias("at"), F.col("__v").alias("v"))), True).over(upto),
+        }
+    )
+
+    def between(c: str) -> Column:
+        at_end = [F.coalesce(F.max(F.when(F.col("__end") == k, F.col(c))), F.lit(0)) for k in (2, 1)]
+        return at_end[0] - at_end[1]
+
+    at_anchor = (
+        running.where(F.col("__end") > 0)
+        .groupBy(*keys, "__bucket", "anchor_time")
+        .agg(
+            between("__rows").alias("__rows"),
+            between("__n").alias("__n"),
+            between("__sum").alias("__sum"),
+            F.max(F.when(F.col("__end") == 2, F.col("__last")))["v"].alias("__value"),
+        )
+        .where(F.col("__rows") > 0)
+    )
+    values = (F.try_divide("__sum", "__n"), F.when(F.col("__n") > 0, F.col("__value")), F.col("__n"))
+    return at_anchor.select(*keys, "anchor_time", *[c.alias(n) for c, n in zip(values, named)])
 
 
 def with_derived_features(features: DataFrame, windows_h: Sequence[int], last: tuple[str, str, str] = ("hr", "sbp", "dbp")) -> DataFrame:
