@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewatch.llm.words import text_bytes
+from tidewatch.llm.words import least_hashes, text_bytes
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -141,7 +141,8 @@ def fit(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str =
     None if no row has a text and a language.
     """
     rows = docs.where(learn & F.col(lang_col).isNotNull() & (F.length(text_col) > 0))
-    langs = sorted(r[0] for r in rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(64).select(lang_col).collect())
+    sizes = dict(rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(64).collect())
+    langs = sorted(sizes)
     # Languages beyond the 64 most frequent ones are not learned; each of these gets its part.
     if not langs:
         return None
@@ -149,7 +150,7 @@ def fit(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str =
     keyed = rows.select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"), F.substring(text_col, 1, WINDOW * _WINDOWS_EACH * 4).alias("text"))
     picked = None
     for lang in langs:
-        part = keyed.where(F.col("lang") == lang).orderBy("h", "text").limit(each)
+        part = keyed.where((F.col("lang") == lang) & least_hashes(F.col("h"), each, sizes[lang])).orderBy("h", "text").limit(each)
         picked = part if picked is None else picked.unionByName(part)
     held = picked.collect()
     rng = np.random.default_rng(11)

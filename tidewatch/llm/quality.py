@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewatch.llm.words import Words, words
+from tidewatch.llm.words import Words, least_hashes, words
 
 # Labelled documents that are broadcast at most, half of them of each label.
 REFERENCES = 6_000
@@ -133,7 +133,8 @@ def fit(
     """
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
     marked = labels.where(learn & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).distinct()
-    halves = [marked.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(references // 2) for y in (0, 1)]
+    h, half, sizes = F.xxhash64("id"), references // 2, dict(marked.groupBy("y").count().collect())
+    halves = [marked.where((F.col("y") == y) & least_hashes(h, half, sizes.get(y, 0))).orderBy(h, "id").limit(half) for y in (0, 1)]
     picked = halves[0].unionByName(halves[1])
     # At most `references` rows, so they may be broadcast.
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(picked), "id").select("y", "text")

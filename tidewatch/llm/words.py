@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Column, functions as F
 
 # Bytes of text handled at once: a few arrays of eight bytes per byte of text then stay in cache.
 CHUNK_BYTES = 1 << 20
@@ -50,6 +51,16 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def least_hashes(hashed: Column, n: int, rows: int) -> Column:
+    """Keeps about twice the ``n`` rows of least hash (a long) among ``rows``.
+
+    Hashes are uniform, so what is left to order has a size that depends on ``n`` alone, however many
+    tasks the rows come from.
+    """
+    share = min(1.0, (2 * n + 100) / max(rows, 1))
+    return hashed <= F.lit(min(int(share * 2**64) - 2**63, 2**63 - 1)).cast("long")
+
+
 @dataclass
 class Words:
     """Words of the rows ``first`` to ``first + len(rows) - 1`` of a column."""
