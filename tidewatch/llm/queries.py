@@ -143,6 +143,39 @@ FROM marked GROUP BY conv_id
 """
 
 
+_WORD = r"[^\x20\x09-\x0D]+"
+
+_NEAR_SQL = rf"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS w
+  FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+                                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM texts),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM sets a JOIN sets b USING (s) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT u, v FROM common JOIN sizes a ON a.doc_id = u JOIN sizes b ON b.doc_id = v WHERE 100 * c >= 80 * (a.n + b.n - c)),
+edges AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach(doc_id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, edges.v FROM reach JOIN edges ON reach.r = edges.u),
+least AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM least LEFT JOIN sizes USING (doc_id)
+"""
+
+_REPEATS_SQL = rf"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + {substring.WINDOW - 1}], ' ') AS s
+  FROM texts, unnest(range(1, len(w) - {substring.WINDOW - 2})) AS t(i)),
+repeated AS (SELECT s FROM windows GROUP BY s HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + {substring.WINDOW})) AS p FROM windows SEMI JOIN repeated USING (s)),
+placed AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM texts),
+kept AS (
+  SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY p) AS kept FROM placed ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": q_pii,
@@ -159,4 +192,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": _EXACT_SQL, "op9_mix_sources": _MIX_SQL, "op10_chat_format": _CHAT_SQL}
+    return {
+        "op4_near_duplicates": _NEAR_SQL,
+        "op7_substring_dedup": _REPEATS_SQL,
+        "op8_exact_dedup": _EXACT_SQL,
+        "op9_mix_sources": _MIX_SQL,
+        "op10_chat_format": _CHAT_SQL,
+    }
