@@ -87,8 +87,10 @@ def numbered(df: DataFrame, score: Column, tie: Column, cuts: Sequence[Cutoff])
     for value, digest in sorted(split):
         hit = hit | ((score == F.lit(value)) & (tie == F.lit(digest)))
     hit = F.coalesce(hit, F.lit(False))
-    order = Window.partitionBy(score, tie).orderBy(F.xxhash64(*df.columns))
-    inside = df.where(hit).withColumn(_NTH, F.row_number().over(order).cast("bigint"))
+    columns = df.columns
+    inside = df.where(hit).withColumns({"__s": score, "__t": tie, "__x": F.xxhash64(*columns)})
+    order = Window.partitionBy("__s", "__t").orderBy("__x")
+    inside = inside.withColumn(_NTH, F.row_number().over(order).cast("bigint")).select(*columns, _NTH)
     outside = df.where(~hit).withColumn(_NTH, F.lit(None).cast("bigint"))
     return inside.unionByName(outside), F.col(_NTH)
 
@@ -187,9 +189,13 @@ def _narrowed(scored: DataFrame, n: int, quantiles: Sequence[float], positions:
             else:
                 again.append((lo, hi))
         pending = [p for p in pending if p not in found and not any(p in part.positions for part in parts)]
+        again = _merged(again)
+        if again == spans:
+            # The sketch tells no more: halve what is left, down to single scores.
+            again = [cut for lo, hi in spans for cut in ((lo, lo + (hi - lo) / 2), (hi, hi))]
         if pending and not again:
             break
-        spans = _merged(again)
+        spans = again
     return found | _ordered(scored, n, parts)
 
 
@@ -223,36 +229,40 @@ def _narrowed_ties(
 
     Digests are uniform, so the k-th of them lies close to the fraction k / count of their range:
     within six standard deviations of it. Where keys repeat that may not hold; the counts then say
-    on which side to go on.
+    on which side to go on, between the least and the greatest digest found there, and an interval
+    that stays as it was is halved. One that holds a single digest is the cut-off.
     """
     t = F.col("t")
     parts, found = [], {}
     for p in positions:
-        lo, hi, ahead, inside = "", "g", before, count
-        low, high = 0.0, 1.0
-        while inside > _ORDER_AT_ONCE:
+        lo, hi, ahead, inside, halve = "", "g", before, count, False
+        while inside > _ORDER_AT_ONCE and lo != hi:
+            low, high = _fraction_of(lo), _fraction_of(hi)
             share = (p - ahead) / inside
-            spread = min(0.25, 6 * math.sqrt(inside * share * (1 - share)) / inside + 10 / inside)
-            at, width = low + share * (high - low), spread * (high - low)
-            cuts = [max(at - width, low), min(at + width, high)]
-            a, b = max(_digest_at(cuts[0]), lo), max(_digest_at(cuts[1]), lo) if cuts[1] < high else hi
-            here = (t >= lo) & (t < hi)
-            got = rows.where(here).agg(
-                F.count_if(t < a).alias("n0"), F.count_if((t >= a) & (t < b)).alias("n1"),
-                F.min(F.when((t >= a) & (t < b), t)).alias("lo"), F.max(F.when((t >= a) & (t < b), t)).alias("hi"),
+            spread = 6 * math.sqrt(inside * share * (1 - share)) / inside + 10 / inside
+            at, width = (0.5, 0.0) if halve else (share, min(0.25, spread))
+            a, b = (_digest_at(low + (at + sign * width) * (high - low)) for sign in (-1, 1))
+            if halve and not lo < b <= hi:
+                a = b = hi  # too close to be told apart by their leading digits: set the last one apart
+            pieces = (t < a, (t >= a) & (t < b), t >= b)
+            got = rows.where((t >= lo) & (t <= hi)).agg(
+                *[F.count_if(piece).alias(f"n{i}") for i, piece in enumerate(pieces)],
+                *[F.min(F.when(piece, t)).alias(f"lo{i}") for i, piece in enumerate(pieces)],
+                *[F.max(F.when(piece, t)).alias(f"hi{i}") for i, piece in enumerate(pieces)],
             ).first()
-            if p <= ahead + got["n0"]:
-                hi, high, inside = a, cuts[0], got["n0"]
-            elif p <= ahead + got["n0"] + got["n1"]:
-                lo, hi, low, high, ahead, inside = a, b, cuts[0], cuts[1], ahead + got["n0"], got["n1"]
-                if got["lo"] == got["hi"]:
-                    last = p == ahead + inside
-                    found[p] = Cutoff(p, n, value, got["lo"], None if last else p - ahead)
+            old = (lo, hi)
+            for i in range(3):
+                if p <= ahead + got[f"n{i}"]:
+                    lo, hi, inside = got[f"lo{i}"], got[f"hi{i}"], got[f"n{i}"]
                     break
+                ahead += got[f"n{i}"]
             else:
-                lo, low, ahead, inside = b, cuts[1], ahead + got["n0"] + got["n1"], inside - got["n0"] - got["n1"]
+                return parts, found  # the rows have changed; the caller reports the position
+            halve = (lo, hi) == old
+        if lo == hi:
+            found[p] = Cutoff(p, n, value, lo, None if p == ahead + inside else p - ahead)
         else:
-            parts.append(_Part(where & (t >= lo) & (t < hi), ahead, (p,)))
+            parts.append(_Part(where & (t >= lo) & (t <= hi), ahead, (p,)))
     return parts, found
 
 
@@ -477,7 +487,9 @@ def hash_sample(df: DataFrame, n: int, seed: int, keys: Sequence[str] = ANCHOR_K
     """
     if n <= 0:
         return df.where(F.lit(False))
-    drawn, level = tie_hash(keys, seed), F.lit(0.0)
+    drawn = tie_hash(keys, seed)
+    # One score for all rows: the order is that of the hashes alone.
+    level = F.length(drawn).cast("double")
     (cut,) = exact_cutoffs(df, level, lambda _: [n], drawn)
     if cut.position >= cut.rows:
         return df
@@ -485,6 +497,11 @@ def hash_sample(df: DataFrame, n: int, seed: int, keys: Sequence[str] = ANCHOR_K
     return df.where(~order_after(level, drawn, cut, nth)).drop(_NTH)
 
 
+def _fraction_of(digest: str) -> float:
+    """Where a digest lies in their range; the inverse of ``_digest_at`` up to its accuracy."""
+    return 0.0 if digest == "" else 1.0 if digest == "g" else int(digest[:12], 16) / 16**12
+
+
 def _digest_at(fraction: float) -> str:
     """Hex digits of a fraction of the range of digests; beyond its end a value above all of them."""
     if fraction >= 1:
