@@ -54,3 +54,26 @@ def test_odd_tables(spark):
     got = {(r["page_id"], r["url"], r["text"], r["n_chars"]) for r in html.extract(pages.withColumn("text", F.lit(1))).collect()}
     assert got == {(1, "u", "", 0), (1, None, "Hi, all.", 8), (None, "u", "", 0)}
     assert html.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<html><head><title>No</title><meta charset=utf-8><body><article>{}</article>",
+        "<html><head><title>No<script>var a = 1;</script><article>{}</article>",
+        "<html><head><title>No</head><body><article>{}</article>",
+        "<html><head><style>p{{}}</head><body><article>{}</article>",
+        "<body><svg viewBox='0 0 1 1' /><math/><article>{}</article><svg><text>no</text></svg>",
+        "<body><article><svg><path d='M0'><text>no</text>{}</article>",
+        "<body><svg-icon name=x></svg-icon><select-box></select-box><template-x/><article>{}</article><object-card></object-card>",
+        "<body><article><object data=x>{}</article>",
+        "<body><canvas><article>{}</article>",
+        "<body><svg data-x='a > b'><text>no</text></svg ><article>{}</article>",
+    ],
+)
+def test_silent_elements_end_where_browsers_end_them(page):
+    assert html.main_text(page.format(PARAGRAPHS)) == WANT
+
+
+def test_many_unclosed_elements_take_linear_time():
+    assert html.main_text("<article><p>One, two." + "<object><svg><title>" * 50_000) == "One, two."

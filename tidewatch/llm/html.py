@@ -24,7 +24,9 @@ _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr br img nobr".split()
 )
-_SILENT = "script|style|noscript|template|svg|math|iframe|object|canvas|head|textarea|select"
+_SILENT = "script|style|noscript|template|svg|math|iframe|object|canvas|title|textarea|select"
+# Silent elements that hold nothing but characters: without an end tag they reach to the end of the head or page.
+_RAW = frozenset("script style iframe textarea".split())
 _APART = frozenset("nav header footer aside form menu dialog button fieldset figure figcaption address".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # A start tag of these ends an open paragraph, list item, cell and so on.
@@ -32,11 +34,17 @@ _CLOSES = {
     "p": "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split(),
     "li": ["li"], "dt": ["dt", "dd"], "dd": ["dt", "dd"], "td": ["td", "th", "tr"], "th": ["td", "th", "tr"], "tr": ["tr"], "option": ["option"],
 }
+_ATTRIBUTES = r"((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)(?:>|\Z)"
 _TAG = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<({_SILENT})\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-z][a-z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)(?:>|\Z)",
+    rf"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<({_SILENT})(?=[\s/>]){_ATTRIBUTES}|<(/?)([a-z][a-z0-9:-]*){_ATTRIBUTES}",
     re.S | re.I,
 )
+_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in _SILENT.split("|")}
+_HEAD_END = re.compile(r"(?=</head[\s>]|<body[\s/>])|\Z", re.I)
+# Tags that end an svg or math element which is still open.
+_BREAKOUT = re.compile(
+    r"(?=</?(?:article|aside|blockquote|body|center|dd|div|dl|dt|footer|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|ul)[\s/>])|\Z", re.I
+)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 # Words in class, id and role that mark what is not the article.
 _MARKED = re.compile(
@@ -51,6 +59,26 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。，！？]")
 THRESHOLD = 0.1
 
 
+def _silent_end(html: str, name: str, attributes: str, at: int, unclosed: set[str]) -> int:
+    """Where the silent element ends whose start tag ends at ``at``.
+
+    ``unclosed`` gathers names without a further end tag, so that each is looked for in vain once.
+    """
+    if name in ("svg", "math") and attributes.endswith("/"):
+        return at
+    end = None if name in unclosed else _END[name].search(html, at)
+    if end:
+        return end.end()
+    unclosed.add(name)
+    if name in _RAW:
+        return _HEAD_END.search(html, at).end()
+    if name in ("svg", "math"):
+        return _BREAKOUT.search(html, at).end()
+    if name == "title":
+        return len(html) if (to := html.find("<", at)) < 0 else to
+    return at
+
+
 def blocks(html: str) -> list[tuple[tuple[str, ...], str, int, bool]]:
     """(path, text, characters in links, apart) of every block in page order."""
     stack: list[tuple[str, str, bool]] = []  # tag, name in paths, whether it is set apart
@@ -74,19 +102,23 @@ def blocks(html: str) -> list[tuple[tuple[str, ...], str, int, bool]]:
         linked[0] = 0
 
     at = 0
-    for m in _TAG.finditer(html):
+    unclosed: set[str] = set()
+    while m := _TAG.search(html, at):
         text(html[at : m.start()])
         at = m.end()
-        tag = (m[3] or "").lower()
+        tag = (m[4] or "").lower()
+        if m[1]:
+            pieces.append(" ")
+            at = _silent_end(html, m[1].lower(), m[2], at, unclosed)
         if not tag:
-            if m[1]:
-                pieces.append(" ")
             continue
         if tag == "br":
             pieces.append(" ")
         if tag not in _INLINE:
             flush()
-        if m[2]:
+        if tag == "head":
+            continue  # what it may hold is silent or void; anything else ends it, with or without </head>
+        if m[3]:
             opened = [t for t, _, _ in stack]
             if tag in opened:
                 k = len(opened) - 1 - opened[::-1].index(tag)
@@ -101,11 +133,11 @@ def blocks(html: str) -> list[tuple[tuple[str, ...], str, int, bool]]:
                     break
                 if inner not in _INLINE and inner not in _CLOSES:
                     break
-            names = " ".join(a or b or c for a, b, c in _NAMES.findall(m[4] or ""))
+            names = " ".join(a or b or c for a, b, c in _NAMES.findall(m[5] or ""))
             apart = tag in _APART or (tag not in ("html", "body", "article", "main") and bool(_MARKED.search(names)))
             if tag in ("header",) and any(t in ("article", "main") for t, _, _ in stack):
                 apart = bool(_MARKED.search(names))  # the heading of an article belongs to it
-            if not m[4].endswith("/") or tag not in _INLINE:
+            if not m[5].endswith("/") or tag not in _INLINE:
                 stack.append((tag, f"{tag}.{names}" if names else tag, apart))
     text(html[at:] if not html[at:].startswith("<") else "")
     flush()
