@@ -77,3 +77,21 @@ def test_silent_elements_end_where_browsers_end_them(page):
 
 def test_many_unclosed_elements_take_linear_time():
     assert html.main_text("<article><p>One, two." + "<object><svg><title>" * 50_000) == "One, two."
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        "<div class=post><h1>The title</h1><div class=body><p>{0}</p><p>{1}</p><p>{2}</p></div></div>",
+        "<div class=post><div class=top><h1>The title</h1></div><div class=body><p>{0}</p><p>{1}</p><p>{2}</p></div></div>",
+        "<div id=content><h1>The title</h1><div class=sec id=s1><p>{0}</p></div><div class=sec id=s2><p>{1}</p></div><div class=sec id=s3><p>{2}</p></div></div>",
+        "<div id=content><h1>The title</h1><div id=s1><p>{0}</p></div><div id=s2><p>{1}</p></div><div id=s3><p>{2}</p></div></div><div>Ours.</div>",
+        "<div><h1>The title</h1></div><div class=a><p>{0}</p></div><div class=b><p>{1}</p></div><div class=c><div>{2}</div></div>",
+        "<main><h1>The title</h1><article><p>{0}</p><p>{1}</p><p>{2}</p></article></main>",
+        "<h1>The title</h1><article id=one><p>{0}</p></article><article id=two><p>{1}</p><p>{2}</p></article>",
+    ],
+)
+def test_split_articles_and_outer_titles(around):
+    third = "A third one, of some length; it ends here."
+    page = f"<html><body>{around.format(A, B.replace('&', '&amp;'), third)}</body></html>"
+    assert html.main_text(page) == "\n\n".join(["The title", A, B, third])

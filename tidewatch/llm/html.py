@@ -4,7 +4,8 @@ A page is cut into blocks of text, each with the path of block elements from the
 length, punctuation and length in links are added up per path: in running text, paths hold much
 text and punctuation in each of few kinds of nodes, whereas menus and notices hold little. Lengths
 and punctuation per node are smoothed over neighbouring paths, fused by multiplication, and
-paths above a threshold give the content; the element around the best one bounds the article.
+paths above a threshold give the content. An <article> or <main> around the best path bounds the article,
+else the lowest element around all content does; the title ahead of it belongs to it.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html import unescape
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,8 @@ _SILENT = "script|style|noscript|template|svg|math|iframe|object|canvas|title|te
 _RAW = frozenset("script style iframe textarea".split())
 _APART = frozenset("nav header footer aside form menu dialog button fieldset figure figcaption address".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Elements within an article that do not bound it, however much of its text they hold.
+_WITHIN = _HEADINGS | frozenset("p li dt dd tr pre blockquote ul ol dl table thead tbody tfoot caption figure figcaption".split())
 # A start tag of these ends an open paragraph, list item, cell and so on.
 _CLOSES = {
     "p": "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split(),
@@ -46,6 +50,7 @@ _BREAKOUT = re.compile(
     r"(?=</?(?:article|aside|blockquote|body|center|dd|div|dl|dt|footer|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|ul)[\s/>])|\Z", re.I
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_CLASS = re.compile(r"(?<![\w-])class\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 # Words in class, id and role that mark what is not the article.
 _MARKED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner\w*|cookies?|consent|notices?|notification\w*|alerts?|popups?|modals?|overlay|"
@@ -79,10 +84,28 @@ def _silent_end(html: str, name: str, attributes: str, at: int, unclosed: set[st
     return at
 
 
-def blocks(html: str) -> list[tuple[tuple[str, ...], str, int, bool]]:
-    """(path, text, characters in links, apart) of every block in page order."""
-    stack: list[tuple[str, str, bool]] = []  # tag, name in paths, whether it is set apart
-    found: list[tuple[tuple[str, ...], str, int, bool]] = []
+class Block(NamedTuple):
+    """Elements from the root have a name in paths, tag and class, and a number of their own."""
+
+    path: tuple[str, ...]
+    nodes: tuple[int, ...]
+    text: str
+    linked: int  # characters in links
+    apart: bool
+
+    def tag(self, k: int) -> str:
+        return self.path[k].split(".")[0]
+
+    @property
+    def heading(self) -> bool:
+        return bool(self.path) and self.tag(-1) in _HEADINGS
+
+
+def blocks(html: str) -> list[Block]:
+    """Every block in page order."""
+    stack: list[tuple[str, str, int, bool]] = []  # tag, name in paths, number, whether it is set apart
+    found: list[Block] = []
+    number = 0
     pieces: list[str] = []
     linked = [0]
 
@@ -90,14 +113,14 @@ def blocks(html: str) -> list[tuple[tuple[str, ...], str, int, bool]]:
         if raw:
             plain = unescape(raw)
             pieces.append(plain)
-            if any(tag == "a" for tag, _, _ in stack):
+            if any(tag == "a" for tag, *_ in stack):
                 linked[0] += len(" ".join(plain.split()))
 
     def flush() -> None:
         joined = " ".join("".join(pieces).split())
         if joined:
-            path = tuple(name for tag, name, _ in stack if tag not in _INLINE)
-            found.append((path, joined, linked[0], any(x for _, _, x in stack)))
+            held = [x for x in stack if x[0] not in _INLINE]
+            found.append(Block(tuple(x[1] for x in held), tuple(x[2] for x in held), joined, linked[0], any(x[3] for x in stack)))
         pieces.clear()
         linked[0] = 0
 
@@ -119,7 +142,7 @@ def blocks(html: str) -> list[tuple[tuple[str, ...], str, int, bool]]:
         if tag == "head":
             continue  # what it may hold is silent or void; anything else ends it, with or without </head>
         if m[3]:
-            opened = [t for t, _, _ in stack]
+            opened = [t for t, *_ in stack]
             if tag in opened:
                 k = len(opened) - 1 - opened[::-1].index(tag)
                 # An inline end tag does not end the blocks around it.
@@ -135,22 +158,37 @@ def blocks(html: str) -> list[tuple[tuple[str, ...], str, int, bool]]:
                     break
             names = " ".join(a or b or c for a, b, c in _NAMES.findall(m[5] or ""))
             apart = tag in _APART or (tag not in ("html", "body", "article", "main") and bool(_MARKED.search(names)))
-            if tag in ("header",) and any(t in ("article", "main") for t, _, _ in stack):
+            if tag in ("header",) and any(t in ("article", "main") for t, *_ in stack):
                 apart = bool(_MARKED.search(names))  # the heading of an article belongs to it
             if not m[5].endswith("/") or tag not in _INLINE:
-                stack.append((tag, f"{tag}.{names}" if names else tag, apart))
+                # Ids differ between like elements, so paths go by class.
+                kind = " ".join(a or b or c for a, b, c in _CLASS.findall(m[5] or ""))
+                number += 1
+                stack.append((tag, f"{tag}.{kind}" if kind else tag, number, apart))
     text(html[at:] if not html[at:].startswith("<") else "")
     flush()
     return found
 
 
+def _common(a: tuple[int, ...], b: tuple[int, ...]) -> tuple[int, ...]:
+    n = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    return a[:n]
+
+
+def _title(page: list[Block], first: int) -> int | None:
+    """The title ahead of block ``first``: the last h1, or else a heading just ahead of it."""
+    ahead = [k for k in range(first) if page[k].heading]
+    top = [k for k in ahead if page[k].tag(-1) == "h1"]
+    return top[-1] if top else ahead[-1] if ahead and ahead[-1] == first - 1 else None
+
+
 def main_text(html: str | None) -> str:
     """The article's blocks joined by blank lines; empty if there are none."""
-    page = [b for b in blocks(html or "") if not b[3]]
+    page = [b for b in blocks(html or "") if not b.apart]
     if not page:
         return ""
     index: dict[tuple[str, ...], int] = {}
-    rows = np.array([[index.setdefault(path, len(index)), len(t), len(_PUNCTUATION.findall(t)), link] for path, t, link, _ in page])
+    rows = np.array([[index.setdefault(b.path, len(index)), len(b.text), len(_PUNCTUATION.findall(b.text)), b.linked] for b in page])
     nodes = np.bincount(rows[:, 0]).astype(float)
     chars, marks, links = (np.bincount(rows[:, 0], rows[:, c]) for c in (1, 2, 3))
     # Paths in the order of their first nodes; neighbours lend each other a little.
@@ -159,20 +197,34 @@ def main_text(html: str | None) -> str:
     fused = smooth(chars / nodes) * (1 + smooth(marks / nodes)) * (1 - links / chars) * np.sqrt(chars / chars.sum())
     if not (fused > 0).any():
         return ""
-    paths = list(index)
-    chosen = fused >= THRESHOLD * fused.max()
-    best = paths[int(fused.argmax())]
+    chosen = (fused >= THRESHOLD * fused.max())[rows[:, 0]]
+    best = list(index)[int(fused.argmax())]
     marked = [k for k, name in enumerate(best) if name.split(".")[0] in ("article", "main")]
-    around = best[: marked[-1] + 1] if marked else best[:-1] or best
-    bounded = bool(marked) or around[-1].split(".")[0] not in ("html", "body")
-    kept = []
-    for (path, t, link, _), p in zip(page, rows[:, 0]):
+    if marked:
         # Within the article's element all running text belongs to it, headings and short lines too.
-        inside = path[: len(around)] == around
-        heading = path[-1:] and path[-1].split(".")[0] in _HEADINGS
-        if inside and (bounded or chosen[p] or heading) and link < 0.9 * len(t) or (inside and not bounded and chosen[p]):
-            kept.append(t)
-    return "\n\n".join(kept)
+        around = best[: marked[-1] + 1]
+        inside = [b.path[: len(around)] == around for b in page]
+        kept = list(inside)
+    else:
+        picked = [b for b, c in zip(page, chosen) if c]
+        root = picked[0].nodes
+        for b in picked:
+            root = _common(root, b.nodes)
+        while root and picked[0].tag(len(root) - 1) in _WITHIN:
+            root = root[:-1]
+        # Body and html bound nothing; there only the content and headings are kept, and what
+        # shares an element with the content.
+        bounded = bool(root) and picked[0].tag(len(root) - 1) not in ("html", "body")
+        homes = {b.nodes[:-1] for b in picked if len(b.nodes) > 1 and b.tag(-2) not in ("html", "body")}
+        inside = [b.nodes[: len(root)] == root for b in page]
+        kept = [i and (bounded or c or b.heading) or b.nodes[:-1] in homes for b, i, c in zip(page, inside, chosen)]
+    kept = [k and b.linked < 0.9 * len(b.text) for b, k in zip(page, kept)]
+    if any(kept):
+        first = kept.index(True)
+        title = _title(page, first)
+        if title is not None and not (page[first].heading and page[first].tag(-1) == "h1"):
+            kept[title] = True
+    return "\n\n".join(b.text for b, k in zip(page, kept) if k)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
