@@ -95,3 +95,35 @@ def test_split_articles_and_outer_titles(around):
     third = "A third one, of some length; it ends here."
     page = f"<html><body>{around.format(A, B.replace('&', '&amp;'), third)}</body></html>"
     assert html.main_text(page) == "\n\n".join(["The title", A, B, third])
+
+
+LONG = "A long part of the article, with commas, and stops. It goes on; and on, as such parts do."
+
+
+@pytest.mark.parametrize("outer", ["<article>{}</article>", "<div class=post>{}</div>"])
+@pytest.mark.parametrize(
+    "part, want",
+    [
+        ("<h2><a href='#x'>A heading</a></h2>", "A heading"),
+        ("<h2 id=related-work>Related</h2>", "Related"),
+        (f"<section id=legal-aspects><p>{LONG}</p></section>", LONG),
+        ("<h2 id=search-methods>Search</h2>", "Search"),
+        (f"<p class=notice-period>{LONG}</p>", LONG),
+        ("<figure><img src=x><figcaption>A caption.</figcaption></figure>", "A caption."),
+        ("<figure><blockquote>A quotation.</blockquote></figure>", "A quotation."),
+        ("<address>1 Street, Town.</address>", "1 Street, Town."),
+        ("<p><a href=x>A cited link</a></p>", "A cited link"),
+        ("<ul><li><a href=x>One menu</a></li><li><a href=y>Two menu</a></li></ul>", None),
+        ("<p><a href=x>One</a></p><p><a href=x>Two</a></p><p><a href=x>Three</a></p>", None),
+        ("<div class=promo>Buy now!</div>", None),
+        ("<div id=social-links>Tell</div>", None),
+    ],
+)
+def test_the_article_keeps_all_of_its_parts(outer, part, want):
+    page = "<html><body>" + outer.format(f"<h1>The title</h1><p>{LONG}</p>{part}<p>{LONG}</p>")
+    assert html.main_text(page) == "\n\n".join(["The title", LONG, *([want] if want else []), LONG])
+
+
+def test_marked_names_around_an_article_do_not_hide_it():
+    page = f"<body><div class='page has-sidebar'><article><header class=entry-header><h1>The title</h1></header><p>{LONG}</p></article></div>"
+    assert html.main_text(page) == f"The title\n\n{LONG}"

@@ -11,7 +11,7 @@ else the lowest element around all content does; the title ahead of it belongs t
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html import unescape
 from typing import NamedTuple
 
@@ -29,7 +29,9 @@ _INLINE = frozenset(
 _SILENT = "script|style|noscript|template|svg|math|iframe|object|canvas|title|textarea|select"
 # Silent elements that hold nothing but characters: without an end tag they reach to the end of the head or page.
 _RAW = frozenset("script style iframe textarea".split())
-_APART = frozenset("nav header footer aside form menu dialog button fieldset figure figcaption address".split())
+_APART = frozenset("nav header footer aside form menu dialog button fieldset".split())
+# Elements whose names tell what they hold; ids and classes of headings and text blocks are not looked at.
+_CONTAINERS = frozenset("div section center ul ol dl table".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Elements within an article that do not bound it, however much of its text they hold.
 _WITHIN = _HEADINGS | frozenset("p li dt dd tr pre blockquote ul ol dl table thead tbody tfoot caption figure figcaption".split())
@@ -50,8 +52,9 @@ _BREAKOUT = re.compile(
     r"(?=</?(?:article|aside|blockquote|body|center|dd|div|dl|dt|footer|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|ul)[\s/>])|\Z", re.I
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_CLASS_OR_ROLE = re.compile(r"(?<![\w-])(?:class|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _CLASS = re.compile(r"(?<![\w-])class\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-# Words in class, id and role that mark what is not the article.
+# Words in class, id and role that hint at what is not the article.
 _MARKED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner\w*|cookies?|consent|notices?|notification\w*|alerts?|popups?|modals?|overlay|"
     r"newsletter\w*|subscri\w*|promo\w*|sponsor\w*|social|shar(?:e|ing)\w*|sidebar\w*|menus?|nav\w*|breadcrumbs?|"
@@ -62,6 +65,10 @@ _MARKED = re.compile(
 _PUNCTUATION = re.compile(r"[.,;:!?…。，！？]")
 # A path is content from this part of the best path's score on.
 THRESHOLD = 0.1
+# A class or role that is nothing but a listed word lowers a container's score to this part.
+_LOWERED = 0.1
+# So many blocks of links in a row are a menu; fewer are cited links.
+_MENU = 3
 
 
 def _silent_end(html: str, name: str, attributes: str, at: int, unclosed: set[str]) -> int:
@@ -92,6 +99,7 @@ class Block(NamedTuple):
     text: str
     linked: int  # characters in links
     apart: bool
+    suspect: int = 0  # number of the outermost container with a marked name, negative if its class or role is just that
 
     def tag(self, k: int) -> str:
         return self.path[k].split(".")[0]
@@ -103,7 +111,7 @@ class Block(NamedTuple):
 
 def blocks(html: str) -> list[Block]:
     """Every block in page order."""
-    stack: list[tuple[str, str, int, bool]] = []  # tag, name in paths, number, whether it is set apart
+    stack: list[tuple[str, str, int, bool, int]] = []  # tag, name in paths, number, whether it is set apart, suspect
     found: list[Block] = []
     number = 0
     pieces: list[str] = []
@@ -120,7 +128,7 @@ def blocks(html: str) -> list[Block]:
         joined = " ".join("".join(pieces).split())
         if joined:
             held = [x for x in stack if x[0] not in _INLINE]
-            found.append(Block(tuple(x[1] for x in held), tuple(x[2] for x in held), joined, linked[0], any(x[3] for x in stack)))
+            found.append(Block(tuple(x[1] for x in held), tuple(x[2] for x in held), joined, linked[0], any(x[3] for x in stack), next((x[4] for x in stack if x[4]), 0)))
         pieces.clear()
         linked[0] = 0
 
@@ -157,14 +165,20 @@ def blocks(html: str) -> list[Block]:
                 if inner not in _INLINE and inner not in _CLOSES:
                     break
             names = " ".join(a or b or c for a, b, c in _NAMES.findall(m[5] or ""))
-            apart = tag in _APART or (tag not in ("html", "body", "article", "main") and bool(_MARKED.search(names)))
-            if tag in ("header",) and any(t in ("article", "main") for t, *_ in stack):
-                apart = bool(_MARKED.search(names))  # the heading of an article belongs to it
+            # The heading of an article belongs to it.
+            apart = tag in _APART and not (tag == "header" and any(t in ("article", "main") for t, *_ in stack))
+            if tag in ("article", "main"):
+                # What holds an article is no advert, whatever its name.
+                stack[:] = [(*x[:4], 0) for x in stack]
             if not m[5].endswith("/") or tag not in _INLINE:
                 # Ids differ between like elements, so paths go by class.
                 kind = " ".join(a or b or c for a, b, c in _CLASS.findall(m[5] or ""))
                 number += 1
-                stack.append((tag, f"{tag}.{kind}" if kind else tag, number, apart))
+                suspect = number if tag in _CONTAINERS and _MARKED.search(names) else 0
+                # An id may be made of a heading's words, and so may a part of a class.
+                if suspect and any(_MARKED.fullmatch(x) for y in _CLASS_OR_ROLE.findall(m[5]) for x in "".join(y).split()):
+                    suspect = -suspect
+                stack.append((tag, f"{tag}.{kind}" if kind else tag, number, apart, suspect))
     text(html[at:] if not html[at:].startswith("<") else "")
     flush()
     return found
@@ -175,16 +189,49 @@ def _common(a: tuple[int, ...], b: tuple[int, ...]) -> tuple[int, ...]:
     return a[:n]
 
 
-def _title(page: list[Block], first: int) -> int | None:
+def _title(page: list[Block], first: int, inside: Callable[[Block], bool]) -> int | None:
     """The title ahead of block ``first``: the last h1, or else a heading just ahead of it."""
-    ahead = [k for k in range(first) if page[k].heading]
+    ahead = [k for k in range(first) if page[k].heading and (not page[k].suspect or (page[k].suspect > 0 and inside(page[k])))]
     top = [k for k in ahead if page[k].tag(-1) == "h1"]
     return top[-1] if top else ahead[-1] if ahead and ahead[-1] == first - 1 else None
 
 
+def _ratio(some: list[Block]) -> float:
+    """Text per block, raised by its punctuation and lowered by links."""
+    chars, marks = sum(len(b.text) for b in some), sum(len(_PUNCTUATION.findall(b.text)) for b in some)
+    return chars / len(some) * (1 + marks / len(some)) * (1 - sum(b.linked for b in some) / chars)
+
+
+def _menus(page: list[Block]) -> list[bool]:
+    """Blocks of a list, or of a run of blocks, that is mostly links; headings are never among them."""
+    lists: dict[int, list[int]] = {}
+    for b in page:
+        k = next((k for k in range(len(b.path) - 1, -1, -1) if b.tag(k) in ("ul", "ol", "dl")), None)
+        if k is not None:
+            both = lists.setdefault(b.nodes[k], [0, 0])
+            both[0] += b.linked
+            both[1] += len(b.text)
+    dense = [b.linked >= 0.9 * len(b.text) and not b.heading for b in page]
+    menu = [False] * len(page)
+    at = 0
+    while at < len(page):
+        to = at
+        while to < len(page) and dense[to]:
+            to += 1
+        for k in range(at, to):
+            menu[k] = to - at >= _MENU or any(n in lists and lists[n][0] >= 0.9 * lists[n][1] for n in page[k].nodes)
+        at = max(to, at + 1)
+    return menu
+
+
 def main_text(html: str | None) -> str:
-    """The article's blocks joined by blank lines; empty if there are none."""
-    page = [b for b in blocks(html or "") if not b.apart]
+    """The article's blocks joined by blank lines; empty if there are none.
+
+    Containers with a marked name do not count in the search for the article. Within it they are
+    kept if their own text is like its text.
+    """
+    full = [b for b in blocks(html or "") if not b.apart]
+    page = [b for b in full if not b.suspect] or full
     if not page:
         return ""
     index: dict[tuple[str, ...], int] = {}
@@ -198,13 +245,14 @@ def main_text(html: str | None) -> str:
     if not (fused > 0).any():
         return ""
     chosen = (fused >= THRESHOLD * fused.max())[rows[:, 0]]
-    best = list(index)[int(fused.argmax())]
+    top = int(fused.argmax())
+    best = list(index)[top]
     marked = [k for k, name in enumerate(best) if name.split(".")[0] in ("article", "main")]
     if marked:
         # Within the article's element all running text belongs to it, headings and short lines too.
         around = best[: marked[-1] + 1]
-        inside = [b.path[: len(around)] == around for b in page]
-        kept = list(inside)
+        inside = lambda b: b.path[: len(around)] == around
+        kept = [inside(b) for b in page]
     else:
         picked = [b for b, c in zip(page, chosen) if c]
         root = picked[0].nodes
@@ -216,15 +264,22 @@ def main_text(html: str | None) -> str:
         # shares an element with the content.
         bounded = bool(root) and picked[0].tag(len(root) - 1) not in ("html", "body")
         homes = {b.nodes[:-1] for b in picked if len(b.nodes) > 1 and b.tag(-2) not in ("html", "body")}
-        inside = [b.nodes[: len(root)] == root for b in page]
-        kept = [i and (bounded or c or b.heading) or b.nodes[:-1] in homes for b, i, c in zip(page, inside, chosen)]
-    kept = [k and b.linked < 0.9 * len(b.text) for b, k in zip(page, kept)]
+        inside = lambda b: bounded and b.nodes[: len(root)] == root
+        kept = [inside(b) or c or (b.heading and b.nodes[: len(root)] == root) or b.nodes[:-1] in homes for b, c in zip(page, chosen)]
+    groups: dict[int, list[Block]] = {}
+    for b in full:
+        groups.setdefault(b.suspect, []).append(b)
+    like = _ratio([b for b, p in zip(page, rows[:, 0]) if p == top]) * THRESHOLD
+    alike = {s for s, some in groups.items() if s and _ratio(some) * (_LOWERED if s < 0 else 1) >= like}
+    taken = iter(kept)
+    kept = [next(taken) if page is full or not b.suspect else inside(b) and b.suspect in alike for b in full]
+    kept = [k and not menu for k, menu in zip(kept, _menus(full))]
     if any(kept):
         first = kept.index(True)
-        title = _title(page, first)
-        if title is not None and not (page[first].heading and page[first].tag(-1) == "h1"):
+        title = _title(full, first, inside)
+        if title is not None and not (full[first].heading and full[first].tag(-1) == "h1"):
             kept[title] = True
-    return "\n\n".join(b.text for b, k in zip(page, kept) if k)
+    return "\n\n".join(b.text for b, k in zip(full, kept) if k)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
