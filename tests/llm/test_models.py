@@ -85,3 +85,21 @@ def test_neighbour_votes_equal_the_plain_sum():
         near = sorted(zip(model.vectors @ x, model.labels), key=lambda p: -p[0])[: quality.NEIGHBOURS]
         weight = [max(s, 0) ** quality.SHARPNESS for s, _ in near]
         assert abs(got - (1e-6 * 0.5 + sum(w * y for w, (_, y) in zip(weight, near))) / (1e-6 + sum(weight))) < 1e-9
+
+
+def trained(monkeypatch):
+    """What train() is given: windows and labels."""
+    seen = []
+    monkeypatch.setattr(langid, "train", lambda w, y, labels: seen.append((w, [labels[k] for k in y])))
+    return seen
+
+
+def test_copies_of_few_texts_are_learned(spark, monkeypatch):
+    seen = trained(monkeypatch)
+    one = spark.range(10_000).select(F.lit("the same text").alias("text"), F.lit("aa").alias("lang"))
+    langid.fit(one, F.lit(True), sample=20)
+    assert seen[-1][1] == ["aa"] * langid._WINDOWS_EACH
+    other = spark.range(10_000).select(F.concat(F.lit("text "), F.col("id") % 300).alias("text"), F.lit("bb").alias("lang"))
+    langid.fit(one.unionByName(other), F.lit(True), sample=20)
+    assert sorted(seen[-1][1]) == ["aa"] * langid._WINDOWS_EACH + ["bb"] * 10 * langid._WINDOWS_EACH
+    assert len({bytes(w) for w, lang in zip(*seen[-1]) if lang == "bb"}) >= 10, "distinct texts"

@@ -14,14 +14,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidewatch.llm.words import least_hashes, text_bytes
+from tidewatch.llm.words import least_hash, text_bytes
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 24
-# Documents that the network is trained on at most, and windows taken of each.
+# Distinct texts that the network is trained on, one of each language at least, and windows taken of each.
 SAMPLE = 3_000
 _WINDOWS_EACH = 4
 _EPOCHS = 8
@@ -134,39 +134,49 @@ def train(w: np.ndarray, y: np.ndarray, labels: list[str], seed: int = 7) -> Byt
     return net
 
 
+def _windows_of(text: Column) -> Column:
+    """An array of ``_WINDOWS_EACH`` windows of a text's bytes, at places by its hash.
+
+    Every second one is of a length between 16 bytes and a window, so that short texts and last
+    windows are known too.
+    """
+    raw = F.encode(text, "utf-8")
+    n = F.octet_length(text)
+    taken = []
+    for k in range(_WINDOWS_EACH):
+        size = F.lit(WINDOW) if k % 2 == 0 else (F.pmod(F.xxhash64(text, F.lit(2 * k)), F.lit(WINDOW - 15)) + 16).cast("int")
+        at = F.pmod(F.xxhash64(text, F.lit(2 * k + 1)), F.greatest(n - size + 1, F.lit(1))).cast("int")
+        taken.append(F.substring(raw, at + 1, size))
+    return F.array(*taken)
+
+
 def fit(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> ByteNet | None:
-    """Train on the rows that ``learn`` admits: at most ``sample``, evenly over languages.
+    """Train on distinct texts that ``learn`` admits: at most ``sample``, evenly over languages.
 
-    The sample is the rows of least hash of the text, so it does not depend on how they lie.
-    None if no row has a text and a language.
+    The 64 languages of most texts are learned. The sample is the texts of least hash, so it does not depend on how rows lie or
+    repeat; texts are told apart by 64 bits of hash. Windows of their first 4096 characters are cut in tasks, and only these reach the driver. None if no row has a text and a language.
     """
     rows = docs.where(learn & F.col(lang_col).isNotNull() & (F.length(text_col) > 0))
-    sizes = dict(rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(64).collect())
+    keyed = rows.select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    sizes = dict(keyed.select("lang", "h").distinct().groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(64).collect())
     langs = sorted(sizes)
-    # Languages beyond the 64 most frequent ones are not learned; each of these gets its part.
     if not langs:
         return None
     each = max(1, sample // len(langs))
-    keyed = rows.select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"), F.substring(text_col, 1, WINDOW * _WINDOWS_EACH * 4).alias("text"))
-    picked = None
-    for lang in langs:
-        part = keyed.where((F.col("lang") == lang) & least_hashes(F.col("h"), each, sizes[lang])).orderBy("h", "text").limit(each)
-        picked = part if picked is None else picked.unionByName(part)
-    held = picked.collect()
-    rng = np.random.default_rng(11)
-    blocks, y = [], []
-    for r in held:
-        raw = np.frombuffer(r["text"].encode(), np.uint8)
-        for _ in range(_WINDOWS_EACH):
-            # Windows of all lengths, so that short texts and last windows are known too.
-            size = int(rng.integers(16, WINDOW + 1)) if rng.random() < 0.5 else WINDOW
-            at = int(rng.integers(0, max(1, len(raw) - size + 1)))
-            w = np.zeros(WINDOW, np.uint8)
-            part = raw[at : at + size]
-            w[: len(part)] = part
-            blocks.append(w)
-            y.append(langs.index(r["lang"]))
-    return train(np.stack(blocks), np.array(y), langs)
+    # About twice the texts that are needed; hashes are uniform over distinct texts.
+    cuts = docs.sparkSession.createDataFrame(
+        [(lang, least_hash(each, n)) for lang, n in sizes.items()], f"lang {keyed.schema['lang'].dataType.simpleString()}, cut long"
+    )
+    few = keyed.join(F.broadcast(cuts), "lang").where(F.col("h") <= F.col("cut"))
+    # Copies become one row within their tasks, ahead of the shuffle and the order.
+    once = few.select("lang", "h", _windows_of(F.substring("text", 1, WINDOW * _WINDOWS_EACH * 4)).alias("w")).groupBy("lang", "h").agg(F.min("w").alias("w"))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    held = sorted(once.withColumn("nth", nth).where(F.col("nth") <= each).select("lang", "h", "w").collect(), key=lambda r: (r["lang"], r["h"]))
+    place = {lang: k for k, lang in enumerate(langs)}
+    blocks = np.zeros((len(held) * _WINDOWS_EACH, WINDOW), np.uint8)
+    for k, part in enumerate(part for r in held for part in r["w"]):
+        blocks[k, : len(part)] = np.frombuffer(part, np.uint8)
+    return train(blocks, np.repeat([place[r["lang"]] for r in held], _WINDOWS_EACH), langs)
 
 
 def predict(docs: DataFrame, net: ByteNet | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -51,14 +51,19 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def least_hashes(hashed: Column, n: int, rows: int) -> Column:
-    """Keeps about twice the ``n`` rows of least hash (a long) among ``rows``.
+def least_hash(n: int, rows: int) -> int:
+    """The hash (a long) up to which about twice ``n`` of ``rows`` distinct hashes lie.
 
     Hashes are uniform, so what is left to order has a size that depends on ``n`` alone, however many
     tasks the rows come from.
     """
     share = min(1.0, (2 * n + 100) / max(rows, 1))
-    return hashed <= F.lit(min(int(share * 2**64) - 2**63, 2**63 - 1)).cast("long")
+    return min(int(share * 2**64) - 2**63, 2**63 - 1)
+
+
+def least_hashes(hashed: Column, n: int, rows: int) -> Column:
+    """Keeps about twice the ``n`` rows of least hash among ``rows``."""
+    return hashed <= F.lit(least_hash(n, rows)).cast("long")
 
 
 @dataclass
