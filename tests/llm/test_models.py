@@ -103,3 +103,16 @@ def test_copies_of_few_texts_are_learned(spark, monkeypatch):
     langid.fit(one.unionByName(other), F.lit(True), sample=20)
     assert sorted(seen[-1][1]) == ["aa"] * langid._WINDOWS_EACH + ["bb"] * 10 * langid._WINDOWS_EACH
     assert len({bytes(w) for w, lang in zip(*seen[-1]) if lang == "bb"}) >= 10, "distinct texts"
+
+
+def test_all_languages_and_all_of_a_text_are_learned(spark, monkeypatch):
+    seen = trained(monkeypatch)
+    many = spark.range(200).select(F.concat(F.lit("text "), F.col("id")).alias("text"), (F.col("id") % 100).cast("string").alias("lang"))
+    langid.fit(many, F.lit(True), sample=50)
+    assert sorted(seen[-1][1]) == sorted(str(k) for k in range(100) for _ in range(langid._WINDOWS_EACH))
+    long = spark.range(40).select(F.concat(F.repeat(F.lit("menu "), 1000), F.repeat(F.concat(F.lit("ü"), F.col("id")), 20_000)).alias("text"), F.lit("aa").alias("lang"))
+    langid.fit(long, F.lit(True))
+    menu = np.mean([b"menu" in bytes(w) for w in seen[-1][0]])
+    assert len(seen[-1][0]) == 40 * langid._WINDOWS_EACH and menu < 0.25, "windows lie over the whole text"
+    langid.fit(spark.createDataFrame([("ab", "x"), ("ab", "x")], "text string, lang string"), F.lit(True))
+    assert [bytes(w[:3]) for w in seen[-1][0]] == [b"ab\0"] * langid._WINDOWS_EACH

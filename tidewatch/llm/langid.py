@@ -153,12 +153,14 @@ def _windows_of(text: Column) -> Column:
 def fit(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> ByteNet | None:
     """Train on distinct texts that ``learn`` admits: at most ``sample``, evenly over languages.
 
-    The 64 languages of most texts are learned. The sample is the texts of least hash, so it does not depend on how rows lie or
-    repeat; texts are told apart by 64 bits of hash. Windows of their first 4096 characters are cut in tasks, and only these reach the driver. None if no row has a text and a language.
+    Every language with a text is learned, from one text at least, so more than ``sample`` languages
+    take one text each. The sample is the texts of least hash, so it does not depend on how rows lie or
+    repeat; texts are told apart by 64 bits of hash. Windows of them are cut in tasks, anywhere in
+    the text, and only these reach the driver. None if no row has a text and a language.
     """
     rows = docs.where(learn & F.col(lang_col).isNotNull() & (F.length(text_col) > 0))
     keyed = rows.select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
-    sizes = dict(keyed.select("lang", "h").distinct().groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(64).collect())
+    sizes = dict(keyed.select("lang", "h").distinct().groupBy("lang").count().collect())
     langs = sorted(sizes)
     if not langs:
         return None
@@ -169,7 +171,7 @@ def fit(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str =
     )
     few = keyed.join(F.broadcast(cuts), "lang").where(F.col("h") <= F.col("cut"))
     # Copies become one row within their tasks, ahead of the shuffle and the order.
-    once = few.select("lang", "h", _windows_of(F.substring("text", 1, WINDOW * _WINDOWS_EACH * 4)).alias("w")).groupBy("lang", "h").agg(F.min("w").alias("w"))
+    once = few.select("lang", "h", _windows_of(F.col("text")).alias("w")).groupBy("lang", "h").agg(F.min("w").alias("w"))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     held = sorted(once.withColumn("nth", nth).where(F.col("nth") <= each).select("lang", "h", "w").collect(), key=lambda r: (r["lang"], r["h"]))
     place = {lang: k for k, lang in enumerate(langs)}
