@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidewatch.llm import decontam, exact, mixing, neardup, quality
 from tidewatch.sources.tables import stage
 
+# Numbers the rows of a stage, so that rows which repeat an id, or have none, are told apart.
+_ROW = "__row"
+
 # The part of the labels, by hash of the id, that the classifier never sees.
 _FOLDS, _HELD_OUT = 3, 1
 # Words of a shingle and percent of similarity of near-duplicates.
@@ -26,16 +29,26 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return quality.select_rows(docs, quality.fit(docs, labels, learn), at_least=0.5)
 
 
+def _numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a number of each row, which is fixed by writing it."""
+    return stage(docs.withColumn(_ROW, F.monotonically_increasing_id()), name)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest id."""
-    return exact.exact_dedup(docs).where("kept").select("row.*")
+    """Of equal texts one row, with the largest id; a null id is less than any other."""
+    rows = _numbered(docs, "exact-numbered").withColumn(_ROW, F.struct("doc_id", _ROW))
+    return exact.exact_dedup(rows, id_col=_ROW).where("kept").select("row.*").select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the row with the least id."""
-    found = neardup.near_duplicates(docs, k=SHINGLE, percent=SIMILAR)
-    dropped = found.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """Of each group of near-duplicates one row, with the least id; a null id only if there is no other."""
+    rows = _numbered(docs, "near-numbered")
+    found = neardup.near_duplicates(rows, k=SHINGLE, percent=SIMILAR, id_col=_ROW).select(F.col("doc_id").alias(_ROW), "component_id")
+    ranked = rows.select(_ROW, F.struct(F.col("doc_id").isNull(), "doc_id", _ROW).alias("rank"))
+    members = found.join(ranked, _ROW)
+    first = members.groupBy("component_id").agg(F.count(F.lit(1)).alias("n"), F.min("rank")[_ROW].alias("first")).where("n > 1")
+    dropped = members.join(first, "component_id").where(F.col(_ROW) != F.col("first")).select(_ROW)
+    return rows.join(dropped, _ROW, "left_anti").select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

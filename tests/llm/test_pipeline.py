@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.llm import brute
 from tests.twin_check import connect, differences
-from tidewatch.llm import queries
+from tidewatch.llm import neardup, queries
 
 
 def test_stages_agree_with_plain_versions(spark, small, tmp_path):
@@ -44,3 +44,29 @@ def test_stages_take_empty_and_odd_tables(spark, small):
     for name, step in corpus_pipeline.STAGES:
         assert step(spark, docs.limit(0), small).count() == 0
         assert step(spark, odd, small).count() <= 6
+
+
+def test_rows_that_repeat_an_id_are_told_apart(spark, small):
+    words = [" ".join(f"w{k}x{i}" for i in range(60)) for k in range(4)]
+    near = [w + " end" for w in words]
+    rows = [(1, words[0]), (5, near[0]), (5, words[1]), (None, words[2]), (None, near[2]), (None, words[3]), (7, words[3]), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("x"))
+    got = corpus_pipeline.near_dedup(spark, docs, small)
+    assert got.columns == docs.columns
+    kept = [(r["doc_id"], r["text"]) for r in got.collect()]
+    assert sorted((str(d), str(t)[:3]) for d, t in kept) == [("1", "w0x"), ("5", "w1x"), ("7", "w3x"), ("8", "Non"), ("None", "w2x")]
+    twice = docs.unionByName(docs)
+    once = corpus_pipeline.exact_dedup(spark, twice, small)
+    assert once.columns == docs.columns
+    want = [r for r in rows if r != (None, words[3])]
+    assert sorted(map(str, [(r["doc_id"], r["text"]) for r in once.collect()])) == sorted(map(str, want))
+    assert corpus_pipeline.near_dedup(spark, twice, small).count() == 6, "null texts are linked with nothing"
+
+
+def test_near_duplicates_without_ids_are_linked(spark):
+    words = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(None, words), (None, words + " end"), (3, "other words")], "doc_id long, text string")
+    got = neardup.near_duplicates(docs, k=4, percent=80).where("doc_id is null").collect()
+    assert len(got) == 2 and {r["component_id"] for r in got} == {None} and all(r["kept"] for r in got)
+    docs = docs.unionByName(spark.createDataFrame([(9, words + " end")], docs.schema))
+    assert {r["component_id"] for r in neardup.near_duplicates(docs, k=4, percent=80).where("doc_id is null").collect()} == {9}

@@ -178,7 +178,8 @@ def _sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> D
     """Full sets of classes, from one document of each."""
     nodes = nodes.distinct()
     wanted = nodes.join(classes.select("node", F.col("some_id").alias("doc_id")), "node")
-    texts = docs.select("doc_id", "text").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+    ids = wanted.select(F.col("doc_id").alias("wanted_id")).distinct()
+    texts = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
     # Rows may repeat an id with other texts; the set itself tells which class a row is of.
     return shingles(texts, k).join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
