@@ -1,0 +1,113 @@
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tidewatch.llm import queries, resample
+
+DOC = "doc_id long, text string, score string, rank string, __range long"
+_ASCII = {c: c + 32 for c in range(65, 91)}
+
+
+def features(text, longest=2):
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(_ASCII))
+    return w, [" ".join(w[i : i + n]) for n in range(1, longest + 1) for i in range(len(w) - n + 1)]
+
+
+def brute(rows, target, percent=25, least_words=20, buckets=10_000, longest=2):
+    """[(doc_id, n_words, n_features, weight, score, rank)] by plain counting."""
+    bucket = lambda f: zlib.crc32(f.encode()) % buckets
+    s = Counter(bucket(f) for _, t in rows for f in features(t, longest)[1])
+    t = Counter(bucket(f) for x in target for f in features(x, longest)[1])
+    all_s, all_t = sum(s.values()), sum(t.values())
+    gain = [math.floor(1000 * math.log((t[b] + 1) * (all_s + buckets) / ((s[b] + 1) * (all_t + buckets)))) for b in range(buckets)]
+    out = []
+    for ident, text in rows:
+        words, found = features(text, longest)
+        weight = sum(gain[bucket(f)] for f in found) // len(found) if found else 0
+        h = int(hashlib.sha256(f"7:{ident}".encode()).hexdigest()[:8], 16)
+        out.append([ident, len(words), len(found), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))])
+    enough = sorted((r for r in out if r[1] >= least_words), key=lambda r: (-r[4], r[0]))
+    rank = {id(r): k for k, r in enumerate(enough[: percent * len(enough) // 100], 1)}
+    return [(*r, rank.get(id(r))) for r in out]
+
+
+def drawn(docs, target, **kw):
+    return sorted(tuple(r) for r in resample.resample(docs, target, **kw).collect())
+
+
+def test_table_of_documents(spark, small):
+    docs, target = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "benchmark"))
+    want = sorted(brute([tuple(r) for r in docs.select("doc_id", "text").collect()], [r["text"] for r in target.collect()]))
+    assert drawn(docs, target) == want
+    assert sorted(tuple(r) for r in queries.q_resample(spark, small).collect()) == [(a, c, d, e, f) for a, _, c, d, e, f in want]
+    assert sum(r[5] is not None for r in want) > 20
+
+
+@pytest.mark.parametrize("buckets, longest", [(16, 1), (70_000, 3)])
+def test_other_buckets_and_lengths(spark, small, buckets, longest):
+    docs, target = (spark.read.parquet(f"{small}/{t}.parquet").limit(60) for t in ("documents", "benchmark"))
+    docs = spark.createDataFrame(docs.select("doc_id", "text").collect(), "doc_id long, text string")
+    target = spark.createDataFrame(target.collect(), target.schema)
+    want = brute([tuple(r) for r in docs.collect()], [r["text"] for r in target.collect()], buckets=buckets, longest=longest)
+    assert drawn(docs, target, buckets=buckets, longest=longest) == sorted(want)
+
+
+def test_splitter_takes_the_words_of_the_pattern_with_their_offsets():
+    rng = random.Random(2)
+    read = resample.Features(10_000, 2)
+    for _ in range(500):
+        text = "".join(rng.choice("aZ09 \t\n\x00-_é日\x7f\x80\U0001f389'[`{") for _ in range(rng.randrange(30)))
+        found = read.words(text.encode())
+        assert [w for w, _ in found] == features(text)[0]
+        assert [text[a:b].translate(_ASCII) for _, (a, b) in found] == [w for w, _ in found]
+        n, buckets = read.of(text.encode())
+        assert (n, sorted(buckets.tolist())) == (len(found), sorted(zlib.crc32(f.encode()) % 10_000 for f in features(text)[1]))
+
+
+def test_ranks_over_many_ranges(spark, monkeypatch):
+    """Scores that many rows share, split over ranges; equal scores go by the smaller id."""
+    rng = random.Random(6)
+    rows = [(i, rng.randrange(5, 40), 9, rng.choice([0, 0, 0, 5])) for i in range(5000)]
+    found = resample.draw(spark.createDataFrame(rows, "doc_id long, n_words long, n_features long, weight long").repartition(7))
+    found = {r["doc_id"]: r for r in found.collect()}
+    enough = [r[0] for r in rows if r[1] >= 20]
+    order = sorted(enough, key=lambda d: (-found[d]["score"], d))
+    count = 25 * len(enough) // 100
+    assert [found[d]["rank"] for d in order] == [*range(1, count + 1), *[None] * (len(enough) - count)]
+    assert all(found[r[0]]["rank"] is None for r in rows if r[1] < 20)
+
+
+def test_a_rank_for_each_of_many_repeated_rows(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(5, text)] * 400 + [(None, text)] * 8, "doc_id long, text string")
+    target = spark.createDataFrame([("w1 w2",)], "text string")
+    ranks = sorted(r["rank"] for r in resample.resample(docs, target).collect() if r["rank"])
+    assert ranks == list(range(1, 25 * 408 // 100 + 1))
+
+
+def test_odd_tables(spark):
+    long = " ".join(["aa"] * 50_000) + " " + "b" * 200_000
+    rows = [(1, None, "", "", 1), (2, "", "", "", 1), (3, " -- ", "", "", 2), (4, long, "", "", 3), (5, "one", "", "", 4)]
+    docs = spark.createDataFrame(rows, DOC)
+    target = spark.createDataFrame([(1, "Aa aa", "x"), (2, None, "x"), (2, "", "x")], "item_id long, text string, bucket string")
+    assert drawn(docs, target) == sorted(brute([r[:2] for r in rows], ["Aa aa", None, ""]))
+    none = target.where("false")
+    assert drawn(docs, none) == sorted(brute([r[:2] for r in rows], []))
+    assert drawn(docs.where("false"), target) == []
+
+
+def test_drawn_documents_are_nearer_to_the_target(spark):
+    rng = random.Random(4)
+    near, far = [f"n{i}" for i in range(50)], [f"f{i}" for i in range(50)]
+    rows = [(i, " ".join(rng.choice(near if i % 2 else far) for _ in range(40))) for i in range(400)]
+    target = spark.createDataFrame([(" ".join(rng.choice(near) for _ in range(400)),)], "text string")
+    found = resample.resample(spark.createDataFrame(rows, "doc_id long, text string"), target).where("rank is not null").collect()
+    assert len(found) == 100 and np.mean([r["doc_id"] % 2 for r in found]) > 0.7

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import chat, decontam, exact, html, langid, mixing, neardup, pii, quality, substring
+from tidewatch.llm import bpe, chat, decontam, exact, html, langid, mixing, neardup, phrases, pii, quality, resample, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +76,24 @@ def q_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chat(turns.unionByName(probe)))
 
 
+def q_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = bpe.decode(bpe.encode(docs, path), path)
+    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def q_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+def q_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resample.resample(docs, table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
 _MIX_SQL = f"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, source, CASE WHEN source IS NULL THEN '' ELSE 's' || source END AS src,
@@ -176,6 +194,36 @@ FROM texts LEFT JOIN kept USING (doc_id)
 """
 
 
+_PHRASES_SQL = rf"""
+WITH texts AS (
+  SELECT coalesce(lang, '{phrases.UNKNOWN}') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+pieces AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM texts),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+grams AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+  FROM pieces, unnest(range(1, {phrases.LONGEST + 1})) AS s(size), unnest(range(1, len(w) - size + 2)) AS t(i)),
+freq AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= {phrases.LEAST}),
+cands AS (SELECT *, string_split(phrase, ' ') AS w FROM freq WHERE size > 1),
+inside AS (
+  SELECT c.lang, array_to_string(c.w[i:i + s - 1], ' ') AS phrase, max(c.f) AS most
+  FROM cands c, unnest(range(2, c.size)) AS a(s), unnest(range(1, c.size - s + 2)) AS b(i) GROUP BY ALL),
+kept AS (SELECT c.* FROM cands c LEFT JOIN inside USING (lang, phrase) WHERE most IS NULL OR 100 * most < {phrases.WITHIN} * f),
+cuts AS (
+  SELECT lang, phrase, f AS a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS rest
+  FROM kept, unnest(range(1, size)) AS t(k)),
+scored AS (
+  SELECT c.lang, c.phrase, a, k, l.f AS l, r.f AS r, n,
+         CAST((1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM cuts c JOIN freq l ON l.lang = c.lang AND l.phrase = head JOIN freq r ON r.lang = c.lang AND r.phrase = rest
+       JOIN totals t ON t.lang = c.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY rank <= {phrases.TOP}
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": q_pii,
@@ -188,6 +236,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": q_exact_dedup,
         "op9_mix_sources": q_mix_sources,
         "op10_chat_format": q_chat_format,
+        "op11_bpe": q_bpe,
+        "op12_phrases": q_phrases,
+        "op13_resample": q_resample,
     }
 
 
@@ -198,4 +249,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_exact_dedup": _EXACT_SQL,
         "op9_mix_sources": _MIX_SQL,
         "op10_chat_format": _CHAT_SQL,
+        "op12_phrases": _PHRASES_SQL,
     }
