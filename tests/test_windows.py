@@ -248,3 +248,80 @@ def test_events_that_no_anchor_sees_are_not_aggregated(spark):
     df = spark.createDataFrame(events, EVENT)
     panes = windows.build_panes(stays_of(spark, [24]), [windows.vitals_family(df, [SignalStats("hr", ("mean",))])], GRID)
     assert panes.count() == 1
+
+
+FAR = [-1e9, 1e9, 1e17, float("inf"), float("nan")]
+
+
+@pytest.mark.parametrize("far", FAR)
+def test_far_values_outside_a_window_have_no_part_in_its_deviation(spark, far):
+    at = T0 + 60 * H
+    near = [(-0.5, 70.0), (-2.5, 71.0), (-2.75, 72.0), (-5.0, 71.5)]
+    events = [("P0", "A0", at + h * H, v, None) for h, v in [*near, (-30.0, far), (-48.0, far), (10.0, far)]]
+    got = features_of(spark, stays_of(spark, [72]), events, ("std", "slope_fit", "mean"))[("P0", at)]
+    values, hours = [v for _, v in near], [h for h, _ in near]
+    for w in (6, 12, 24):
+        assert got[f"hr_std_{w}h"] == pytest.approx(statistics.stdev(values), rel=1e-9)
+        assert got[f"hr_slope_fit_{w}h"] == pytest.approx(statistics.linear_regression(hours, values).slope, rel=1e-9)
+    # An outlier in the longer windows only leaves the short one alone.
+    events = [("P0", "A0", at + h * H, v, None) for h, v in [*near, (-8.0, far)]]
+    got = features_of(spark, stays_of(spark, [72]), events, ("std",))[("P0", at)]
+    assert got["hr_std_6h"] == pytest.approx(statistics.stdev(values), rel=1e-9)
+    if math.isfinite(far):
+        assert got["hr_std_12h"] == pytest.approx(statistics.stdev([*values, far]), rel=1e-9)
+
+
+@pytest.mark.parametrize("offset", [0.0, 1e6, -1e9])
+def test_deviation_at_any_offset_with_an_outlier_elsewhere(spark, offset):
+    at = T0 + 48 * H
+    values = [offset + v for v in (0.0, 1.0, 2.0, 4.0)]
+    events = [("P0", "A0", at - (i + 0.5) * H, v, None) for i, v in enumerate(values)] + [("P0", "A0", at - 40 * H, offset - 1e9, None)]
+    got = features_of(spark, stays_of(spark, [72]), events, ("std",))[("P0", at)]
+    assert got["hr_std_6h"] == got["hr_std_24h"] == pytest.approx(statistics.stdev((0.0, 1.0, 2.0, 4.0)), abs=1e-6)
+
+
+POINT = "patient_id string, admission_id string, anchor_time timestamp_ntz"
+
+
+def irregular(spark, events, at, w, hot=None, stats=windows.IRREGULAR_STATS):
+    points = spark.createDataFrame([("P0", "A0", t) for t in at], POINT)
+    rows = windows.irregular_window_features(points, spark.createDataFrame(events, EVENT), "hr", w, hot_rows=hot, stats=stats).collect()
+    return {r["anchor_time"]: [r[f"hr_{s}_{w}h"] for s in stats] for r in rows}
+
+
+@pytest.mark.parametrize("hot", [None, 3])
+@pytest.mark.parametrize("far", FAR)
+def test_far_values_ahead_of_an_irregular_window_stay_outside(spark, far, hot):
+    events = [("P0", "A0", T0 + h * H, v, None) for h, v in ((0.0, far), (7.0, 1.0), (8.0, 1.0), (9.0, None), (14.0, 3.0), (30.0, far))]
+    got = irregular(spark, events, [T0 + 10 * H, T0 + 15 * H, T0 + 19 * H], 6, hot)
+    assert got == {T0 + 10 * H: [1.0, 1.0, 1.0, 0.0, 1.0, 2], T0 + 15 * H: [3.0, 3.0, 3.0, None, 3.0, 1], T0 + 19 * H: [3.0, 3.0, 3.0, None, 3.0, 1]}
+
+
+@pytest.mark.parametrize("hot", [None, 4])
+def test_irregular_statistics_against_brute_force(spark, hot):
+    rng = random.Random(17)
+    pick = lambda: rng.choice([None, rng.uniform(-5, 5), 1e9 + rng.random(), float(rng.randrange(3))])
+    times = rng.sample(range(60 * 60), 150)  # distinct minutes
+    events = [("P0", "A0", T0 + m / 60 * H, pick(), None) for m in times]
+    at = sorted({T0 + rng.choice(times) / 60 * H for _ in range(25)} | {T0 + rng.uniform(0, 70) * H for _ in range(25)})
+    got = irregular(spark, events, at, 7, hot)
+    for t in at:
+        inside = sorted((e, v) for _, _, e, v, _ in events if t - 7 * H < e <= t and v is not None)
+        rows = any(t - 7 * H < e <= t for _, _, e, _, _ in events)
+        assert (t in got) == rows
+        if rows:
+            v = [x for _, x in inside]
+            want = [statistics.fmean(v), min(v), max(v), statistics.stdev(v) if len(v) > 1 else None, v[-1], len(v)] if v else [None] * 5 + [0]
+            for a, b in zip(got[t], want):
+                assert (a is None) == (b is None) and (b is None or math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-9)), (t, got[t], want)
+
+
+def test_irregular_windows_take_one_exchange_of_events(spark):
+    events = spark.createDataFrame([("P0", "A0", T0, 1.0, 2.0)], EVENT)
+    points = spark.createDataFrame([("P0", "A0", T0)], POINT)
+    plan = windows.irregular_window_features(points, events, "hr", 6, stats=windows.IRREGULAR_STATS)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    # One makes anchors distinct, one brings buckets together.
+    assert text.count("Exchange hashpartitioning") == 2 and "Join" not in text
+    with pytest.raises(ValueError):
+        windows.irregular_window_features(points, events, "hr", 6, stats=("median",))

@@ -34,7 +34,7 @@ _NEEDS = {
     "min": {"min"},
     "max": {"max"},
     "range": {"min", "max"},
-    "std": {"n", "sum", "m2", "first"},
+    "std": {"n", "sum", "m2"},
     "last": {"last"},
     "delta": {"first", "last", "first_ts", "last_ts"},
     "slope": {"first", "last", "first_ts", "last_ts"},
@@ -190,15 +190,18 @@ def _panes_at_anchors(panes: DataFrame, grid: TimeGrid, keys: Sequence[str], piv
     anchor_pane = _anchor_pane(F.col("__k"), grid)
     # explode() of null yields no row, for panes that no anchor looks back on.
     clustered = panes.repartition(*keys)
-    if pivots:
-        stay = Window.partitionBy(*keys)
-        clustered = clustered.withColumns({f"pivot__{s}": F.min(f"first__{s}").over(stay) for s in pivots})
-    return (
+    repeated = (
         clustered.withColumns({"__first": first, "__until": last})
         .withColumn("__k", F.explode(F.when(F.col("__first") <= F.col("__until"), F.sequence("__first", "__until"))))
         .withColumns({"anchor_time": anchor_time_of(grid, F.col("__k")), "__back": anchor_pane - F.col("__pane")})
         .drop(grid.start, "__last", "__pane", "__first", "__until", "__k")
     )
+    if not pivots:
+        return repeated
+    # The latest pane with a value lies in each window of the anchor that holds any value at all.
+    latest_first = Window.partitionBy(*keys, "anchor_time").orderBy("__back").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    means = {f"pivot__{s}": F.first(F.try_divide(f"sum__{s}", f"n__{s}"), True).over(latest_first) for s in pivots}
+    return repeated.withColumns(means)
 
 
 def _window_aggregates(family: EventFamily, window_h: int, grid: TimeGrid) -> tuple[list[Column], list[Column]]:
@@ -222,8 +225,8 @@ def _window_aggregates(family: EventFamily, window_h: int, grid: TimeGrid) -> tu
             "sum": f"sum(CASE WHEN {inside} THEN {total} END)",
             "min": f"min(CASE WHEN {inside} THEN min__{s} END)",
             "max": f"max(CASE WHEN {inside} THEN max__{s} END)",
-            # Squares and products are taken about a value of the stay, not about zero: values far
-            # from zero would leave no digits for their differences.
+            # Squares and products are taken about the mean of the window's latest pane: values far from
+            # zero, or far from this window's, would leave no digits for their differences.
             "dev": f"sum(CASE WHEN {inside} THEN {n} * {off} END)",
             "m2": f"sum(CASE WHEN {inside} THEN m2__{s} + {n} * {off} * {off} END)",
             "first": f"min_by(first__{s}, {seen(f'first__{s}')})",
@@ -372,6 +375,9 @@ def asof_last(
     return window_features(stays, [only], one, keys, hot_rows)
 
 
+IRREGULAR_STATS = ("mean", "min", "max", "std", "last", "count")
+
+
 def irregular_window_features(
     anchors: DataFrame,
     events: DataFrame,
@@ -379,66 +385,98 @@ def irregular_window_features(
     window_h: int,
     keys: Sequence[str] = KEYS,
     hot_rows: int | None = None,
+    stats: Sequence[str] = ("mean", "last", "count"),
 ) -> DataFrame:
-    """Mean, last and count of a signal at arbitrary anchor times (no grid to rely on).
+    """Statistics of a signal at arbitrary anchor times (no grid to rely on).
 
     One row per distinct anchor that has an event in its window. Time is cut into buckets of the
-    window's length; every event goes to its own bucket and the next, and running sums over a bucket
-    are read at both ends of each window: rows in proportion to events and anchors, no pairs. With
-    ``hot_rows``, for keys of which even one bucket is too large for a task, the pairs of a spread
-    range join are combined instead.
+    window's length, so a window is the end of one bucket and the beginning of the next. Running
+    statistics from a bucket's beginning on, and from its end back, are read at the window's two ends
+    and combined, never subtracted: what lies outside a window, however far or infinite, has no part
+    in it. Rows in proportion to events and anchors, no pairs. With ``hot_rows``, for keys of which
+    even one bucket is too large for a task, the pairs of a spread range join are combined instead.
+    Rows with a null key match nothing.
     """
-    named = [feature_name(signal, stat, window_h) for stat in ("mean", "last", "count")]
+    unknown = [s for s in stats if s not in IRREGULAR_STATS]
+    if unknown:
+        raise ValueError(f"unknown statistics: {unknown}")
     v = F.col(signal)
-    points = anchors.select(*keys, "anchor_time").where(F.col("anchor_time").isNotNull()).distinct()
+    points = anchors.select(*keys, "anchor_time").dropna().distinct()
     if hot_rows is not None:
         pairs = range_join_bucketed(
             points, events.select(*keys, "event_time", signal), keys, "anchor_time", "event_time", window_h, hot_rows
         )
-        last = F.max_by(v, F.when(v.isNotNull(), F.col("event_time")))
-        values = (F.avg(v), last, F.count(v))
-        return pairs.groupBy(*keys, "anchor_time").agg(*[c.alias(n) for c, n in zip(values, named)])
-
-    width = int(window_h * MICROS_PER_HOUR)
-    at = F.col("__at")
-    seen = (
-        events.where(F.col("event_time").isNotNull())
-        .select(*keys, micros_of("event_time").alias("__at"), v.alias("__v"), F.lit(0).alias("__end"))
-        .withColumn("__bucket", F.explode(F.array(floor_div(at, width), floor_div(at, width) + 1)))
-    )
-    # Ends come behind events of the same time: a window holds its anchor's time, not its start.
-    ends = (
-        points.withColumns({"__at": micros_of("anchor_time"), "__bucket": floor_div(micros_of("anchor_time"), width)})
-        .withColumn("__end", F.explode(F.array(F.lit(1), F.lit(2))))
-        .withColumn("__at", F.when(F.col("__end") == 1, at - width).otherwise(at))
-    )
-    upto = Window.partitionBy(*keys, "__bucket").orderBy("__at", "__end").rowsBetween(Window.unboundedPreceding, 0)
-    running = seen.unionByName(ends, allowMissingColumns=True).withColumns(
-        {
-            "__rows": F.count_if(F.col("__end") == 0).over(upto),
-            "__n": F.count("__v").over(upto),
-            "__sum": F.sum("__v").over(upto),
-            "__last": F.last(F.when(F.col("__v").isNotNull(), F.struct(at.alias("at"), F.col("__v").alias("v"))), True).over(upto),
+        values = {
+            "mean": F.avg(v),
+            "min": F.min(v),
+            "max": F.max(v),
+            "std": F.stddev_samp(v),
+            "last": F.max_by(v, F.when(v.isNotNull(), F.col("event_time"))),
+            "count": F.count(v),
         }
-    )
+        return pairs.groupBy(*keys, "anchor_time").agg(*[values[s].alias(feature_name(signal, s, window_h)) for s in stats])
 
-    def between(c: str) -> Column:
-        at_end = [F.coalesce(F.max(F.when(F.col("__end") == k, F.col(c))), F.lit(0)) for k in (2, 1)]
-        return at_end[0] - at_end[1]
-
-    at_anchor = (
-        running.where(F.col("__end") > 0)
-        .groupBy(*keys, "__bucket", "anchor_time")
-        .agg(
-            between("__rows").alias("__rows"),
-            between("__n").alias("__n"),
-            between("__sum").alias("__sum"),
-            F.max(F.when(F.col("__end") == 2, F.col("__last")))["v"].alias("__value"),
-        )
-        .where(F.col("__rows") > 0)
-    )
-    values = (F.try_divide("__sum", "__n"), F.when(F.col("__n") > 0, F.col("__value")), F.col("__n"))
-    return at_anchor.select(*keys, "anchor_time", *[c.alias(n) for c, n in zip(values, named)])
+    width = int(window_h * MICROS_PER_HOUR)
+    at, bucket = F.col("__at"), floor_div(F.col("__at"), width)
+    # Part 0 runs forward through the anchor's bucket up to the anchor, part 1 back through the bucket
+    # ahead of it as far as the window's start, which is not in the window.
+    parts = [(0, bucket, at, F.lit(1)), (1, bucket + 1, -at, F.lit(-1))]
+
+    def placed(df: DataFrame, is_anchor: bool) -> DataFrame:
+        sides = []
+        for k, home, order, edge in parts:
+            order = order + F.lit(width) if is_anchor and k == 1 else order
+            home = bucket if is_anchor else home
+            sides.append(F.struct(F.lit(k).alias("part"), home.alias("bucket"), order.alias("order"), (edge if is_anchor else F.lit(0)).alias("edge")))
+        return df.withColumn("__p", F.explode(F.array(*sides))).select("*", *[F.col(f"__p.{c}").alias(f"__{c}") for c in ("part", "bucket", "order", "edge")]).drop("__p")
+
+    timed = events.dropna(subset=[*keys, "event_time"])
+    seen = timed.select(*keys, micros_of("event_time").alias("__at"), v.alias("__v"))
+    ends = points.withColumn("__at", micros_of("anchor_time"))
+    both = placed(seen, False).unionByName(placed(ends, True), allowMissingColumns=True)
+    # One exchange: both parts of a bucket, and then its anchors, are aggregated where they are.
+    both = both.repartition(*keys, "__bucket")
+    upto = Window.partitionBy(*keys, "__bucket", "__part").orderBy("__order", "__edge").rowsBetween(Window.unboundedPreceding, 0)
+    value = F.when(F.col("__v").isNotNull(), F.struct(at.alias("at"), F.col("__v").alias("v")))
+    running = {
+        "__rows": F.count_if(F.col("__edge") == 0).over(upto),
+        "__n": F.count("__v").over(upto),
+        "__sum": F.sum("__v").over(upto),
+    }
+    if "min" in stats:
+        running["__min"] = F.min("__v").over(upto)
+    if "max" in stats:
+        running["__max"] = F.max("__v").over(upto)
+    if "std" in stats:
+        running["__m2"] = F.var_pop("__v").over(upto) * F.count("__v").over(upto)
+    if "last" in stats:
+        latest = F.when(F.col("__part") == 0, F.last(value, True).over(upto)).otherwise(F.first(value, True).over(upto))
+        running["__last"] = latest
+    at_anchor = both.withColumns(running).where("__edge != 0").groupBy(*keys, "__bucket", "anchor_time")
+    part = {k: F.col("__part") == k for k in (0, 1)}
+    combined = [F.sum("__rows").alias("__rows"), F.sum("__n").alias("__n"), F.sum("__sum").alias("__sum")]
+    if "min" in stats:
+        combined.append(F.min("__min").alias("__min"))
+    if "max" in stats:
+        combined.append(F.max("__max").alias("__max"))
+    if "std" in stats:
+        combined += [F.max(F.when(part[k], F.col(c))).alias(f"{c}{k}") for k in part for c in ("__n", "__sum", "__m2")]
+    if "last" in stats:
+        combined.append(F.max("__last").alias("__last"))
+    found = at_anchor.agg(*combined).where("__rows > 0")
+    # Two groups of (n, mean, m2) as one, about their own means.
+    gap = F.col("__sum0") / F.col("__n0") - F.col("__sum1") / F.col("__n1")
+    between = F.when((F.col("__n0") > 0) & (F.col("__n1") > 0), gap * gap * F.col("__n0") * F.col("__n1") / F.col("__n"))
+    m2 = F.coalesce("__m20", F.lit(0.0)) + F.coalesce("__m21", F.lit(0.0)) + F.coalesce(between, F.lit(0.0))
+    finished = {
+        "mean": lambda: F.try_divide("__sum", "__n"),
+        "min": lambda: F.col("__min"),
+        "max": lambda: F.col("__max"),
+        "std": lambda: F.when(F.col("__n") > 1, F.sqrt(m2 / (F.col("__n") - 1))),
+        "last": lambda: F.col("__last.v"),
+        "count": lambda: F.col("__n"),
+    }
+    return found.select(*keys, "anchor_time", *[finished[s]().alias(feature_name(signal, s, window_h)) for s in stats])
 
 
 def with_derived_features(features: DataFrame, windows_h: Sequence[int], last: tuple[str, str, str] = ("hr", "sbp", "dbp")) -> DataFrame:

@@ -274,6 +274,19 @@ def q_range_join_bucketed(spark, d):
     return _rounded(windows.irregular_window_features(irregular, fx.vitals(spark, d), "hr", 24))
 
 
+def q_irregular_window_stats(spark, d):
+    irregular = fx.labs(spark, d).select("patient_id", "admission_id", F.col("event_time").alias("anchor_time"))
+    return _rounded(windows.irregular_window_features(irregular, fx.vitals(spark, d), "hr", 36, stats=windows.IRREGULAR_STATS))
+
+
+def q_range_join_pairs(spark, d):
+    """Each lab result with the vital signs of the day before it, as pairs."""
+    irregular = fx.labs(spark, d).select("patient_id", "admission_id", F.col("event_time").alias("anchor_time"))
+    events = fx.vitals(spark, d).select("patient_id", "admission_id", "event_time", "hr")
+    pairs = joins.range_join_bucketed(irregular, events, ["patient_id", "admission_id"], "anchor_time", "event_time", 24, hot_rows=joins.HOT_ROWS)
+    return _rounded(pairs.select("patient_id", "admission_id", "anchor_time", "event_time", "hr"))
+
+
 def q_merge_features_outer(spark, d):
     grid = TimeGrid(windows_h=(24,))
     parts = [windows.window_features(stays_table(spark, d), [f], grid) for f in _families(spark, d)]

@@ -295,6 +295,19 @@ def oracle_sql() -> dict[str, str]:
         "FROM labs a JOIN vitals e ON a.patient_id = e.patient_id AND a.admission_id = e.admission_id "
         "AND e.event_time <= a.event_time AND e.event_time > a.event_time - INTERVAL 24 HOUR GROUP BY 1, 2, 3"
     )
+    pairs = (
+        "FROM labs a JOIN vitals e ON a.patient_id = e.patient_id AND a.admission_id = e.admission_id "
+        "AND e.event_time <= a.event_time AND e.event_time > a.event_time - INTERVAL {} HOUR"
+    )
+    out["irregular_window_stats"] = _ON_BASE + (
+        "SELECT a.patient_id, a.admission_id, a.event_time AS anchor_time, round(avg(e.hr), 6) AS hr_mean_36h, "
+        "round(min(e.hr), 6) AS hr_min_36h, round(max(e.hr), 6) AS hr_max_36h, round(stddev_samp(e.hr), 6) AS hr_std_36h, "
+        "round(arg_max(e.hr, e.event_time) FILTER (WHERE e.hr IS NOT NULL), 6) AS hr_last_36h, count(e.hr) AS hr_count_36h "
+        "FROM (SELECT DISTINCT patient_id, admission_id, event_time FROM labs) a" + pairs.format(36)[len("FROM labs a") :] + " GROUP BY 1, 2, 3"
+    )
+    out["range_join_pairs"] = _ON_BASE + (
+        "SELECT a.patient_id, a.admission_id, a.event_time AS anchor_time, e.event_time, round(e.hr, 6) AS hr " + pairs.format(24)
+    )
     out["merge_features_outer"] = _with(*_BASE, *_features(windows=(24,))) + "SELECT * FROM features"
     out["gold_features"] = _with(*_BASE, *_features(), _GOLD) + "SELECT * FROM gold"
     lasts = {"vitals": [(s, ("last",)) for s in FULL_SIGNALS["vitals"]]}
