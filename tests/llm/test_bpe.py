@@ -60,17 +60,21 @@ def test_long_words_and_forced_boundaries(encoder, library):
 
 def test_what_is_remembered_is_bounded(encoder, library, monkeypatch):
     monkeypatch.setattr(bpe, "_REMEMBERED", 7)
-    texts = [f"word{i} and {i * 7919}" for i in range(200)]
+    texts = [f"word{i} and {i * 7919}" for i in range(200)] + ["x" * 100]
     assert own(encoder, texts) == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
-    encoder.clear()
+    assert max(map(len, encoder.known)) <= bpe._SHORT
+    for _ in range(3):
+        own(encoder, ["a few words"])
+    assert len(encoder.known) <= 7
+    encoder.known.clear()
 
 
 def test_merges_of_long_words_agree_with_those_of_short_ones(encoder, monkeypatch):
     rng = random.Random(8)
-    words = ["".join(rng.choice("abcdeinst") for _ in range(rng.randrange(1, 40))) for _ in range(2000)]
-    short = [encoder.merge(w) for w in words]
+    words = ["".join(rng.choice("abcdeinst ") for _ in range(rng.randrange(0, 40))).encode() for _ in range(2000)]
+    short = [ids.tolist() for ids in encoder.merge_all(words)]
     monkeypatch.setattr(bpe, "_SHORT", 0)
-    assert [encoder.merge(w) for w in words] == short
+    assert [ids.tolist() for ids in encoder.merge_all(words)] == short
 
 
 def test_table_of_documents(spark, small, library):

@@ -67,7 +67,7 @@ def after_white(data: np.ndarray) -> np.ndarray:
     return out | ((two == 0xE3) & (one == 0x80) & (data == 0x80))
 
 
-class Encoder(dict):
+class Encoder:
     """Ids of fragments, as packed little-endian unsigned 32-bit integers, remembered up to a bound."""
 
     def __init__(self, vocabulary: str):
@@ -83,70 +83,115 @@ class Encoder(dict):
         missing = [c for c in _LETTER if c not in ids]
         if missing:
             raise ValueError(f"{len(missing)} bytes have no token")
-        self.ids = ids
-        pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
-        self.ranks = {(a, b): n for n, (a, b) in enumerate(pairs)}
+        self.split = Tokenizer.from_str(vocabulary).pre_tokenizer
         self.special = {t["content"].encode(): t["id"] for t in added if t["content"]}
         found = sorted(self.special, key=len, reverse=True)
         self.find_special = re.compile(b"|".join(map(re.escape, found))) if found else None
-        self.split = Tokenizer.from_str(vocabulary).pre_tokenizer
         self.tokens = {i: token_bytes(t) for t, i in ids.items()} | {i: c for c, i in self.special.items()}
         self.inside = np.zeros(1 << 16, bool)
         for t in ids:
             raw = np.frombuffer(token_bytes(t), np.uint8).astype(np.int64)
             self.inside[raw[:-1] * 256 + raw[1:]] = True
-
-    def __missing__(self, fragment: bytes) -> bytes:
-        if fragment in self.special:
-            packed = np.array([self.special[fragment]], "<u4").tobytes()
-        else:
-            if _ONE_WORD.fullmatch(fragment):
-                words = [fragment.decode().replace(" ", _LETTER[0x20])]
-            else:
-                words = [w for w, _ in self.split.pre_tokenize_str(fragment.decode())]
-            packed = b"".join([self.ids[t].to_bytes(4, "little") for w in words for t in self.merge(w)])
-        if len(fragment) <= _SHORT:
-            if len(self) >= _REMEMBERED:
-                self.clear()
-            self[fragment] = packed
-        return packed
-
-    def merge(self, word: str) -> list[str]:
-        """Tokens of a word: the merge of least rank first, of equal ones the leftmost.
-
-        A long word takes a heap over a linked list of symbols, so that n of them need n log n steps.
+        # Merges by their pair of ids: rank, and the id they make.
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        self.made = np.array([ids[a + b] for a, b in pairs], np.int64)
+        self.base = max(ids.values()) + 1
+        keys = np.array([ids[a] * self.base + ids[b] for a, b in pairs], np.int64)
+        self.rank = np.argsort(keys, kind="stable")
+        self.keys = keys[self.rank]
+        self.ranks = {int(k): n for n, k in enumerate(keys)}
+        self.of_byte = np.array([ids[c] for c in _LETTER], np.int64)
+        self.known: dict[bytes, bytes] = {}
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left * self.base + right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.rank[at], len(self.keys))
+
+    def merge_all(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of each word: the merge of least rank first, of equal ones the leftmost.
+
+        All words at once, one merge of each a round; what is done leaves. A long word would take as
+        many rounds as it has merges, so it goes its own way.
         """
-        ranks, n = self.ranks, len(word)
-        if n <= _SHORT:
-            parts, none = list(word), len(ranks)
-            while len(parts) > 1:
-                found = [ranks.get(p, none) for p in zip(parts, parts[1:])]
-                least = min(found)
-                if least == none:
+        out: list[np.ndarray] = [self.of_byte[:0]] * len(words)
+        some = [k for k, w in enumerate(words) if 0 < len(w) <= _SHORT]
+        for k, w in enumerate(words):
+            if len(w) > _SHORT:
+                out[k] = np.array(self._merge_long(self.of_byte[np.frombuffer(w, np.uint8)].tolist()), np.int64)
+        if not some:
+            return out
+        none = len(self.keys)
+        symbol = self.of_byte[np.frombuffer(b"".join([words[k] for k in some]), np.uint8)]
+        owner = np.repeat(np.array(some), [len(words[k]) for k in some])
+        rank = np.full(len(symbol), none)
+        same = np.flatnonzero(owner[1:] == owner[:-1])
+        rank[same] = self._ranks(symbol[same], symbol[same + 1])
+        while len(symbol):
+            first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            size = np.diff(np.r_[first, len(owner)])
+            least = np.minimum.reduceat(rank, first)
+            over = least == none
+            if over.any():
+                for k, a, n in zip(owner[first[over]].tolist(), first[over].tolist(), size[over].tolist()):
+                    out[k] = symbol[a : a + n]
+                on = ~np.repeat(over, size)
+                symbol, owner, rank = symbol[on], owner[on], rank[on]
+                least, size = least[~over], size[~over]
+                if not len(symbol):
                     break
-                i = found.index(least)
-                parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            return parts
-        symbol: list[str | None] = list(word)
+            hit = np.flatnonzero(rank == np.repeat(least, size))
+            hit = hit[np.r_[True, owner[hit[1:]] != owner[hit[:-1]]]]
+            symbol[hit] = self.made[rank[hit]]
+            keep = np.ones(len(symbol), bool)
+            keep[hit + 1] = False
+            hit = hit - np.arange(len(hit))  # places after one symbol of each word before is gone
+            symbol, owner, rank = symbol[keep], owner[keep], rank[keep]
+            for at in (hit, hit - 1):
+                at = at[at >= 0]
+                inner = (at + 1 < len(owner)) & (owner[at] == owner[np.minimum(at + 1, len(owner) - 1)])
+                rank[at[~inner]] = none
+                at = at[inner]
+                rank[at] = self._ranks(symbol[at], symbol[at + 1])
+        return out
+
+    def _merge_long(self, symbol: list[int | None]) -> list[int]:
+        """The same for one word: a heap over a linked list of symbols takes n log n steps."""
+        n, ranks, base = len(symbol), self.ranks, self.base
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(ranks[p], i) for i, p in enumerate(zip(word, word[1:])) if p in ranks]
+        heap = [(ranks[p], i) for i, p in enumerate(a * base + b for a, b in zip(symbol, symbol[1:])) if p in ranks]
         heapq.heapify(heap)
         while heap:
             rank, i = heapq.heappop(heap)
             j = after[i]
-            if symbol[i] is None or j >= n or ranks.get((symbol[i], symbol[j])) != rank:
+            if symbol[i] is None or j >= n or ranks.get(symbol[i] * base + symbol[j]) != rank:
                 continue
-            symbol[i] += symbol[j]
+            symbol[i] = int(self.made[rank])
             symbol[j] = None
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if (r := ranks.get((symbol[i], symbol[k]))) is not None:
+                if (r := ranks.get(symbol[i] * base + symbol[k])) is not None:
                     heapq.heappush(heap, (r, i))
-            if (h := before[i]) >= 0 and (r := ranks.get((symbol[h], symbol[i]))) is not None:
+            if (h := before[i]) >= 0 and (r := ranks.get(symbol[h] * base + symbol[i])) is not None:
                 heapq.heappush(heap, (r, h))
         return [s for s in symbol if s is not None]
 
+    def _learn(self, fragments: list[bytes]) -> None:
+        """Encode fragments, each on its own, into ``known``."""
+        words, owner = [], []
+        for k, f in enumerate(fragments):
+            if f in self.special:
+                continue
+            found = [f] if _ONE_WORD.fullmatch(f) else [token_bytes(w) for w, _ in self.split.pre_tokenize_str(f.decode())]
+            words += found
+            owner += [k] * len(found)
+        packed: list[list[bytes]] = [[] for _ in fragments]
+        for k, ids in zip(owner, self.merge_all(words)):
+            packed[k].append(ids.astype("<u4").tobytes())
+        for f, parts in zip(fragments, packed):
+            self.known[f] = self.special[f].to_bytes(4, "little") if f in self.special else b"".join(parts)
+
     def boundaries(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Places of ``data`` (from 0, its length included) at which a fragment begins or ends."""
         cut = np.zeros(len(data) + 1, bool)
@@ -163,17 +208,23 @@ class Encoder(dict):
         return np.flatnonzero(cut)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
-        """Packed ids of each row."""
+        """Packed ids of each row. What the rows need is remembered with what fits into the bound."""
         if len(data) == 0:
             return [b""] * (len(offsets) - 1)
         places = self.boundaries(data, offsets)
         rows = np.searchsorted(places, offsets).tolist()
         raw, at = data.tobytes(), places.tolist()
-        out = []
-        for a, b in zip(rows[:-1], rows[1:]):
-            fragments = [raw[i:j] for i, j in zip(at[a:b], at[a + 1 : b + 1])]
-            out.append(b"".join(map(self.__getitem__, fragments)))
-        return out
+        fragments = [raw[i:j] for i, j in zip(at, at[1:])]
+        known = self.known
+        if len(known) > _REMEMBERED:
+            known.clear()
+        new = list({f for f in fragments if f not in known})
+        self._learn(new)
+        packed = list(map(known.__getitem__, fragments))
+        for f in new:
+            if len(f) > _SHORT:
+                del known[f]
+        return [b"".join(packed[a:b]) for a, b in zip(rows[:-1], rows[1:])]
 
 
 def _parts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
