@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from tidewatch.config import ANCHOR_KEYS
+from tidewatch.operators import compiled
 from tidewatch.sources import numeric_columns
 
 # Columns of the model table that are never features.
@@ -63,18 +63,18 @@ def gbt_pipeline(
 
 
 def fit_and_save(pipeline: Pipeline, train: DataFrame, path: str) -> PipelineModel:
-    """Fit, save to ``path`` and return the model as loaded from there.
-
-    A freshly fitted linear model drags its training summary, and with it the session, into the
-    tasks that apply it; the loaded one carries its coefficients only.
-    """
+    """Fit, save to ``path`` and return the model as loaded from there, without its training summary."""
     save_model(pipeline.fit(train), path)
     return load_model(path)
 
 
 def score(df: DataFrame, model: PipelineModel, keep: Sequence[str], out: str = "risk_score") -> DataFrame:
-    """Probability of the positive class next to the kept columns."""
-    return model.transform(df).select(*keep, vector_to_array("probability")[1].alias(out))
+    """Probability of the positive class next to the kept columns.
+
+    The model is compiled to a column expression, so a fitted and a loaded one score alike. A null
+    feature gives a null score.
+    """
+    return compiled.score_with(df, compiled.compiled(model), keep, out)
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -123,22 +123,20 @@ def model_weights(model: PipelineModel, features: Sequence[str]) -> DataFrame:
 
 
 def top_drivers(
-    df: DataFrame, model: PipelineModel, features: Sequence[str], keep: Sequence[str] = ANCHOR_KEYS, n: int = 3
+    df: DataFrame,
+    model: PipelineModel | compiled.LinearForm | compiled.Forest,
+    features: Sequence[str] = (),
+    keep: Sequence[str] = ANCHOR_KEYS,
+    n: int = 3,
 ) -> DataFrame:
-    """The ``n`` features that raise each row's score most: coefficient times standardised value.
+    """The ``n`` features that raise each row's score most, for linear models and forests alike.
 
-    Means and deviations are one aggregation; the contributions are ordered within the row.
+    A linear model's feature contributes its coefficient times its distance from the mean of ``df``, a
+    forest's the changes of prediction along the paths at the steps that ask for it. Equal
+    contributions go by the feature's name, backwards. Ordered within the row, without a shuffle.
+    A row with a null feature has null contributions, which come last.
     """
-    coefficients = model.stages[-1].coefficients.toArray()
-    moments = df.agg(
-        F.array(*[F.avg(F.col(f).cast("double")) for f in features]).alias("mean"),
-        F.array(*[F.stddev_samp(F.col(f).cast("double")) for f in features]).alias("std"),
-    ).first()
-    contributions = []
-    for f, c, mean, std in zip(features, coefficients, moments["mean"], moments["std"]):
-        if not std:
-            continue
-        value = (F.col(f).cast("double") - F.lit(mean)) / F.lit(std) * F.lit(float(c) * std)
-        contributions.append(F.struct(value.alias("contribution"), F.lit(f).alias("feature")))
-    ordered = F.slice(F.sort_array(F.array(*contributions), asc=False), 1, n)
-    return df.select(*keep, F.transform(ordered, lambda d: d["feature"]).alias("top_drivers"))
+    form = compiled.compiled(model) if isinstance(model, PipelineModel) else model
+    found = compiled.attributed(df, form, keep)
+    ordered = F.slice(F.sort_array(F.transform("contributions", lambda c: F.struct(c["contribution"], c["feature"])), asc=False), 1, n)
+    return found.select(*keep, F.transform(ordered, lambda d: d["feature"]).alias("top_drivers"))
