@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -119,11 +120,28 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    for tables in _collecting:
+        tables.append(staged)
+    return staged
+
+
+_collecting: list[list[DataFrame]] = []
+
+
+@contextmanager
+def staged_tables() -> Iterator[list[DataFrame]]:
+    """Lists the tables that are staged within, for whoever writes the result to ``unstage`` them then."""
+    tables: list[DataFrame] = []
+    _collecting.append(tables)
+    try:
+        yield tables
+    finally:
+        _collecting.remove(tables)
 
 
 def unstage(*frames: DataFrame) -> None:
-    """Delete the files of staged tables that nothing reads any more."""
+    """Delete the files of staged tables that nothing reads any more; deleted ones may come again."""
     for df in frames:
         spark = df.sparkSession
         for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
