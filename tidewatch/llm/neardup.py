@@ -108,9 +108,8 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
                 names=["doc_id", "n", "node", "regs"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, n long, node long, regs binary"
-    )
+    rows = docs.select("doc_id", F.col("text").cast("string"))
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n long, node long, regs binary")
 
 
 def _set_hash(s: np.ndarray) -> int:
@@ -312,10 +311,10 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80, id_col: str
     shingles (ASCII lower case; fewer than k words make one shingle). ``component_id`` is the least
     id reachable over links, ``kept`` marks the rows that have it. Null, empty and blank texts have
     no shingle and are linked with nothing. Rows that repeat an id are separate rows; null ids are
-    less than none and never a component's id unless all of its ids are null. An empty table gives
-    an empty table; other columns are ignored.
+    less than none and never a component's id unless all of its ids are null. Ids are of any type that
+    has an order, structs included. An empty table gives an empty table; other columns are ignored.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     sketched = stage(sketches(docs, k), "near-sketches")
     classes = stage(
         sketched.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("some_id"), F.max("n").alias("n"), F.max("regs").alias("regs")),
