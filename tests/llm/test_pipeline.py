@@ -8,6 +8,7 @@ import corpus_pipeline
 from tests.llm import brute
 from tests.twin_check import connect, differences
 from tidewatch.llm import neardup, queries
+from tidewatch.sources.tables import shared_folder, staged_tables
 
 
 def test_stages_agree_with_plain_versions(spark, small, tmp_path):
@@ -70,3 +71,33 @@ def test_near_duplicates_without_ids_are_linked(spark):
     assert len(got) == 2 and {r["component_id"] for r in got} == {None} and all(r["kept"] for r in got)
     docs = docs.unionByName(spark.createDataFrame([(9, words + " end")], docs.schema))
     assert {r["component_id"] for r in neardup.near_duplicates(docs, k=4, percent=80).where("doc_id is null").collect()} == {9}
+
+
+def test_staged_tables_go_once_a_stage_is_written(spark, small):
+    import os
+
+    folder = f"{shared_folder(spark)}/tidewatch"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    out = corpus_pipeline.run(spark, small)
+    left = {name.rpartition("-")[0] for name in set(os.listdir(folder)) - before}
+    assert left == {"decontamination"}, "the input of the last stage"
+    assert out.count() > 0
+
+
+def test_a_row_is_named_by_its_place_in_files(spark, small, tmp_path):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    docs.unionByName(docs).repartition(5).write.parquet(str(tmp_path / "twice"))
+    twice = spark.read.parquet(str(tmp_path / "twice"))
+    with staged_tables() as made:
+        once = corpus_pipeline.exact_dedup(spark, twice, small)
+        near = corpus_pipeline.near_dedup(spark, twice, small)
+    assert not any("numbered" in f for t in made for f in t.inputFiles()), "no copy of the texts is written for it"
+    assert once.count() == docs.select(F.coalesce("text", F.lit(""))).distinct().count()
+    assert near.count() == near.select("doc_id").distinct().count()
+
+
+def test_columns_named_like_those_of_the_mix(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").withColumn("slot", F.lit("mine")).withColumn("Block", F.lit(3))
+    got = corpus_pipeline.mix(spark, docs, small)
+    assert {"row_slot", "row_Block", "slot", "block"} <= set(got.columns) and len({c.lower() for c in got.columns}) == len(got.columns)
+    assert {tuple(r) for r in got.select("row_slot", "row_Block").collect()} == {("mine", 3)}
