@@ -105,22 +105,17 @@ ahead AS (
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) // {mixing.BLOCK_CHARS} AS block
   FROM docs),
 sizes AS (SELECT src, CAST(sum(vol) AS BIGINT) AS vol, CAST(floor(sqrt(CAST(sum(vol) AS DOUBLE))) AS BIGINT) AS w FROM docs GROUP BY src),
-shares AS (
-  SELECT src, vol, w, CAST(sum(w) OVER () AS BIGINT) AS all_w, count(*) OVER () AS n,
-         greatest({mixing.CYCLE}, count(*) OVER ()) AS cycle FROM sizes),
-dealt AS (SELECT *, ((cycle - n) * w) // all_w AS base, ((cycle - n) * w) % all_w AS rest FROM shares),
-quota AS (
-  SELECT src, vol, cycle,
-         CAST(1 + base + CASE WHEN row_number() OVER (ORDER BY rest DESC, src) <= cycle - n - sum(base) OVER () THEN 1 ELSE 0 END AS BIGINT) AS q
-  FROM dealt),
+parts AS (SELECT src, vol, CAST(greatest(({mixing.PARTS} * w) // CAST(sum(w) OVER () AS BIGINT), 1) AS BIGINT) AS q FROM sizes),
+quota AS (SELECT *, CAST(sum(q) OVER () AS BIGINT) AS cycle FROM parts),
+needed AS (SELECT least(max(cycle), max((((vol - 1) // {mixing.BLOCK_CHARS} + 1) * cycle + q - 1) // q)) AS slots FROM quota),
 steps AS (
   SELECT CAST(-1 AS BIGINT) AS t, src, q, cycle, CAST(0 AS BIGINT) AS taken, false AS won FROM quota
   UNION ALL
   SELECT t + 1, src, q, cycle, taken + CASE WHEN pick THEN 1 ELSE 0 END, pick FROM (
-    SELECT *, taken < q AND taken * cycle < (t + 2) * q AND row_number() OVER (ORDER BY
-             CASE WHEN taken < q AND taken * cycle < (t + 2) * q THEN 0 ELSE 1 END,
+    SELECT *, taken * cycle < (t + 2) * q AND row_number() OVER (ORDER BY
+             CASE WHEN taken * cycle < (t + 2) * q THEN 0 ELSE 1 END,
              ((taken + 1) * cycle + q - 1) // q, src) = 1 AS pick
-    FROM steps WHERE t + 1 < cycle)),
+    FROM steps WHERE t + 1 < (SELECT slots FROM needed))),
 plan AS (SELECT src, taken - 1 AS nth, t AS slot FROM steps WHERE won),
 last AS (
   SELECT min(((vol - 1) // {mixing.BLOCK_CHARS} // q) * cycle + slot) AS fin
