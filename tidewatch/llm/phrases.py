@@ -11,17 +11,20 @@ are adjacent in a piece lie side by side, and a gap begins a new stretch. One st
 3. keeps, by a semi-join with the frequent groups, the occurrences of frequent phrases as R(k + 1),
    which is written before the next length is tried.
 
-Groups are told apart by 64-bit hashes first, and the semi-join asks a Bloom filter of the frequent
+Groups are told apart by 40-bit hashes first, and the semi-join asks a Bloom filter of the frequent
 ones, whose size is a parameter. Both can only let more occurrences pass. What passes is counted once
-more by its words, so the counts are exact. No occurrence is shuffled, only counts are.
+more by its words, so the counts are exact; single words are counted if a frequent pair holds them, as
+only parts of phrases are asked for. No occurrence is shuffled, only counts are.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidewatch.llm.words import CHUNK_BYTES, mix, runs, text_bytes
@@ -35,8 +38,10 @@ TOP = 2000
 WITHIN = 100
 # Bits of the filter's cell numbers (a bitmap of 16 MB) and cells per phrase.
 FILTER_BITS, FILTER_CELLS = 27, 3
-# Counts that a task holds before it hands them on.
-_HELD = 1 << 20
+# Occurrences, and distinct phrases, that a task holds before it hands on their counts.
+_HELD, _DISTINCT = 1 << 20, 1 << 18
+# Bits of a group's hash that are left out: what is shuffled most are hashes, which do not compress.
+_LEFT_OUT = np.uint64(24)
 _BLOCK_BITS = 20
 UNKNOWN = "und"
 
@@ -120,25 +125,33 @@ def _written(s: Stretches, at: np.ndarray, k: int) -> pa.Array:
     return pa.StringArray.from_buffers(n, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(out.tobytes()))
 
 
-def count_hashes(relation: DataFrame, k: int, least: int, raw: bool = False) -> DataFrame:
-    """(lang, h, n): hashes of phrases of k words with ``least`` occurrences or more, lang being null.
+def count_hashes(relation: DataFrame, k: int, least: int) -> DataFrame:
+    """(h): hashes of phrases of k words with ``least`` occurrences or more in R(k - 1)."""
+    counted = relation.select("lang", "text").mapInArrow(_hash_counter(k, False), "h long, n long")
+    return counted.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h")
+
+
+def count_words(texts: DataFrame, least: int) -> DataFrame:
+    """(lang, h, n) of raw texts: frequent hashes of words, lang being null, and words per lang, h being null."""
+    counted = texts.select("lang", "text").mapInArrow(_hash_counter(1, True), "lang string, h long, n long")
+    return counted.groupBy("lang", "h").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | F.col("h").isNull())
 
-    With ``raw`` texts also the number of words of each language, h being null.
-    """
 
+def _hash_counter(k: int, raw: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[np.ndarray] = []
         held = 0
 
         def give() -> pa.RecordBatch:
             h, n = np.unique(np.concatenate(parts), return_counts=True)
-            return pa.record_batch([pa.nulls(len(h), pa.string()), pa.array(h.view(np.int64)), pa.array(n, pa.int64())], names=["lang", "h", "n"])
+            columns = {"h": pa.array(h.view(np.int64)), "n": pa.array(n, pa.int64())}
+            return pa.RecordBatch.from_pydict(({"lang": pa.nulls(len(h), pa.string())} if raw else {}) | columns)
 
         for batch in batches:
             langs = _lang_hashes(batch.column("lang"))
             words = np.zeros(batch.num_rows, np.int64)
             for s in _parts(batch.column("text"), raw):
-                parts.append(_hashes(s, langs, k, s.phrases(k)))
+                parts.append(_hashes(s, langs, k, s.phrases(k)) >> _LEFT_OUT)
                 held += len(parts[-1])
                 words[s.w.first : s.w.first + len(s.w)] = np.diff(s.w.rows)
                 if held > _HELD:
@@ -151,26 +164,42 @@ def count_hashes(relation: DataFrame, k: int, least: int, raw: bool = False) ->
         if held:
             yield give()
 
-    counted = relation.select("lang", "text").mapInArrow(run, "lang string, h long, n long")
-    return counted.groupBy("lang", "h").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | F.col("h").isNull())
+    return run
+
 
+def count_phrases(relation: DataFrame, k: int, least: int, among: Broadcast | None = None, bits: int = FILTER_BITS) -> DataFrame:
+    """(lang, phrase, n): exact counts of phrases of k words in R(k), ``least`` or more.
 
-def count_phrases(relation: DataFrame, k: int, least: int) -> DataFrame:
-    """(lang, phrase, n): exact counts of phrases of k words in R(k), ``least`` or more."""
+    With ``among``, a Bloom filter, of those only that it holds.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+
+        def give() -> pa.RecordBatch:
+            texts = pa.array([t for _, t in counts], pa.binary()).cast(pa.string())
+            return pa.record_batch([pa.array([x for x, _ in counts], pa.string()), texts, pa.array(counts.values(), pa.int64())], names=["lang", "phrase", "n"])
+
         for batch in batches:
-            langs = _lang_hashes(batch.column("lang"))
+            langs, names = _lang_hashes(batch.column("lang")), batch.column("lang").to_pylist()
             for s in _parts(batch.column("text"), False):
                 at = s.phrases(k)
-                _, first, which, n = np.unique(_hashes(s, langs, k, at), return_index=True, return_inverse=True, return_counts=True)
-                texts, kept = _texts_of(s, at, k), at[first]
+                h = _hashes(s, langs, k, at)
+                if among is not None:
+                    ok = _holds(among.value, h >> _LEFT_OUT, bits)
+                    at, h = at[ok], h[ok]
+                _, first, which, n = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+                texts, rows = _texts_of(s, at, k), (s.w.first + s.rows[at]).tolist()
                 if all(t == texts[i] for t, i in zip(texts, first[which].tolist())):
-                    texts = [texts[i] for i in first.tolist()]
+                    for i, c in zip(first.tolist(), n.tolist()):
+                        counts[names[rows[i]], texts[i]] += c
                 else:  # two phrases of one hash: every occurrence is counted by its words
-                    kept, n = at, np.ones(len(at), np.int64)
-                lang = batch.column("lang").take(pa.array(s.w.first + s.rows[kept]))
-                yield pa.record_batch([lang, pa.array(texts, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())], names=["lang", "phrase", "n"])
+                    counts.update((names[r], t) for r, t in zip(rows, texts))
+                if len(counts) > _DISTINCT:
+                    yield give()
+                    counts.clear()
+        if counts:
+            yield give()
 
     counted = relation.mapInArrow(run, "lang string, phrase string, n long")
     return counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
@@ -221,7 +250,7 @@ def _cell(h: np.ndarray, row: int, bits: int) -> np.ndarray:
     return (mix(h + np.uint64(row * 0x632BE59BD9B4E019 & (1 << 64) - 1)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _holds(bitmap: np.ndarray, h: np.ndarray, bits: int, cells: int) -> np.ndarray:
+def _holds(bitmap: np.ndarray, h: np.ndarray, bits: int, cells: int = FILTER_CELLS) -> np.ndarray:
     ok = np.ones(len(h), bool)
     for row in range(cells):
         c = _cell(h, row, bits)
@@ -229,16 +258,16 @@ def _holds(bitmap: np.ndarray, h: np.ndarray, bits: int, cells: int) -> np.ndarr
     return ok
 
 
-def semi_join(relation: DataFrame, frequent: DataFrame, k: int, bits: int = FILTER_BITS, cells: int = FILTER_CELLS, raw: bool = False) -> DataFrame:
+def semi_join(relation: DataFrame, frequent: DataFrame, k: int, bits: int = FILTER_BITS, raw: bool = False) -> DataFrame:
     """R(k) from R(k - 1), written: occurrences of phrases of k words whose hash is in ``frequent`` (h)."""
-    shared = relation.sparkSession.sparkContext.broadcast(bloom(frequent, bits, cells))
+    shared = relation.sparkSession.sparkContext.broadcast(bloom(frequent, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = _lang_hashes(batch.column("lang"))
             for s in _parts(batch.column("text"), raw):
                 at = s.phrases(k)
-                at = at[_holds(shared.value, _hashes(s, langs, k, at), bits, cells)]
+                at = at[_holds(shared.value, _hashes(s, langs, k, at) >> _LEFT_OUT, bits)]
                 yield pa.record_batch([batch.column("lang").slice(s.w.first, len(s.w)), _written(s, at, k)], names=["lang", "text"])
 
     kept = relation.select("lang", "text").mapInArrow(run, "lang string, text string").where("text != ''")
@@ -248,17 +277,24 @@ def semi_join(relation: DataFrame, frequent: DataFrame, k: int, bits: int = FILT
 
 
 def mine(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
-    """Frequent phrases (lang, phrase, size, n) of 1 to ``longest`` words, and words per lang (lang, n).
+    """Frequent phrases (lang, phrase, size, n) of up to ``longest`` words, and words per lang (lang, n).
 
-    ``docs`` has ``lang`` and ``text``, neither null.
+    Of single words those that a frequent pair holds. ``docs`` has ``lang`` and ``text``, neither null.
     """
-    seen = stage(count_hashes(docs, 1, least, raw=True), "phrase-words")
-    relation = semi_join(docs, seen.where("h is not null"), 1, bits, raw=True)
-    found = [stage(count_phrases(relation, 1, least).withColumn("size", F.lit(1)), "phrase-counts")]
+    seen = stage(count_words(docs, least), "phrase-words")
+    words = relation = semi_join(docs, seen.where("h is not null"), 1, bits, raw=True)
+    found = []
     for k in range(2, longest + 1):
         longer = semi_join(relation, count_hashes(relation, k, least), k, bits)
         found.append(stage(count_phrases(longer, k, least).withColumn("size", F.lit(k)), "phrase-counts"))
-        unstage(relation)
+        if k > 2:
+            unstage(relation)
+        else:
+            held = count_hashes(found[0].select("lang", F.col("phrase").alias("text")), 1, 1)
+            among = docs.sparkSession.sparkContext.broadcast(bloom(held, bits))
+            found.append(stage(count_phrases(words, 1, least, among, bits).withColumn("size", F.lit(1)), "phrase-counts"))
+            among.destroy()
+            unstage(words)
         relation = longer
     unstage(relation)
     every = found[0]
