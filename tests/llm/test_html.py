@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import re
 from html import unescape
+from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
@@ -127,3 +128,108 @@ def test_the_article_keeps_all_of_its_parts(outer, part, want):
 def test_marked_names_around_an_article_do_not_hide_it():
     page = f"<body><div class='page has-sidebar'><article><header class=entry-header><h1>The title</h1></header><p>{LONG}</p></article></div>"
     assert html.main_text(page) == f"The title\n\n{LONG}"
+
+
+@pytest.mark.parametrize("outer", ["<article>{}</article>", "<main>{}</main>", "<div class=post>{}</div>"])
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<div id=comments>{}</div>",
+        "<div class=comments>{}</div>",
+        "<ul class=comment-list><li><p>{}</p></li><li><p>{}</p></li></ul>",
+        "<div class=cookie-banner>{}</div>",
+        "<div class=ad-box>{}</div>",
+        "<div id=sidebar><p>{}</p></div>",
+        "<p class=cookie-notice>{}</p>",
+        "<section class='comments thread'><div class=comment><b>Jo</b><p>{}</p></div><div class=comment><b>Al</b><p>{}</p></div></section>",
+    ],
+)
+def test_comments_notices_and_adverts_within_an_article_go(outer, part):
+    for at in (2, 1):
+        parts = ["<h1>The title</h1>", f"<p>{LONG}</p>", f"<p>{LONG}</p>"]
+        parts.insert(at + 1, part.format(LONG, LONG))
+        assert html.main_text("<html><body>" + outer.format("".join(parts))) == "\n\n".join(["The title", LONG, LONG]), at
+
+
+def test_names_do_not_take_the_article_itself():
+    for name in ("class=comments", "id=sidebar", "class=ad-box"):
+        page = f"<body><article><h1>The title</h1><div {name}><p>{LONG}</p><p>{LONG}</p></div></article>"
+        assert html.main_text(page) == "\n\n".join(["The title", LONG, LONG])
+    for part in (f"<section id=cookie-recipes><p>{LONG}</p></section>", f"<div class=commentated-text><p>{LONG}</p></div>", f"<section id=ads-in-history><p>{LONG}</p></section>"):
+        assert html.main_text(f"<body><article><h1>The title</h1><p>{LONG}</p>{part}</article>") == "\n\n".join(["The title", LONG, LONG])
+
+
+class _Plain(HTMLParser):
+    """Blocks of well-formed pages by the standard library's parser: (path, text, characters in links)."""
+
+    def __init__(self):
+        super().__init__()
+        self.stack, self.rows, self.text, self.linked = [], [], "", 0
+
+    def close_block(self):
+        if words := " ".join(self.text.split()):
+            self.rows.append((tuple(t for t in self.stack if t not in ("b", "a")), words, self.linked))
+        self.text, self.linked = "", 0
+
+    def handle_starttag(self, tag, attributes):
+        names = dict(attributes)
+        if tag == "br":
+            self.text += " "
+        elif tag != "meta":
+            if tag not in ("b", "a"):
+                self.close_block()
+                if self.stack and self.stack[-1] == "p":  # a paragraph may lack its end tag
+                    self.stack.pop()
+            self.stack.append(f"{tag}.{names['class']}" if "class" in names else tag)
+
+    def handle_endtag(self, tag):
+        if tag not in ("b", "a"):
+            self.close_block()
+            if tag != "p" and self.stack and self.stack[-1] == "p":
+                self.stack.pop()
+        if self.stack and self.stack[-1].split(".")[0] == tag:
+            self.stack.pop()
+
+    def handle_data(self, data):
+        if not {"head", "title", "style", "script"} & set(self.stack):
+            self.text += data
+            self.linked += len(" ".join(data.split())) if "a" in self.stack else 0
+
+
+def plain_scores(rows):
+    paths = list(dict.fromkeys(p for p, _, _ in rows))
+    length, marks, links, share = [], [], [], []
+    total = sum(len(t) for _, t, _ in rows)
+    for p in paths:
+        mine = [(t, n) for q, t, n in rows if q == p]
+        chars = sum(len(t) for t, _ in mine)
+        length.append(chars / len(mine))
+        marks.append(sum(t.count(x) for t, _ in mine for x in ".,;:!?…。，！？") / len(mine))
+        links.append(1 - sum(n for _, n in mine) / chars)
+        share.append((chars / total) ** 0.5)
+    smooth = lambda x, k: 0.1 * x[max(k - 1, 0)] + 0.8 * x[k] + 0.1 * x[min(k + 1, len(x) - 1)]
+    return {p: smooth(length, k) * (1 + smooth(marks, k)) * links[k] * share[k] for k, p in enumerate(paths)}
+
+
+def test_scores_and_texts_agree_with_a_plain_version_on_all_pages(spark, small):
+    """Path ratios by plain loops; the content is what lies in the element of the best path."""
+    pages = spark.read.parquet(f"{small}/pages.parquet").collect()
+    texts = {r["page_id"]: r["text"] for r in queries.q_main_text(spark, small).collect()}
+    whole = 0
+    for r in pages:
+        seen = _Plain()
+        seen.feed(r["html"])
+        seen.close()
+        seen.close_block()
+        rows = [x for x in seen.rows if not any(t.split(".")[0] in ("nav", "footer", "header") for t in x[0]) and "div.ad" not in x[0]]
+        own = [b for b in html.blocks(r["html"]) if not b.apart and not b.suspect]
+        got, want = html.path_scores(own), plain_scores([(b.path, b.text, b.linked) for b in own])
+        assert list(got) == list(want) and list(got.values()) == pytest.approx(list(want.values()))
+        if [(p, t, n) for p, t, n in rows] == [(b.path, b.text, b.linked) for b in own]:
+            whole += 1
+            scores = plain_scores(rows)
+            best = max(scores, key=scores.get)
+            around = best[: len(best) - best[::-1].index("article")]
+            assert texts[r["page_id"]] == "\n\n".join(t for p, t, _ in rows if p[: len(around)] == around)
+            assert all(scores[p] >= html.THRESHOLD * scores[best] for p, t, _ in rows if p == best)
+    assert whole >= 0.9 * len(pages), "the two parsers agree on well-formed pages"

@@ -62,6 +62,14 @@ _MARKED = re.compile(
     r"login|signup|signin|search\w*|pagination|pager|toolbar|copyright|legal|disclaimer|tags|metadata|byline|hidden|complementary|contentinfo|navigation)(?:$|[\s_-])",
     re.I,
 )
+# Names that are nothing but a word for comments, notices or adverts and words for parts of a page. Fixed values.
+_AWAY = re.compile(
+    r"(?:comments?|commentlist|commentary|disqus|respond|replies|cookies?|consent|gdpr|ads?|adverts?|advertisements?|sponsors?|sponsored|"
+    r"promos?|promotions?|banners?|newsletters?|popups?|modals?|sidebars?|paywall|notifications?)"
+    r"(?:[-_](?:list|section|area|box|thread|form|wrap|wrapper|container|block|notice|banner|bar|consent|popup|slot|unit|inner|outer|"
+    r"body|content|items?|holder|panel|widget|message|text|left|right|top|bottom|inline|links?|\d+))*",
+    re.I,
+)
 _PUNCTUATION = re.compile(r"[.,;:!?…。，！？]")
 # A path is content from this part of the best path's score on.
 THRESHOLD = 0.1
@@ -100,6 +108,7 @@ class Block(NamedTuple):
     linked: int  # characters in links
     apart: bool
     suspect: int = 0  # number of the outermost container with a marked name, negative if its class or role is just that
+    away: int = 0  # number of the outermost container or paragraph whose name says comments, a notice or an advert
 
     def tag(self, k: int) -> str:
         return self.path[k].split(".")[0]
@@ -111,7 +120,7 @@ class Block(NamedTuple):
 
 def blocks(html: str) -> list[Block]:
     """Every block in page order."""
-    stack: list[tuple[str, str, int, bool, int]] = []  # tag, name in paths, number, whether it is set apart, suspect
+    stack: list[tuple[str, str, int, bool, int, int]] = []  # tag, name in paths, number, whether it is set apart, suspect, away
     found: list[Block] = []
     number = 0
     pieces: list[str] = []
@@ -128,7 +137,8 @@ def blocks(html: str) -> list[Block]:
         joined = " ".join("".join(pieces).split())
         if joined:
             held = [x for x in stack if x[0] not in _INLINE]
-            found.append(Block(tuple(x[1] for x in held), tuple(x[2] for x in held), joined, linked[0], any(x[3] for x in stack), next((x[4] for x in stack if x[4]), 0)))
+            marks = (next((x[k] for x in stack if x[k]), 0) for k in (4, 5))
+            found.append(Block(tuple(x[1] for x in held), tuple(x[2] for x in held), joined, linked[0], any(x[3] for x in stack), *marks))
         pieces.clear()
         linked[0] = 0
 
@@ -169,7 +179,7 @@ def blocks(html: str) -> list[Block]:
             apart = tag in _APART and not (tag == "header" and any(t in ("article", "main") for t, *_ in stack))
             if tag in ("article", "main"):
                 # What holds an article is no advert, whatever its name.
-                stack[:] = [(*x[:4], 0) for x in stack]
+                stack[:] = [(*x[:4], 0, 0) for x in stack]
             if not m[5].endswith("/") or tag not in _INLINE:
                 # Ids differ between like elements, so paths go by class.
                 kind = " ".join(a or b or c for a, b, c in _CLASS.findall(m[5] or ""))
@@ -178,7 +188,8 @@ def blocks(html: str) -> list[Block]:
                 # An id may be made of a heading's words, and so may a part of a class.
                 if suspect and any(_MARKED.fullmatch(x) for y in _CLASS_OR_ROLE.findall(m[5]) for x in "".join(y).split()):
                     suspect = -suspect
-                stack.append((tag, f"{tag}.{kind}" if kind else tag, number, apart, suspect))
+                away = number if (tag in _CONTAINERS or tag == "p") and any(_AWAY.fullmatch(x) for x in names.split()) else 0
+                stack.append((tag, f"{tag}.{kind}" if kind else tag, number, apart, suspect, away))
     text(html[at:] if not html[at:].startswith("<") else "")
     flush()
     return found
@@ -224,29 +235,35 @@ def _menus(page: list[Block]) -> list[bool]:
     return menu
 
 
+def path_scores(page: list[Block]) -> dict[tuple[str, ...], float]:
+    """Score of each path, in the order of their first blocks."""
+    index: dict[tuple[str, ...], int] = {}
+    rows = np.array([[index.setdefault(b.path, len(index)), len(b.text), len(_PUNCTUATION.findall(b.text)), b.linked] for b in page])
+    nodes = np.bincount(rows[:, 0]).astype(float)
+    chars, marks, links = (np.bincount(rows[:, 0], rows[:, c]) for c in (1, 2, 3))
+    # Paths in the order of their first nodes; neighbours lend each other a little.
+    smooth = lambda x: np.convolve(np.pad(x, 1, mode="edge"), [0.1, 0.8, 0.1], "valid")
+    # The share of the page's text weighs a path that carries the article against one long notice.
+    fused = smooth(chars / nodes) * (1 + smooth(marks / nodes)) * (1 - links / chars) * np.sqrt(chars / chars.sum())
+    return dict(zip(index, fused.tolist()))
+
+
 def main_text(html: str | None) -> str:
     """The article's blocks joined by blank lines; empty if there are none.
 
     Containers with a marked name do not count in the search for the article. Within it they are
-    kept if their own text is like its text.
+    kept if their own text is like its text. What is named as comments, a notice or an advert goes, as
+    long as a path above the threshold is left without it.
     """
     full = [b for b in blocks(html or "") if not b.apart]
     page = [b for b in full if not b.suspect] or full
     if not page:
         return ""
-    index: dict[tuple[str, ...], int] = {}
-    rows = np.array([[index.setdefault(b.path, len(index)), len(b.text), len(_PUNCTUATION.findall(b.text)), b.linked] for b in page])
-    nodes = np.bincount(rows[:, 0]).astype(float)
-    chars, marks, links = (np.bincount(rows[:, 0], rows[:, c]) for c in (1, 2, 3))
-    # Paths in the order of their first nodes; neighbours lend each other a little.
-    smooth = lambda x: np.convolve(np.pad(x, 1, mode="edge"), [0.1, 0.8, 0.1], "valid")
-    # The share of the page's text weighs a path that carries the article against one long notice.
-    fused = smooth(chars / nodes) * (1 + smooth(marks / nodes)) * (1 - links / chars) * np.sqrt(chars / chars.sum())
-    if not (fused > 0).any():
+    scores = path_scores(page)
+    best = max(scores, key=scores.get)
+    if scores[best] <= 0:
         return ""
-    chosen = (fused >= THRESHOLD * fused.max())[rows[:, 0]]
-    top = int(fused.argmax())
-    best = list(index)[top]
+    chosen = [scores[b.path] >= THRESHOLD * scores[best] for b in page]
     marked = [k for k, name in enumerate(best) if name.split(".")[0] in ("article", "main")]
     if marked:
         # Within the article's element all running text belongs to it, headings and short lines too.
@@ -269,11 +286,14 @@ def main_text(html: str | None) -> str:
     groups: dict[int, list[Block]] = {}
     for b in full:
         groups.setdefault(b.suspect, []).append(b)
-    like = _ratio([b for b, p in zip(page, rows[:, 0]) if p == top]) * THRESHOLD
+    like = _ratio([b for b in page if b.path == best]) * THRESHOLD
     alike = {s for s, some in groups.items() if s and _ratio(some) * (_LOWERED if s < 0 else 1) >= like}
     taken = iter(kept)
     kept = [next(taken) if page is full or not b.suspect else inside(b) and b.suspect in alike for b in full]
     kept = [k and not menu for k, menu in zip(kept, _menus(full))]
+    running = {b.path for b, c in zip(page, chosen) if c and not b.heading}
+    if any(k and not b.away and b.path in running for b, k in zip(full, kept)):
+        kept = [k and not b.away for b, k in zip(full, kept)]
     if any(kept):
         first = kept.index(True)
         title = _title(full, first, inside)
