@@ -170,6 +170,8 @@ class _Plain(HTMLParser):
         if words := " ".join(self.text.split()):
             self.rows.append((tuple(t for t in self.stack if t not in ("b", "a")), words, self.linked))
         self.text, self.linked = "", 0
+        while self.stack and self.stack[-1] in ("b", "a"):
+            self.stack.pop()
 
     def handle_starttag(self, tag, attributes):
         names = dict(attributes)
