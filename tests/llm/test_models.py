@@ -116,3 +116,15 @@ def test_all_languages_and_all_of_a_text_are_learned(spark, monkeypatch):
     assert len(seen[-1][0]) == 40 * langid._WINDOWS_EACH and menu < 0.25, "windows lie over the whole text"
     langid.fit(spark.createDataFrame([("ab", "x"), ("ab", "x")], "text string, lang string"), F.lit(True))
     assert [bytes(w[:3]) for w in seen[-1][0]] == [b"ab\0"] * langid._WINDOWS_EACH
+
+
+def test_references_are_bounded_whatever_ids_repeat(spark):
+    rows = [(7, f"text {i} of one id") for i in range(3000)] + [(8, "a text of label one, two times")] * 500 + [(9, "alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(7, 0), (8, 1), (9, 1), *[(100 + i, 1) for i in range(400)]], "doc_id long, quality int")
+    model = quality.fit(docs, labels, F.lit(True), references=40)
+    # Rows of label 0 fill their half; ids without a row take no place in the other.
+    assert (model.labels == 0).sum() == 20 and (model.labels == 1).sum() == 2
+    again = quality.fit(docs.repartition(7), labels, F.lit(True), references=40)
+    assert np.allclose(model.labels, again.labels) and np.allclose(np.abs(model.vectors), np.abs(again.vectors), atol=1e-3)
+    assert quality.fit(docs, labels.where("doc_id > 50"), F.lit(True)) is None

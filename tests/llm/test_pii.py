@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 import numpy as np
+import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -84,3 +86,49 @@ def test_odd_tables(spark):
     got = {(r["doc_id"], r["n_email"], r["spans"]) for r in pii.find_pii(docs, pii.fit(docs)).collect()}
     assert got == {(1, 0, ""), (None, 1, "email:0:6"), (2, 1, "email:0:201003")}
     assert pii.find_pii(docs.limit(0), pii.fit(docs.limit(0))).count() == 0
+
+
+def test_candidates_of_any_length_and_case():
+    key = "sk_" + "aB3" * 46
+    text = f"key = {'x' * 60 + '7' * 80} and {key}; john (AT) example.com, ann[At]mail [Dot] org, bob at home dot net"
+    got = {(k, text[a:b]) for k, a, b, *_ in pii.candidates(text, pii.base_spans(text))}
+    assert got == {
+        ("secret", "x" * 60 + "7" * 80), ("secret", key), ("email", "john (AT) example.com"),
+        ("email", "ann[At]mail [Dot] org"), ("email", "bob at home dot net"),
+    }
+
+
+def _seconds(text):
+    best = 1e9
+    for _ in range(3):
+        began = time.perf_counter()
+        list(pii.candidates(text, pii.base_spans(text)))
+        best = min(best, time.perf_counter() - began)
+    return best
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "0171 5550{0:04d} or ann{0}@mail.example.com, ",
+        "( ",
+        "1 2 3 4 5 6 7 8 9 ",
+        "12345678x ",
+        "a.b at c.d. ",
+        "x[at]",
+        "abcdefgh1jklm_",
+        "+1 ((( ",
+    ],
+)
+def test_time_grows_with_the_text(part):
+    n = 400_000 // len(part)
+    small, large = ("".join(part.format(i) for i in range(k)) for k in (n // 4, n))
+    assert _seconds(large) < 8 * _seconds(small) + 0.05
+
+
+def test_places_that_base_spans_cover():
+    taken = pii.Taken([("email", 10, 20), ("phone", 15, 30), ("ip", 40, 41)])
+    for a in range(50):
+        for b in range(a + 1, 50):
+            assert taken.meets(a, b) == any(x < b and a < y for x, y in ((10, 20), (15, 30), (40, 41)))
+    assert not pii.Taken([]).meets(0, 9)

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -70,15 +71,13 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1], s[2])))
 
 
-# Candidates: what each looser pattern would be if it is personal.
-_CANDIDATES = (
-    ("phone", re.compile(r"(?<![\w.+])[0-9(](?:[0-9]|[ ().-]{1,2}(?=[0-9(]))++(?![\w])")),
-    ("secret", re.compile(r"(?<![\w])(?=[A-Za-z_]{0,40}[0-9])(?=[0-9]{0,40}[A-Za-z_])[A-Za-z0-9_]{12,128}(?![\w])")),
-)
-_DISGUISED = re.compile(
-    r"[A-Za-z0-9._%+-]{1,64} ?(?:\[at\]|\(at\)|\{at\}| at ) ?[A-Za-z0-9-]{1,63}(?: ?(?:\[dot\]|\(dot\)|\{dot\}| dot |\.) ?[A-Za-z0-9-]{1,63})+",
-    re.I,
-)
+# Candidates: what each looser pattern would be if it is personal. Runs are taken whole, and what must
+# hold of them is asked afterwards, so that no run is scanned from more than one start.
+_NUMBER = re.compile(r"(?<![\w.+])\(?[0-9]++(?:[ ().-]{1,3}[0-9]++)*+")
+_KEYLIKE = re.compile(r"(?<!\w)[A-Za-z0-9_]{12,}+(?!\w)")
+_AT = re.compile(r" ?(?:\[at\]|\(at\)|\{at\}) ?| at ", re.I)
+_HOST = re.compile(r"[A-Za-z0-9-]++(?:(?: ?(?:\[dot\]|\(dot\)|\{dot\}|\.) ?| dot )[A-Za-z0-9-]++)++", re.I)
+_MARK = re.compile(r"[\[({](?:at|dot)[\])}]| dot ", re.I)
 # Fixed word lists: words ahead of personal data, and ahead of other numbers and names.
 _CUES = frozenset(
     "tel telefon telephone phone mobile cell call fax handy numéro teléfono móvil contact kontakt ssn social passport "
@@ -98,12 +97,31 @@ YES, NO, SILENT = 1, 0, 2
 LABELERS = 8
 
 
-def _signals(kind: str, text: str, start: int, end: int, base: list[tuple[str, int, int]]) -> tuple[tuple[int, ...], tuple[int, ...]]:
+class Taken:
+    """Places that base spans cover, as disjoint stretches in order."""
+
+    def __init__(self, base: list[tuple[str, int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for _, a, b in sorted(base, key=lambda s: s[1:]):
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def meets(self, start: int, end: int) -> bool:
+        """Does any place from ``start`` to before ``end`` lie in a stretch?"""
+        k = bisect_left(self.starts, end) - 1
+        return k >= 0 and self.ends[k] > start
+
+
+def _signals(kind: str, text: str, start: int, end: int, taken: Taken) -> tuple[tuple[int, ...], tuple[int, ...]]:
     """Votes of the labelers, and features of the classifier (small integers)."""
     span, before, after = text[start:end], text[max(0, start - 32) : start], text[end : end + 1]
     digits = sum(c.isdigit() for c in span)
     words = [w.lower() for w in _WORDS.findall(before)][-3:]
-    near = any(a - 64 <= end and start <= b + 64 for _, a, b in base)
+    near = taken.meets(start - 65, end + 65)
     opened = before[-1:] in ("=", ":", '"', "'") or before[-2:] in ("= ", ": ")
     cue, other = any(w in _CUES for w in words), any(w in _OTHER_CUES for w in words)
     spread = len(set(span)) / max(1, min(len(span), 16))
@@ -133,18 +151,33 @@ def _signals(kind: str, text: str, start: int, end: int, base: list[tuple[str, i
     return votes, features
 
 
-def candidates(text: str, base: list[tuple[str, int, int]]) -> Iterator[tuple[str, int, int, tuple[int, ...], tuple[int, ...]]]:
-    """(kind, start, end, votes, features) of looser spans that touch no base span."""
+def _loose(text: str) -> Iterator[tuple[str, int, int]]:
+    """(kind, start, end) of everything that has the form of a number, a key or a disguised address."""
     if _DIGIT.search(text):
-        for kind, pattern in _CANDIDATES:
-            for m in pattern.finditer(text):
-                if sum(c.isdigit() for c in m[0]) >= (7 if kind == "phone" else 1) and not any(a < m.end() and m.start() < b for _, a, b in base):
-                    yield kind, *m.span(), *_signals(kind, text, *m.span(), base)
-    if "dot" in text or "at]" in text or "at)" in text or "at}" in text or "DOT" in text:
-        for m in _DISGUISED.finditer(text):
-            marked = re.search(r"[\[({](?:at|dot)[\])}]| dot ", m[0], re.I)
-            if marked and not any(a < m.end() and m.start() < b for _, a, b in base):
-                yield "email", *m.span(), *_signals("email", text, *m.span(), base)
+        for m in _NUMBER.finditer(text):
+            attached = text[m.end() : m.end() + 1]
+            if sum(c.isdigit() for c in m[0]) >= 7 and not (attached.isalnum() or attached == "_"):
+                yield "phone", *m.span()
+        for m in _KEYLIKE.finditer(text):
+            if any(c.isdigit() for c in m[0]) and any(not c.isdigit() for c in m[0]):
+                yield "secret", *m.span()
+    end = 0
+    for m in _AT.finditer(text):
+        start = m.start()
+        while start > end and text[start - 1] in _LOCAL:
+            start -= 1
+        if start < m.start() and (host := _HOST.match(text, m.end())):
+            if _MARK.search(m[0]) or _MARK.search(host[0]):
+                yield "email", start, host.end()
+            end = host.end()
+
+
+def candidates(text: str, base: list[tuple[str, int, int]]) -> Iterator[tuple[str, int, int, tuple[int, ...], tuple[int, ...]]]:
+    """(kind, start, end, votes, features) of looser spans that touch no base span, in linear time."""
+    taken = Taken(base)
+    for kind, start, end in _loose(text):
+        if not taken.meets(start, end):
+            yield kind, start, end, *_signals(kind, text, start, end, taken)
 
 
 @dataclass

@@ -129,15 +129,20 @@ def fit(
 ) -> Neighbours | None:
     """References from the labelled rows that ``learn`` (over the id column) admits.
 
-    Of each label the ``references / 2`` rows of least hash of the id are taken. None without any.
+    Of each label the ``references / 2`` rows of least hash of id and text are taken, rows that repeat
+    both being one. None without any.
     """
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = rows.withColumn("t", F.xxhash64("text"))
     marked = labels.where(learn & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).distinct()
-    h, half, sizes = F.xxhash64("id"), references // 2, dict(marked.groupBy("y").count().collect())
-    halves = [marked.where((F.col("y") == y) & least_hashes(h, half, sizes.get(y, 0))).orderBy(h, "id").limit(half) for y in (0, 1)]
+    # Only labelled ids that have a row take a place, each row its own; texts come along for those taken.
+    known = rows.select("id", "t").join(marked, "id").distinct()
+    h, half, sizes = F.xxhash64("id", "t"), references // 2, dict(known.groupBy("y").count().collect())
+    halves = [known.where((F.col("y") == y) & least_hashes(h, half, sizes.get(y, 0))).orderBy(h, "id", "t").limit(half) for y in (0, 1)]
     picked = halves[0].unionByName(halves[1])
     # At most `references` rows, so they may be broadcast.
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(picked), "id").select("y", "text")
+    rows = rows.join(F.broadcast(picked), ["id", "t"]).groupBy("id", "t", "y").agg(F.first("text").alias("text")).select("y", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
