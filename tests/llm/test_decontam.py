@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -97,3 +98,74 @@ def test_odd_tables_and_blocks_of_items(spark, monkeypatch):
         clean = decontam.without_leaks(docs, bench)
         assert clean.columns == docs.columns and sorted(r["doc_id"] for r in clean.collect()) == [2, 3]
     assert decontam.find_leaks(docs, bench.limit(0)).count() == 0 and decontam.without_leaks(docs.limit(0), bench).count() == 0
+
+
+def letters(rng, n):
+    return "".join(rng.choice(LETTERS) for _ in range(n))
+
+
+@pytest.mark.parametrize("length", [*range(24, 40), 47, 48, 50, 63, 64, 70, 79, 80, 85, 90])
+def test_every_match_within_the_budget_is_found(length):
+    """Items of any length, all numbers of edits, against the plain edit distance of their stretches."""
+    rng = random.Random(length)
+    item = letters(rng, length)
+    span, budget, need = decontam.budget(length)
+    assert need >= 1
+    stretches = [item[k : k + span] for k in range(length - span + 1)]
+    texts = []
+    for edits in range(budget + 2):
+        for _ in range(4):
+            # Substitutions spread evenly leave the fewest q-grams whole.
+            out = list(item)
+            for k in range(edits):
+                at = (k + 1) * length // (edits + 1)
+                out[min(at, length - 1)] = rng.choice("0123456789")
+            texts.append(letters(rng, 30) + "".join(out) + letters(rng, 30))
+            texts.append(letters(rng, 30) + edited(rng, item, edits) + letters(rng, 30))
+    got = found([(1, item)], texts)
+    for r, text in enumerate(texts):
+        d = min(least_edits(s, text) for s in stretches)
+        assert ((r, 1) in got) == (d <= budget), (length, r, d)
+        if d <= budget:
+            assert got[r, 1][0] == d
+
+
+def test_short_items_are_found_as_whole_words_only():
+    items = [(1, "twelve chars"), (2, "a phrase of twenty"), (3, "eleven char")]
+    texts = ["Twelve  chars.", "x twelve chars y", "xtwelve chars", "twelve charsx", "not a phrase of Twenty!", "a phrase off twenty", "eleven char", "pre" * 30 + " twelve chars"]
+    assert set(found(items, texts)) == {(0, 1), (1, 1), (4, 2), (7, 1)}
+
+
+@pytest.mark.parametrize("unit", ["ha ", "ab", "x"])
+def test_text_that_repeats_itself_takes_bounded_memory(unit):
+    item = (unit * 900)[:900].strip()
+    finder = decontam.Finder([(1, item), (2, "ho " * 300)])
+    assert sum(map(len, finder.pieces)) < 400, "only distinct stretches are held"
+    text = pa.array([unit * (1_000_000 // len(unit)), "some words " + unit * 60], pa.string())
+    tracemalloc.start()
+    got = {(r, i): e for r, i, e, *_ in finder.find(text)}
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == {(0, 1): 0} | ({(1, 1): 0} if len(unit * 60) >= 80 else {}) and peak < 300e6
+
+
+def test_pieces_hold_every_distinct_stretch(monkeypatch):
+    rng = random.Random(2)
+    monkeypatch.setattr(decontam, "PIECE", 200)
+    for text in (letters(rng, 700), "ab " * 200 + letters(rng, 150) + "ab " * 200, letters(rng, 90) * 4, letters(rng, 60)):
+        z = np.frombuffer(text.encode(), np.uint8)
+        parts = [p.tobytes() for p in decontam.pieces(z, 80)]
+        assert max(map(len, parts)) <= 200
+        want = {z[k : k + 80].tobytes() for k in range(max(len(z) - 79, 1))}
+        assert {p[k : k + 80] for p in parts for k in range(max(len(p) - 79, 1))} == want
+
+
+def test_windows_of_hits_lose_no_band(monkeypatch):
+    """With very few places listed at once, the result is the same."""
+    rng = random.Random(12)
+    items = [(k, prose(rng, 30)) for k in range(10)]
+    texts = [" ".join([prose(rng, 20), edited(rng, items[k][1], 3), prose(rng, 50), items[(k + 3) % 10][1]]) for k in range(10)]
+    whole = found(items, texts)
+    assert len(whole) >= 15
+    monkeypatch.setattr(decontam, "LISTED", 1)
+    assert found(items, texts) == whole

@@ -6,7 +6,11 @@ q-grams of a document and an item are counted in bands of diagonals that overlap
 of the item whose count meets the bound is retained, and a banded alignment decides.
 
 A document holds an item if any stretch of SPAN characters of the item, or the whole item if that
-is shorter, is found in it within an edit for every RATE characters.
+is shorter, is found in it within an edit for every RATE characters. Where q-grams of 12 would leave a
+bound below one, an item's are shorter; items below EDITED characters must be found exactly, as words.
+
+Only an item's distinct stretches are looked for, in pieces of a bounded length, and a document's
+shared q-grams are listed a bounded number at a time: text that repeats itself takes no more memory.
 """
 
 from __future__ import annotations
@@ -22,8 +26,10 @@ from tidewatch.llm.words import CHUNK_BYTES, runs, text_bytes
 
 Q = 12
 SPAN, RATE = 80, 16
-# Items of fewer characters cannot be told from chance.
-LEAST = 24
+# Normalised characters from which an item may be edited, and below which it cannot be told from chance.
+EDITED, LEAST = 24, 12
+# Characters of a piece of an item, and places of shared q-grams that are listed at once.
+PIECE, LISTED = 1024, 1 << 19
 # Characters of benchmark items that are broadcast at once; a larger benchmark takes more passes.
 ITEM_CHARS = 4_000_000
 _FILTER_BITS = 22
@@ -47,41 +53,100 @@ def normal_form(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 def budget(length: int) -> tuple[int, int, int]:
     """(span, edits, q-grams in common at least) for an item of a normalised length."""
     span = min(length, SPAN)
-    edits = span // RATE
-    return span, edits, span - Q + 1 - Q * edits
+    edits = span // RATE if length >= EDITED else 0
+    q = gram(span, edits)
+    return span, edits, span - q + 1 - q * edits
+
+
+def gram(span: int, edits: int) -> int:
+    """The q up to Q that leaves a bound of one or more."""
+    return min(Q, span // (edits + 1))
+
+
+def pieces(z: np.ndarray, span: int) -> list[np.ndarray]:
+    """Parts of an item that hold each of its distinct stretches of ``span`` characters."""
+    if len(z) <= span:
+        return [z]
+    h = runs(z.astype(np.uint64) + np.uint64(1), span)[: len(z) - span + 1]
+    begin = np.sort(np.unique(h, return_index=True)[1])
+    cut = np.flatnonzero(np.diff(begin) > 1) + 1
+    step = PIECE - span + 1
+    return [
+        z[at : min(at + PIECE, part[-1] + span)]
+        for part in np.split(begin, cut)
+        for at in range(int(part[0]), int(part[-1]) + 1, step)
+    ]
+
+
+class _Grams:
+    """Places of all q-grams of some pieces."""
+
+    def __init__(self, q: int, held: list[tuple[int, np.ndarray]]):
+        self.q = q
+        codes = [runs(z.astype(np.uint64) + np.uint64(1), q)[: len(z) - q + 1] for _, z in held]
+        owner = np.concatenate([np.full(len(c), k) for c, (k, _) in zip(codes, held)])
+        place = np.concatenate([np.arange(len(c)) for c in codes])
+        codes = np.concatenate(codes)
+        order = np.argsort(codes, kind="stable")
+        self.codes, first = np.unique(codes[order], return_index=True)
+        self.first = np.r_[first, len(order)]
+        self.owner, self.place = owner[order], place[order]
+        self.reach = max(len(z) for _, z in held)
+        self.seen = np.zeros(1 << _FILTER_BITS, bool)
+        self.seen[self._cell(codes)] = True
+
+    @staticmethod
+    def _cell(codes: np.ndarray) -> np.ndarray:
+        return (codes >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)
+
+    def hits(self, z: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places in ``z`` of q-grams that pieces have too, their rows, and which they are."""
+        h = runs(z.astype(np.uint64) + np.uint64(1), self.q)
+        hit = np.flatnonzero(self.seen[self._cell(h)]) if len(h) else np.zeros(0, np.int64)
+        row = np.searchsorted(starts, hit, "right") - 1
+        inside = hit + self.q <= starts[row + 1]
+        hit, row = hit[inside], row[inside]
+        at = np.searchsorted(self.codes, h[hit])
+        exact = self.codes[np.minimum(at, len(self.codes) - 1)] == h[hit]
+        return hit[exact], row[exact], at[exact]
+
+    def windows(self, hit: np.ndarray, at: np.ndarray, overlap: int) -> Iterator[tuple[int, int, float, float]]:
+        """Runs of hits of a bounded number of places, so long that any band lies in one of them whole.
+
+        First and end of a run, and the hits just outside of it.
+        """
+        total = np.cumsum(self.first[at + 1] - self.first[at])
+        i, n = 0, len(hit)
+        while i < n:
+            before = total[i - 1] if i else 0
+            j = max(int(np.searchsorted(total, before + LISTED, "right")), int(np.searchsorted(hit, hit[i] + 2 * overlap, "right")))
+            yield i, min(j, n), float(hit[i - 1]) if i else -np.inf, float(hit[j]) if j < n else np.inf
+            if j >= n:
+                return
+            i = max(i + 1, int(np.searchsorted(hit, hit[j - 1] - overlap)))
 
 
 class Finder:
     """Q-grams of some benchmark items, and the search for them in texts."""
 
-    def __init__(self, items: list[tuple[int, str]]):
-        self.ids, self.items = [], []
-        codes, owner, place = [], [], []
+    def __init__(self, items: list[tuple[int, str]], least: int = LEAST):
+        self.ids, self.pieces, self.length = [], [], []
+        by_gram: dict[int, list[tuple[int, np.ndarray]]] = defaultdict(list)
         for ident, text in items:
             raw = np.frombuffer((text or "").encode(), np.uint8)
             z = normal_form(raw, np.array([0, len(raw)]))[0] if len(raw) else raw
             z = np.frombuffer(z.tobytes().strip(), np.uint8)
-            if len(z) < LEAST:
+            if len(z) < max(least, 1):
                 continue
-            h = runs(z.astype(np.uint64) + np.uint64(1), Q)[: len(z) - Q + 1]
-            codes.append(h)
-            owner.append(np.full(len(h), len(self.ids)))
-            place.append(np.arange(len(h)))
-            self.ids.append(ident)
-            self.items.append(z)
-        none = [np.zeros(0, np.int64)]
-        codes = np.concatenate(codes or [np.zeros(0, np.uint64)])
-        order = np.argsort(codes, kind="stable")
-        self.codes, first = np.unique(codes[order], return_index=True)
-        self.first = np.r_[first, len(order)]
-        self.owner, self.place = np.concatenate(owner or none)[order], np.concatenate(place or none)[order]
-        self.seen = np.zeros(1 << _FILTER_BITS, bool)
-        self.seen[self._cell(codes)] = True
-        self.need = np.array([budget(len(z))[2] for z in self.items], np.int64)
-
-    @staticmethod
-    def _cell(codes: np.ndarray) -> np.ndarray:
-        return (codes >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)
+            span, edits, _ = budget(len(z))
+            for piece in pieces(z, span):
+                by_gram[gram(span, edits)].append((len(self.pieces), piece))
+                self.pieces.append(piece)
+                self.ids.append(ident)
+                self.length.append(len(z))
+        self.grams = [_Grams(q, held) for q, held in sorted(by_gram.items())]
+        self.need = np.array([budget(n)[2] for n in self.length], np.int64)
+        self.size = np.array([len(z) for z in self.pieces], np.int64)
 
     def find(self, column: pa.Array) -> Iterator[tuple[int, int, int, int, int]]:
         """(row, item id, edits, start, end): code points of the shared stretch, per row and item."""
@@ -95,57 +160,69 @@ class Finder:
 
     def _find(self, first: int, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
         z, starts, place = normal_form(data, offsets)
-        h = runs(z.astype(np.uint64) + np.uint64(1), Q)
-        hit = np.flatnonzero(self.seen[self._cell(h)]) if len(h) else np.zeros(0, np.int64)
-        row = np.searchsorted(starts, hit, "right") - 1
-        inside = hit + Q <= starts[row + 1]
-        hit, row = hit[inside], row[inside]
-        at = np.searchsorted(self.codes, h[hit])
-        exact = self.codes[np.minimum(at, len(self.codes) - 1)] == h[hit]
-        hit, row, at = hit[exact], row[exact], at[exact]
-        if not len(hit):
-            return
-        times = self.first[at + 1] - self.first[at]
+        step = SPAN // RATE + 1
+        best: dict[tuple[int, int], tuple] = {}
+        for grams in self.grams:
+            hit, row, at = grams.hits(z, starts)
+            for i, j, *outside in grams.windows(hit, at, grams.reach + 2 * step):
+                self._window(grams, z, starts, hit[i:j], row[i:j], at[i:j], step, outside, best)
+        for (r, ident), (edits, _, lo, hi) in sorted(best.items()):
+            origin = data[offsets[r] : offsets[r + 1]]
+            points = np.cumsum((origin & 0xC0) != 0x80)
+            start, end = (int(place[p] - offsets[r]) for p in (lo, hi - 1))
+            yield first + r, ident, edits, int(points[start]) - 1, int(points[end])
+
+    def _window(
+        self, grams: _Grams, z: np.ndarray, starts: np.ndarray, hit: np.ndarray, row: np.ndarray, at: np.ndarray, step: int, outside: list[float], best: dict
+    ) -> None:
+        """Puts into ``best`` what the bands hold that lie among some hits whole.
+
+        Of the bands that hold an item, the one that shares most q-grams with it counts, then the first.
+        """
+        times = grams.first[at + 1] - grams.first[at]
         nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        source = np.repeat(self.first[at], times) + nth
+        source = np.repeat(grams.first[at], times) + nth
         hit, row = np.repeat(hit, times), np.repeat(row, times)
-        item, ipos = self.owner[source], self.place[source]
-        diagonal = hit - starts[row] - ipos
-        step = SPAN // RATE + 1
-        band = diagonal // step
+        item, ipos = grams.owner[source], grams.place[source]
+        band = (hit - starts[row] - ipos) // step
         # Bands of two steps, one step apart: every shared q-gram lies in two of them.
         row, item, hit, ipos = (np.r_[x, x] for x in (row, item, hit, ipos))
         band = np.r_[band, band - 1]
         order = np.lexsort((ipos, band, item, row))
         row, item, band, hit, ipos = (x[order] for x in (row, item, band, hit, ipos))
-        new = np.flatnonzero(np.r_[True, (np.diff(row) != 0) | (np.diff(item) != 0) | (np.diff(band) != 0)])
+        changes = np.r_[True, (np.diff(row) != 0) | (np.diff(item) != 0) | (np.diff(band) != 0)]
+        new = np.flatnonzero(changes)
         ends = np.r_[new[1:], len(row)]
-        enough = ends - new >= self.need[item[new]]
-        best: dict[tuple[int, int], tuple] = {}
-        for a, b in zip(new[enough], ends[enough]):
+        # A place of the item counts once, however often the band's part of the text repeats it.
+        shared = np.add.reduceat(changes | np.r_[True, np.diff(ipos) != 0], new)
+        low = starts[row[new]] + band[new] * step
+        whole = (low > outside[0]) & (low + 2 * step + self.size[item[new]] <= outside[1])
+        enough = np.flatnonzero(whole & (shared >= self.need[item[new]]))
+        for k in enough[np.argsort(-shared[enough], kind="stable")]:
+            a, b, count = new[k], ends[k], int(shared[k])
             r, i = int(row[a]), int(item[a])
-            if best.get((r, i), (9,))[0] == 0:
+            key = (r, self.ids[i])
+            if key in best and count <= best[key][1]:
                 continue
-            edits = self._retained(i, ipos[a:b], z[starts[r] : starts[r + 1]], int(band[a]) * step, 2 * step)
-            if edits is not None and (edits, a - b) < best.get((r, i), (9,))[:2]:
-                best[r, i] = (edits, a - b, hit[a:b].min(), hit[a:b].max() + Q)
-        for (r, i), (edits, _, lo, hi) in sorted(best.items()):
-            origin = data[offsets[r] : offsets[r + 1]]
-            points = np.cumsum((origin & 0xC0) != 0x80)
-            start, end = (int(place[p] - offsets[r]) for p in (lo, hi - 1))
-            yield first + r, self.ids[i], edits, int(points[start]) - 1, int(points[end])
-
-    def _retained(self, i: int, ipos: np.ndarray, text: np.ndarray, low: int, width: int) -> int | None:
-        """Fewest edits of a stretch of item i that meets the bound, or None if beyond the budget."""
-        pattern = self.items[i]
-        span, edits, need = budget(len(pattern))
+            edits = self._retained(i, ipos[a:b], z[starts[r] : starts[r + 1]], int(band[a]) * step, 2 * step, grams.q)
+            if edits is not None:
+                best[key] = (edits, count, int(hit[a:b].min()), int(hit[a:b].max()) + grams.q)
+
+    def _retained(self, i: int, ipos: np.ndarray, text: np.ndarray, low: int, width: int, q: int) -> int | None:
+        """Fewest edits of a stretch of piece i that meets the bound, or None if beyond the budget."""
+        pattern = self.pieces[i]
+        span, edits, need = budget(self.length[i])
+        if self.length[i] < EDITED:
+            begin, end = max(low - 1, 0), low + width + len(pattern) + 1
+            around = (b" " if begin == 0 else b"") + text[begin:end].tobytes() + (b" " if end >= len(text) else b"")
+            return 0 if b" " + pattern.tobytes() + b" " in around else None
         ipos = np.unique(ipos)
         begin = np.arange(len(pattern) - span + 1)
-        count = np.searchsorted(ipos, begin + span - Q, "right") - np.searchsorted(ipos, begin)
+        count = np.searchsorted(ipos, begin + span - q, "right") - np.searchsorted(ipos, begin)
         begin = begin[count >= need]
         if not len(begin):
             return None
-        if count.max() == span - Q + 1:
+        if count.max() == span - q + 1:
             # All q-grams of a stretch in one band: mostly an exact copy, seen at the first try.
             begin = np.r_[begin[np.argmax(count[count >= need])], begin]
         fewest = edits + 1
@@ -191,7 +268,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
     ``start`` and ``end`` are code points of the text, around what it shares with the item. Case,
     punctuation and the width of white space make no difference. Null and empty texts and items hold
-    nothing; items of fewer than LEAST normalised characters are never found. Rows that repeat an id
+    nothing; items of fewer than LEAST normalised characters are never found, those of fewer than EDITED
+    only as whole words without an edit. Rows that repeat an id
     give rows of their own. Without documents or items the result is empty.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
