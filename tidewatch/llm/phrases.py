@@ -40,6 +40,8 @@ WITHIN = 100
 FILTER_BITS, FILTER_CELLS = 27, 3
 # Occurrences, and distinct phrases, that a task holds before it hands on their counts.
 _HELD, _DISTINCT = 1 << 20, 1 << 18
+# Files of a relation that one task counts together: most of a task's phrases are those of the others too.
+_COUNTED_AT_ONCE = 4
 # Bits of a group's hash that are left out: what is shuffled most are hashes, which do not compress.
 _LEFT_OUT = np.uint64(24)
 _BLOCK_BITS = 20
@@ -201,7 +203,8 @@ def count_phrases(relation: DataFrame, k: int, least: int, among: Broadcast | No
         if counts:
             yield give()
 
-    counted = relation.mapInArrow(run, "lang string, phrase string, n long")
+    parts = max(len(relation.inputFiles()) // _COUNTED_AT_ONCE, 1)
+    counted = relation.coalesce(parts).mapInArrow(run, "lang string, phrase string, n long")
     return counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
