@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.config import ANCHOR_KEYS, DashboardSpec, SplitFractions
-from tidewatch.operators import model
+from tidewatch.operators import clean, model
 from tidewatch.plans import fixtures as fx, medallion
+from tidewatch.sources import revoke_run
 from tidewatch.sources.schemas import RAW_TABLES
 
 # Few patients: parts of 40, 30 and 30 %, so that none is empty.
@@ -113,3 +116,56 @@ def test_drivers_follow_the_coefficients(spark, store):
     assert drivers.count() == table.count() and {len(r["top_drivers"]) for r in drivers.limit(20).collect()} == {2}
     weights = {r["feature"]: r["weight"] for r in model.model_weights(fitted, features).collect()}
     assert set(weights) == set(features)
+
+
+def test_the_chosen_model_has_a_record_on_the_test_split(spark, store):
+    record = store.latest("marts/model_metrics").where("split = 'test'")
+    (best,) = {r["model"] for r in store.read("marts/evaluation").where("run_id = 'run_2'").collect()}
+    want = {r["metric"]: r["value"] for r in record.where(F.col("model") == best).collect()}
+    got = {r["metric"]: r["value"] for r in store.read("marts/evaluation").where("run_id = 'run_2'").collect()}
+    assert got.keys() == want.keys() and {"auroc", "auprc", "brier", "recall_at_0.1", "lift_at_0.1"} <= got.keys()
+    assert all(got[k] == pytest.approx(want[k]) for k in want if want[k] is not None)
+
+
+def test_only_new_anchors_are_scored_and_without_an_outcome(spark, store):
+    inputs = store.read("gold/score_dataset")
+    assert not {"label", "split", "deterioration_time"} & set(inputs.columns)
+    live = store.read("marts/live_scores")
+    n, version = inputs.count(), live.first()["model_version"]
+    name, run_id = version.rsplit("_run_", 1)[0], "run_" + version.rsplit("_run_", 1)[1]
+    assert live.count() == live.select(*ANCHOR_KEYS).distinct().count() == n
+    full = store.read("marts/risk_scores").where(F.col("model_version") == version).select(*ANCHOR_KEYS, F.col("risk_score").alias("full"))
+    assert live.join(full, list(ANCHOR_KEYS)).where("abs(risk_score - full) < 1e-12").count() == n
+    # Anchors that came later: the same stays, a year on, with no row in any outcome table.
+    later = inputs.where("anchor_time < timestamp'2024-01-03'").withColumn("anchor_time", F.expr("anchor_time + interval 366 days"))
+    n_later = later.count()
+    inputs.unionByName(later).write.parquet(store.path("gold/grown"))
+    store.spark.read.parquet(store.path("gold/grown")).write.mode("overwrite").parquet(store.path("gold/score_dataset"))
+    at = F.lit("2024-03-01 00:00:00").cast("timestamp")
+    medallion.score_new(store, run_id, name, at, SETTINGS)
+    assert store.rows()["marts/live_scores"] == n_later > 0
+    medallion.score_new(store, run_id, name, at, SETTINGS)
+    assert store.rows()["marts/live_scores"] == 0
+    assert store.read("marts/live_scores").select(*ANCHOR_KEYS).distinct().count() == n + n_later
+
+
+def test_a_run_that_stopped_is_not_the_latest(spark, store):
+    latest = {r["run_id"] for r in store.latest("marts/model_metrics").collect()}
+    half = store.read("marts/model_metrics").where(F.col("run_id") == latest.pop()).withColumn("run_id", F.lit("run_9")).limit(3)
+    store.write_run(half, "marts/model_metrics")
+    assert {r["run_id"] for r in store.latest("marts/model_metrics").collect()} == {"run_2"}
+    assert store.read("marts/model_metrics").where("run_id = 'run_9'").count() == 3, "marks are no rows of the table"
+    store.commit("marts/model_metrics", "run_9")
+    store.commit("marts/model_metrics", "run_9")
+    assert {r["run_id"] for r in store.latest("marts/model_metrics").collect()} == {"run_9"}
+    revoke_run(spark, store.path("marts/model_metrics"), "run_9")
+    assert {r["run_id"] for r in store.latest("marts/model_metrics").collect()} == {"run_2"}
+
+
+def test_local_times_become_utc(spark):
+    rows = [("a", dt.datetime(2024, 1, 1, 23, 30), dt.date(2024, 1, 1)), ("b", None, None)]
+    df = spark.createDataFrame(rows, "k string, event_time timestamp, event_date date")
+    assert clean.to_utc(df, ["event_time"], None) is df
+    got = {r["k"]: (r["event_time"], r["event_date"]) for r in clean.to_utc(df, ["event_time"], "-05:00").selectExpr("k", "cast(event_time as timestamp_ntz) event_time", "event_date").collect()}
+    base = df.selectExpr("cast(event_time as timestamp_ntz) t").first()["t"]
+    assert got["a"][0] - base == dt.timedelta(hours=5) and got["a"][1] == (base + dt.timedelta(hours=5)).date() and got["b"] == (None, None)

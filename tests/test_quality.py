@@ -109,3 +109,21 @@ def test_run_checks_writes_and_raises(spark, tmp_path):
             Q.run_checks([good, bad], sink, "r2")
     assert spark.read.parquet(sink).where("run_id = 'r2'").count() == 6
     assert spark.read.parquet(sink).groupBy("run_id").count().count() == 2
+
+
+def test_schema_counts_values_in_one_aggregation(spark, tmp_path):
+    df = spark.createDataFrame([("p", 1.0, None), ("q", None, None)], "patient_id string, hr double, lab double")
+    got = report(Q.check_schema(df, ["patient_id", "hr", "lab", "unit"]))
+    assert got["rows"][0] == 2 and got["values_patient_id"][0] == 2 and got["values_hr"] == (1.0, True, "WARN")
+    assert got["values_lab"] == (0.0, False, "WARN") and got["has_unit"] == (0.0, False, "ERROR") and got["values_unit"][0] == 0
+    assert report(Q.check_schema(df.limit(0), ["hr"]))["values_hr"][1]
+
+
+def test_audit_of_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("p", 1.0)] * 3, "k string, hr double").coalesce(1).write.mode("append").parquet(path)
+    spark.createDataFrame([("q",)] * 2, "k string").coalesce(1).write.mode("append").parquet(path)
+    df = spark.read.schema("k string, hr double").parquet(path)
+    got = sorted(tuple(r)[1:] for r in Q.audit_files(df, ["k", "hr", "unit"]).collect())
+    assert got == [(2, 2, 0, 0), (3, 3, 3, 0)]
+    assert Q.audit_files(df, ["k"])._jdf.queryExecution().executedPlan().toString().count("Scan parquet") == 1

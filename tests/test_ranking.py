@@ -4,7 +4,7 @@ import hashlib
 import random
 
 import pytest
-from pyspark.sql import Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidewatch.functions import tie_hash
 from tidewatch.operators import publish, ranking as R
@@ -226,3 +226,47 @@ def test_top_risk_preview_is_not_a_full_sort(spark):
     top = publish.top_risk_preview(df, 20, keys=KEYS)
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
     assert [r["id"] for r in top.collect()] == ordered(scores_of("continuous", 300))[::-1][:20]
+
+
+class _Actions:
+    """Counts the collects of a block."""
+
+    def __init__(self, monkeypatch):
+        self.n = 0
+        real = DataFrame.collect
+
+        def collect(df):
+            self.n += 1
+            return real(df)
+
+        monkeypatch.setattr(DataFrame, "collect", collect)
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 40])
+def test_cutoffs_of_all_groups_agree_with_one_search_each(spark, monkeypatch, limit):
+    monkeypatch.setattr(R, "_ORDER_AT_ONCE", limit)
+    monkeypatch.setattr(R, "_QUANTILES", 20)
+    rng = random.Random(limit)
+    pick = {"m1": lambda: rng.random(), "m2": lambda: rng.choice([0.1, 0.5, 0.5, 0.9]), None: lambda: rng.choice([None, float("nan"), rng.random()])}
+    rows = [(m, f"k{i}", pick[m](), rng.randrange(2)) for m in pick for i in range(700)] + [("m3", "one", 0.5, 1), ("m2", "k1", 0.5, 0)]
+    df = spark.createDataFrame(rows, "model string, key string, prob double, label int").repartition(5)
+    whole = R.topk_metrics(df, (0.05, 0.3), tie_keys=["key"], by=["model"]).collect()
+    got = {(r["model"], r["k_rate"]): tuple(r)[2:] for r in whole}
+    assert len(whole) == len(got) == 8
+    for m in (*pick, "m3"):
+        alone = R.topk_metrics(df.where(F.col("model").eqNullSafe(F.lit(m))), (0.05, 0.3), tie_keys=["key"]).collect()
+        assert {r["k_rate"]: tuple(r)[1:] for r in alone} == {rate: v for (x, rate), v in got.items() if x == m}, m
+
+
+def test_groups_share_the_passes_of_a_search(spark, monkeypatch):
+    monkeypatch.setattr(R, "_ORDER_AT_ONCE", 50)
+    df = spark.range(6000).select(
+        (F.col("id") % 6).cast("string").alias("model"), F.col("id").cast("string").alias("key"), (F.col("id") * 37 % 5999 / 5999.0).alias("prob"), F.lit(1).alias("label")
+    )
+    counted = _Actions(monkeypatch)
+    R.topk_metrics(df.where("model = '0'"), (0.1, 0.5), tie_keys=["key"])
+    one = counted.n
+    R.topk_metrics(df, (0.1, 0.5), tie_keys=["key"], by=["model"])
+    # One more looks for the groups; brackets of one group may need a step more than those of another.
+    assert counted.n - one <= one + 2
+    assert R.topk_metrics(df.limit(0), (0.1,), tie_keys=["key"], by=["model"]).count() == 0

@@ -63,6 +63,15 @@ def normalize_time(df: DataFrame, column: str, zone: str | None = None, fmt: str
     return df.withColumn(column, c)
 
 
+def to_utc(df: DataFrame, columns: Sequence[str], zone: str | None) -> DataFrame:
+    """Local times of ``zone`` as UTC, and the date partition that follows from an event's time."""
+    if zone is None:
+        return df
+    for c in columns:
+        df = normalize_time(df, c, zone)
+    return df.withColumn("event_date", F.to_date("event_time")) if {"event_time", "event_date"} <= set(df.columns) else df
+
+
 def valid_intervals(df: DataFrame, start: str = "admit_time", end: str = "discharge_time") -> DataFrame:
     """Stays with a start that lies before their end; a stay without an end is still going on."""
     return df.where(F.col(start).isNotNull() & (F.col(end).isNull() | (F.col(start) < F.col(end))))

@@ -44,13 +44,11 @@ def split_assign(
     return df.withColumn("split", split_name(bucket, fractions))
 
 
-def split_temporal(
-    df: DataFrame, time: str = "admit_time", fractions: SplitFractions = SplitFractions(), tie_keys: Sequence[str] = KEYS
-) -> DataFrame:
+def split_temporal(df: DataFrame, time: str = "admit_time", fractions: SplitFractions = SplitFractions()) -> DataFrame:
     """Earlier rows train, later rows test. Equal times share a split, so a part may exceed its share."""
     position = F.unix_micros(F.col(time).cast("timestamp")).cast("double")
     timed = df.withColumn("__t", position)
-    train, val = exact_cutoffs(timed, "__t", [fractions.train, fractions.train + fractions.val], tie_keys)
+    train, val = exact_cutoffs(timed, "__t", [fractions.train, fractions.train + fractions.val], None)
     after_train, after_val = order_after(F.col("__t"), None, train), order_after(F.col("__t"), None, val)
     split = F.when(F.col("__t").isNull(), F.lit(None).cast("string")).when(after_val, "test").when(after_train, "val")
     return timed.withColumn("split", split.otherwise("train")).drop("__t")
@@ -104,11 +102,32 @@ def model_table(
     method: str = "md5",
 ) -> DataFrame:
     """``training_set`` for features that carry their label already (see ``with_labels``)."""
-    ds = labelled.join(attributes, list(attribute_keys), "left")
-    ds = fill_nulls(ds, fill, exclude=(label, *ANCHOR_KEYS))
+    ds = model_inputs(labelled, attributes, attribute_keys, encode, fill, keep=(label,))
+    return split_assign(ds, "patient_id", fractions, method)
+
+
+def model_inputs(
+    features: DataFrame,
+    attributes: DataFrame,
+    attribute_keys: Sequence[str] = KEYS,
+    encode: Mapping[str, tuple[str, str]] | None = None,
+    fill: float = 0.0,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """What a model reads: features and static attributes, filled and encoded. No label is needed.
+
+    Keys and the columns of ``keep`` are never filled.
+    """
+    ds = features.join(attributes, list(attribute_keys), "left")
+    ds = fill_nulls(ds, fill, exclude=(*keep, *ANCHOR_KEYS))
     for column, (value, out) in (encode or {}).items():
         ds = encode_binary(ds, column, value, out)
-    return split_assign(ds, "patient_id", fractions, method)
+    return ds
+
+
+def unscored(inputs: DataFrame, scores: DataFrame, keys: Sequence[str] = ANCHOR_KEYS) -> DataFrame:
+    """Rows of ``inputs`` whose keys have no row in ``scores``; what is scored already is not scored again."""
+    return inputs.join(scores.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def score_dataset(training: DataFrame, label: str = "label") -> DataFrame:

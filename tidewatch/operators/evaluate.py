@@ -165,10 +165,14 @@ def topk_long(
     label: str = "label",
     score: str = "prob",
     tie_keys: Sequence[str] = ANCHOR_KEYS,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Top-k metrics in the shape of ``metrics_long``, named like ``recall_at_0.1``."""
-    wide = topk_metrics(scored, rates, label, score, tie_keys).withColumns({k: F.lit(v) for k, v in ids.items()})
-    long = to_long(wide, [*ids, "k_rate"], ["precision_at_k", "recall_at_k", "lift_at_k", "base_rate"])
+    """Top-k metrics in the shape of ``metrics_long``, named like ``recall_at_0.1``.
+
+    ``ids`` are constant columns, ``by`` columns of the table whose groups are measured apart.
+    """
+    wide = topk_metrics(scored, rates, label, score, tie_keys, by).withColumns({k: F.lit(v) for k, v in ids.items()})
+    long = to_long(wide, [*ids, *by, "k_rate"], ["precision_at_k", "recall_at_k", "lift_at_k", "base_rate"])
     name = F.concat(F.regexp_replace("metric", "_k$", "_"), F.col("k_rate").cast("string"))
     return long.withColumn("metric", F.when(F.col("metric") == "base_rate", F.col("metric")).otherwise(name)).drop("k_rate")
 

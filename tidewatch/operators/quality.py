@@ -49,10 +49,33 @@ def _info(metric: str, value: str) -> Line:
 
 
 def check_schema(df: DataFrame, required: Sequence[str], layer: str = "bronze") -> DataFrame:
-    """One row per required column: 1 if it is there. Looks at the schema only."""
+    """Per required column whether it is there (an error if not) and how many values it has, and all rows.
+
+    One aggregation over the table; an absent column has no values. A present one without any value in
+    a table with rows is a warning.
+    """
+    absent = set(missing_columns(df, required))
+    values = [F.count(F.lit(None) if c in absent else F.col(c)).alias(f"n_{i}") for i, c in enumerate(required)]
+    out = df.agg(F.count(F.lit(1)).alias("rows"), *values)
+    lines: list[Line] = [_info("rows", "rows")]
+    for i, c in enumerate(required):
+        there = c not in absent
+        lines += [
+            (ERROR, f"has_{c}", str(int(there)), str(there).lower()),
+            (WARN, f"values_{c}", f"n_{i}", f"rows = 0 OR n_{i} > 0" if there else "false"),
+        ]
+    return _report(out, "schema", layer, lines)
+
+
+def audit_files(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """(file, rows, values_<column>...) of a table's files, grouped by the file that each row is read from.
+
+    A file that lacks a column, or has it without a value, shows as zero. Columns that the table does
+    not have count as zero in every file.
+    """
     absent = set(missing_columns(df, required))
-    rows = [("schema", layer, ERROR, f"has_{c}", 0.0 if c in absent else 1.0, c not in absent) for c in required]
-    return df.sparkSession.createDataFrame(rows, REPORT)
+    values = [(F.sum(F.lit(0)) if c in absent else F.count(c)).cast("bigint").alias(f"values_{c}") for c in required]
+    return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"), *values)
 
 
 def check_timestamp_parse(df: DataFrame, column: str, layer: str = "bronze") -> DataFrame:

@@ -22,7 +22,7 @@ every branch and every retry sees the same ones. Each step scans ``df``: hand in
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Generator, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
@@ -74,22 +74,27 @@ def order_after(score: Column, tie: Column | None, cut: Cutoff, nth: Column | No
     return F.coalesce(above, F.lit(False))
 
 
-def numbered(df: DataFrame, score: Column, tie: Column, cuts: Sequence[Cutoff]) -> tuple[DataFrame, Column | None]:
+def numbered(
+    df: DataFrame, score: Column, tie: Column, cuts: Sequence[Cutoff | Sequence[Cutoff]], group: Column | None = None
+) -> tuple[DataFrame, Column | None]:
     """Number the rows that a cut-off divides although they agree in score and keys.
 
     Without such cut-offs, as with unique keys, ``df`` comes back as it is. Other rows do not move.
-    The number follows the hash of the whole row; rows alike in all columns may change places.
+    The number follows the hash of the whole row; rows alike in all columns may change places. With
+    ``group`` there is a list of cut-offs per group.
     """
-    split = {(c.score, c.tie) for c in cuts if c.within is not None}
+    listed = [(0, cuts)] if group is None else list(enumerate(cuts))
+    split = {(g, c.score, c.tie) for g, some in listed for c in some if c.within is not None}
     if not split:
         return df, None
+    group = F.lit(0) if group is None else group
     hit = F.lit(False)
-    for value, digest in sorted(split):
-        hit = hit | ((score == F.lit(value)) & (tie == F.lit(digest)))
+    for g, value, digest in sorted(split):
+        hit = hit | ((group == g) & (score == F.lit(value)) & (tie == F.lit(digest)))
     hit = F.coalesce(hit, F.lit(False))
     columns = df.columns
-    inside = df.where(hit).withColumns({"__s": score, "__t": tie, "__x": F.xxhash64(*columns)})
-    order = Window.partitionBy("__s", "__t").orderBy("__x")
+    inside = df.where(hit).withColumns({"__g": group, "__s": score, "__t": tie, "__x": F.xxhash64(*columns)})
+    order = Window.partitionBy("__g", "__s", "__t").orderBy("__x")
     inside = inside.withColumn(_NTH, F.row_number().over(order).cast("bigint")).select(*columns, _NTH)
     outside = df.where(~hit).withColumn(_NTH, F.lit(None).cast("bigint"))
     return inside.unionByName(outside), F.col(_NTH)
@@ -131,6 +136,7 @@ class _Part:
     where: Column
     before: int
     positions: tuple[int, ...]
+    group: int = 0
 
 
 def exact_cutoffs(
@@ -143,52 +149,106 @@ def exact_cutoffs(
 
     Without ``tie`` the cut-offs only have scores.
     """
+    wanted = positions if callable(positions) else lambda n: [int(f * n) for f in positions]
+    return cutoffs_by(df, F.lit(0), 1, score, wanted, tie)[0]
+
+
+def cutoffs_by(
+    df: DataFrame, group: Column, groups: int, score: str | Column, positions: Positions, tie: Column | Sequence[str] | None
+) -> list[list[Cutoff]]:
+    """``exact_cutoffs`` of each group at once; ``group`` numbers the groups from 0 to ``groups - 1``.
+
+    Every step narrows the brackets of all groups in one pass, and all that is left is ordered in one:
+    as many actions as for the group that takes most, however many groups there are.
+    """
     value = F.col(score) if isinstance(score, str) else score
     digest = tie if isinstance(tie, Column) else F.lit(None).cast("string") if tie is None else tie_hash(tie)
-    scored = df.select(null_if_nan(value.cast("double")).alias("s"), digest.alias("t")).where(F.col("s").isNotNull())
-    n, quantiles = sketch_scores(scored, "s")
-    wanted = list(positions(n)) if callable(positions) else [int(f * n) for f in positions]
-    inner = sorted({p for p in wanted if 0 < p < n})
-    found = _narrowed(scored, n, quantiles, inner, tie is not None) if inner else {}
-    missing = [p for p in inner if p not in found]
+    scored = df.select(null_if_nan(value.cast("double")).alias("s"), digest.alias("t"), group.cast("int").alias("g"))
+    scored = scored.where(F.col("s").isNotNull() & F.col("g").isNotNull())
+    sizes = {
+        r["g"]: (r["n"], list(r["q"] or []))
+        for r in scored.groupBy("g").agg(F.count(F.lit(1)).alias("n"), _quantiles_of(F.col("s")).alias("q")).collect()
+    }
+    wanted = [list(positions(sizes.get(g, (0, []))[0])) for g in range(groups)]
+    inner = {g: sorted({p for p in wanted[g] if 0 < p < n}) for g, (n, _) in sizes.items()}
+    found = _narrowed(scored, {g: (*sizes[g], ps) for g, ps in inner.items() if ps}, tie is not None)
+    missing = [(g, p) for g, ps in inner.items() for p in ps if (g, p) not in found]
     if missing:
-        raise RuntimeError(f"no row at positions {missing} of {n}: does the table change between scans?")
-    return [found.get(p, Cutoff(p, n)) for p in wanted]
+        raise RuntimeError(f"no row at positions {missing} (by group): does the table change between scans?")
+    return [[found.get((g, p), Cutoff(p, sizes.get(g, (0, []))[0])) for p in wanted[g]] for g in range(groups)]
 
 
-def _narrowed(scored: DataFrame, n: int, quantiles: Sequence[float], positions: list[int], ties: bool) -> dict[int, Cutoff]:
-    """Brackets around the positions, made smaller until their rows can be ordered."""
-    if n <= _ORDER_AT_ONCE:
-        return _ordered(scored, n, [_Part(F.lit(True), 0, tuple(positions))])
-    s = F.col("s")
-    found: dict[int, Cutoff] = {}
+def _quantiles_of(c: Column) -> Column:
+    return F.percentile_approx(c, [i / _QUANTILES for i in range(_QUANTILES + 1)], _ACCURACY)
+
+
+def _narrowed(scored: DataFrame, groups: dict[int, tuple[int, list[float], list[int]]], ties: bool) -> dict[tuple[int, int], Cutoff]:
+    """Cut-offs by (group, position), from each group's (rows, quantiles, positions).
+
+    The groups ask for counts of the stretches they are at; one pass answers them all.
+    """
+    found: dict[tuple[int, int], Cutoff] = {}
     parts: list[_Part] = []
+    open_ = {}
+    for g, (n, quantiles, positions) in groups.items():
+        steps = _narrowing(scored.where(F.col("g") == g), g, n, quantiles, positions, ties, found, parts)
+        spans = next(steps, None)
+        if spans is not None:
+            open_[g] = (steps, spans)
+    while open_:
+        regions = _count_regions(scored, {g: spans for g, (_, spans) in open_.items()})
+        again = {}
+        for g, (steps, _) in open_.items():
+            try:
+                again[g] = (steps, steps.send(regions.get(g, {})))
+            except StopIteration:
+                pass
+        open_ = again
+    return found | _ordered(scored, {g: n for g, (n, *_) in groups.items()}, parts)
+
+
+def _narrowing(
+    scored: DataFrame, g: int, n: int, quantiles: Sequence[float], positions: list[int], ties: bool, found: dict, parts: list[_Part]
+) -> Generator[list[tuple[float, float]], dict[int, dict], None]:
+    """Brackets around the positions of one group, made smaller until their rows can be ordered.
+
+    Yields the brackets, is sent the counts of the stretches they cut the scores into, and leaves
+    cut-offs in ``found`` and what remains to be ordered in ``parts``.
+    """
+    mine_only, s = F.col("g") == g, F.col("s")
+    if n <= _ORDER_AT_ONCE:
+        parts.append(_Part(mine_only, 0, tuple(positions), g))
+        return
     spans, pending = _brackets(n, quantiles, positions), positions
     while pending:
-        regions = _count_regions(scored, spans)
+        regions = yield spans
         before, inside, again = 0, {}, []
         for code, region in sorted(regions.items()):
             mine = [p for p in pending if before < p <= before + region["n"]]
             if mine:
                 inside[code] = (before, mine)
             before += region["n"]
+        done: set[int] = set()
         for code, (before, mine) in inside.items():
             region = regions[code]
             lo, hi = region["lo"], region["hi"]
             if lo == hi:
                 if ties:
-                    more, cuts = _narrowed_ties(scored.where(s == F.lit(lo)), s == F.lit(lo), lo, n, before, region["n"], mine)
+                    here = mine_only & (s == F.lit(lo))
+                    more, cuts = _narrowed_ties(scored.where(s == F.lit(lo)), here, lo, n, before, region["n"], mine, g)
                     parts += more
-                    found |= cuts
+                    found.update({(g, p): cut for p, cut in cuts.items()})
                 else:
-                    found |= {p: Cutoff(p, n, lo) for p in mine}
+                    found.update({(g, p): Cutoff(p, n, lo) for p in mine})
+                done.update(mine)
             elif region["n"] <= _ORDER_AT_ONCE:
-                parts.append(_Part((s >= F.lit(lo)) & (s <= F.lit(hi)), before, tuple(mine)))
+                parts.append(_Part(mine_only & (s >= F.lit(lo)) & (s <= F.lit(hi)), before, tuple(mine), g))
+                done.update(mine)
             elif region["q"]:
                 again += _brackets(region["n"], region["q"], [p - before for p in mine])
             else:
                 again.append((lo, hi))
-        pending = [p for p in pending if p not in found and not any(p in part.positions for part in parts)]
+        pending = [p for p in pending if p not in done]
         again = _merged(again)
         if again == spans:
             # The sketch tells no more: halve what is left, down to single scores.
@@ -196,34 +256,38 @@ def _narrowed(scored: DataFrame, n: int, quantiles: Sequence[float], positions:
         if pending and not again:
             break
         spans = again
-    return found | _ordered(scored, n, parts)
 
 
-def _count_regions(scored: DataFrame, spans: Sequence[tuple[float, float]]) -> dict[int, dict]:
-    """Rows, extremes and quantiles of the stretches that the ends of the spans cut the scores into.
+def _count_regions(scored: DataFrame, spans_of: dict[int, Sequence[tuple[float, float]]]) -> dict[int, dict[int, dict]]:
+    """Per group: rows, extremes and quantiles of the stretches that the ends of its spans cut its scores into.
 
     Each end is a stretch of its own, so a common score never keeps a bracket large. Quantiles are
     taken within spans only; a position found outside gets the whole stretch as its next span.
     """
-    s = F.col("s")
-    code = F.when(F.lit(False), F.lit(0))
-    for i, (lo, hi) in enumerate(spans):
-        for k, cond in enumerate((s < F.lit(lo), s == F.lit(lo), s < F.lit(hi), s == F.lit(hi))):
-            code = code.when(cond, F.lit(4 * i + k))
-    coded = scored.select("s", code.otherwise(F.lit(4 * len(spans))).alias("code"))
-    fractions = [i / _QUANTILES for i in range(_QUANTILES + 1)]
+    s, g = F.col("s"), F.col("g")
+    whole = F.when(F.lit(False), F.lit(0))
+    for group, spans in spans_of.items():
+        code = F.when(F.lit(False), F.lit(0))
+        for i, (lo, hi) in enumerate(spans):
+            for k, cond in enumerate((s < F.lit(lo), s == F.lit(lo), s < F.lit(hi), s == F.lit(hi))):
+                code = code.when(cond, F.lit(4 * i + k))
+        whole = whole.when(g == group, code.otherwise(F.lit(4 * len(spans))))
+    coded = scored.select("s", "g", whole.alias("code")).where(F.col("code").isNotNull())
     inner = F.when(F.col("code") % 4 == 2, s)
-    rows = coded.groupBy("code").agg(
+    rows = coded.groupBy("g", "code").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("s").alias("lo"),
         F.max("s").alias("hi"),
-        F.percentile_approx(inner, fractions, _ACCURACY).alias("q"),
+        _quantiles_of(inner).alias("q"),
     )
-    return {r["code"]: r.asDict() for r in rows.collect()}
+    found: dict[int, dict[int, dict]] = {}
+    for r in rows.collect():
+        found.setdefault(r["g"], {})[r["code"]] = r.asDict()
+    return found
 
 
 def _narrowed_ties(
-    rows: DataFrame, where: Column, value: float, n: int, before: int, count: int, positions: list[int]
+    rows: DataFrame, where: Column, value: float, n: int, before: int, count: int, positions: list[int], group: int
 ) -> tuple[list[_Part], dict[int, Cutoff]]:
     """Parts to order, or cut-offs, among rows of one score, by their digests.
 
@@ -262,15 +326,15 @@ def _narrowed_ties(
         if lo == hi:
             found[p] = Cutoff(p, n, value, lo, None if p == ahead + inside else p - ahead)
         else:
-            parts.append(_Part(where & (t >= lo) & (t <= hi), ahead, (p,)))
+            parts.append(_Part(where & (t >= lo) & (t <= hi), ahead, (p,), group))
     return parts, found
 
 
-def _ordered(scored: DataFrame, n: int, parts: Sequence[_Part]) -> dict[int, Cutoff]:
+def _ordered(scored: DataFrame, rows_of: dict[int, int], parts: Sequence[_Part]) -> dict[tuple[int, int], Cutoff]:
     """Order the rows of each part by (score, tie) in a task of its own and read off the positions."""
     if not parts:
         return {}
-    found: dict[int, Cutoff] = {}
+    found: dict[tuple[int, int], Cutoff] = {}
     # Parts may overlap where positions share a bracket, so a row can belong to several.
     flags = F.array_compact(F.array(*[F.when(p.where, F.lit(i)) for i, p in enumerate(parts)]))
     order = Window.partitionBy("part").orderBy("s", "t")
@@ -292,8 +356,8 @@ def _ordered(scored: DataFrame, n: int, parts: Sequence[_Part]) -> dict[int, Cut
         alike = more and r["next"]["t"] == r["t"] and r["t"] is not None
         # A tie hash is kept where the score goes on; at the end of a part it is harmless.
         tie = r["t"] if more or r["next"] is None else None
-        p = r["position"]
-        found[p] = Cutoff(p, n, r["s"], tie, p - r["first"] + 1 if alike else None)
+        p, part = r["position"], parts[r["part"]]
+        found[part.group, p] = Cutoff(p, rows_of[part.group], r["s"], tie, p - r["first"] + 1 if alike else None)
     return found
 
 
@@ -438,38 +502,61 @@ def topk_metrics(
     label: str = "label",
     score: str = "prob",
     tie_keys: Sequence[str] = ANCHOR_KEYS,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Precision, recall and lift among the top ``int(n * rate)`` rows, one row per rate.
 
-    All rates come out of one aggregation over the marked rows. Rates that select no row have
-    null metrics.
+    With ``by`` one row per rate and group; groups, a few (models and splits), are found first, and one
+    search finds the cut-offs of all. All rates come out of one aggregation over the marked rows. Rates
+    that select no row have null metrics; a table without scores gives, without ``by``, rates of no row.
     """
-    cuts = exact_cutoffs(df, score, top_positions(rates), tie_keys)
     s, tie = null_if_nan(F.col(score).cast("double")), tie_hash(tie_keys)
-    df, nth = numbered(df, s, tie, cuts)
+    names = [tuple(r) for r in df.where(s.isNotNull()).select(*by).distinct().collect()] if by else [()]
+    names.sort(key=lambda r: tuple((v is not None, str(v)) for v in r))
+    if not names:
+        names = [tuple(None for _ in by)]
+    code = F.when(F.lit(False), F.lit(0))
+    for g, values in enumerate(names):
+        same = F.lit(True)
+        for c, v in zip(by, values):
+            same = same & F.col(c).eqNullSafe(F.lit(v))
+        code = code.when(same, F.lit(g))
+    cuts = cutoffs_by(df, code, len(names), score, top_positions(rates), tie_keys)
+    df, nth = numbered(df, s, tie, cuts, code)
     positive = F.col(label) == 1
-    hits = [F.count_if(order_after(s, tie, cut, nth) & positive).alias(f"hits{i}") for i, cut in enumerate(cuts)]
-    totals = df.where(s.isNotNull()).agg(
+
+    def above(i: int) -> Column:
+        chosen = F.when(F.lit(False), F.lit(False))
+        for g, some in enumerate(cuts):
+            chosen = chosen.when(F.col("__code") == g, order_after(s, tie, some[i], nth))
+        return chosen
+
+    hits = [F.count_if(above(i) & positive).alias(f"hits{i}") for i in range(len(rates))]
+    marked = df.where(s.isNotNull()).withColumn("__code", code)
+    totals = marked.groupBy(*(["__code"] if by else [])).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(positive).cast("double").alias("pos"), *hits
     )
+    if not by:
+        totals = totals.withColumn("__code", F.lit(0))
+    taken = lambda i: F.element_at(F.array(*[F.lit(some[i].rows - some[i].position).cast("bigint") for some in cuts]), F.col("__code") + 1)
     per_rate = F.array(
         *[
-            F.struct(
-                F.lit(float(r)).alias("k_rate"),
-                F.lit(cut.rows - cut.position).cast("bigint").alias("k"),
-                F.col(f"hits{i}").cast("double").alias("hits"),
-            )
-            for i, (r, cut) in enumerate(zip(rates, cuts))
+            F.struct(F.lit(float(r)).alias("k_rate"), taken(i).alias("k"), F.col(f"hits{i}").cast("double").alias("hits"))
+            for i, r in enumerate(rates)
         ]
     )
+    for k, c in enumerate(by):
+        kind = df.schema[c].dataType
+        totals = totals.withColumn(c, F.element_at(F.array(*[F.lit(v[k]).cast(kind) for v in names]), F.col("__code") + 1))
     some = F.col("k") > 0
     base = F.try_divide(F.col("pos"), F.col("n"))
     precision = F.try_divide(F.col("hits"), F.col("k"))
     recall = F.when(F.col("pos") > 0, F.col("hits") / F.col("pos")).otherwise(F.lit(0.0))
     return (
-        totals.select("n", "pos", F.explode(per_rate).alias("r"))
-        .select("n", "pos", "r.*")
+        totals.select(*by, "n", "pos", F.explode(per_rate).alias("r"))
+        .select(*by, "n", "pos", "r.*")
         .select(
+            *by,
             "k_rate",
             "k",
             F.when(some, precision).alias("precision_at_k"),

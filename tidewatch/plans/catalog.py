@@ -328,7 +328,7 @@ def q_split_assign(spark, d):
 
 def q_split_temporal(spark, d):
     stays = fx.table(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").alias("admit_time"))
-    return dataset.split_temporal(stays, tie_keys=["o_orderkey"])
+    return dataset.split_temporal(stays)
 
 
 def q_split_stats(spark, d):

@@ -25,9 +25,22 @@ from tidewatch.config import (
     SplitFractions,
     TimeGrid,
 )
-from tidewatch.operators import clean, dataset, evaluate, ingest, labels, model, publish, quality, windows
+from tidewatch.operators import clean, compiled, dataset, evaluate, ingest, labels, model, publish, quality, windows
 from tidewatch.operators.anchors import anchor_grid
-from tidewatch.sources import assert_schema, export_csv, latest_run, read_table, row_audit, stage, write_table
+from tidewatch.sources import (
+    assert_schema,
+    commit_run,
+    committed_runs,
+    export_csv,
+    latest_run,
+    path_exists,
+    read_table,
+    revoke_run,
+    row_audit,
+    stage,
+    unstage,
+    write_table,
+)
 from tidewatch.sources.schemas import RAW_TABLES, struct_of
 
 EVENTS = ("vitals", "labs")
@@ -35,6 +48,7 @@ EVENTS = ("vitals", "labs")
 # The schemas keep run ids of digits as text.
 MARTS = {
     "marts/model_metrics": struct_of("model string,split string,metric string,value double,run_id string"),
+    "marts/evaluation": struct_of("model string,split string,metric string,value double,run_id string"),
     "marts/run_metrics": struct_of("metric string,value double,run_id string"),
     "marts/data_quality": struct_of("check string,layer string,severity string,metric string,value double,passed boolean,run_id string"),
 }
@@ -56,6 +70,8 @@ class Settings:
     calibration_bins: int = 10
     gbt_iterations: int = 60
     seed: int = 42
+    # Zone of the raw times; none if they are UTC.
+    zone: str | None = None
 
 
 @dataclass(frozen=True)
@@ -72,6 +88,13 @@ class Store:
     def read(self, table: str) -> DataFrame:
         return read_table(self.spark, self.path(table), MARTS.get(table))
 
+    def latest(self, table: str) -> DataFrame:
+        """The newest run whose rows are all written."""
+        return latest_run(self.read(table), committed=committed_runs(self.spark, self.path(table)))
+
+    def commit(self, table: str, run_id: str) -> None:
+        commit_run(self.spark, self.path(table), run_id)
+
     def write_run(self, df: DataFrame, table: str) -> None:
         """A few rows of one run, in place of any it had."""
         small = df.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -94,12 +117,15 @@ def to_bronze(store: Store, source: str, ingest_ts: Column | None = None) -> Non
 
 def to_silver(store: Store, settings: Settings = Settings()) -> None:
     stays = clean.dedupe_latest(store.read("bronze/admissions"), KEYS, ["_ingest_ts"])
+    stays = clean.to_utc(stays, ["admit_time", "discharge_time"], settings.zone)
     stays = clean.standardize_enum(clean.valid_intervals(stays), "sex")
     store.write(stays, "silver/admissions")
     for name in EVENTS:
-        events = clean.silver_events(store.read(f"bronze/{name}"), settings.clip_ranges)
+        bronze = clean.to_utc(store.read(f"bronze/{name}"), ["event_time"], settings.zone)
+        events = clean.silver_events(bronze, settings.clip_ranges)
         store.write(events, f"silver/{name}", partition_by=["event_date"])
     outcomes = clean.dedupe_latest(store.read("bronze/outcomes"), KEYS, ["_ingest_ts"])
+    outcomes = clean.to_utc(outcomes, ["deterioration_time"], settings.zone)
     outcomes = clean.standardize_enum(outcomes, "outcome_type", OUTCOME_TYPES, None)
     store.write(clean.valid_outcomes(outcomes, store.read("silver/admissions")), "silver/outcomes")
 
@@ -116,18 +142,28 @@ def to_gold(store: Store, settings: Settings = Settings()) -> None:
     store.write(labels.label_horizon(store.read("gold/anchors"), outcomes, settings.horizon), "gold/labels")
 
 
+ENCODED = {"sex": ("M", "sex_m")}
+
+
 def to_training_set(store: Store, settings: Settings = Settings()) -> None:
     labelled = labels.with_labels(store.read("gold/features"), store.read("silver/outcomes"), settings.horizon)
     table = dataset.model_table(
         labelled.drop("deterioration_time", "max_event_time"),
         store.read("silver/admissions").select(*KEYS, *ATTRIBUTES),
         settings.splits,
-        encode={"sex": ("M", "sex_m")},
+        encode=ENCODED,
         method=settings.split_method,
     )
     store.write(table, "gold/training_set")
 
 
+def to_score_set(store: Store) -> None:
+    """What there is to score: features and attributes of all anchors, with or without an outcome."""
+    features = store.read("gold/features").drop("max_event_time")
+    inputs = dataset.model_inputs(features, store.read("silver/admissions").select(*KEYS, *ATTRIBUTES), encode=ENCODED)
+    store.write(inputs, "gold/score_dataset")
+
+
 def train(store: Store, run_id: str, settings: Settings = Settings()) -> None:
     """Fit both models on the train split, save them, write their metrics on val and test."""
     table = store.read("gold/training_set")
@@ -147,34 +183,43 @@ def train(store: Store, run_id: str, settings: Settings = Settings()) -> None:
     # Every metric below reads the scores again, so they are written once.
     scored = stage(scored, "held-out-scores")
     metrics = evaluate.metrics_long(scored, run_id)
-    for name in pipelines:
-        for split in ("val", "test"):
-            part = scored.where((F.col("model") == name) & (F.col("split") == split))
-            ids = {"run_id": run_id, "model": name, "split": split}
-            metrics = metrics.unionByName(evaluate.topk_long(part, settings.alerts.rates, ids))
+    # One search for the cut-offs of all models and splits.
+    metrics = metrics.unionByName(evaluate.topk_long(scored, settings.alerts.rates, {"run_id": run_id}, by=("model", "split")))
     store.write_run(metrics, "marts/model_metrics")
+    store.commit("marts/model_metrics", run_id)
+    unstage(scored)
 
 
 def evaluate_best(store: Store, settings: Settings = Settings()) -> tuple[str, str]:
-    """Choose the best model of the latest run and write its calibration on the test split."""
-    metrics = latest_run(store.read("marts/model_metrics"))
+    """Choose the best model of the latest run; write its record on the test split and its calibration.
+
+    The record is computed anew from the saved model: areas, errors, and the rates of all alert policies.
+    """
+    metrics = store.latest("marts/model_metrics")
     best = evaluate.select_model(metrics, "auprc", settings.select_on).first()
     if best is None:
         raise ValueError(f"no model has a value on the split '{settings.select_on}'")
     run_id, name = best["run_id"], best["model"]
     test = store.read("gold/training_set").where(F.col("split") == "test")
-    fitted = model.load_model(store.path(f"models/{run_id}/{name}"))
-    scored = model.score(test, fitted, ["label"], "prob")
+    fitted = compiled.load_compiled(store.spark, store.path(f"models/{run_id}/{name}"))
+    scored = compiled.score_with(test, fitted, [*ANCHOR_KEYS, "split", "label"], "prob").withColumn("model", F.lit(name))
+    scored = stage(scored, "test-scores")
+    record = evaluate.metrics_long(scored, run_id)
+    record = record.unionByName(evaluate.topk_long(scored, settings.alerts.rates, {"run_id": run_id}, by=("model", "split")))
+    store.write_run(record, "marts/evaluation")
     # As many rows as bins.
     export_csv(evaluate.calibration(scored, settings.calibration_bins), store.path("reports/calibration_test"), single_file=True)
+    unstage(scored)
     return run_id, name
 
 
 def score(store: Store, run_id: str, name: str, scored_at: Column, settings: Settings = Settings()) -> None:
     """Score all rows, one partition per run, with a preview of the highest scores."""
-    fitted = model.load_model(store.path(f"models/{run_id}/{name}"))
+    fitted = compiled.load_compiled(store.spark, store.path(f"models/{run_id}/{name}"))
     keep = [*ANCHOR_KEYS, "anchor_date", "label", "split"]
-    scores = model.score(store.read("gold/training_set"), fitted, keep)
+    scores = compiled.score_with(store.read("gold/training_set"), fitted, keep)
+    # A run that is repeated is not read until its rows are complete again.
+    revoke_run(store.spark, store.path("marts/risk_scores"), run_id)
     out = publish.score_output(scores, f"{name}_{run_id}", scored_at, settings.dashboard.bands)
     table = out.withColumn("run_id", F.lit(run_id))
     audited, store.counts["marts/risk_scores"] = row_audit(table, "risk_scores")
@@ -182,12 +227,33 @@ def score(store: Store, run_id: str, name: str, scored_at: Column, settings: Set
     audited.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(
         store.path("marts/risk_scores")
     )
-    newest = latest_run(store.read("marts/risk_scores"))
+    store.commit("marts/risk_scores", run_id)
+    newest = store.latest("marts/risk_scores")
     export_csv(publish.top_risk_preview(newest), store.path("reports/risk_scores_sample"), single_file=True)
 
 
+def score_new(store: Store, run_id: str, name: str, scored_at: Column, settings: Settings = Settings()) -> None:
+    """Score the anchors of the score set that this model version has not scored yet; no outcome is needed.
+
+    One partition per model version. What is there already is left out by an anti-join of the keys, and
+    new rows are added; a call that finds nothing new adds none.
+    """
+    version = f"{name}_{run_id}"
+    path = store.path("marts/live_scores")
+    inputs = store.read("gold/score_dataset")
+    if path_exists(store.spark, path):
+        schema = struct_of("patient_id string,admission_id string,anchor_time timestamp,model_version string")
+        done = read_table(store.spark, path, schema).where(F.col("model_version") == version)
+        inputs = dataset.unscored(inputs, done)
+    fitted = compiled.load_compiled(store.spark, store.path(f"models/{run_id}/{name}"))
+    scores = compiled.score_with(inputs, fitted, [*ANCHOR_KEYS, "anchor_date"])
+    out = publish.score_output(scores, version, scored_at, settings.dashboard.bands)
+    audited, store.counts["marts/live_scores"] = row_audit(out, "live_scores")
+    audited.write.mode("append").partitionBy("model_version").parquet(path)
+
+
 def export_dashboard(store: Store, settings: Settings = Settings()) -> None:
-    newest = latest_run(store.read("marts/risk_scores"))
+    newest = store.latest("marts/risk_scores")
     scored = newest.select(*ANCHOR_KEYS, "anchor_date", "risk_score", "label", "split")
     extract = publish.dashboard_extract(scored, store.read("gold/training_set"), settings.dashboard)
     # At most settings.dashboard.rows rows.
@@ -225,7 +291,7 @@ def check_quality(store: Store, run_id: str, run_time: Column, settings: Setting
         quality.check_duplicates(store.read("gold/anchors"), ANCHOR_KEYS, "gold/anchors", remaining_is_error=True),
         quality.check_labels(store.read("gold/labels")),
         quality.check_split_overlap(table),
-        quality.check_scores(latest_run(store.read("marts/risk_scores"))),
+        quality.check_scores(store.latest("marts/risk_scores")),
     ]
     return quality.run_checks(checks, store.path("marts/data_quality"), run_id)
 
@@ -272,9 +338,11 @@ def run_all(
     to_silver(store, settings)
     to_gold(store, settings)
     to_training_set(store, settings)
+    to_score_set(store)
     train(store, run_id, settings)
     chosen, name = evaluate_best(store, settings)
     score(store, chosen, name, run_time, settings)
+    score_new(store, chosen, name, run_time, settings)
     export_dashboard(store, settings)
     check_quality(store, run_id, run_time, settings)
     record_run(store, run_id)

@@ -421,6 +421,19 @@ SELECT o_orderkey, admit_time, CASE WHEN admit_time <= t THEN 'train' WHEN admit
     )
 
     parse = "(SELECT count(*) AS given, count(*) FILTER (WHERE o_orderpriority <> '1-URGENT') AS parsed FROM orders)"
+    required = ("patient_id", "admission_id", "event_time", "hr")
+    out["dq_schema"] = (
+        _with(_KEYED, _VITALS)
+        + f", counted AS (SELECT count(*) AS n, {', '.join(f'count({c}) AS {c}' for c in required)} FROM vitals) "
+        + _report(
+            "counted",
+            "schema",
+            "bronze",
+            [("INFO", "rows", "n", "true")]
+            + [x for c in required for x in (("ERROR", f"has_{c}", "1", "true"), ("WARN", f"values_{c}", c, f"(n = 0 OR {c} > 0)"))]
+            + [("ERROR", "has_unit", "0", "false"), ("WARN", "values_unit", "0", "false")],
+        )
+    )
     out["dq_timestamp_parse"] = _report(
         parse,
         "timestamp_parse",

@@ -1,7 +1,11 @@
 from tidewatch.sources.schemas import assert_schema, enforce_schema, existing_columns, numeric_columns
 from tidewatch.sources.tables import (
     export_csv,
+    commit_run,
+    committed_runs,
     latest_run,
+    path_exists,
+    revoke_run,
     read_table,
     row_audit,
     stage,
@@ -14,7 +18,11 @@ __all__ = [
     "enforce_schema",
     "existing_columns",
     "export_csv",
+    "commit_run",
+    "committed_runs",
     "latest_run",
+    "path_exists",
+    "revoke_run",
     "numeric_columns",
     "read_table",
     "row_audit",

@@ -78,16 +78,51 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
-def latest_run(df: DataFrame, run_col: str = "run_id") -> DataFrame:
-    """Rows of the greatest run id.
+def latest_run(df: DataFrame, run_col: str = "run_id", committed: DataFrame | None = None) -> DataFrame:
+    """Rows of the greatest run id, of those in ``committed`` (``run_id``) if it is given.
 
     On a table partitioned by the run id the scalar subquery reads partition values only
     and the outer scan prunes to one partition.
     """
-    newest = df.select(F.max(run_col).alias("newest"))
+    runs = df.select(run_col) if committed is None else committed.select(F.col("run_id").alias(run_col))
+    newest = runs.agg(F.max(run_col).alias("newest"))
     return df.where(F.col(run_col) == newest.scalar())
 
 
+# Scans pass over folders of this form, so the marks of a table lie within it.
+_MARKS = "_runs"
+
+
+def commit_run(spark: SparkSession, path: str, run_id: str) -> None:
+    """Mark a run of the table at ``path`` as complete, once all of its rows are written.
+
+    One row per run, below the table's folder; a run that is committed again replaces its mark.
+    """
+    mark = spark.range(1).select(F.lit(run_id).alias("run_id"), F.current_timestamp().alias("committed_at"), F.lit(run_id).alias("run"))
+    writer = mark.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("run").parquet(f"{path.rstrip('/')}/{_MARKS}")
+
+
+def revoke_run(spark: SparkSession, path: str, run_id: str) -> None:
+    """Take a run's mark away, ahead of writing its rows anew."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{_MARKS}/run={run_id}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def committed_runs(spark: SparkSession, path: str) -> DataFrame:
+    """(run_id, committed_at) of the complete runs of the table at ``path``; none where none was committed."""
+    marks = f"{path.rstrip('/')}/{_MARKS}"
+    schema = "run_id string, committed_at timestamp"
+    if not path_exists(spark, marks):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(marks)
+
+
 def row_audit(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Observation]:
     """Attach counters to ``df``; they fill while the caller's own action runs."""
     obs = Observation(name)
