@@ -127,3 +127,30 @@ def test_audit_of_files(spark, tmp_path):
     got = sorted(tuple(r)[1:] for r in Q.audit_files(df, ["k", "hr", "unit"]).collect())
     assert got == [(2, 2, 0, 0), (3, 3, 3, 0)]
     assert Q.audit_files(df, ["k"])._jdf.queryExecution().executedPlan().toString().count("Scan parquet") == 1
+
+
+def test_checks_of_one_table_share_its_scan(spark, tmp_path):
+    path = str(tmp_path / "events")
+    spark.createDataFrame([("p", T0, 500.0), ("q", None, None), ("p", T0, 80.0)], "patient_id string, event_time timestamp_ntz, hr double").write.parquet(path)
+    df, stays = spark.read.parquet(path), spark.createDataFrame([(T0, T0)], "admit_time timestamp_ntz, discharge_time timestamp_ntz")
+    checks = [
+        Q.schema_check(df, ["patient_id", "hr", "unit"]),
+        Q.parse_check(df, "event_time"),
+        Q.ranges_check(df, {"hr": (20.0, 250.0)}),
+        Q.nulls_check(df, ["hr", "event_time"], "silver"),
+        *Q.interval_checks(df, stays),
+    ]
+    together = Q.fused(checks)
+    apart = [r for c in checks for r in c.report().collect()]
+    assert sorted(map(str, together.collect())) == sorted(map(str, apart)) and len(apart) == 16
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert plan(Q.fused(checks)).count("FileScan parquet") == 1
+    mixed = Q.fused([*checks, Q.check_duplicates(df, ["patient_id"], "bronze")])
+    assert plan(mixed).count("FileScan parquet") == 2, "one more by key"
+    with pytest.raises(ValueError):
+        Q.reports([checks[0], checks[-1]])
+
+
+def test_names_in_lines_are_replaced_whole():
+    assert Q._renamed("`hr` = 0 AND hr_x > n AND n > 0", {"hr": "c0", "n": "c1"}) == "c0 = 0 AND hr_x > c1 AND c1 > 0"
+    assert Q._renamed("coalesce(n, 'n')", {"n": "c1"}) == "coalesce(c1, 'n')"

@@ -5,7 +5,9 @@ A check is one aggregation over its table; only its handful of results is turned
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T, Window
 
@@ -48,15 +50,74 @@ def _info(metric: str, value: str) -> Line:
     return INFO, metric, value, "true"
 
 
-def check_schema(df: DataFrame, required: Sequence[str], layer: str = "bronze") -> DataFrame:
+@dataclass(frozen=True)
+class Check:
+    """A check as what it aggregates of its table, so that checks of one table can share an aggregation.
+
+    ``lines`` are SQL over the names of ``aggregates``.
+    """
+
+    table: DataFrame
+    check: str
+    layer: str
+    aggregates: Mapping[str, Column]
+    lines: Sequence[Line]
+
+    def report(self) -> DataFrame:
+        return reports([self])
+
+
+def reports(checks: Sequence[Check]) -> DataFrame:
+    """The rows of several checks on one table, from a single aggregation."""
+    table = checks[0].table
+    if any(c.table is not table for c in checks):
+        raise ValueError("checks of one aggregation need one table")
+    named = [{name: f"c{i}_{k}" for k, name in enumerate(c.aggregates)} for i, c in enumerate(checks)]
+    every = [value.alias(names[name]) for c, names in zip(checks, named) for name, value in c.aggregates.items()]
+    lines = []
+    for c, names in zip(checks, named):
+        for severity, metric, value, passed in c.lines:
+            lines.append((c.check, c.layer, severity, metric, _renamed(value, names), _renamed(passed, names)))
+    rows = ", ".join(
+        f"named_struct('check', '{check}', 'layer', '{layer}', 'severity', '{severity}', 'metric', '{metric}', "
+        f"'value', CAST({value} AS double), 'passed', coalesce({passed}, true))"
+        for check, layer, severity, metric, value, passed in lines
+    )
+    return table.agg(*every).selectExpr(f"inline(array({rows}))")
+
+
+def _renamed(sql: str, names: Mapping[str, str]) -> str:
+    """``sql`` with each name of ``names``, plain or in back-ticks, replaced."""
+    if not names:
+        return sql
+    either = "|".join(re.escape(n) for n in sorted(names, key=len, reverse=True))
+    return re.sub(rf"`({either})`|(?<![\w`'])({either})(?![\w`'(])", lambda m: names[m[1] or m[2]], sql)
+
+
+def fused(checks: Sequence[DataFrame | Check]) -> DataFrame:
+    """All rows of ``checks``: those on the same table object come out of one aggregation over it."""
+    by_table: dict[int, list[Check]] = {}
+    parts: list[DataFrame] = []
+    for c in checks:
+        if isinstance(c, Check):
+            by_table.setdefault(id(c.table), []).append(c)
+        else:
+            parts.append(c)
+    parts += [reports(some) for some in by_table.values()]
+    report = parts[0]
+    for more in parts[1:]:
+        report = report.unionByName(more)
+    return report
+
+
+def schema_check(df: DataFrame, required: Sequence[str], layer: str = "bronze") -> Check:
     """Per required column whether it is there (an error if not) and how many values it has, and all rows.
 
     One aggregation over the table; an absent column has no values. A present one without any value in
     a table with rows is a warning.
     """
     absent = set(missing_columns(df, required))
-    values = [F.count(F.lit(None) if c in absent else F.col(c)).alias(f"n_{i}") for i, c in enumerate(required)]
-    out = df.agg(F.count(F.lit(1)).alias("rows"), *values)
+    values = {f"n_{i}": F.count(F.lit(None) if c in absent else F.col(c)) for i, c in enumerate(required)}
     lines: list[Line] = [_info("rows", "rows")]
     for i, c in enumerate(required):
         there = c not in absent
@@ -64,7 +125,11 @@ def check_schema(df: DataFrame, required: Sequence[str], layer: str = "bronze")
             (ERROR, f"has_{c}", str(int(there)), str(there).lower()),
             (WARN, f"values_{c}", f"n_{i}", f"rows = 0 OR n_{i} > 0" if there else "false"),
         ]
-    return _report(out, "schema", layer, lines)
+    return Check(df, "schema", layer, {"rows": F.count(F.lit(1))} | values, lines)
+
+
+def check_schema(df: DataFrame, required: Sequence[str], layer: str = "bronze") -> DataFrame:
+    return schema_check(df, required, layer).report()
 
 
 def audit_files(df: DataFrame, required: Sequence[str]) -> DataFrame:
@@ -78,14 +143,14 @@ def audit_files(df: DataFrame, required: Sequence[str]) -> DataFrame:
     return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"), *values)
 
 
-def check_timestamp_parse(df: DataFrame, column: str, layer: str = "bronze") -> DataFrame:
+def parse_check(df: DataFrame, column: str, layer: str = "bronze") -> Check:
     c = F.col(column)
     parsed = F.try_to_timestamp(c) if df.schema[column].dataType == T.StringType() else c
-    out = df.agg(F.count(c).alias("given"), F.count(parsed).alias("parsed"))
-    return _report(
-        out,
+    return Check(
+        df,
         "timestamp_parse",
         layer,
+        {"given": F.count(c), "parsed": F.count(parsed)},
         [
             _info("parse_success_rate", "coalesce(try_divide(parsed, given), 1.0D)"),
             (ERROR, "unparseable", "given - parsed", "given = parsed"),
@@ -93,6 +158,10 @@ def check_timestamp_parse(df: DataFrame, column: str, layer: str = "bronze") ->
     )
 
 
+def check_timestamp_parse(df: DataFrame, column: str, layer: str = "bronze") -> DataFrame:
+    return parse_check(df, column, layer).report()
+
+
 def check_duplicates(df: DataFrame, keys: Sequence[str], layer: str, remaining_is_error: bool = False) -> DataFrame:
     """Rows beyond the first of their key: counted in bronze, an error after deduplication."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
@@ -152,31 +221,34 @@ def check_temporal(
     )
 
 
-def check_ranges(
-    df: DataFrame, ranges: Mapping[str, tuple[float, float]] = SOFT_RANGES, layer: str = "bronze"
-) -> DataFrame:
+def ranges_check(df: DataFrame, ranges: Mapping[str, tuple[float, float]] = SOFT_RANGES, layer: str = "bronze") -> Check:
     signals = existing_columns(df, list(ranges))
 
     def outside(c: str) -> Column:
         lo, hi = ranges[c]
         return F.count_if((null_if_nan(c) < lo) | (null_if_nan(c) > hi))
 
-    out = df.agg(*[outside(c).alias(c) for c in signals])
-    return _report(out, "ranges", layer, [_none_of(WARN, f"{c}_out_of_range", c) for c in signals])
+    return Check(df, "ranges", layer, {c: outside(c) for c in signals}, [_none_of(WARN, f"{c}_out_of_range", c) for c in signals])
+
+
+def check_ranges(
+    df: DataFrame, ranges: Mapping[str, tuple[float, float]] = SOFT_RANGES, layer: str = "bronze"
+) -> DataFrame:
+    return ranges_check(df, ranges, layer).report()
+
+
+def interval_checks(events: DataFrame, stays: DataFrame, layer: str = "silver") -> list[Check]:
+    """Events without a time, and stays whose start does not lie before their end."""
+    nulls = {"nulls": F.count_if(F.col("event_time").isNull())}
+    wrong = {"wrong": F.count_if(F.col("admit_time") >= F.col("discharge_time"))}
+    return [
+        Check(events, "intervals", layer, nulls, [_none_of(ERROR, "null_event_time", "nulls")]),
+        Check(stays, "intervals", layer, wrong, [_none_of(ERROR, "admit_not_before_discharge", "wrong")]),
+    ]
 
 
 def check_intervals(events: DataFrame, stays: DataFrame, layer: str = "silver") -> DataFrame:
-    nulls = events.agg(F.count_if(F.col("event_time").isNull()).alias("nulls"))
-    wrong = stays.agg(F.count_if(F.col("admit_time") >= F.col("discharge_time")).alias("n"))
-    return _report(
-        nulls.withColumn("wrong", wrong.scalar()),
-        "intervals",
-        layer,
-        [
-            _none_of(ERROR, "null_event_time", "nulls"),
-            _none_of(ERROR, "admit_not_before_discharge", "wrong"),
-        ],
-    )
+    return fused(interval_checks(events, stays, layer))
 
 
 def check_units(df: DataFrame, signal: str, unit: str, layer: str = "silver") -> DataFrame:
@@ -195,15 +267,18 @@ def check_units(df: DataFrame, signal: str, unit: str, layer: str = "silver") ->
     return per_signal.select(row.alias("r")).select("r.*")
 
 
-def check_nulls(df: DataFrame, columns: Sequence[str], layer: str, empty_is: str = WARN) -> DataFrame:
+def nulls_check(df: DataFrame, columns: Sequence[str], layer: str, empty_is: str = WARN) -> Check:
     """Null share per column; a column without any value is reported with severity ``empty_is``."""
-    out = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count(c).alias(c) for c in columns])
     lines = []
     for c in columns:
         empty = f"(`{c}` = 0 AND __n > 0)"
         lines.append(_info(f"{c}_null_share", f"coalesce(1.0D - try_divide(`{c}`, __n), 0.0D)"))
         lines.append((empty_is, f"{c}_all_null", f"CAST({empty} AS int)", f"NOT {empty}"))
-    return _report(out, "null_profile", layer, lines)
+    return Check(df, "null_profile", layer, {"__n": F.count(F.lit(1))} | {c: F.count(c) for c in columns}, lines)
+
+
+def check_nulls(df: DataFrame, columns: Sequence[str], layer: str, empty_is: str = WARN) -> DataFrame:
+    return nulls_check(df, columns, layer, empty_is).report()
 
 
 def check_drift(
@@ -289,14 +364,14 @@ def anchor_distribution(anchors: DataFrame, keys: Sequence[str] = KEYS) -> DataF
     return per_stay.groupBy("n_anchors").agg(F.count(F.lit(1)).alias("n_stays"))
 
 
-def check_leakage(features: DataFrame, windows_h: Sequence[int], layer: str = "gold") -> DataFrame:
+def leakage_check(features: DataFrame, windows_h: Sequence[int], layer: str = "gold") -> Check:
     """No feature may use an event after its anchor (needs the audit column ``max_event_time``)."""
-    out = features.agg(F.count_if(F.col("max_event_time") > F.col("anchor_time")).alias("leaks"))
     bad = sum(1 for w in windows_h if w <= 0)
-    return _report(
-        out,
+    return Check(
+        features,
         "leakage",
         layer,
+        {"leaks": F.count_if(F.col("max_event_time") > F.col("anchor_time"))},
         [
             _none_of(ERROR, "features_after_anchor", "leaks"),
             (ERROR, "non_positive_windows", f"{bad}", f"{bad} = 0"),
@@ -304,15 +379,20 @@ def check_leakage(features: DataFrame, windows_h: Sequence[int], layer: str = "g
     )
 
 
-def check_features(features: DataFrame, tslm: Mapping[str, int], layer: str = "gold") -> DataFrame:
+def check_leakage(features: DataFrame, windows_h: Sequence[int], layer: str = "gold") -> DataFrame:
+    return leakage_check(features, windows_h, layer).report()
+
+
+def features_check(features: DataFrame, tslm: Mapping[str, int], layer: str = "gold") -> Check:
     """Hours since the last measurement must lie within their window; maps column to hours."""
-    out = features.agg(
-        *[F.count_if(F.col(c) < 0).alias(f"neg_{c}") for c in tslm],
-        *[F.count_if(F.col(c) > h).alias(f"far_{c}") for c, h in tslm.items()],
-    )
+    counts = {f"neg_{c}": F.count_if(F.col(c) < 0) for c in tslm} | {f"far_{c}": F.count_if(F.col(c) > h) for c, h in tslm.items()}
     lines = [_none_of(ERROR, f"{c}_negative", f"neg_{c}") for c in tslm]
     lines += [_none_of(WARN, f"{c}_beyond_window", f"far_{c}") for c in tslm]
-    return _report(out, "features", layer, lines)
+    return Check(features, "features", layer, counts, lines)
+
+
+def check_features(features: DataFrame, tslm: Mapping[str, int], layer: str = "gold") -> DataFrame:
+    return features_check(features, tslm, layer).report()
 
 
 def check_labels(
@@ -379,14 +459,12 @@ def check_scores(df: DataFrame, score: str = "risk_score", layer: str = "scores"
     )
 
 
-def run_checks(checks: Sequence[DataFrame], sink: str | None = None, run_id: str | None = None) -> DataFrame:
+def run_checks(checks: Sequence[DataFrame | Check], sink: str | None = None, run_id: str | None = None) -> DataFrame:
     """Evaluate checks, append them to the quality table at ``sink`` and raise on failed ERRORs.
 
-    A report has a few rows per check, whatever the size of the tables behind it.
+    Those given as ``Check`` take one aggregation per table. A report has a few rows per check, whatever the size of the tables behind it.
     """
-    report = checks[0]
-    for c in checks[1:]:
-        report = report.unionByName(c)
+    report = fused(checks)
     if run_id is not None:
         report = report.withColumn("run_id", F.lit(run_id))
     rows = report.coalesce(1).collect()

@@ -271,23 +271,23 @@ def check_quality(store: Store, run_id: str, run_time: Column, settings: Setting
     for name in EVENTS:
         bronze, silver = store.read(f"bronze/{name}"), store.read(f"silver/{name}")
         checks += [
-            quality.check_schema(bronze, event_keys, f"bronze/{name}"),
-            quality.check_timestamp_parse(bronze, "event_time", f"bronze/{name}"),
+            quality.schema_check(bronze, event_keys, f"bronze/{name}"),
+            quality.parse_check(bronze, "event_time", f"bronze/{name}"),
             quality.check_duplicates(bronze, event_keys, f"bronze/{name}"),
-            quality.check_ranges(bronze, layer=f"bronze/{name}"),
+            quality.ranges_check(bronze, layer=f"bronze/{name}"),
             quality.check_temporal(silver, stays, run_time, f"silver/{name}"),
             quality.check_duplicates(silver, event_keys, f"silver/{name}", remaining_is_error=True),
-            quality.check_intervals(silver, stays, f"silver/{name}"),
+            *quality.interval_checks(silver, stays, f"silver/{name}"),
             quality.check_dedupe_removed(bronze, silver, f"silver/{name}"),
-            quality.check_nulls(silver, [c for c in settings.clip_ranges if c in silver.columns], f"silver/{name}"),
+            quality.nulls_check(silver, [c for c in settings.clip_ranges if c in silver.columns], f"silver/{name}"),
         ]
     table, features, anchors = (store.read(f"gold/{t}") for t in ("training_set", "features", "anchors"))
     hours = {f"{s.signal}_tslm_{w}h": w for s in (*settings.vital_stats, *settings.lab_stats) for w in settings.grid.windows_h}
     present = {c: w for c, w in hours.items() if c in features.columns}
     checks += [
         quality.check_anchors(anchors, stays, store.read("silver/outcomes"), "gold/anchors", after_outcome=quality.WARN),
-        quality.check_leakage(features, settings.grid.windows_h, "gold/features"),
-        *([quality.check_features(features, present, "gold/features")] if present else []),
+        quality.leakage_check(features, settings.grid.windows_h, "gold/features"),
+        *([quality.features_check(features, present, "gold/features")] if present else []),
         quality.check_duplicates(store.read("gold/anchors"), ANCHOR_KEYS, "gold/anchors", remaining_is_error=True),
         quality.check_labels(store.read("gold/labels")),
         quality.check_split_overlap(table),
