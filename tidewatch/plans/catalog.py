@@ -10,6 +10,7 @@ from tidewatch.config import ANCHOR_KEYS, DashboardSpec, SignalStats, TimeGrid
 from tidewatch.operators import (
     anchors as anchor_ops,
     clean,
+    compiled,
     dataset,
     evaluate,
     ingest,
@@ -363,6 +364,10 @@ def q_topk_metrics(spark, d):
     return _rounded(ranking.topk_metrics(scored_table(spark, d), ALERT_RATES, score="risk_score"))
 
 
+def q_topk_by_split(spark, d):
+    return _rounded(ranking.topk_metrics(scored_table(spark, d), ALERT_RATES, score="risk_score", by=["split"]))
+
+
 def q_calibration(spark, d):
     return _rounded(evaluate.calibration(fx.scored_documents(spark, d)))
 
@@ -603,5 +608,66 @@ def q_ml_drivers(spark, d):
     return model.top_drivers(whole, fitted, features)
 
 
+# A small model that stays as it is, so that SQL can say what it scores: features, coefficients, and
+# trees as rows (tree, node, prediction, left, right, feature, threshold).
+FIXED_FEATURES = ("hr_mean_24h", "hr_count_12h", "lactate_mean_24h", "admit_acuity")
+FIXED_LINEAR = compiled.LinearForm(FIXED_FEATURES, (0.004, -0.25, 0.01, 0.5), -1.5)
+FIXED_TREES = (
+    (0, 0, -0.4, 1, 2, 0, 12.5), (0, 1, -0.6, -1, -1, -1, 0.0), (0, 2, 0.1, 3, 4, 1, 0.5), (0, 3, -0.2, -1, -1, -1, 0.0), (0, 4, 0.5, -1, -1, -1, 0.0),
+    (1, 0, 0.2, 1, 2, 2, 3.0), (1, 1, 0.05, 3, 4, 3, 0.5), (1, 2, 0.9, -1, -1, -1, 0.0), (1, 3, -0.1, -1, -1, -1, 0.0), (1, 4, 0.3, -1, -1, -1, 0.0),
+)
+FIXED_WEIGHTS = (1.0, 0.25)
+
+
+def _fixed_forest(spark: SparkSession) -> compiled.Forest:
+    """The fixed trees, by way of node tables as Spark saves them."""
+    path = fresh_path(spark, "forest")
+    node = (
+        "struct<id: int, prediction: double, leftChild: int, rightChild: int, "
+        "split: struct<featureIndex: int, leftCategoriesOrThreshold: array<double>, numCategories: int>>"
+    )
+    rows = [(t, (i, p, a, b, (f, [x] if a >= 0 else [], -1))) for t, i, p, a, b, f, x in FIXED_TREES]
+    spark.createDataFrame(rows, f"treeID int, nodeData {node}").coalesce(1).write.parquet(f"{path}/data")
+    spark.createDataFrame([(t, "", w) for t, w in enumerate(FIXED_WEIGHTS)], "_1 int, _2 string, _3 double").coalesce(1).write.parquet(f"{path}/treesMetadata")
+    return compiled.read_forest(spark, path, FIXED_FEATURES)
+
+
+def q_ml_fixed_scores(spark, d):
+    """Scores of every row by a fixed linear form and by a fixed forest read from its node table."""
+    table = training_table(spark, d)
+    linear, forest = FIXED_LINEAR.probability(), _fixed_forest(spark).probability()
+    return _rounded(table.select(*ANCHOR_KEYS, "split", linear.alias("linear_score"), forest.alias("forest_score")))
+
+
+def q_ml_fixed_drivers(spark, d):
+    """What raises each row's score most by a fixed forest, and what its margin is made of."""
+    table, forest = training_table(spark, d), _fixed_forest(spark)
+    found = compiled.attributed(table, forest, [*ANCHOR_KEYS])
+    top = model.top_drivers(table, forest, keep=ANCHOR_KEYS, n=2).withColumn("top_drivers", F.array_join("top_drivers", ","))
+    total = F.aggregate("contributions", F.col("bias"), lambda a, c: a + c["contribution"])
+    return _rounded(found.select(*ANCHOR_KEYS, "margin", total.alias("explained"))).join(top, list(ANCHOR_KEYS))
+
+
+def q_ml_driver_sums(spark, d):
+    """Rows scored by a linear model and by trees, and rows whose contributions miss the margin: none."""
+    train, whole = _weighted(spark, d)
+    features = model.feature_columns(whole)
+    off = None
+    for name, make in (("linear", model.logreg_pipeline), ("trees", lambda f: model.gbt_pipeline(f, max_iter=5))):
+        form = compiled.compiled(model.fit_and_save(make(features), train, fresh_path(spark, "model")))
+        found = compiled.attributed(whole, form, [])
+        total = F.aggregate("contributions", F.col("bias"), lambda a, c: a + c["contribution"])
+        one = found.agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("n_scored"), F.count_if(F.abs(total - F.col("margin")) > 1e-9).alias("n_off"))
+        off = one if off is None else off.unionByName(one)
+    return off
+
+
+def q_unscored(spark, d):
+    """Anchors of the score set that a first run over the train split has left to score."""
+    table = training_table(spark, d)
+    inputs = dataset.score_dataset(table).select(*ANCHOR_KEYS, "hr_mean_24h")
+    return _rounded(dataset.unscored(inputs, table.where(F.col("split") == "train")))
+
+
 def queries() -> dict[str, Query]:
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}

@@ -362,6 +362,19 @@ SELECT o_orderkey, admit_time, CASE WHEN admit_time <= t THEN 'train' WHEN admit
         f"SELECT k_rate, k, round(hits / k, 6) AS precision_at_k, round(hits / pos, 6) AS recall_at_k, "
         f"round((hits / k) / (pos / n), 6) AS lift_at_k, round(pos / n, 6) AS base_rate FROM ({per_rate})"
     )
+    per_split = " UNION ALL ".join(
+        f"SELECT split, {r}::DOUBLE AS k_rate, CAST(floor(max(ns) * CAST({r} AS DOUBLE)) AS BIGINT) AS k, "
+        f"CAST(count(*) FILTER (WHERE label = 1 AND rk <= floor(ns * CAST({r} AS DOUBLE))) AS DOUBLE) AS hits, "
+        "CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) AS pos, max(ns) AS n FROM by_split GROUP BY split"
+        for r in ALERT_RATES
+    )
+    out["topk_by_split"] = _ON_SCORED + (
+        ", by_split AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY risk_score DESC, tie DESC) AS rk, "
+        "count(*) OVER (PARTITION BY split) AS ns FROM ranked) "
+        "SELECT split, k_rate, k, CASE WHEN k > 0 THEN round(hits / k, 6) END AS precision_at_k, "
+        "CASE WHEN k > 0 THEN CASE WHEN pos > 0 THEN round(hits / pos, 6) ELSE 0.0::DOUBLE END END AS recall_at_k, "
+        f"CASE WHEN k > 0 AND pos > 0 THEN round((hits / k) / (pos / n), 6) END AS lift_at_k, CASE WHEN k > 0 THEN round(pos / n, 6) END AS base_rate FROM ({per_split})"
+    )
     out["calibration"] = _with(_DOCS) + (
         "SELECT CAST(least(floor(prob * 10), 9) AS BIGINT) AS bin, count(*) AS n, round(avg(prob), 6) AS avg_pred, "
         "round(avg(CAST(label AS DOUBLE)), 6) AS event_rate FROM scored_docs GROUP BY 1"
@@ -592,6 +605,31 @@ SELECT o_orderkey, admit_time, CASE WHEN admit_time <= t THEN 'train' WHEN admit
     out["ml_logreg_gradient"] = _ON_TRAINING + f"SELECT {counted} AS n_train, 0.0::DOUBLE AS steepest FROM training"
     for name in ("ml_logreg_formula", "ml_gbt_repeat"):
         out[name] = _ON_TRAINING + "SELECT count(*) AS n_scored, 0::BIGINT AS n_off FROM training"
+    out["ml_driver_sums"] = _ON_TRAINING + (
+        "SELECT model, count(*) AS n_scored, 0::BIGINT AS n_off FROM training, (VALUES ('linear'), ('trees')) AS m(model) GROUP BY model"
+    )
+    margin = "(CASE WHEN hr_mean_24h <= 12.5 THEN -0.6 WHEN hr_count_12h <= 0.5 THEN -0.2 ELSE 0.5 END) + 0.25 * " + (
+        "(CASE WHEN lactate_mean_24h > 3.0 THEN 0.9 WHEN admit_acuity <= 0.5 THEN -0.1 ELSE 0.3 END)"
+    )
+    out["ml_fixed_scores"] = _ON_TRAINING + (
+        "SELECT patient_id, admission_id, anchor_time, split, round(1 / (1 + exp(1.5 - 0.004 * hr_mean_24h + 0.25 * hr_count_12h "
+        f"- 0.01 * lactate_mean_24h - 0.5 * admit_acuity)), 6) AS linear_score, round(1 / (1 + exp(-2 * ({margin}))), 6) AS forest_score FROM training"
+    )
+    # Changes of a tree's prediction by the feature that the step asks for, along each row's path.
+    parts = {
+        "hr_mean_24h": "CASE WHEN hr_mean_24h <= 12.5 THEN -0.2 ELSE 0.5 END",
+        "hr_count_12h": "CASE WHEN hr_mean_24h <= 12.5 THEN 0.0 WHEN hr_count_12h <= 0.5 THEN -0.3 ELSE 0.4 END",
+        "lactate_mean_24h": "CASE WHEN lactate_mean_24h <= 3.0 THEN -0.0375 ELSE 0.175 END",
+        "admit_acuity": "CASE WHEN lactate_mean_24h > 3.0 THEN 0.0 WHEN admit_acuity <= 0.5 THEN -0.0375 ELSE 0.0625 END",
+    }
+    listed = ", ".join(f"{{'c': CAST(round({sql}, 9) AS DOUBLE), 'f': '{name}'}}" for name, sql in parts.items())
+    out["ml_fixed_drivers"] = _ON_TRAINING + (
+        f"SELECT patient_id, admission_id, anchor_time, round(CAST({margin} AS DOUBLE), 6) AS margin, round(CAST({margin} AS DOUBLE), 6) AS explained, "
+        f"array_to_string(list_transform(list_reverse_sort([{listed}])[1:2], lambda x: x.f), ',') AS top_drivers FROM training"
+    )
+    out["unscored"] = _ON_TRAINING + (
+        "SELECT patient_id, admission_id, anchor_time, round(hr_mean_24h, 6) AS hr_mean_24h FROM training WHERE split IS DISTINCT FROM 'train'"
+    )
     out["dq_scores"] = (
         _ON_SCORED
         + ", counted AS (SELECT count(*) FILTER (WHERE risk_score < 0 OR risk_score > 1) AS outside, count(*) AS n, min(risk_score) AS lo, "
