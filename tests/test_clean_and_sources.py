@@ -1,13 +1,33 @@
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import io
+import os
+import re
 
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from tidewatch.functions import hash_bucket, murmur3_bucket
 from tidewatch.operators import clean, dataset, ingest, joins
-from tidewatch.sources import assert_schema, enforce_schema, export_csv, latest_run, numeric_columns, read_table, row_audit, stage, write_table
+from tidewatch.sources import (
+    assert_schema,
+    commit_run,
+    committed_runs,
+    enforce_schema,
+    export_csv,
+    latest_run,
+    numeric_columns,
+    read_bucketed,
+    read_table,
+    revoke_run,
+    row_audit,
+    stage,
+    tables,
+    write_bucketed,
+    write_table,
+)
 from tidewatch.sources.tables import shared_folder
 
 D = dt.datetime(2024, 1, 1)
@@ -175,3 +195,45 @@ def test_fixed_number_of_files(spark, tmp_path):
     write_table(spark.range(100), str(tmp_path / "t"), files=3)
     assert len(read_table(spark, str(tmp_path / "t")).inputFiles()) == 3
     assert spark.range(100).exceptAll(read_table(spark, str(tmp_path / "t"))).count() == 0
+
+
+def test_bucketed_features_are_joined_where_they_lie(spark, tmp_path):
+    keys = ["patient_id", "admission_id", "anchor_time"]
+    ids = [F.concat(F.lit("P"), F.col("id") % 50).alias("patient_id"), F.concat(F.lit("A"), F.col("id") % 50).alias("admission_id")]
+    time = F.timestamp_seconds(F.col("id") * 60).cast("timestamp_ntz").alias("anchor_time")
+    plain = spark.range(2000).select(*ids, time, (F.col("id") % 7 / 7.0).alias("hr_mean_24h"))
+    labels = plain.select(*keys, (F.col("hr_mean_24h") > 0.8).cast("int").alias("label"))
+    attributes = plain.select("patient_id", "admission_id").distinct().withColumn("age", F.length("patient_id"))
+    path = str(tmp_path / "gold")
+    write_bucketed(plain, path, keys, 6)
+    assert len([f for f in os.listdir(path) if f.endswith(".parquet")]) == 6
+    spark.sql(f"DROP TABLE {tables._bucketed_name(path)}")
+    lying = read_bucketed(spark, path, plain.schema, keys, 6)
+    assert read_bucketed(spark, path, plain.schema, keys, 6).count() == 2000
+
+    def shuffled(features):
+        made = dataset.training_set(features, labels, attributes)
+        with contextlib.redirect_stdout(io.StringIO()) as text:
+            made.explain("formatted")
+        nodes = re.split(r"\n\(\d+\) ", text.getvalue())
+        return made, [n for n in nodes if n.startswith("Exchange") and "hr_mean" in n]
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    one, exchanged = shuffled(plain)
+    two, none = shuffled(lying)
+    assert len(exchanged) == 1 and none == []
+    assert one.exceptAll(two).count() == two.exceptAll(one).count() == 0 and two.count() == 2000
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_runs_are_read_once_they_are_committed(spark, tmp_path):
+    path = str(tmp_path / "scores")
+    for run in ("r1", "r2", "r3"):
+        spark.createDataFrame([(1, run)], "v int, run_id string").write.mode("append").partitionBy("run_id").parquet(path)
+        if run != "r3":
+            commit_run(spark, path, run)
+    df = spark.read.schema("v int, run_id string").parquet(path)
+    newest = lambda: [r["run_id"] for r in latest_run(df, committed=committed_runs(spark, path)).collect()]
+    assert df.count() == 3 and newest() == ["r2"]
+    revoke_run(spark, path, "r2")
+    assert newest() == ["r1"] and committed_runs(spark, str(tmp_path / "none")).count() == 0

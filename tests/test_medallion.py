@@ -82,6 +82,10 @@ def test_jobs_end_to_end(spark, store):
     assert history["rows:gold/anchors"] == rows["gold/anchors"] and "gold:labels:prevalence" in history
     assert any(m.endswith(":val:auprc") for m in history) and medallion.drift(store).count() == 0
     assert store.read("marts/data_quality").where("severity = 'ERROR' and not passed").count() == 0
+    kept = {r["signal"]: r["n"] for r in store.read("marts/signal_sketches").collect()}
+    assert kept["hr"] == store.read("silver/vitals").where("hr is not null").count() and kept["wbc"] == 0
+    medallion.sketch_signals(store, "run_1b", SETTINGS)
+    assert store.read("marts/signal_sketches").count() == 2 * len(kept) and medallion.distribution_drift(store).count() == 0
 
 
 def test_a_second_run_is_added_and_becomes_the_latest(spark, store):

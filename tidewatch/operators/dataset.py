@@ -87,8 +87,12 @@ def training_set(
     ``encode`` maps a category column to the value coded as 1 and the name of the new column.
     Keys are never filled.
     """
-    labelled = features.join(labels.select(*ANCHOR_KEYS, label), list(ANCHOR_KEYS))
-    return model_table(labelled, attributes, fractions, attribute_keys, encode, fill, label, method)
+    # The narrow sides meet first, so that the wide rows of features take part in one join only, and in
+    # no exchange at all where they are bucketed by anchor (see ``write_bucketed``).
+    known = labels.select(*ANCHOR_KEYS, label).join(attributes, list(attribute_keys), "left")
+    own = [c for c in attributes.columns if c not in attribute_keys]
+    ds = features.join(known, list(ANCHOR_KEYS)).select(*features.columns, label, *own)
+    return split_assign(_filled(ds, encode, fill, (label,)), "patient_id", fractions, method)
 
 
 def model_table(
@@ -118,7 +122,10 @@ def model_inputs(
 
     Keys and the columns of ``keep`` are never filled.
     """
-    ds = features.join(attributes, list(attribute_keys), "left")
+    return _filled(features.join(attributes, list(attribute_keys), "left"), encode, fill, keep)
+
+
+def _filled(ds: DataFrame, encode: Mapping[str, tuple[str, str]] | None, fill: float, keep: Sequence[str]) -> DataFrame:
     ds = fill_nulls(ds, fill, exclude=(*keep, *ANCHOR_KEYS))
     for column, (value, out) in (encode or {}).items():
         ds = encode_binary(ds, column, value, out)

@@ -23,7 +23,7 @@ from tidewatch.operators import (
     windows,
 )
 from tidewatch.plans import fixtures as fx
-from tidewatch.sources import enforce_schema, export_csv, latest_run, read_table, row_audit, stage, write_table
+from tidewatch.sources import enforce_schema, export_csv, latest_run, read_table, row_audit, stage, write_bucketed, write_table
 from tidewatch.sources.tables import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -315,6 +315,22 @@ def q_training_set(spark, d):
     return _rounded(_training_set(spark, d))
 
 
+def bucketed_gold(spark: SparkSession, d: str) -> DataFrame:
+    """The gold features, bucketed by anchor once per session."""
+    key = (spark.sparkContext.applicationId, d, "bucketed")
+    if key not in _staged:
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        _staged[key] = write_bucketed(gold(spark, d), fresh_path(spark, "bucketed-gold"), ANCHOR_KEYS, buckets)
+    return _staged[key]
+
+
+def q_training_set_bucketed(spark, d):
+    """The training set from features that lie in buckets: none of them is shuffled."""
+    encode = {"segment": ("BUILDING", "segment_building")}
+    table = dataset.training_set(bucketed_gold(spark, d), labels(spark, d), fx.attributes(spark, d), attribute_keys=("patient_id",), encode=encode)
+    return _rounded(table)
+
+
 def q_fill_nulls(spark, d):
     return _rounded(dataset.fill_nulls(gold(spark, d), 0.0, exclude=ANCHOR_KEYS))
 

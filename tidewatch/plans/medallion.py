@@ -26,6 +26,7 @@ from tidewatch.config import (
     TimeGrid,
 )
 from tidewatch.operators import clean, compiled, dataset, evaluate, ingest, labels, model, publish, quality, windows
+from tidewatch.operators import drift as sketches
 from tidewatch.operators.anchors import anchor_grid
 from tidewatch.sources import (
     assert_schema,
@@ -50,6 +51,7 @@ MARTS = {
     "marts/model_metrics": struct_of("model string,split string,metric string,value double,run_id string"),
     "marts/evaluation": struct_of("model string,split string,metric string,value double,run_id string"),
     "marts/run_metrics": struct_of("metric string,value double,run_id string"),
+    "marts/signal_sketches": struct_of("signal string,n bigint,sketch binary,run_id string"),
     "marts/data_quality": struct_of("check string,layer string,severity string,metric string,value double,passed boolean,run_id string"),
 }
 ATTRIBUTES = ("age", "sex", "diabetes", "ckd", "copd", "chf", "comorbidity_count", "admit_acuity")
@@ -130,6 +132,16 @@ def to_silver(store: Store, settings: Settings = Settings()) -> None:
     store.write(clean.valid_outcomes(outcomes, store.read("silver/admissions")), "silver/outcomes")
 
 
+def sketch_signals(store: Store, run_id: str, settings: Settings = Settings()) -> None:
+    """Keep a quantile sketch of every signal of this run, to compare distributions across runs by."""
+    kept = None
+    for name in EVENTS:
+        events = store.read(f"silver/{name}")
+        part = sketches.signal_sketches(events, [c for c in settings.clip_ranges if c in events.columns], run_id)
+        kept = part if kept is None else kept.unionByName(part)
+    store.write_run(kept, "marts/signal_sketches")
+
+
 def to_gold(store: Store, settings: Settings = Settings()) -> None:
     stays = store.read("silver/admissions")
     store.write(anchor_grid(stays, settings.grid), "gold/anchors")
@@ -326,6 +338,11 @@ def drift(store: Store, limit: float = 0.10) -> DataFrame:
     return quality.check_drift(store.read("marts/run_metrics"), limit).where(~F.col("passed"))
 
 
+def distribution_drift(store: Store, limit: float = 0.10) -> DataFrame:
+    """Signals whose distribution surely moved by more than ``limit`` in rank against the run before."""
+    return sketches.distribution_drift(store.read("marts/signal_sketches"), limit).where(~F.col("passed"))
+
+
 def run_all(
     store: Store,
     run_id: str,
@@ -336,6 +353,7 @@ def run_all(
     """All jobs in order. Returns the rows written per table."""
     to_bronze(store, source, run_time)
     to_silver(store, settings)
+    sketch_signals(store, run_id, settings)
     to_gold(store, settings)
     to_training_set(store, settings)
     to_score_set(store)

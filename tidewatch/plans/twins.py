@@ -320,7 +320,7 @@ def oracle_sql() -> dict[str, str]:
     out["derived_features"] = _with(*_BASE, *_features(lasts)) + f"SELECT *, {derived} FROM features"
     out["label_horizon"] = _ON_BASE + "SELECT * FROM labelled"
     out["training_set"] = _ON_TRAINING + "SELECT * FROM training"
-    out["training_set_direct"] = out["training_set"]
+    out["training_set_direct"] = out["training_set_bucketed"] = out["training_set"]
     filled = ", ".join(f"coalesce(CAST({n} AS DOUBLE), 0) AS {n}" for n in _NAMES)
     out["fill_nulls"] = _with(*_BASE, *_features(), _GOLD) + f"SELECT {_KEYS}, anchor_date, {filled} FROM gold"
     out["encode_binary"] = _with(_ATTRIBUTES) + (

@@ -6,10 +6,12 @@ from tidewatch.sources.tables import (
     latest_run,
     path_exists,
     revoke_run,
+    read_bucketed,
     read_table,
     row_audit,
     stage,
     unstage,
+    write_bucketed,
     write_table,
 )
 
@@ -24,9 +26,11 @@ __all__ = [
     "path_exists",
     "revoke_run",
     "numeric_columns",
+    "read_bucketed",
     "read_table",
     "row_audit",
     "stage",
     "unstage",
+    "write_bucketed",
     "write_table",
 ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -72,6 +73,33 @@ def write_table(
     writer.save(path)
 
 
+def _bucketed_name(path: str) -> str:
+    return f"bucketed_{hashlib.md5(path.rstrip('/').encode()).hexdigest()[:16]}"
+
+
+def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Write a table in ``buckets`` files by the hash of ``keys``, sorted by them, and scan it from there.
+
+    One shuffle at the time of writing; joins and aggregations by ``keys`` then read the table as it
+    lies, however often. A null in a key is a value like others. The catalog entry belongs to the
+    session; ``read_bucketed`` makes it anew in another one.
+    """
+    spark, name = df.sparkSession, _bucketed_name(path)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.format("parquet").mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return spark.table(name)
+
+
+def read_bucketed(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Scan a table of ``write_bucketed`` by its buckets; keys and buckets must be those it was written with."""
+    name, by = _bucketed_name(path), ", ".join(f"`{k}`" for k in keys)
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) INTO {int(buckets)} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """CSV with a header. ``single_file`` is meant for results of a bounded size only."""
     out = df.coalesce(1) if single_file else df
