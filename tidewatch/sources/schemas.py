@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 _TYPES = {
     "string": T.StringType(),
     "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "binary": T.BinaryType(),
     "double": T.DoubleType(),
     "boolean": T.BooleanType(),
     "timestamp": T.TimestampType(),
