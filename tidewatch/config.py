@@ -26,8 +26,6 @@ SOFT_RANGES = {
     "creatinine": (0.2, 10.0),
     "lactate": (0.0, 15.0),
 }
-VITAL_SIGNALS = ("hr", "sbp", "dbp", "spo2")
-LAB_SIGNALS = ("wbc", "creatinine", "lactate")
 SEX_VALUES = ("M", "F")
 OUTCOME_TYPES = ("ICU_TRANSFER", "RRT")
 TOOLTIP_COLUMNS = (

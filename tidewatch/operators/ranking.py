@@ -100,15 +100,6 @@ def numbered(
     return inside.unionByName(outside), F.col(_NTH)
 
 
-def sketch_scores(df: DataFrame, score: str) -> tuple[int, list[float]]:
-    """Number of scored rows and approximate quantiles, ascending."""
-    fractions = [i / _QUANTILES for i in range(_QUANTILES + 1)]
-    row = df.agg(
-        F.count(score).alias("n"), F.percentile_approx(score, fractions, _ACCURACY).alias("q")
-    ).first()
-    return row["n"], list(row["q"] or [])
-
-
 def _brackets(n: int, quantiles: Sequence[float], positions: Sequence[int]) -> list[tuple[float, float]]:
     """Disjoint score intervals that should hold the positions, with a margin of one quantile."""
     spans = []

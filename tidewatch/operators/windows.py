@@ -356,11 +356,6 @@ def merge_on_anchors(parts: Sequence[DataFrame], how: str = "full_outer", keys:
     return merged
 
 
-def merge_onto_grid(anchors: DataFrame, features: DataFrame, keys: Sequence[str] = ANCHOR_KEYS) -> DataFrame:
-    """Left-join a feature table onto the complete anchors."""
-    return anchors.join(features, list(keys), "left")
-
-
 def asof_last(
     stays: DataFrame,
     family: EventFamily,
