@@ -266,11 +266,11 @@ def finders(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, edits, start, end) of each document and item it holds; clean ones give no row.
 
-    ``start`` and ``end`` are code points of the text, around what it shares with the item. Case,
-    punctuation and the width of white space make no difference. Null and empty texts and items hold
-    nothing; items of fewer than LEAST normalised characters are never found, those of fewer than EDITED
-    only as whole words without an edit. Rows that repeat an id
-    give rows of their own. Without documents or items the result is empty.
+    ``edits`` are those of the part of the text that shares most q-grams with the item, ``start`` and
+    ``end`` its code points. Case, punctuation and the width of white space make no difference. Null and
+    empty texts and items hold nothing; items of fewer than LEAST normalised characters are never found,
+    those of fewer than EDITED only as whole words without an edit. Rows that repeat an id give rows of
+    their own, an item counts once per row. Without documents or items the result is empty.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
