@@ -82,6 +82,10 @@ def test_jobs_end_to_end(spark, store):
     assert history["rows:gold/anchors"] == rows["gold/anchors"] and "gold:labels:prevalence" in history
     assert any(m.endswith(":val:auprc") for m in history) and medallion.drift(store).count() == 0
     assert store.read("marts/data_quality").where("severity = 'ERROR' and not passed").count() == 0
+    bronze = store.read("bronze/vitals")
+    assert history["clipped:silver/vitals:hr"] == bronze.where("hr < 30 or hr > 220").count() > 0 and "clipped:silver/labs:lactate" in history
+    raw = {(r["layer"], r["metric"]): r["value"] for r in store.read("marts/raw_quality").collect()}
+    assert raw["raw/vitals", "has_event_time"] == 1 and raw["raw/admissions.admit_time", "parse_success_rate"] == 1
     kept = {r["signal"]: r["n"] for r in store.read("marts/signal_sketches").collect()}
     assert kept["hr"] == store.read("silver/vitals").where("hr is not null").count() and kept["wbc"] == 0
     medallion.sketch_signals(store, "run_1b", SETTINGS)
@@ -173,3 +177,19 @@ def test_local_times_become_utc(spark):
     got = {r["k"]: (r["event_time"], r["event_date"]) for r in clean.to_utc(df, ["event_time"], "-05:00").selectExpr("k", "cast(event_time as timestamp_ntz) event_time", "event_date").collect()}
     base = df.selectExpr("cast(event_time as timestamp_ntz) t").first()["t"]
     assert got["a"][0] - base == dt.timedelta(hours=5) and got["a"][1] == (base + dt.timedelta(hours=5)).date() and got["b"] == (None, None)
+
+
+def test_raw_tables_are_reported_before_they_are_refused(spark, store, tmp_path_factory):
+    other = medallion.Store(spark, str(tmp_path_factory.mktemp("broken")))
+    for name in RAW_TABLES:
+        raw = store.read(f"raw/{name}")
+        if name == "vitals":
+            raw = raw.drop("hr").withColumn("event_time", F.when(F.col("sbp") > 80, "never").otherwise(F.col("event_time").cast("string")))
+        raw.write.parquet(other.path(f"raw/{name}"))
+    medallion.check_raw(other, "run_1")
+    with pytest.raises(Exception):
+        medallion.to_bronze(other, "feed")
+    got = {(r["layer"], r["metric"]): (r["value"], r["passed"]) for r in other.read("marts/raw_quality").collect()}
+    assert got["raw/vitals", "has_hr"] == (0.0, False) and got["raw/vitals", "has_sbp"] == (1.0, True)
+    n = other.read("raw/vitals").where("event_time = 'never'").count()
+    assert got["raw/vitals.event_time", "unparseable"] == (float(n), False) and n > 0

@@ -25,6 +25,7 @@ from tidewatch.config import (
     SplitFractions,
     TimeGrid,
 )
+from tidewatch.functions import null_if_nan
 from tidewatch.operators import clean, compiled, dataset, evaluate, ingest, labels, model, publish, quality, windows
 from tidewatch.operators import drift as sketches
 from tidewatch.operators.anchors import anchor_grid
@@ -53,6 +54,7 @@ MARTS = {
     "marts/run_metrics": struct_of("metric string,value double,run_id string"),
     "marts/signal_sketches": struct_of("signal string,n bigint,sketch binary,run_id string"),
     "marts/data_quality": struct_of("check string,layer string,severity string,metric string,value double,passed boolean,run_id string"),
+    "marts/raw_quality": struct_of("check string,layer string,severity string,metric string,value double,passed boolean,run_id string"),
 }
 ATTRIBUTES = ("age", "sex", "diabetes", "ckd", "copd", "chf", "comorbidity_count", "admit_acuity")
 
@@ -83,6 +85,8 @@ class Store:
     spark: SparkSession
     root: str
     counts: dict[str, Observation] = field(default_factory=dict)
+    # Values outside of their range, by table, counted while they are clipped.
+    clipped: dict[str, Observation] = field(default_factory=dict)
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -110,6 +114,17 @@ class Store:
         return {t: seen.get["rows"] for t, seen in self.counts.items()}
 
 
+def check_raw(store: Store, run_id: str) -> None:
+    """Report required columns and how many times can be read, ahead of anything that would refuse them."""
+    checks: list[DataFrame | quality.Check] = []
+    for name, schema in RAW_TABLES.items():
+        raw = store.read(f"raw/{name}")
+        checks.append(quality.schema_check(raw, schema.names, f"raw/{name}"))
+        times = [f.name for f in schema if f.dataType.simpleString() == "timestamp" and f.name in raw.columns]
+        checks += [quality.parse_check(raw, c, f"raw/{name}.{c}") for c in times]
+    store.write_run(quality.fused(checks).withColumn("run_id", F.lit(run_id)), "marts/raw_quality")
+
+
 def to_bronze(store: Store, source: str, ingest_ts: Column | None = None) -> None:
     for name, schema in RAW_TABLES.items():
         bronze = ingest.bronze_ingest(store.read(f"raw/{name}"), source, ingest_ts)
@@ -124,6 +139,10 @@ def to_silver(store: Store, settings: Settings = Settings()) -> None:
     store.write(stays, "silver/admissions")
     for name in EVENTS:
         bronze = clean.to_utc(store.read(f"bronze/{name}"), ["event_time"], settings.zone)
+        outside = {
+            c: F.count_if((null_if_nan(c) < lo) | (null_if_nan(c) > hi)) for c, (lo, hi) in settings.clip_ranges.items() if c in bronze.columns
+        }
+        bronze, store.clipped[f"silver/{name}"] = row_audit(bronze, f"clipped_{name}", **outside)
         events = clean.silver_events(bronze, settings.clip_ranges)
         store.write(events, f"silver/{name}", partition_by=["event_date"])
     outcomes = clean.dedupe_latest(store.read("bronze/outcomes"), KEYS, ["_ingest_ts"])
@@ -311,7 +330,7 @@ def check_quality(store: Store, run_id: str, run_time: Column, settings: Setting
 def record_run(store: Store, run_id: str) -> None:
     """Append the monitoring metrics of a run ``(run_id, metric, value)``.
 
-    Row counts were observed while the tables were written; the metrics of the checks and of the
+    Row counts and clipped values were observed while the tables were written; the metrics of the checks and of the
     models are already tables of a few rows.
     """
     counted = store.spark.createDataFrame(
@@ -323,6 +342,8 @@ def record_run(store: Store, run_id: str) -> None:
     came = [(run_id, f"rows:in/{t}", float(rows[f"bronze/{t}"])) for t in RAW_TABLES if f"bronze/{t}" in rows]
     if rows.get("silver/admissions"):
         came.append((run_id, "anchors_per_stay", rows.get("gold/anchors", 0) / rows["silver/admissions"]))
+    for table, seen in store.clipped.items():
+        came += [(run_id, f"clipped:{table}:{c}", float(n)) for c, n in seen.get.items() if c != "rows"]
     counted = counted.unionByName(store.spark.createDataFrame(came, counted.schema))
     here = F.col("run_id") == run_id
     checks = store.read("marts/data_quality").where(here)
@@ -351,6 +372,7 @@ def run_all(
     settings: Settings = Settings(),
 ) -> dict[str, int]:
     """All jobs in order. Returns the rows written per table."""
+    check_raw(store, run_id)
     to_bronze(store, source, run_time)
     to_silver(store, settings)
     sketch_signals(store, run_id, settings)
