@@ -224,6 +224,19 @@ def test_feature_plan_has_no_pairs_and_one_shuffle_of_events(spark, make, stat):
     assert text.count("Exchange hashpartitioning") == 2
 
 
+@pytest.mark.parametrize("make", [windows.window_features, windows.gold_features])
+@pytest.mark.parametrize("stat", ["mean", "std", "slope_fit", "tslm"])
+def test_no_map_of_all_anchors_of_a_task_is_held(spark, make, stat):
+    df = spark.createDataFrame([("P0", "A0", T0 + i * H, 1.0, 2.0) for i in range(9)], EVENT)
+    made = make(stays_of(spark, [24]), [windows.vitals_family(df, [SignalStats("hr", (stat,))])])
+    made.collect()
+    lines = made._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0].splitlines()
+    by_anchor = [line for line in lines if "Aggregate(key=" in line and "anchor_time" in line.partition("functions=")[0]]
+    assert by_anchor and all("SortAggregate" in line for line in by_anchor)
+    # Parts of stays are not merged by the few bytes that their events take.
+    assert any("REPARTITION_BY_NUM" in line for line in lines)
+
+
 @pytest.mark.parametrize("base", [0.0, 1e6, 1e9])
 def test_deviations_of_values_far_from_zero(spark, base):
     values = [0.0, 1.0, 2.0, 1.0, 0.0, 2.0, 2.0, 1.0]

@@ -89,6 +89,15 @@ def _anchor_pane(k: Column, grid: TimeGrid) -> Column:
     return k * (grid.cadence_h // pane_h) + F.lit(grid.warmup_h // pane_h)
 
 
+def _dealt(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows by stay, in as many parts as the session shuffles into.
+
+    A few bytes of events become wide rows for each anchor that looks back on them, so parts that are
+    merged by the bytes of events would hold far more than a task should.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def _event_stream(families: Sequence[EventFamily], keys: Sequence[str]) -> DataFrame:
     """All families as one stream of rows; columns of the other families are null."""
     stream = None
@@ -156,6 +165,8 @@ def build_panes(
     stream = _event_stream(families, keys)
     if whole_grid:
         stream = stream.unionByName(stays.select(*keys), allowMissingColumns=True)
+    if hot_rows is None:
+        stream = _dealt(stream, keys)
     seen = F.col("__pane").between(1 - _reach(grid), _anchor_pane(F.col("__last"), grid))
     events = (
         spread_join(stream, bounded, keys, ["event_time"], "inner", hot_rows)
@@ -189,7 +200,7 @@ def _panes_at_anchors(panes: DataFrame, grid: TimeGrid, keys: Sequence[str], piv
     )
     anchor_pane = _anchor_pane(F.col("__k"), grid)
     # explode() of null yields no row, for panes that no anchor looks back on.
-    clustered = panes.repartition(*keys)
+    clustered = _dealt(panes, keys)
     repeated = (
         clustered.withColumns({"__first": first, "__until": last})
         .withColumn("__k", F.explode(F.when(F.col("__first") <= F.col("__until"), F.sequence("__first", "__until"))))
@@ -307,7 +318,10 @@ def _features(
             features += finished
     if audit:
         aggs.append(F.max("max_event_time").alias("max_event_time"))
-    out = at_anchors.groupBy(*keys, "anchor_time").agg(*aggs)
+    # A struct among the aggregates has Spark sort the rows, which spill one by one, and finish anchor
+    # after anchor; without it two maps of all anchors of a task would be held in memory.
+    aggs.append(F.max(F.struct("anchor_time")).alias("__at"))
+    out = at_anchors.groupBy(*keys, "anchor_time").agg(*aggs).where(F.col("__at").isNotNull())
     tail = [F.col("max_event_time")] if audit else []
     return out.select(*keys, "anchor_time", *features, *tail)
 
