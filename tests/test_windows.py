@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import SignalStats, TimeGrid
 from tidewatch.operators import anchors, joins, windows
+from tidewatch.plans import catalog
 
 T0 = dt.datetime(2024, 1, 1, 3, 17, 5, 250_000)
 H = dt.timedelta(hours=1)
@@ -237,6 +238,16 @@ def test_no_map_of_all_anchors_of_a_task_is_held(spark, make, stat):
     assert any("REPARTITION_BY_NUM" in line for line in lines)
 
 
+@pytest.mark.parametrize(
+    "name", ["window_stats_full", "window_trend", "gold_features", "fill_nulls", "dq_null_profile", "training_set", "training_set_direct"]
+)
+def test_queries_finish_features_anchor_by_anchor(spark, small, name):
+    text = catalog.queries()[name](spark, small)._jdf.queryExecution().executedPlan().toString()
+    keys = [line.partition("functions=")[0] for line in text.splitlines() if "Aggregate(key" in line]
+    by_anchor = [k for k in keys if "anchor_time" in k]
+    assert by_anchor and all("SortAggregate" in k for k in by_anchor)
+
+
 @pytest.mark.parametrize("base", [0.0, 1e6, 1e9])
 def test_deviations_of_values_far_from_zero(spark, base):
     values = [0.0, 1.0, 2.0, 1.0, 0.0, 2.0, 2.0, 1.0]
