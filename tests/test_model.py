@@ -132,6 +132,16 @@ def test_forest_of_many_deep_trees_is_generated(spark):
         assert r["bias"] + sum(c["contribution"] for c in r["contributions"]) == pytest.approx(want, abs=1e-9)
 
 
+def test_margin_of_trees_is_neither_interpreted_nor_one_method(spark, table):
+    form = compiled.compiled(model.gbt_pipeline(FEATURES, max_iter=3).fit(table))
+    df = spark.createDataFrame([(1, 0.5, 40.0), (2, None, 40.0)], "id int, a double, b double")
+    scored = compiled.score_with(df, form, ["id"])
+    got = {r["id"]: r["risk_score"] for r in scored.collect()}
+    assert 0 < got[1] < 1 and got[2] is None
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "aggregate(" not in plan and "exists(" in plan
+
+
 def test_other_models_and_splits_are_refused(spark):
     split = {"featureIndex": 0, "leftCategoriesOrThreshold": [1.0], "numCategories": 3}
     leaf = {"featureIndex": -1, "leftCategoriesOrThreshold": [], "numCategories": -1}

@@ -89,10 +89,14 @@ class Forest:
         return F.when(~any_missing, value)
 
     def margin(self) -> Column:
-        # Elements of an array are generated as methods of their own; one sum of all trees would be
-        # more code than a method may hold.
-        values = [self._walk(t, 0, lambda at, t=t, w=w: F.lit(float(t[at].prediction) * w)) for t, w in zip(self.trees, self.weights)]
-        return self._whole(F.aggregate(F.array(*values), F.lit(0.0), lambda total, v: total + v))
+        total = F.lit(0.0)
+        for t, w in zip(self.trees, self.weights):
+            total = total + self._walk(t, 0, lambda at, t=t, w=w: F.lit(float(t[at].prediction) * w))
+        used = [_double(f) for f in self._used()]
+        # Additions are generated, while an aggregate over an array is interpreted with all trees in it. A
+        # function of higher order (exists) keeps whole-stage code off, which would put all conditions into
+        # one method; a projection of its own is generated in small ones.
+        return F.when(~F.exists(F.array(*used), lambda v: v.isNull()), total) if used else total
 
     def probability(self) -> Column:
         """Null if a feature that any tree asks for is."""
