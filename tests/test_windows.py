@@ -4,6 +4,7 @@ import datetime as dt
 import itertools
 import math
 import random
+import re
 import statistics
 
 import pytest
@@ -248,6 +249,23 @@ def test_queries_finish_features_anchor_by_anchor(spark, small, name):
     assert by_anchor and all("SortAggregate" in k for k in by_anchor)
 
 
+@pytest.mark.parametrize("hot", [None, 3])
+@pytest.mark.parametrize("make, rows", [(windows.window_features, 9 * 6), (windows.gold_features, 9 * 6 + 12)])
+def test_parts_grow_with_the_rows_of_anchors(spark, monkeypatch, make, rows, hot):
+    df = spark.createDataFrame([("P0", "A0", T0 + i * H, 1.0, 2.0) for i in range(9)], EVENT)
+    stays, families = stays_of(spark, [24, 2, 24]), [windows.vitals_family(df, [SignalStats("hr", ("std",))])]
+    few = make(stays, families, hot_rows=hot)
+    # No more rows to a part than told, whatever the session shuffles into.
+    monkeypatch.setattr(windows, "ROWS_PER_PART", 2)
+    many = make(stays, families, hot_rows=hot)
+    if hot is None:
+        assert [few.rdd.getNumPartitions(), many.rdd.getNumPartitions()] == [4, rows // 2]
+    else:
+        assert f"_id#0, {rows // 2})" in re.sub(r"#\d+L?", "#0", many._jdf.queryExecution().executedPlan().toString())
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+    assert make(stays, [windows.vitals_family(df.limit(0), families[0].stats)]).count() == (12 if make is windows.gold_features else 0)
+
+
 @pytest.mark.parametrize("base", [0.0, 1e6, 1e9])
 def test_deviations_of_values_far_from_zero(spark, base):
     values = [0.0, 1.0, 2.0, 1.0, 0.0, 2.0, 2.0, 1.0]

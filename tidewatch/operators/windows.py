@@ -45,6 +45,9 @@ _NEEDS = {
 }
 ALL_STATS = tuple(_NEEDS)
 
+# Rows of anchors that one task sorts; a few hundred MB with many signals and statistics.
+ROWS_PER_PART = 250_000
+
 
 @dataclass(frozen=True)
 class EventFamily:
@@ -89,13 +92,27 @@ def _anchor_pane(k: Column, grid: TimeGrid) -> Column:
     return k * (grid.cadence_h // pane_h) + F.lit(grid.warmup_h // pane_h)
 
 
-def _dealt(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows by stay, in as many parts as the session shuffles into.
+def _parts(stays: DataFrame, families: Sequence[EventFamily], grid: TimeGrid, keys: Sequence[str], whole_grid: bool) -> int:
+    """Parts that keep the rows of anchors of one task at ``ROWS_PER_PART``, however many there are.
+
+    An event is repeated for as many anchors as fit into the longest window, a bare grid for all of its
+    anchors. Rows are counted in one pass over keys and times.
+    """
+    copies = math.ceil(max(grid.windows_h) / grid.cadence_h)
+    rows = _event_stream(families, keys).select(F.lit(copies).cast("bigint").alias("n"))
+    if whole_grid:
+        rows = rows.unionByName(stays.select(F.greatest(last_anchor_index(grid) + 1, F.lit(0)).cast("bigint").alias("n")))
+    session = int(stays.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(session, math.ceil((rows.agg(F.sum("n")).first()[0] or 0) / ROWS_PER_PART))
+
+
+def _dealt(df: DataFrame, keys: Sequence[str], parts: int | None) -> DataFrame:
+    """Rows by stay, in ``parts`` or else in as many as the session shuffles into.
 
     A few bytes of events become wide rows for each anchor that looks back on them, so parts that are
     merged by the bytes of events would hold far more than a task should.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    return df.repartition(parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def _event_stream(families: Sequence[EventFamily], keys: Sequence[str]) -> DataFrame:
@@ -151,6 +168,7 @@ def build_panes(
     keys: Sequence[str] = KEYS,
     hot_rows: int | None = None,
     whole_grid: bool = False,
+    parts: int | None = None,
 ) -> DataFrame:
     """One row per stay and non-empty pane, holding combinable partial statistics.
 
@@ -166,7 +184,8 @@ def build_panes(
     if whole_grid:
         stream = stream.unionByName(stays.select(*keys), allowMissingColumns=True)
     if hot_rows is None:
-        stream = _dealt(stream, keys)
+        # Both sides: adaptive execution may broadcast either, and would merge the parts of the other.
+        stream, bounded = _dealt(stream, keys, parts), _dealt(bounded, keys, parts)
     seen = F.col("__pane").between(1 - _reach(grid), _anchor_pane(F.col("__last"), grid))
     events = (
         spread_join(stream, bounded, keys, ["event_time"], "inner", hot_rows)
@@ -180,7 +199,9 @@ def build_panes(
     )
 
 
-def _panes_at_anchors(panes: DataFrame, grid: TimeGrid, keys: Sequence[str], pivots: Sequence[str] = ()) -> DataFrame:
+def _panes_at_anchors(
+    panes: DataFrame, grid: TimeGrid, keys: Sequence[str], pivots: Sequence[str] = (), parts: int | None = None
+) -> DataFrame:
     """Repeat each pane for the anchors whose longest window covers it.
 
     ``__back`` counts the panes between a pane and its anchor; a window of m panes covers
@@ -200,7 +221,7 @@ def _panes_at_anchors(panes: DataFrame, grid: TimeGrid, keys: Sequence[str], piv
     )
     anchor_pane = _anchor_pane(F.col("__k"), grid)
     # explode() of null yields no row, for panes that no anchor looks back on.
-    clustered = _dealt(panes, keys)
+    clustered = _dealt(panes, keys, parts)
     repeated = (
         clustered.withColumns({"__first": first, "__until": last})
         .withColumn("__k", F.explode(F.when(F.col("__first") <= F.col("__until"), F.sequence("__first", "__until"))))
@@ -306,9 +327,10 @@ def _features(
 ) -> DataFrame:
     # The row without a pane stands for a stay's bare grid and keeps anchors without events, so the
     # features need no join with the anchors.
-    panes = build_panes(stays, families, grid, keys, hot_rows, whole_grid)
+    parts = _parts(stays, families, grid, keys, whole_grid)
+    panes = build_panes(stays, families, grid, keys, hot_rows, whole_grid, parts)
     pivots = [s.signal for f in families for s in f.stats if _pivoted(s)]
-    at_anchors = _panes_at_anchors(panes, grid, keys, pivots)
+    at_anchors = _panes_at_anchors(panes, grid, keys, pivots, parts)
     aggs: list[Column] = []
     features: list[Column] = []
     for w in grid.windows_h:
