@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.config import SignalStats, TimeGrid
-from tidewatch.operators import anchors, joins, windows
+from tidewatch.operators import anchors, dataset, joins, windows
 from tidewatch.plans import catalog
 
 T0 = dt.datetime(2024, 1, 1, 3, 17, 5, 250_000)
@@ -266,6 +266,16 @@ def test_parts_grow_with_the_rows_of_anchors(spark, monkeypatch, make, rows, hot
     assert make(stays, [windows.vitals_family(df.limit(0), families[0].stats)]).count() == (12 if make is windows.gold_features else 0)
 
 
+def test_training_set_is_joined_in_parts_that_grow_with_its_anchors(spark, small, monkeypatch):
+    whole = catalog._training_set(spark, small)
+    monkeypatch.setattr(dataset, "ROWS_PER_PART", 100)
+    parts = math.ceil(catalog.labels(spark, small).count() / 100)
+    many = catalog._training_set(spark, small)
+    text = many._jdf.queryExecution().executedPlan().toString()
+    assert parts > 4 and len(re.findall(rf"Exchange hashpartitioning\([^)]*anchor_time#\d+, {parts}\)", text)) == 2
+    assert whole.exceptAll(many).isEmpty() and many.exceptAll(whole).isEmpty()
+
+
 @pytest.mark.parametrize("base", [0.0, 1e6, 1e9])
 def test_deviations_of_values_far_from_zero(spark, base):
     values = [0.0, 1.0, 2.0, 1.0, 0.0, 2.0, 2.0, 1.0]

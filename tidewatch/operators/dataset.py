@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -11,6 +12,9 @@ from tidewatch.functions import hash_bucket, murmur3_bucket
 from tidewatch.operators.ranking import exact_cutoffs, order_after
 from tidewatch.sources import numeric_columns
 
+# Anchors that one task joins with their labels.
+ROWS_PER_PART = 250_000
+
 
 def fill_nulls(
     df: DataFrame, value: float = 0.0, exclude: Sequence[str] = ("label",), columns: Sequence[str] | None = None
@@ -81,15 +85,20 @@ def training_set(
     fill: float = 0.0,
     label: str = "label",
     method: str = "md5",
+    deal: bool = False,
 ) -> DataFrame:
     """Features with labels and static attributes, filled, encoded and split by patient.
 
     ``encode`` maps a category column to the value coded as 1 and the name of the new column.
-    Keys are never filled.
+    Keys are never filled. ``deal`` counts the labels and joins in parts of ``ROWS_PER_PART`` anchors, in as
+    many as the session shuffles into at least; it is not meant for features that are bucketed by anchor.
     """
     # The narrow sides meet first, so that the wide rows of features take part in one join only, and in
     # no exchange at all where they are bucketed by anchor (see ``write_bucketed``).
     known = labels.select(*ANCHOR_KEYS, label).join(attributes, list(attribute_keys), "left")
+    if deal:
+        session = int(labels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        known = known.repartition(max(session, math.ceil(labels.count() / ROWS_PER_PART)), *ANCHOR_KEYS)
     own = [c for c in attributes.columns if c not in attribute_keys]
     ds = features.join(known, list(ANCHOR_KEYS)).select(*features.columns, label, *own)
     return split_assign(_filled(ds, encode, fill, (label,)), "patient_id", fractions, method)
