@@ -151,6 +151,13 @@ def test_no_python_worker_takes_part(spark):
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
 
 
+def test_tables_of_sources_are_not_worked_out_again_by_every_reader(spark):
+    docs = spark.createDataFrame([(i, "x" * i, "abc"[i % 3]) for i in range(30)], "doc_id long, text string, source string")
+    for weights in (None, {"a": 0.5, "b": 0.2}):
+        plan = mixing.mix_sources(docs, weights=weights)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") - plan.count("BroadcastExchange") < 30 and plan.count("Aggregate(") < 20
+
+
 def test_running_volumes_over_several_levels(spark):
     docs = spark.range(500).select(
         F.lit("s").alias("src"), F.col("id").cast("string").alias("id"), F.md5(F.col("id").cast("string")).alias("h"), (F.col("id") % 7 + 1).alias("vol")

@@ -20,6 +20,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidewatch.sources.tables import stage
+
 # Weights are taken in parts of this size.
 PARTS = 1_000_000
 # Slots of the fold that are gathered before they join the others.
@@ -161,13 +163,15 @@ def mix_sources(
         if not weights.where("weight < 0").isEmpty():
             raise ValueError("weights must not be negative")
         weights = weights.select(named("source").alias("src"), "weight")
-    sizes = rows.groupBy("src").agg(F.sum("vol").alias("vol"), F.count(F.lit(1)).alias("rows"))
+    # One row per source or slot each, read several times below: written, or every reader would plan and run
+    # all that leads to them again.
+    sizes = stage(rows.groupBy("src").agg(F.sum("vol").alias("vol"), F.count(F.lit(1)).alias("rows")), "mix-sizes")
     parts, reach = 1, _PART_ROWS * 16**_LEVEL
     n = sizes.agg(F.sum("rows")).first()[0] or 0
     while n > reach:
         parts, reach = parts + 1, reach * 16**_LEVEL
-    quota = quotas(sizes, weights)
-    plan = schedule(quota, block_chars)
+    quota = stage(quotas(sizes, weights), "mix-quotas")
+    plan = stage(schedule(quota, block_chars), "mix-schedule")
     weighted = quota.where("q > 0")
     # The slot of each weighted source's last block; the first of them ends the stretch that holds all
     # weights, and what has none begins after the last of them.
