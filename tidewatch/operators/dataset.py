@@ -75,6 +75,12 @@ def class_weights(
     return df.withColumn(out, F.when(F.col(label) == 1, ratio.scalar()).otherwise(F.lit(1.0)))
 
 
+def parts_of(rows: DataFrame) -> int:
+    """Parts of ``ROWS_PER_PART`` of ``rows`` on average, in as many as the session shuffles into at least."""
+    session = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(session, math.ceil(rows.count() / ROWS_PER_PART))
+
+
 def training_set(
     features: DataFrame,
     labels: DataFrame,
@@ -97,8 +103,7 @@ def training_set(
     # no exchange at all where they are bucketed by anchor (see ``write_bucketed``).
     known = labels.select(*ANCHOR_KEYS, label).join(attributes, list(attribute_keys), "left")
     if deal:
-        session = int(labels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        known = known.repartition(max(session, math.ceil(labels.count() / ROWS_PER_PART)), *ANCHOR_KEYS)
+        known = known.repartition(parts_of(labels), *ANCHOR_KEYS)
     own = [c for c in attributes.columns if c not in attribute_keys]
     ds = features.join(known, list(ANCHOR_KEYS)).select(*features.columns, label, *own)
     return split_assign(_filled(ds, encode, fill, (label,)), "patient_id", fractions, method)
