@@ -295,6 +295,21 @@ def test_buckets_of_gold_features_grow_with_their_anchors(spark, small, monkeypa
     assert whole.exceptAll(many).isEmpty() and many.exceptAll(whole).isEmpty()
 
 
+def test_wide_rows_meet_attributes_in_parts_that_grow_with_their_anchors(spark, small, monkeypatch):
+    whole = catalog.q_training_set_direct(spark, small)
+    monkeypatch.setattr(dataset, "ROWS_PER_PART", 100)
+    parts = math.ceil(catalog.gold(spark, small).count() / 100)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        many = catalog.q_training_set_direct(spark, small)
+        text = many._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert parts > 4 and len(re.findall(rf"Exchange hashpartitioning\(patient_id#\d+L, {parts}\)", text)) == 2
+    assert whole.exceptAll(many).isEmpty() and many.exceptAll(whole).isEmpty()
+
+
 @pytest.mark.parametrize("base", [0.0, 1e6, 1e9])
 def test_deviations_of_values_far_from_zero(spark, base):
     values = [0.0, 1.0, 2.0, 1.0, 0.0, 2.0, 2.0, 1.0]

@@ -118,9 +118,10 @@ def model_table(
     fill: float = 0.0,
     label: str = "label",
     method: str = "md5",
+    parts: int | None = None,
 ) -> DataFrame:
     """``training_set`` for features that carry their label already (see ``with_labels``)."""
-    ds = model_inputs(labelled, attributes, attribute_keys, encode, fill, keep=(label,))
+    ds = model_inputs(labelled, attributes, attribute_keys, encode, fill, keep=(label,), parts=parts)
     return split_assign(ds, "patient_id", fractions, method)
 
 
@@ -131,11 +132,15 @@ def model_inputs(
     encode: Mapping[str, tuple[str, str]] | None = None,
     fill: float = 0.0,
     keep: Sequence[str] = (),
+    parts: int | None = None,
 ) -> DataFrame:
     """What a model reads: features and static attributes, filled and encoded. No label is needed.
 
-    Keys and the columns of ``keep`` are never filled.
+    Keys and the columns of ``keep`` are never filled. ``parts`` is how many the wide rows are joined in
+    (see ``parts_of``), else as many as the session shuffles into.
     """
+    if parts is not None:
+        attributes = attributes.repartition(parts, *attribute_keys)
     return _filled(features.join(attributes, list(attribute_keys), "left"), encode, fill, keep)
 
 
