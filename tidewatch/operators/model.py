@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from tidewatch.config import ANCHOR_KEYS
 from tidewatch.operators import compiled
+from tidewatch.operators.boosting import BoostedTrees
 from tidewatch.sources import numeric_columns
 
 # Columns of the model table that are never features.
@@ -50,7 +51,7 @@ def gbt_pipeline(
     subsampling: float = 0.8,
     seed: int = 42,
 ) -> Pipeline:
-    gbt = GBTClassifier(
+    gbt = BoostedTrees(
         featuresCol="features",
         labelCol=label,
         maxIter=max_iter,
